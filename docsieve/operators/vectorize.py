@@ -59,11 +59,6 @@ def terms(text: Column, settings: VectorizerSettings) -> Column:
     return word_ngrams(F.regexp_extract_all(text, F.lit(P.VECTOR_TOKEN), F.lit(0)), low, high)
 
 
-def _weighted_char_counts(text: Column, settings: VectorizerSettings) -> Column:
-    """``array<struct<word, tf>>``: character grams are cut from distinct words only."""
-    return count_items(F.regexp_extract_all(text, F.lit(P.NON_SPACE_RUN), F.lit(0)))
-
-
 def term_counts(
     docs: DataFrame, settings: VectorizerSettings, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
@@ -212,7 +207,6 @@ def bow_preview(
 
 def sparse_vectors(weights: DataFrame, width: int, id_col: str = "doc_id", docs: DataFrame | None = None) -> DataFrame:
     """``(id, features)`` as MLlib sparse vectors; documents without terms are zero vectors."""
-    from pyspark.ml.functions import array_to_vector  # noqa: F401  (loads the JVM side)
     from pyspark.ml.linalg import SparseVector, VectorUDT
 
     build = F.udf(lambda ids, values: SparseVector(width, ids, values), VectorUDT())
