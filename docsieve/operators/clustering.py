@@ -88,6 +88,7 @@ def choose_clustering(
     ``metric`` is the silhouette's; see :func:`docsieve.operators.silhouette.silhouette`
     for the one that stays linear in the number of rows.
     """
+    points = points.select(id_col, vector_col)
     rows = points.count()
     usable = usable_counts(candidates, rows)
     if not usable:

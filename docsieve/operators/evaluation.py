@@ -41,6 +41,7 @@ def method_sweep(
 
     A run that fails becomes a row without a score and with the error text.
     """
+    points = points.select(id_col, vector_col)
     rows, labels = [], {}
     for k in counts:
         for name, run in methods.items():

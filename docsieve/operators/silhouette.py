@@ -7,15 +7,47 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 from pyspark.ml.evaluation import ClusteringEvaluator
-from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.functions import array_to_vector
 from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from docsieve.operators.blocks import block_join, distance_tiles, matrix
+from docsieve.operators.blocks import BLOCK_ROWS, block_join, distance_tiles, matrix
 from docsieve.session import settle
 
+# Sparse pieces are laid out as terms by rows inside a task, so they are smaller.
+SPARSE_BLOCK_ROWS = 512
+
+
+def _center_distances(batch: pd.DataFrame, centers: np.ndarray) -> np.ndarray:
+    """Distance of each row to each cluster mean."""
+    if "ids" not in batch:
+        return np.vstack([np.sqrt(((matrix(batch["v"]) - c) ** 2).sum(1)) for c in centers]).T
+    norms = (centers**2).sum(1)
+    squared = [
+        values @ values - 2.0 * (centers[:, ids] @ values) + norms
+        for ids, values in zip(batch["ids"], batch["v"], strict=True)
+    ]
+    return np.sqrt(np.maximum(np.array(squared), 0.0))
+
+
+def _distance_sums(queries: pd.DataFrame, data: pd.DataFrame, width: int) -> np.ndarray:
+    """For each query the sum of its distances to the data rows, copies counted."""
+    weight = data["weight"].to_numpy(dtype="float64")
+    if "ids" not in data:
+        tiles = distance_tiles(matrix(queries["v"]), matrix(data["v"]))
+        return np.concatenate([distances @ weight for _, distances in tiles])
+    table = np.zeros((width, len(data)))
+    for place, (ids, values) in enumerate(zip(data["ids"], data["v"], strict=True)):
+        table[ids, place] = values
+    norms = (table**2).sum(0)
+    sums = []
+    for ids, values in zip(queries["ids"], queries["v"], strict=True):
+        squared = values @ values - 2.0 * (values @ table[ids]) + norms
+        sums.append(np.sqrt(np.maximum(squared, 0.0)) @ weight)
+    return np.array(sums)
+
 
 def silhouette(
     points: DataFrame,
@@ -48,7 +80,7 @@ def silhouette(
 def silhouette_rows(
     points: DataFrame, label_col: str = "label", id_col: str = "doc_id", vector_col: str = "features"
 ) -> DataFrame:
-    """``(label, v, weight, silhouette)`` per distinct vector and cluster; weight counts its copies.
+    """``(label, rep, silhouette, weight)`` per distinct vector and cluster; weight counts its copies.
 
     A row needs the distances to its own cluster and to the cluster with the
     smallest mean distance.  That mean lies between the distance to the centroid
@@ -56,27 +88,30 @@ def silhouette_rows(
     clusters that cannot be the nearest are never visited.  What is visited is
     cut into pieces of bounded size and only sums leave a piece.
     """
-    vector = F.col(vector_col)
-    if not isinstance(points.schema[vector_col].dataType, T.ArrayType):
-        vector = vector_to_array(vector)
-    grouped = (
-        points.select(F.col(label_col).alias("label"), vector.cast("array<double>").alias("v"), F.col(id_col).alias("id"))
-        .groupBy("label", "v")
-        .agg(F.count(F.lit(1)).alias("weight"), F.min("id").alias("rep"))
+    sparse = not isinstance(points.schema[vector_col].dataType, T.ArrayType)
+    parts = {"v": F.col(vector_col).cast("array<double>")} if not sparse else {
+        "v": F.unwrap_udt(F.col(vector_col))["values"],
+        "ids": F.coalesce(
+            F.unwrap_udt(F.col(vector_col))["indices"],
+            F.sequence(F.lit(0), F.size(F.unwrap_udt(F.col(vector_col))["values"]) - 1),
+        ),
+    }
+    vector_fields = list(parts)
+    labelled = points.select(
+        F.col(label_col).alias("label"), F.col(id_col).alias("id"), *[c.alias(name) for name, c in parts.items()]
+    )
+    grouped = settle(
+        labelled.groupBy("label", *vector_fields).agg(F.count(F.lit(1)).alias("weight"), F.min("id").alias("rep"))
     )
     rep_type = points.schema[id_col].dataType.simpleString()
     label_type = points.schema[label_col].dataType.simpleString()
-    grouped = settle(grouped)
-    stats = (
-        grouped.groupBy("label")
-        .agg(
-            F.sum("weight").alias("n"),
-            Summarizer.mean(array_to_vector(F.col("v")), F.col("weight").cast("double")).alias("center"),
-            F.sum(F.col("weight") * F.aggregate("v", F.lit(0.0), lambda acc, x: acc + x * x)).alias("norm"),
-        )
-        .orderBy("label")
-        .collect()
+    as_vector = F.col(vector_col) if sparse else array_to_vector(F.col(vector_col).cast("array<double>"))
+    means = points.groupBy(F.col(label_col).alias("label")).agg(Summarizer.mean(as_vector).alias("center"))
+    totals = grouped.groupBy("label").agg(
+        F.sum("weight").alias("n"),
+        F.sum(F.col("weight") * F.aggregate("v", F.lit(0.0), lambda acc, x: acc + x * x)).alias("norm"),
     )
+    stats = totals.join(means, "label").orderBy("label").collect()
     if len(stats) < 2:
         raise ValueError("The silhouette needs at least two clusters.")
     # One entry per cluster.
@@ -92,7 +127,7 @@ def silhouette_rows(
                 continue
             own = batch["label"].map(number).to_numpy()
             every = np.arange(len(batch))
-            to_center = np.vstack([np.sqrt(((matrix(batch["v"]) - c) ** 2).sum(1)) for c in centers]).T
+            to_center = _center_distances(batch, centers)
             upper = np.sqrt(to_center**2 + variance[None, :])
             upper[every, own] = np.inf
             wanted = to_center <= upper.min(1)[:, None] * (1 + 1e-9) + 1e-9
@@ -103,7 +138,7 @@ def silhouette_rows(
                 {
                     "rep": chosen["rep"].to_numpy(),
                     "own": own[rows].astype("int32"),
-                    "v": chosen["v"].to_numpy(),
+                    **{name: chosen[name].to_numpy() for name in vector_fields},
                     "cell": cells.astype("int32"),
                 }
             )
@@ -111,27 +146,39 @@ def silhouette_rows(
     def add_up(queries: pd.DataFrame, data: pd.DataFrame) -> pd.DataFrame:
         if queries.empty or data.empty:
             return pd.DataFrame({"rep": [], "own": [], "cell": [], "total": []})
-        weight = data["weight"].to_numpy(dtype="float64")
-        totals = [distances @ weight for _, distances in distance_tiles(matrix(queries["v"]), matrix(data["v"]))]
         return pd.DataFrame(
-            {"rep": queries["rep"], "own": queries["own"], "cell": queries["cell"], "total": np.concatenate(totals)}
+            {
+                "rep": queries["rep"],
+                "own": queries["own"],
+                "cell": queries["cell"],
+                "total": _distance_sums(queries, data, centers.shape[1]),
+            }
         )
 
-    visits = grouped.select("rep", "label", "v").mapInPandas(
-        choose, f"rep {rep_type}, own int, v array<double>, cell int"
+    vector_types = {"v": "v array<double>", "ids": "ids array<int>"}
+    visits = grouped.select("rep", "label", *vector_fields).mapInPandas(
+        choose, f"rep {rep_type}, own int, {', '.join(vector_types[name] for name in vector_fields)}, cell int"
     )
     lookup = points.sparkSession.createDataFrame(
         [(label, number[label], float(sizes[number[label]])) for label in labels], f"label {label_type}, cell int, n double"
     )
-    data = grouped.join(F.broadcast(lookup), "label").select("cell", "rep", "v", "weight")
+    data = grouped.join(F.broadcast(lookup), "label").select("cell", "rep", *vector_fields, "weight")
     sums = (
-        block_join(settle(visits), data, "rep", "rep", add_up, f"rep {rep_type}, own int, cell int, total double")
+        block_join(
+            settle(visits),
+            data,
+            "rep",
+            "rep",
+            add_up,
+            f"rep {rep_type}, own int, cell int, total double",
+            SPARSE_BLOCK_ROWS if sparse else BLOCK_ROWS,
+        )
         .groupBy("rep", "own", "cell")
         .agg(F.sum("total").alias("total"))
         .join(F.broadcast(lookup.select("cell", "n")), "cell")
     )
     inside = F.col("cell") == F.col("own")
-    parts = sums.groupBy("rep", "own").agg(
+    means_by_row = sums.groupBy("rep", "own").agg(
         F.max(F.when(inside, F.col("total") / F.greatest(F.col("n") - 1, F.lit(1.0)))).alias("a"),
         F.max(F.when(inside, F.col("n"))).alias("size"),
         F.min(F.when(~inside, F.col("total") / F.col("n"))).alias("b"),
@@ -139,7 +186,7 @@ def silhouette_rows(
     value = F.when((F.col("size") <= 1) | (F.greatest("a", "b") == 0), F.lit(0.0)).otherwise(
         (F.col("b") - F.col("a")) / F.greatest("a", "b")
     )
-    scored = parts.join(F.broadcast(lookup.select(F.col("cell").alias("own"), "label")), "own")
+    scored = means_by_row.join(F.broadcast(lookup.select(F.col("cell").alias("own"), "label")), "own")
     return scored.select("label", "rep", value.alias("silhouette")).join(
         grouped.select("label", "rep", "weight"), ["label", "rep"]
     )
