@@ -15,6 +15,9 @@ from docsieve.operators.clustering import Clustering
 from docsieve.operators.lookup import attach_text
 from docsieve.operators.silhouette import silhouette
 
+# Sums differ in their last bits with the order of addition; ranks ignore those.
+TIE_DIGITS = 12
+
 METRIC_SCHEMA = (
     "method string, cluster_count int, silhouette_score double, max_cluster_size long, size_constraint_ok boolean, error string"
 )
@@ -111,7 +114,7 @@ def cluster_top_terms(
     if noise is not None:
         sums = sums.join(noise.select("term").distinct(), "term", "left_anti")
     means = sums.join(sizes, label_col).withColumn("weight", F.col("_sum") / F.col("_size"))
-    order = Window.partitionBy(label_col).orderBy(F.desc("weight"), "term")
+    order = Window.partitionBy(label_col).orderBy(F.desc(F.round("weight", TIE_DIGITS)), "term")
     ranked = means.withColumn("term_rank", F.row_number().over(order)).where(F.col("term_rank") <= top)
     shown = [label_col, "term_rank", "term", "weight"]
     if topics is not None:
@@ -161,7 +164,7 @@ def representative_documents(
     scored = labelled.join(F.broadcast(means), label_col).withColumn(
         "distance_to_centroid", cosine_distance(F.col("_v"), F.col("_mean"))
     )
-    order = Window.partitionBy(label_col).orderBy("distance_to_centroid", id_col)
+    order = Window.partitionBy(label_col).orderBy(F.round("distance_to_centroid", TIE_DIGITS), id_col)
     nearest = (
         scored.select(label_col, id_col, "distance_to_centroid")
         .withColumn("representative_rank", F.row_number().over(order))
@@ -201,7 +204,7 @@ def sparse_representatives(
         .join(dots, id_col, "left")
         .withColumn("distance_to_centroid", 1.0 - F.coalesce("_dot", F.lit(0.0)) / F.col("_length"))
     )
-    order = Window.partitionBy(label_col).orderBy("distance_to_centroid", id_col)
+    order = Window.partitionBy(label_col).orderBy(F.round("distance_to_centroid", TIE_DIGITS), id_col)
     nearest = (
         scored.select(label_col, id_col, "distance_to_centroid")
         .withColumn("representative_rank", F.row_number().over(order))

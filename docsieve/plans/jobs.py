@@ -5,7 +5,6 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from docsieve.functions.cleaning import ANOMALY_SETTINGS, CLUSTERING_SETTINGS, CleaningSettings
 from docsieve.functions.patterns import STRUCTURAL_FEATURES
@@ -178,11 +177,3 @@ class CorpusJobs:
             self.anomalies(use_ensemble, anomalies_path),
         )
 
-
-def summary_of_run(labels: DataFrame, anomalies: DataFrame) -> DataFrame:
-    """How many of the ranked anomalies fall into each cluster."""
-    return (
-        labels.join(F.broadcast(anomalies), "doc_id", "left")
-        .groupBy("label")
-        .agg(F.count(F.lit(1)).alias("documents"), F.count("anomaly").alias("anomalies"))
-    )
