@@ -40,9 +40,12 @@ def count_items(items: Column) -> Column:
             ),
         )
 
-    return F.when(F.size(items) > 0, bind(F.sort_array(items), runs)).otherwise(
-        F.expr("cast(array() as array<struct<term:string,tf:int>>)")
-    )
+    def counted(ordered: Column) -> Column:
+        return F.when(F.size(ordered) > 0, runs(ordered)).otherwise(
+            F.expr("cast(array() as array<struct<term:string,tf:int>>)")
+        )
+
+    return bind(F.sort_array(items), counted)
 
 
 def word_ngrams(words: Column, smallest: int, largest: int) -> Column:
@@ -107,4 +110,4 @@ def longest_run(items: Column) -> Column:
             ),
         )
 
-    return F.when(F.size(items) > 0, bind(items, measure)).otherwise(F.lit(0))
+    return bind(items, lambda bound: F.when(F.size(bound) > 0, measure(bound)).otherwise(F.lit(0)))

@@ -237,7 +237,7 @@ def nearest_neighbors(
     result = joined.select("id", F.slice(F.sort_array(merged), 1, k).alias("best"))
     if zero_ids:
         result = result.unionByName(_zero_rows(zeros, base, zero_ids, k, id_type))
-    return result.select(F.col("id").alias(id_col), F.posexplode("best").alias("_place", "_entry")).select(
+    return result.select(F.col("id").alias(id_col), F.posexplode_outer("best").alias("_place", "_entry")).select(
         id_col,
         F.col("_entry.id").alias("neighbor_id"),
         F.col("_entry.distance").alias("distance"),

@@ -11,6 +11,7 @@ from pyspark.sql.window import Window
 
 from docsieve.functions import patterns as P
 from docsieve.functions.lists import char_wb_ngrams, count_items, word_ngrams
+from docsieve.session import settle
 
 # Model names and their aliases.
 MODELS = ("tfidf", "bow", "tfidf_lsa_dense")
@@ -62,14 +63,15 @@ def terms(text: Column, settings: VectorizerSettings) -> Column:
 def term_counts(
     docs: DataFrame, settings: VectorizerSettings, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
-    """``(id, term, tf)``, counted inside each document's own row without a shuffle."""
+    """``(id, term, tf)``, counted inside each document's own row without a shuffle.
+
+    The outer form of ``inline`` keeps the optimiser from putting a filter on
+    the size of the list below the scan, which would count every text twice.
+    """
     text = F.coalesce(F.col(text_col), F.lit(""))
     counted = docs.select(id_col, count_items(terms(text, settings)).alias("_counts"))
-    return counted.select(id_col, F.inline("_counts")).select(id_col, "term", F.col("tf").cast("bigint").alias("tf"))
-
-
-def document_total(docs: DataFrame) -> int:
-    return docs.count()
+    rows = counted.select(id_col, F.inline_outer("_counts")).where(F.col("term").isNotNull())
+    return rows.select(id_col, "term", F.col("tf").cast("bigint").alias("tf"))
 
 
 def vocabulary(counts: DataFrame, document_count: int, settings: VectorizerSettings) -> DataFrame:
@@ -168,20 +170,36 @@ class FittedVectorizer:
         self.fitted.withColumn("document_count", F.lit(self.document_count)).write.mode("overwrite").parquet(path)
 
 
-def fit(docs: DataFrame, settings: VectorizerSettings, id_col: str = "doc_id", text_col: str = "text") -> FittedVectorizer:
-    """Fit the vocabulary; the dense model also fits its projection."""
-    counts = term_counts(docs, settings, id_col, text_col)
-    total = document_total(docs)
-    fitted = fit_idf(vocabulary(counts, total, settings), total)
+def _fit(counts: DataFrame, total: int, settings: VectorizerSettings, id_col: str) -> tuple[FittedVectorizer, DataFrame]:
+    fitted = settle(fit_idf(vocabulary(counts, total, settings), total))
     model = FittedVectorizer(settings, total, fitted)
+    if settings.model == "bow":
+        return model, bag_of_words(counts, fitted, settings, id_col)
+    weights = tfidf(counts, fitted, settings, id_col)
     if settings.model == "tfidf_lsa_dense":
         from docsieve.operators.lsa import fit_projection
 
-        model.fitted = fitted.persist()
-        model.projection = fit_projection(
-            tfidf(counts, model.fitted, settings, id_col), settings.dense_dimension, settings.seed, id_col
-        )
-    return model
+        weights = settle(weights)
+        model.projection = fit_projection(weights, settings.dense_dimension, settings.seed, id_col)
+    return model, weights
+
+
+def fit(docs: DataFrame, settings: VectorizerSettings, id_col: str = "doc_id", text_col: str = "text") -> FittedVectorizer:
+    """Fit the vocabulary; the dense model also fits its projection."""
+    return _fit(term_counts(docs, settings, id_col, text_col), docs.count(), settings, id_col)[0]
+
+
+def fit_transform(
+    docs: DataFrame, settings: VectorizerSettings, id_col: str = "doc_id", text_col: str = "text"
+) -> tuple[FittedVectorizer, DataFrame]:
+    """Fit and transform the same texts; their terms are counted once and kept."""
+    counts = settle(term_counts(docs, settings, id_col, text_col))
+    model, table = _fit(counts, docs.count(), settings, id_col)
+    if settings.model == "tfidf_lsa_dense":
+        from docsieve.operators.lsa import project
+
+        table = project(table, model.projection, id_col, docs)
+    return model, table
 
 
 def term_popularity(counts: DataFrame) -> DataFrame:

@@ -68,7 +68,8 @@ def features(spark: SparkSession, folder: str, names: tuple[str, ...] = NATIVE_F
 
 
 def points(spark: SparkSession, folder: str, names: tuple[str, ...] = NATIVE_FEATURES) -> DataFrame:
-    return feature_vector(features(spark, folder, names), names).select("doc_id", "features")
+    exact = rounded(features(spark, folder, names), *names, digits=9)
+    return feature_vector(exact, names).select("doc_id", "features")
 
 
 def feature_score(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -89,8 +90,7 @@ def three_scores(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
 def topic_weights(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
     """TF-IDF weights of the clustering view and the documents they belong to."""
     docs = clustering_texts(spark, folder)
-    model = V.fit(docs, TOPIC_SETTINGS, text_col="clustering_text")
-    return model.transform(docs, text_col="clustering_text"), docs
+    return V.fit_transform(docs, TOPIC_SETTINGS, text_col="clustering_text")[1], docs
 
 
 def rounded(df: DataFrame, *names: str, digits: int = 6) -> DataFrame:
@@ -566,9 +566,8 @@ def kmeans_embeddings(spark: SparkSession, folder: str) -> DataFrame:
 
 def center_top_terms(spark: SparkSession, folder: str) -> DataFrame:
     docs = clustering_texts(spark, folder)
-    model = V.fit(docs, TOPIC_SETTINGS, text_col="clustering_text")
-    model.fitted = settle(model.fitted)
-    vectors = V.sparse_vectors(model.transform(docs, text_col="clustering_text"), TOPIC_SETTINGS.max_features, docs=docs)
+    model, weights = V.fit_transform(docs, TOPIC_SETTINGS, text_col="clustering_text")
+    vectors = V.sparse_vectors(weights, TOPIC_SETTINGS.max_features, docs=docs)
     return evaluation.center_top_terms(spark, clustering.kmeans(vectors, 8), model.fitted, 15)
 
 

@@ -151,7 +151,7 @@ KNN = """knn AS (SELECT i, j, c, row_number() OVER (PARTITION BY i ORDER BY c, j
 
 def feature_pairs() -> str:
     """Distances between all documents on the sixteen measures."""
-    vector = "[" + FEATURE_LIST + "]"
+    vector = "[" + ", ".join(f"round({f}, 9)" for f in NATIVE_FEATURES) + "]"
     return f"""pts AS (SELECT id, {vector}::DOUBLE[] AS e FROM feat),
 pair AS (SELECT a.id AS i, b.id AS j, list_distance(a.e, b.e) AS d,
   1 - list_cosine_similarity(a.e, b.e) AS c FROM pts a, pts b WHERE a.id <> b.id)"""
@@ -297,8 +297,8 @@ row_number() OVER (PARTITION BY i ORDER BY d, j)::INTEGER AS neighbor_rank FROM
         "knn_score": f"WITH {EMB}, {KNN} SELECT i AS vec_id, round(-avg(c), 6) AS score FROM knn WHERE r <= 5 GROUP BY i",
         "lof_score": f"WITH {FEAT}, {feature_pairs()}, {LOF} SELECT doc_id, round(score, 6) AS score FROM lof",
         "affinity_graph": f"""WITH {EMB}, near AS (SELECT i AS src, j AS dst FROM dist QUALIFY row_number() OVER (PARTITION BY i ORDER BY d, j) <= 5
-  UNION ALL SELECT vec_id, vec_id FROM emb), both AS (SELECT src, dst FROM near UNION ALL SELECT dst, src FROM near)
-SELECT src, dst, (count(*) * 0.5)::DOUBLE AS weight FROM both GROUP BY src, dst""",
+  UNION ALL SELECT vec_id, vec_id FROM emb), edge AS (SELECT src, dst FROM near UNION ALL SELECT dst, src FROM near)
+SELECT src, dst, (count(*) * 0.5)::DOUBLE AS weight FROM edge GROUP BY src, dst""",
         "upper_quantile_mask": f"""WITH {EMB}, {KNN}, s AS (SELECT i AS vec_id, round(-avg(c), 9) AS score FROM knn WHERE r <= 5 GROUP BY i)
 SELECT vec_id, round(score, 6) AS score, -score >= (SELECT quantile_cont(-score, 0.95) FROM s) AS is_anomaly FROM s""",
         "rank_normalized": f"""WITH {FEAT}, {score('lexical_entropy')}, {ranked('s', 'r', 0)}

@@ -22,11 +22,10 @@ from docsieve.operators.ranking import anomaly_output
 from docsieve.operators.structural import feature_vector, structural_features
 from docsieve.operators.vectorize import (
     VectorizerSettings,
-    fit_idf,
+    fit_transform,
     sparse_vectors,
     term_counts,
     term_popularity,
-    tfidf,
     vocabulary,
 )
 from docsieve.session import settle
@@ -95,15 +94,14 @@ class CorpusJobs:
     def _build_views(self) -> DataFrame:
         return settle(text_views(self.docs, "text", self.clustering_view, self.anomaly_view))
 
-    def _counts(self) -> DataFrame:
-        return term_counts(self.features("views"), self.settings, text_col="clustering_text")
-
     def _build_vocabulary(self) -> DataFrame:
-        total = self.docs.count()
-        return settle(fit_idf(vocabulary(self._counts(), total, self.settings), total))
+        model, weights = fit_transform(self.features("views"), self.settings, text_col="clustering_text")
+        self._features["weights"] = settle(weights)
+        return model.fitted
 
     def _build_weights(self) -> DataFrame:
-        return settle(tfidf(self._counts(), self.features("vocabulary"), self.settings))
+        self.features("vocabulary")
+        return self._features["weights"]
 
     def _build_structural(self) -> DataFrame:
         return settle(structural_features(self.docs))
