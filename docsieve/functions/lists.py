@@ -48,6 +48,11 @@ def count_items(items: Column) -> Column:
     return bind(F.sort_array(items), counted)
 
 
+def _joined(words: list[Column]) -> Column:
+    parts = [part for word in words for part in (F.lit(" "), word)]
+    return F.concat(*parts[1:])
+
+
 def word_ngrams(words: Column, smallest: int, largest: int) -> Column:
     """All n-grams of ``smallest..largest`` neighbouring words, joined by one space."""
 
@@ -57,7 +62,7 @@ def word_ngrams(words: Column, smallest: int, largest: int) -> Column:
         places = F.when(F.size(bound) >= n, F.sequence(F.lit(1), F.size(bound) - (n - 1))).otherwise(
             F.expr("cast(array() as array<int>)")
         )
-        return F.transform(places, lambda i: F.concat_ws(" ", *[F.get(bound, i + (j - 1)) for j in range(n)]))
+        return F.transform(places, lambda i: _joined([F.get(bound, i + (j - 1)) for j in range(n)]))
 
     def grams(bound: Column) -> Column:
         return F.concat(*[of_size(bound, n) for n in range(smallest, largest + 1)])

@@ -8,13 +8,14 @@ and ``\\b`` are ASCII-only by default.
 WORD = r"\p{L}\p{N}_"
 SPACE = r"\t-\r\x1c-\x20\x{85}\p{Z}"
 
-# Patterns over raw or lowercased text.
+# Patterns over raw or lowercased text.  A match can only begin at
+# the start of a word, and possessive quantifiers keep long words linear.
 WORD_TOKEN = f"[{WORD}]+"
 VECTOR_TOKEN = f"[{WORD}]{{2,}}"
 HTML_TAG = r"<[^>]+>"
 URL = f"https?://[^{SPACE}]+|www\\.[^{SPACE}]+"
-EMAIL = f"[{WORD}][{WORD}.+-]*@[{WORD}-]+\\.[{WORD}.-]*[{WORD}]"
-DIGIT_TOKEN = f"[{WORD}]*\\p{{Nd}}[{WORD}]*"
+EMAIL = f"(?<![{WORD}])[{WORD}][{WORD}.+-]*+@[{WORD}-]+\\.[{WORD}.-]*[{WORD}]"
+DIGIT_TOKEN = f"(?<![{WORD}])[{WORD}&&[^\\p{{Nd}}]]*+\\p{{Nd}}[{WORD}]*+"
 NOT_LETTER = f"[^a-z{SPACE}]"
 LETTER_TOKEN = r"[a-z']+"
 SYMBOL = f"[^{SPACE}{WORD}]"
@@ -22,7 +23,9 @@ PLACEHOLDER = r"\{[^}]+\}"
 UPPERCASE = r"\p{Lu}"
 DIGIT = r"[\p{Nd}\x{B2}\x{B3}\x{B9}\x{2070}-\x{2079}\x{2080}-\x{2089}]"
 PUNCTUATION = f"[^\\p{{L}}\\p{{N}}{SPACE}]"
-MIXED_TOKEN = f"(?<![{WORD}])(?=[{WORD}]*[a-zA-Z])(?=[{WORD}]*\\p{{Nd}})[{WORD}]+"
+MIXED_TOKEN = (
+    f"(?<![{WORD}])(?=[{WORD}&&[^\\p{{Nd}}]]*+\\p{{Nd}})(?=[{WORD}&&[^a-zA-Z]]*+[a-zA-Z])[{WORD}]++"
+)
 NON_SPACE_RUN = f"[^{SPACE}]+"
 
 # Contractions, applied in this order.

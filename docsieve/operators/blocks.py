@@ -31,14 +31,13 @@ def block_join(
     becomes many small tasks instead of one large one.  The number of cells is
     bounded by the caller; only their counts reach the driver.
     """
-    pieces = (
-        data.groupBy("cell")
-        .agg(F.ceil(F.count(F.lit(1)) / block_rows).cast("int").alias("_pieces"))
-        .join(
-            queries.groupBy("cell").agg(F.ceil(F.count(F.lit(1)) / block_rows).cast("int").alias("_slices")), "cell"
-        )
+    sides = data.select("cell", F.lit(1).alias("_d"), F.lit(0).alias("_q")).unionAll(
+        queries.select("cell", F.lit(0).alias("_d"), F.lit(1).alias("_q"))
     )
-    rows = [tuple(row) for row in pieces.collect()]
+    counts = sides.groupBy("cell").agg(F.sum("_d").alias("_d"), F.sum("_q").alias("_q")).where("_d > 0 and _q > 0")
+    rows = [
+        (row["cell"], -(-row["_d"] // block_rows), -(-row["_q"] // block_rows)) for row in counts.collect()
+    ]
     if not rows:
         return data.sparkSession.createDataFrame([], schema)
     # One row per cell, and the caller bounds the cells.

@@ -23,6 +23,8 @@ CANDIDATE_COUNTS = (4, 6, 8, 10)
 
 # Groups that the agglomerative step merges; bounds its memory and its work.
 MICRO_CLUSTERS = 500
+# Passes of the k-means that forms them; they need not be converged.
+MICRO_PASSES = 20
 
 
 @dataclass(frozen=True)
@@ -47,14 +49,19 @@ def _as_vectors(points: DataFrame, id_col: str, vector_col: str) -> DataFrame:
 
 
 def kmeans(
-    points: DataFrame, k: int, seed: int = 42, id_col: str = "doc_id", vector_col: str = "features"
+    points: DataFrame,
+    k: int,
+    seed: int = 42,
+    id_col: str = "doc_id",
+    vector_col: str = "features",
+    max_iter: int = 300,
 ) -> Clustering:
     """MLlib k-means on dense arrays or sparse vectors."""
     vectors = _as_vectors(points, id_col, vector_col).persist()
     try:
         if k <= 1:
             return Clustering(points.select(id_col, F.lit(0).alias("label")), 1)
-        model = KMeans(k=k, seed=seed, maxIter=300, tol=1e-4, featuresCol="_v", predictionCol="label").fit(vectors)
+        model = KMeans(k=k, seed=seed, maxIter=max_iter, tol=1e-4, featuresCol="_v", predictionCol="label").fit(vectors)
         return Clustering(
             settle(model.transform(vectors).select(id_col, "label")), k, [np.asarray(c) for c in model.clusterCenters()]
         )
@@ -200,7 +207,7 @@ class Agglomerative:
             self.members = settle(ranked.select(id_col, F.col("_slot").cast("int").alias("slot")))
             grouped = ranked.select(F.col("_slot").alias("slot"), F.lit(1).alias("size"), F.col("features").alias("sum"))
         else:
-            fitted = kmeans(shaped, micro, seed, id_col)
+            fitted = kmeans(shaped, micro, seed, id_col, max_iter=MICRO_PASSES)
             self.members = fitted.labels.select(id_col, F.col("label").alias("slot"))
             grouped = (
                 shaped.join(self.members, id_col)

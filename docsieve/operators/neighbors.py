@@ -10,11 +10,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from docsieve.operators.blocks import block_join, distance_tiles, matrix
+from docsieve.operators.blocks import BLOCK_ROWS, block_join, distance_tiles, matrix
 from docsieve.session import settle
 
 # Upper bound on the pivots every task holds.
 MAX_PIVOTS = 4096
+# Distinct vectors per cell while the number of pivots is below its bound.
+CELL_ROWS = 512
 # Rounding allowance of the pruning bounds, relative to the size of the vectors.
 SLACK = 1e-6
 
@@ -144,10 +146,12 @@ def _nearest_kernel(k: int, scale: float):
     return run
 
 
-def _euclidean_lists(reps: DataFrame, total: int, k: int, id_type: str) -> DataFrame:
+def _euclidean_lists(reps: DataFrame, total: int, k: int, id_type: str, cell_rows: int | None) -> DataFrame:
     """``(rep, near)``: the k nearest ``struct(distance, id)`` among the other distinct vectors."""
     schema = f"rep {id_type}, neighbor {id_type}, distance double"
-    wanted = int(min(MAX_PIVOTS, max(1, round(total**0.5))))
+    if cell_rows is None:
+        cell_rows = CELL_ROWS if total > BLOCK_ROWS else total
+    wanted = int(min(MAX_PIVOTS, max(1, total // cell_rows)))
     picked = reps.orderBy(F.xxhash64("rep"), "rep").limit(wanted).select("v").collect()
     pivots = np.array([row["v"] for row in picked], dtype="float64")
     assigned = settle(_assign(reps, pivots, k, id_type))
@@ -177,7 +181,12 @@ def _euclidean_lists(reps: DataFrame, total: int, k: int, id_type: str) -> DataF
 
 
 def nearest_neighbors(
-    points: DataFrame, k: int, metric: str = "euclidean", id_col: str = "doc_id", vector_col: str = "features"
+    points: DataFrame,
+    k: int,
+    metric: str = "euclidean",
+    id_col: str = "doc_id",
+    vector_col: str = "features",
+    cell_rows: int | None = None,
 ) -> DataFrame:
     """``(id, neighbor_id, distance, neighbor_rank)``: the k nearest other rows, ties by id.
 
@@ -185,7 +194,8 @@ def nearest_neighbors(
     once; the distinct vectors are split into cells around pivots taken from
     the data, so dense regions get more cells; each vector first searches its
     own cell and then only the cells that its distance bound cannot rule out.
-    A zero vector has cosine distance 1 to everything.
+    A zero vector has cosine distance 1 to everything.  ``cell_rows`` sets the
+    aimed cell size; tables that fit one piece use a single cell.
     """
     if metric not in ("euclidean", "cosine"):
         raise ValueError(f"Unsupported metric '{metric}'; use euclidean or cosine.")
@@ -203,21 +213,25 @@ def nearest_neighbors(
     else:
         base = settle(base)
     zero_ids = [row["id"] for row in zeros.orderBy("id").limit(k + 1).collect()] if zeros is not None else []
-    total_rows = base.count() + (zeros.count() if zero_ids else 0)
+    base_rows = base.count()
+    total_rows = base_rows + (zeros.count() if zero_ids else 0)
     if total_rows <= k:
         raise ValueError(f"{k} neighbours need more than {k} rows, found {total_rows}.")
     reps = settle(_copies(base, k))
     distinct = reps.count()
     lists = reps.select("rep", "v", "ids")
     if distinct:
-        near = _euclidean_lists(reps.select("rep", "v", "ids"), distinct, k, id_type)
+        near = _euclidean_lists(reps.select("rep", "v", "ids"), distinct, k, id_type, cell_rows)
         lists = reps.join(near, "rep", "left")
     else:
         lists = reps.withColumn("near", F.lit(None).cast(f"array<struct<distance:double,id:{id_type}>>"))
     groups = lists.select("rep", "v", "ids", "near")
-    # A group of copies has one row on this side, so adaptive execution may
-    # split the many rows of a large group on the other side.
-    joined = base.join(groups, "v")
+    if distinct == base_rows:
+        joined = groups.withColumn("id", F.col("rep"))
+    else:
+        # A group of copies has one row on this side, so adaptive execution may
+        # split the many rows of a large group on the other side.
+        joined = base.join(groups, "v")
     own = F.transform(
         F.filter("ids", lambda other: other != F.col("id")),
         lambda other: F.struct(F.lit(0.0).alias("distance"), other.alias("id")),
