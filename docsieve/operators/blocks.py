@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -64,12 +64,20 @@ def block_join(
     return query_side.groupBy(*keys).cogroup(data_side.groupBy(*keys)).applyInPandas(run, schema)
 
 
+def slices(batches: Iterator[pd.DataFrame], width: int) -> Iterator[pd.DataFrame]:
+    """Cut batches so that rows times ``width`` doubles stay within one tile."""
+    step = max(1, TILE_DOUBLES // max(1, width))
+    for batch in batches:
+        for start in range(0, len(batch), step):
+            yield batch.iloc[start : start + step]
+
+
 def matrix(column: pd.Series) -> np.ndarray:
     """A column of equal-length lists as a 2-d array."""
     return np.vstack(column.to_numpy()) if len(column) else np.empty((0, 0))
 
 
-def distance_tiles(left: np.ndarray, right: np.ndarray):
+def distance_tiles(left: np.ndarray, right: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
     """Yield ``(start, distances)`` for slices of ``left`` rows against all of ``right``.
 
     Distances come from differences, not from a product expansion, so nearly

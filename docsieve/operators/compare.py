@@ -87,12 +87,12 @@ def average_ranks(scores: DataFrame, id_col: str, score_col: str, out_col: str)
 def spearman(left: DataFrame, right: DataFrame, id_col: str = "doc_id") -> DataFrame:
     """One row: rank correlation of two score tables and, with masks, both flagged counts."""
     ranks = average_ranks(left, id_col, "score", "r1").join(average_ranks(right, id_col, "score", "r2"), id_col)
-    result = ranks.agg(F.corr("r1", "r2").alias("spearman_score_correlation"))
-    for name, table in (("left", left), ("right", right)):
-        if "is_anomaly" in table.columns:
-            counted = table.agg(F.count_if(F.col("is_anomaly")).alias(f"{name}_predicted_anomaly_count"))
-            result = result.join(F.broadcast(counted))
-    return result
+    flagged = {
+        f"{name}_predicted_anomaly_count": F.lit(table.where("is_anomaly").count()).cast("bigint")
+        for name, table in (("left", left), ("right", right))
+        if "is_anomaly" in table.columns
+    }
+    return ranks.agg(F.corr("r1", "r2").alias("spearman_score_correlation")).withColumns(flagged)
 
 
 def set_cosine_spread(points: DataFrame, vector_col: str = "features", digits: int = 4) -> DataFrame:

@@ -26,8 +26,8 @@ METRIC_SCHEMA = (
 def cluster_sizes(labels: DataFrame, label_col: str = "label") -> DataFrame:
     """``(label, size, max_size)`` per cluster."""
     sizes = labels.groupBy(label_col).agg(F.count(F.lit(1)).alias("size"))
-    largest = sizes.agg(F.max("size").alias("max_size"))
-    return sizes.join(F.broadcast(largest)).select(label_col, "size", "max_size")
+    largest = sizes.agg(F.max("size")).first()[0]
+    return sizes.withColumn("max_size", F.lit(largest).cast("bigint"))
 
 
 def method_sweep(
@@ -156,12 +156,16 @@ def representative_documents(
     label_col: str = "label",
     text_col: str = "text",
 ) -> DataFrame:
-    """The documents nearest to each cluster mean by cosine distance, with snippets if ``docs`` is given."""
+    """The documents nearest to each cluster mean by cosine distance, with snippets if ``docs`` is given.
+
+    The means are one row per cluster; adaptive execution sees their size and
+    broadcasts them when they are small.
+    """
     labelled = points.select(id_col, F.col(vector_col).cast("array<double>").alias("_v")).join(
         labels.select(id_col, label_col), id_col
     )
     means = labelled.groupBy(label_col).agg(vector_to_array(Summarizer.mean(array_to_vector("_v"))).alias("_mean"))
-    scored = labelled.join(F.broadcast(means), label_col).withColumn(
+    scored = labelled.join(means, label_col).withColumn(
         "distance_to_centroid", cosine_distance(F.col("_v"), F.col("_mean"))
     )
     order = Window.partitionBy(label_col).orderBy(F.round("distance_to_centroid", TIE_DIGITS), id_col)
@@ -193,14 +197,14 @@ def sparse_representatives(
     means = (
         labelled.groupBy(label_col, "term")
         .agg(F.sum("weight").alias("_sum"))
-        .join(F.broadcast(sizes), label_col)
+        .join(sizes, label_col)
         .select(label_col, "term", (F.col("_sum") / F.col("_size")).alias("_mean"))
     )
     lengths = means.groupBy(label_col).agg(F.sqrt(F.sum(F.col("_mean") * F.col("_mean"))).alias("_length"))
     dots = labelled.join(means, [label_col, "term"]).groupBy(id_col).agg(F.sum(F.col("weight") * F.col("_mean")).alias("_dot"))
     scored = (
         labels.select(id_col, label_col)
-        .join(F.broadcast(lengths), label_col)
+        .join(lengths, label_col)
         .join(dots, id_col, "left")
         .withColumn("distance_to_centroid", 1.0 - F.coalesce("_dot", F.lit(0.0)) / F.col("_length"))
     )

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from docsieve.operators.blocks import BLOCK_ROWS, block_join, distance_tiles, matrix
+from docsieve.operators.blocks import BLOCK_ROWS, block_join, distance_tiles, matrix, slices
 from docsieve.session import settle
 
 # Upper bound on the pivots every task holds.
@@ -47,9 +47,7 @@ def _assign(reps: DataFrame, pivots: np.ndarray, k: int, id_type: str) -> DataFr
     """Append the nearest pivot, the distance to it and a first bound on the k-th neighbour."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            if batch.empty:
-                continue
+        for batch in slices(batches, len(pivots)):
             distances = _pivot_distances(matrix(batch["v"]), pivots)
             cell = distances.argmin(1)
             # The pivots are data points: k + 1 of them hold k others for sure.
@@ -73,9 +71,7 @@ def _visits(
     between = _pivot_distances(pivots, pivots)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            if batch.empty:
-                continue
+        for batch in slices(batches, len(pivots)):
             distances = _pivot_distances(matrix(batch["v"]), pivots)
             own = batch["cell"].to_numpy()
             nearest = distances[np.arange(len(batch)), own][:, None]

@@ -13,11 +13,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from docsieve.operators.blocks import BLOCK_ROWS, block_join, distance_tiles, matrix
+from docsieve.operators.blocks import BLOCK_ROWS, block_join, distance_tiles, matrix, slices
 from docsieve.session import settle
 
 # Sparse pieces are laid out as terms by rows inside a task, so they are smaller.
 SPARSE_BLOCK_ROWS = 512
+# Every task holds one mean per cluster.
+MAX_CLUSTERS = 10_000
 
 
 def _center_distances(batch: pd.DataFrame, centers: np.ndarray) -> np.ndarray:
@@ -111,10 +113,10 @@ def silhouette_rows(
         F.sum("weight").alias("n"),
         F.sum(F.col("weight") * F.aggregate("v", F.lit(0.0), lambda acc, x: acc + x * x)).alias("norm"),
     )
-    stats = totals.join(means, "label").orderBy("label").collect()
-    if len(stats) < 2:
-        raise ValueError("The silhouette needs at least two clusters.")
-    # One entry per cluster.
+    # One row per cluster, and no more than the bound.
+    stats = totals.join(means, "label").orderBy("label").limit(MAX_CLUSTERS + 1).collect()
+    if not 2 <= len(stats) <= MAX_CLUSTERS:
+        raise ValueError(f"The silhouette needs 2 to {MAX_CLUSTERS} clusters.")
     labels = [row["label"] for row in stats]
     number = {label: place for place, label in enumerate(labels)}
     sizes = np.array([row["n"] for row in stats], dtype="float64")
@@ -122,9 +124,7 @@ def silhouette_rows(
     variance = np.maximum(np.array([row["norm"] for row in stats]) / sizes - (centers**2).sum(1), 0.0)
 
     def choose(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            if batch.empty:
-                continue
+        for batch in slices(batches, len(labels)):
             own = batch["label"].map(number).to_numpy()
             every = np.arange(len(batch))
             to_center = _center_distances(batch, centers)

@@ -19,6 +19,7 @@ def local_session(cores: int = 8, name: str = "docsieve") -> SparkSession:
         .config("spark.driver.memory", os.environ.get("DOCSIEVE_DRIVER_MEMORY", "12g"))
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .getOrCreate()
