@@ -19,7 +19,7 @@ from docsieve.session import settle
 # Sparse pieces are laid out as terms by rows inside a task, so they are smaller.
 SPARSE_BLOCK_ROWS = 512
 # Every task holds one mean per cluster.
-MAX_CLUSTERS = 10_000
+MAX_CLUSTERS = 1000
 
 
 def _center_distances(batch: pd.DataFrame, centers: np.ndarray) -> np.ndarray:
@@ -108,20 +108,18 @@ def silhouette_rows(
     rep_type = points.schema[id_col].dataType.simpleString()
     label_type = points.schema[label_col].dataType.simpleString()
     as_vector = F.col(vector_col) if sparse else array_to_vector(F.col(vector_col).cast("array<double>"))
-    means = points.groupBy(F.col(label_col).alias("label")).agg(Summarizer.mean(as_vector).alias("center"))
-    totals = grouped.groupBy("label").agg(
-        F.sum("weight").alias("n"),
-        F.sum(F.col("weight") * F.aggregate("v", F.lit(0.0), lambda acc, x: acc + x * x)).alias("norm"),
-    )
+    summary = Summarizer.metrics("mean", "normL2").summary(as_vector)
+    totals = points.groupBy(F.col(label_col).alias("label")).agg(F.count(F.lit(1)).alias("n"), summary.alias("m"))
     # One row per cluster, and no more than the bound.
-    stats = totals.join(means, "label").orderBy("label").limit(MAX_CLUSTERS + 1).collect()
+    stats = totals.orderBy("label").limit(MAX_CLUSTERS + 1).collect()
     if not 2 <= len(stats) <= MAX_CLUSTERS:
         raise ValueError(f"The silhouette needs 2 to {MAX_CLUSTERS} clusters.")
     labels = [row["label"] for row in stats]
     number = {label: place for place, label in enumerate(labels)}
     sizes = np.array([row["n"] for row in stats], dtype="float64")
-    centers = np.array([row["center"].toArray() for row in stats])
-    variance = np.maximum(np.array([row["norm"] for row in stats]) / sizes - (centers**2).sum(1), 0.0)
+    centers = np.array([row["m"]["mean"].toArray() for row in stats])
+    squares = np.array([(row["m"]["normL2"].toArray() ** 2).sum() for row in stats])
+    variance = np.maximum(squares / sizes - (centers**2).sum(1), 0.0)
 
     def choose(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in slices(batches, len(labels)):
@@ -138,6 +136,7 @@ def silhouette_rows(
                 {
                     "rep": chosen["rep"].to_numpy(),
                     "own": own[rows].astype("int32"),
+                    "weight": chosen["weight"].to_numpy(),
                     **{name: chosen[name].to_numpy() for name in vector_fields},
                     "cell": cells.astype("int32"),
                 }
@@ -145,19 +144,21 @@ def silhouette_rows(
 
     def add_up(queries: pd.DataFrame, data: pd.DataFrame) -> pd.DataFrame:
         if queries.empty or data.empty:
-            return pd.DataFrame({"rep": [], "own": [], "cell": [], "total": []})
+            return pd.DataFrame({"rep": [], "own": [], "weight": [], "cell": [], "total": []})
         return pd.DataFrame(
             {
                 "rep": queries["rep"],
                 "own": queries["own"],
+                "weight": queries["weight"],
                 "cell": queries["cell"],
                 "total": _distance_sums(queries, data, centers.shape[1]),
             }
         )
 
     vector_types = {"v": "v array<double>", "ids": "ids array<int>"}
-    visits = grouped.select("rep", "label", *vector_fields).mapInPandas(
-        choose, f"rep {rep_type}, own int, {', '.join(vector_types[name] for name in vector_fields)}, cell int"
+    visits = grouped.select("rep", "label", "weight", *vector_fields).mapInPandas(
+        choose,
+        f"rep {rep_type}, own int, weight long, {', '.join(vector_types[name] for name in vector_fields)}, cell int",
     )
     lookup = points.sparkSession.createDataFrame(
         [(label, number[label], float(sizes[number[label]])) for label in labels], f"label {label_type}, cell int, n double"
@@ -170,15 +171,15 @@ def silhouette_rows(
             "rep",
             "rep",
             add_up,
-            f"rep {rep_type}, own int, cell int, total double",
+            f"rep {rep_type}, own int, weight long, cell int, total double",
             SPARSE_BLOCK_ROWS if sparse else BLOCK_ROWS,
         )
-        .groupBy("rep", "own", "cell")
+        .groupBy("rep", "own", "weight", "cell")
         .agg(F.sum("total").alias("total"))
         .join(F.broadcast(lookup.select("cell", "n")), "cell")
     )
     inside = F.col("cell") == F.col("own")
-    means_by_row = sums.groupBy("rep", "own").agg(
+    means_by_row = sums.groupBy("rep", "own", "weight").agg(
         F.max(F.when(inside, F.col("total") / F.greatest(F.col("n") - 1, F.lit(1.0)))).alias("a"),
         F.max(F.when(inside, F.col("n"))).alias("size"),
         F.min(F.when(~inside, F.col("total") / F.col("n"))).alias("b"),
@@ -187,6 +188,4 @@ def silhouette_rows(
         (F.col("b") - F.col("a")) / F.greatest("a", "b")
     )
     scored = means_by_row.join(F.broadcast(lookup.select(F.col("cell").alias("own"), "label")), "own")
-    return scored.select("label", "rep", value.alias("silhouette")).join(
-        grouped.select("label", "rep", "weight"), ["label", "rep"]
-    )
+    return scored.select("label", "rep", value.alias("silhouette"), "weight")
