@@ -24,7 +24,7 @@ CANDIDATE_COUNTS = (4, 6, 8, 10)
 # Groups that the agglomerative step merges; bounds its memory and its work.
 MICRO_CLUSTERS = 500
 # Passes of the k-means that forms them; they need not be converged.
-MICRO_PASSES = 20
+MICRO_PASSES = 5
 
 
 @dataclass(frozen=True)

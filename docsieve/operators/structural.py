@@ -23,10 +23,13 @@ def structural_features(
         raise ValueError(f"Unknown structural features: {sorted(unknown)}")
     text = F.coalesce(F.col(text_col), F.lit(""))
     staged = docs.select(id_col, text.alias("_text"))
+    if "compression_ratio" in features:
+        # Before the term lists are made, so only ids and texts pass the Python step.
+        staged = staged.withColumn("_gzip", compression_ratio(F.col("_text")))
     staged = staged.withColumn("_tokens", word_tokens(F.col("_text")))
     staged = staged.withColumn("_counts", count_items(F.col("_tokens")))
     native = structural_columns(F.col("_text"), F.col("_tokens"), F.col("_counts"))
-    native["compression_ratio"] = compression_ratio(F.col("_text"))
+    native["compression_ratio"] = F.col("_gzip")
     return staged.select(id_col, *[native[name].alias(name) for name in features])
 
 
