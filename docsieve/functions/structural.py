@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
 from docsieve.functions import patterns as P
-from docsieve.functions.lists import bind, count_items, longest_run, word_ngrams
+from docsieve.functions.lists import bind, longest_run, word_ngrams
 
 
 def count_matches(text: Column, pattern: str) -> Column:
@@ -98,12 +98,3 @@ def structural_columns(text: Column, tokens: Column, counts: Column) -> dict[str
         "placeholder_token_ratio": _ratio(count_matches(text, P.PLACEHOLDER), token_count),
         "bigram_type_token_ratio": _bigram_variety(tokens),
     }
-
-
-__all__ = [
-    "compression_ratio",
-    "count_items",
-    "count_matches",
-    "structural_columns",
-    "word_tokens",
-]
