@@ -4,9 +4,59 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
+import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 
+PACKAGE = os.path.dirname(os.path.abspath(__file__))
+_shipped: set[str] = set()
+_local_folders: dict[str, str] = {}
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Give the session's Python workers this package, once per application."""
+    application = spark.sparkContext.applicationId
+    if application in _shipped:
+        return
+    archive = os.path.join(tempfile.mkdtemp(prefix="docsieve-package-"), "docsieve.zip")
+    with zipfile.ZipFile(archive, "w") as packed:
+        for folder, _, files in os.walk(PACKAGE):
+            for name in files:
+                if name.endswith(".py"):
+                    path = os.path.join(folder, name)
+                    packed.write(path, os.path.relpath(path, os.path.dirname(PACKAGE)))
+    spark.sparkContext.addPyFile(archive)
+    _shipped.add(application)
+
+
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that the driver and all executors see: ``spark.checkpoint.dir``.
+
+    A local session without the setting gets a temporary folder; any other
+    master must name one, because its executors could not read such a folder.
+    """
+    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    if named:
+        return named.rstrip("/")
+    if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+        raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+    application = spark.sparkContext.applicationId
+    if application not in _local_folders:
+        _local_folders[application] = tempfile.mkdtemp(prefix="docsieve-checkpoint-")
+    return _local_folders[application]
+
+
+def stored(df: DataFrame) -> DataFrame:
+    """Write ``df`` as Parquet to the shared folder and read it back.
+
+    Cuts lineage like a checkpoint, but compressed, prunable and with known
+    size, and survives the loss of any executor.
+    """
+    path = f"{shared_folder(df.sparkSession)}/docsieve-tables/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
 
 def local_session(cores: int = 8, name: str = "docsieve") -> SparkSession:
     """A local session for tests and the benchmark; clusters bring their own."""
@@ -30,15 +80,11 @@ def settle(df: DataFrame) -> DataFrame:
     """Write ``df`` to the reliable checkpoint folder and read it back.
 
     The rows then survive the loss of any executor, and partition numbers and
-    row order inside a partition stay fixed.  The folder is the one the
-    cluster names in ``spark.checkpoint.dir``; only a session that names none
-    (a local test) gets a temporary one.
+    row order inside a partition stay fixed.
     """
-    spark = df.sparkSession
-    context = spark.sparkContext
+    context = df.sparkSession.sparkContext
     if not context._jsc.sc().getCheckpointDir().isDefined():
-        folder = spark.conf.get("spark.checkpoint.dir", None) or context.getConf().get("spark.checkpoint.dir")
-        context.setCheckpointDir(folder or tempfile.mkdtemp(prefix="docsieve-checkpoint-"))
+        context.setCheckpointDir(shared_folder(df.sparkSession))
     return df.checkpoint(eager=True)
 
 
