@@ -115,9 +115,12 @@ def fit_tree(points: DataFrame, dimensions: Sequence[str], weight: str, leaves:
 
 
 def spread_ties(value: Column, *keys: Column) -> Column:
-    """A 31-bit value with 32 bits of a hash below it: rows of equal value can be told apart and cut."""
-    low = F.shiftrightunsigned(F.xxhash64(*keys), 32)
-    return F.shiftleft(value.cast("long"), 32).bitwiseOR(low)
+    """A 28-bit value with 24 bits of a hash below it: rows of equal value can be told apart and cut.
+
+    Quantiles are kept as doubles, which hold such numbers exactly.
+    """
+    low = F.shiftrightunsigned(F.xxhash64(*keys), 40)
+    return F.shiftleft(value.cast("long"), 24).bitwiseOR(low)
 
 
 def kd_shards(
@@ -146,12 +149,12 @@ def kd_shards(
     size = F.coalesce(F.octet_length(F.col(text_col)), F.lit(0)).cast("long") + overhead
     crc = F.crc32(F.coalesce(F.col(text_col), F.lit("")))
     chosen = docs.select(F.col(id_col).alias("id"), size.alias("size"), crc.alias("text_crc32"))
-    length = F.floor(F.log2(F.col("size").cast("double")) * (1 << 24))
+    length = F.floor(F.log2(F.col("size").cast("double")) * (1 << 22))
     points = stored(
         chosen.withColumns(
             {
                 "by_length": spread_ties(length, F.col("text_crc32"), F.col("id")),
-                "by_crc": spread_ties(F.shiftrightunsigned("text_crc32", 1), F.col("text_crc32"), F.col("id")),
+                "by_crc": spread_ties(F.shiftrightunsigned("text_crc32", 4), F.col("text_crc32"), F.col("id")),
                 "order": F.xxhash64("id", "text_crc32"),
             }
         )

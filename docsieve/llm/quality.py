@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
@@ -26,7 +27,10 @@ class QualitySettings:
     """Lengths below which a measure does not count, and the distances above which a document goes.
 
     ``common_words`` of every language make its word histogram, all other words
-    are one more bin.  A language with fewer than ``least_reference`` words, or not
+    are one more bin.  The fewer characters or words a text has, the further its
+    histogram strays by chance: by the root of their number, so ``class_spread``
+    and ``word_spread`` over that root are allowed on top of the distances, and
+    texts under a guard are not measured at all.  A language with fewer than ``least_reference`` words, or not
     among the ``most_languages`` largest, is held against all documents together.
     """
 
@@ -36,9 +40,11 @@ class QualitySettings:
     least_reference: int = 10_000
     most_languages: int = 1_000
     class_guard: int = 200
-    class_distance: float = 0.20
+    class_distance: float = 0.16
+    class_spread: float = 2.0
     word_guard: int = 50
-    word_distance: float = 0.45
+    word_distance: float = 0.17
+    word_spread: float = 3.4
 
 
 @dataclass(frozen=True)
@@ -229,9 +235,11 @@ def judge(text: str | None, lang: str | None, references: dict, settings: Qualit
     by_class = by_word = None
     if n_words and reference is not None:
         by_class, by_word = divergences(text, n_words, reference)
-    far = (by_class is not None and len(text) >= settings.class_guard and by_class > settings.class_distance) or (
-        by_word is not None and n_words >= settings.word_guard and by_word > settings.word_distance
-    )
+    far = False
+    if by_class is not None and len(text) >= settings.class_guard:
+        far = by_class > settings.class_distance + settings.class_spread / math.sqrt(len(text))
+    if by_word is not None and n_words >= settings.word_guard:
+        far = far or by_word > settings.word_distance + settings.word_spread / math.sqrt(n_words)
     return (*measures, by_class, by_word, failed, not failed and not far)
 
 
@@ -243,7 +251,8 @@ def judged(docs: DataFrame, settings: QualitySettings | None = None, *, id_col:
     windows.  The others are kept unless the histogram of their character classes
     or of their language's common words is further than the settings allow from
     that of all documents of the language, by Jensen-Shannon distance; a measure
-    counts only for texts as long as its guard.  Null texts are empty and fail.
+    counts only for texts as long as its guard, and the allowance falls with the
+    root of the length.  Null texts are empty and fail.
     Unknown and null languages are held against all documents.  Rows that repeat
     are returned as often; an empty table gives no rows; other columns are ignored.
     """

@@ -33,14 +33,13 @@ def byte_encoder(ranks_path: str, pattern: str) -> tuple:
     return _encoders[key]
 
 
-def attribute(token_ends, section_ends, rule: str):
+def attribute(starts, token_ends, section_ends, rule: str):
     """The section of every token: an interval join of two sorted lists of spans.
 
     Both lists cover the same bytes from 0 without gaps, so ends name the spans.
     """
     import numpy as np
 
-    starts = np.concatenate(([0], token_ends[:-1]))
     of_first = np.searchsorted(section_ends, starts, side="right")
     of_last = np.searchsorted(section_ends, token_ends - 1, side="right")
     if rule == "first":
@@ -101,9 +100,9 @@ def section_tokens(
                 if len(lines) > 1 and not lines[-1]:
                     ends, chars = ends[:-1], chars[:-1]
                 ids = encoding.encode_to_numpy(text) if text else np.zeros(0, np.int64)
-                token_ends = np.cumsum(lengths[ids])
-                sections = attribute(token_ends, ends, rule)
-                begins = np.concatenate(([0], token_ends[:-1]))
+                token_ends = np.cumsum(lengths[ids], dtype=np.int64)
+                begins = token_ends - lengths[ids]
+                sections = attribute(begins, token_ends, ends, rule)
                 section_starts = np.concatenate(([0], ends[:-1]))
                 crossing = (begins < section_starts[sections]) | (token_ends > ends[sections])
                 rows.append(np.full(len(ends), row))
