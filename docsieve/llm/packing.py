@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+from array import array
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -15,7 +16,9 @@ from docsieve.session import stored
 #: Pieces that one task packs.
 PIECES_PER_GROUP = 50_000
 #: Words and pieces of words whose ids a worker remembers.
-CACHE = 400_000
+CACHE = 600_000
+#: Texts that are looked up together.
+TEXTS = 200
 
 #: Fixed values of the tokenizer's own rules: which chunks can be split here, and where its pre-tokenizer splits them.
 PLAIN = r"[!-~À-ÖØ-öø-ÿ]+"
@@ -45,39 +48,31 @@ class WordTokenizer:
         self.parts: dict[str, bytes] = {}
 
     def _encode(self, texts: list[str]) -> list[bytes]:
-        import numpy as np
-
-        found = self.tokenizer.encode_batch(texts, add_special_tokens=False)
-        return [np.array(e.ids, "<u4").tobytes() for e in found]
+        return [array("I", e.ids).tobytes() for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
 
     def _learn(self, runs: list[str]) -> None:
-        if len(self.runs) > CACHE:
-            self.runs.clear()
         if len(self.parts) > CACHE:
             self.parts.clear()
         cuts = {run: self.cut.findall(run.lower()) for run in runs if self.plain.fullmatch(run) and "<|" not in run}
-        new = list({part for parts in cuts.values() for part in parts if part not in self.parts})
+        new = list(set().union(*cuts.values()).difference(self.parts))
         for start in range(0, len(new), 10_000):
             some = new[start : start + 10_000]
             self.parts.update(zip(some, self._encode(some), strict=True))
         others = [run for run in runs if run not in cuts]
         self.runs.update(zip(others, self._encode(others), strict=True))
+        known = self.parts.__getitem__
         for run, parts in cuts.items():
-            self.runs[run] = b"".join([self.parts[part] for part in parts])
-
-    def ids(self, text: str) -> bytes:
-        """The ids of a text as little-endian unsigned 32-bit numbers."""
-        words = text.split(" ") if "\n" not in text and "\t" not in text else text.replace("\n", " ").replace("\t", " ").split(" ")
-        known = self.runs
-        try:
-            return b"".join([known[word] for word in words])
-        except KeyError:
-            missing = list({word for word in words if word not in known})
-            self._learn(missing)
-            known = self.runs
-            if any(word not in known for word in words):
-                self._learn(list(set(words)))
-            return b"".join([self.runs[word] for word in words])
+            self.runs[run] = b"".join(map(known, parts))
+
+    def ids(self, texts: list[str]) -> Iterator[bytes]:
+        """The ids of each text as unsigned 32-bit numbers."""
+        words = [text.replace("\n", " ").replace("\t", " ").split(" ") for text in texts]
+        if len(self.runs) > CACHE:
+            self.runs.clear()
+        self._learn(list(set().union(*words).difference(self.runs)))
+        known = self.runs.__getitem__
+        for some in words:
+            yield b"".join(map(known, some))
 
 
 _tokenizers: dict[str, WordTokenizer] = {}
@@ -156,16 +151,18 @@ def token_pieces(
         end = end_id.to_bytes(4, "little")
         for batch in batches:
             rows, starts, lengths, crcs, totals = [], [], [], [], []
-            for row, text in enumerate(batch.column(1)):
-                ids = encoder.ids(text.as_py() or "") + end
-                total = len(ids) // 4
-                for start in range(0, total, window):
-                    part = ids[4 * start : 4 * (start + window)]
-                    rows.append(row)
-                    starts.append(start)
-                    lengths.append(len(part) // 4)
-                    crcs.append(zlib.crc32(part))
-                    totals.append(total)
+            for first in range(0, batch.num_rows, TEXTS):
+                texts = [text or "" for text in batch.column(1).slice(first, TEXTS).to_pylist()]
+                for row, ids in enumerate(encoder.ids(texts), first):
+                    ids += end
+                    total = len(ids) // 4
+                    for start in range(0, total, window):
+                        part = ids[4 * start : 4 * (start + window)]
+                        rows.append(row)
+                        starts.append(start)
+                        lengths.append(len(part) // 4)
+                        crcs.append(zlib.crc32(part))
+                        totals.append(total)
             keys = batch.column(0).take(pa.array(rows, pa.int64()))
             numbers = [pa.array(v, pa.int64()) for v in (starts, lengths, crcs, totals)]
             yield pa.RecordBatch.from_arrays([keys.cast(id_type), *numbers], ["id", "start", "length", "ids_crc32", "doc_tokens"])
