@@ -32,13 +32,14 @@ def _assign(nodes: dict[int, Node]) -> Column:
             return F.lit(node.first)
         return F.when(F.col(node.dimension) <= F.lit(node.cut), walk(node.low)).otherwise(walk(node.high))
 
-    return walk(nodes[0])
+    # A tree without cuts names a column, so that joins by part keep a key.
+    return F.col("root") if nodes[0].dimension is None else walk(nodes[0])
 
 
 def fit_tree(points: DataFrame, dimensions: Sequence[str], weight: str, leaves: int, edges: int = 1000) -> Node:
     """Cut the points into ``leaves`` parts of near equal weight.
 
-    ``dimensions`` are long columns.  Every level takes two passes, each an
+    ``dimensions`` are long columns, ``root`` is 0 in every row.  Every level takes two passes, each an
     aggregation over all points: one finds each part's extent per dimension and
     ``edges`` quantiles, the other sums the weights between the quantiles of the
     widest dimension (its extent against that of the whole table).  The part is
@@ -156,6 +157,7 @@ def kd_shards(
                 "by_length": spread_ties(length, F.col("text_crc32"), F.col("id")),
                 "by_crc": spread_ties(F.shiftrightunsigned("text_crc32", 4), F.col("text_crc32"), F.col("id")),
                 "order": F.xxhash64("id", "text_crc32"),
+                "root": F.lit(0),
             }
         )
     )

@@ -13,7 +13,7 @@ import uuid
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from docsieve.session import shared_folder
@@ -22,7 +22,6 @@ from docsieve.session import shared_folder
 DICTIONARY_FRAME = b"\x5d\x2a\x4d\x18"
 SEPARATOR = "\x50\x2a\x4d\x18\x00\x00\x00\x00"
 DICTIONARY_MAGIC = b"\x37\xa4\x30\xec"
-BASE32 = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 RECORD_ID = "urn:docsieve:record:"
 
@@ -32,19 +31,6 @@ RECORD_SCHEMA = (
 )
 
 
-def base32_sha1(payload: Column) -> Column:
-    """The upper-case base32 SHA-1 of a binary or string column."""
-    digest = F.sha1(payload)
-    letters = []
-    for part in range(8):
-        # Five hexadecimal digits are twenty bits, four letters.
-        bits = F.conv(F.substring(digest, 5 * part + 1, 5), 16, 10).cast("int")
-        for shift in (15, 10, 5, 0):
-            place = F.shiftright(bits, shift).bitwiseAND(F.lit(31)) + 1
-            letters.append(F.substr(F.lit(BASE32), place, F.lit(1)))
-    return F.concat(*letters)
-
-
 def with_revisits(pages: DataFrame, least_bytes: int = 0) -> DataFrame:
     """Add ``refers_to``: the largest id with an equal payload, where that is not the row's own.
 
@@ -108,6 +94,8 @@ def train_dictionary(samples: list[bytes], size: int):
 
 def _archive(batches: Iterator[pa.RecordBatch], sample_bytes: int, dictionary_bytes: int, level: int, date: str) -> Iterator[pa.RecordBatch]:
     """One task's rows as one archive; the dictionary is built from its first ``sample_bytes``."""
+    import base64
+
     import zstandard
 
     waiting: list[bytes] | None = [_info(date)]
@@ -129,7 +117,7 @@ def _archive(batches: Iterator[pa.RecordBatch], sample_bytes: int, dictionary_by
         columns = [batch.column(i) for i in range(5)]
         for start in range(0, batch.num_rows, 256):
             rows = zip(*[c.slice(start, 256).to_pylist() for c in columns], strict=True)
-            records = [_record(i, u, p, d, r, date) for i, u, p, d, r in rows]
+            records = [_record(i, u, p, base64.b32encode(bytes.fromhex(d)).decode(), r, date) for i, u, p, d, r in rows]
             empty = False
             if compressor is not None:
                 yield frames(records)
@@ -170,7 +158,7 @@ def write_warc(
     """
     payload = F.coalesce(F.col(payload_col), F.lit("")).cast("binary")
     rows = pages.select(F.col(id_col).cast("long").alias("id"), F.col(url_col).cast("string").alias("url"), payload.alias("payload"))
-    complete = with_revisits(rows.withColumn("digest", base32_sha1(F.col("payload"))), least_bytes)
+    complete = with_revisits(rows.withColumn("digest", F.sha1("payload")), least_bytes)
 
     def archive(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         return _archive(batches, sample_bytes, dictionary_bytes, level, date)
