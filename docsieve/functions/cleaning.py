@@ -21,7 +21,6 @@ class CleaningSettings:
     remove_non_alphanumeric: bool = True
     preserve_structure_markers: bool = False
     use_lemmatization: bool = True
-    use_stemming_fallback: bool = False
     extra_stop_words: frozenset[str] = frozenset()
     stop_words: tuple[str, ...] = P.ENGLISH_STOP_WORDS
 

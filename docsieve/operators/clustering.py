@@ -6,26 +6,31 @@ from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 from pyspark.ml.clustering import KMeans, PowerIterationClustering
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from docsieve.operators.neighbors import affinity_graph
 from docsieve.operators.ranking import global_rank
 from docsieve.operators.silhouette import silhouette
-from docsieve.session import settle, shuffle_width
+from docsieve.session import settle
 
 # Cluster counts tried when none is given.
 CANDIDATE_COUNTS = (4, 6, 8, 10)
 
 # Groups that the agglomerative step merges; bounds its memory and its work.
 MICRO_CLUSTERS = 500
-# Passes of the k-means that forms them; they need not be converged.
+# Passes that form them; they need not be converged.
 MICRO_PASSES = 5
 
+# Rows of one partition in k-means; the number of partitions sets its first draw, so it follows from the table alone.
+ROWS_PER_PARTITION = 100_000
+LEAST_PARTITIONS = 8
+
 
 @dataclass(frozen=True)
 class Clustering:
@@ -37,13 +42,14 @@ class Clustering:
 
 
 def _as_vectors(points: DataFrame, id_col: str, vector_col: str) -> DataFrame:
-    """MLlib vectors in an order that does not depend on how the input was split."""
+    """MLlib vectors in an order that depends neither on how the input was split nor on the session's settings."""
+    partitions = max(LEAST_PARTITIONS, -(-points.count() // ROWS_PER_PARTITION))
     column = F.col(vector_col)
     if isinstance(points.schema[vector_col].dataType, T.ArrayType):
         column = array_to_vector(column.cast("array<double>"))
     return (
         points.select(id_col, column.alias("_v"))
-        .repartition(shuffle_width(points.sparkSession), id_col)
+        .repartition(partitions, id_col)
         .sortWithinPartitions(id_col)
     )
 
@@ -171,12 +177,52 @@ def _cut(merges: list[tuple[int, int]], count: int, k: int) -> list[int]:
     return [names[slot] for slot in owner]
 
 
+def _nearest(centers: np.ndarray) -> Callable[..., Column]:
+    """A column function: the number of the nearest centre, the first of equally near ones."""
+    lengths = (centers**2).sum(axis=1)
+
+    @F.pandas_udf("int")
+    def assign(vectors: pd.Series) -> pd.Series:
+        points = np.stack(vectors.to_numpy()) if len(vectors) else np.zeros((0, centers.shape[1]))
+        return pd.Series((lengths - 2.0 * points @ centers.T).argmin(axis=1), dtype="int32")
+
+    return assign
+
+
+def micro_groups(points: DataFrame, count: int, passes: int, seed: int, id_col: str) -> tuple[DataFrame, list[tuple]]:
+    """``(id, slot)`` and ``(slot, size, sum)`` of at most ``count`` groups of ``(id, features)``.
+
+    The rows with the smallest MD5 of seed and id are the first centres, numbered
+    by id; each pass assigns all rows to the nearest centre and moves the centres
+    to the means.  Where there are no more rows than centres, every distinct row
+    is a group of its own by the same steps.
+    """
+    draw = F.md5(F.concat_ws(":", F.lit(seed), F.col(id_col).cast("string")))
+    first = points.orderBy(draw, id_col).limit(count).orderBy(id_col).collect()
+    if not first:
+        return points.select(id_col, F.lit(0).alias("slot")), []
+    centers = np.array([row["features"] for row in first], dtype="float64")
+    sums: list[tuple] = []
+    for step in range(passes + 1):
+        labelled = points.withColumn("slot", _nearest(centers)(F.col("features")))
+        if step == passes:
+            labelled = settle(labelled)
+        total = vector_to_array(Summarizer.sum(array_to_vector(F.col("features")))).alias("sum")
+        # At most ``count`` rows.
+        found = labelled.groupBy("slot").agg(F.count(F.lit(1)).alias("size"), total).orderBy("slot").collect()
+        sums = [(int(row["slot"]), int(row["size"]), np.array(row["sum"], dtype="float64")) for row in found]
+        if step < passes:
+            for slot, size, moved in sums:
+                centers[slot] = moved / size
+    return labelled.select(id_col, "slot"), sums
+
+
 class Agglomerative:
-    """Ward or average-cosine merging of summarised micro-clusters.
+    """Two-level Ward or average-cosine merging: rows into micro-groups, groups into a tree.
 
-    Up to ``micro`` rows every row is its own group and the result is the exact
-    hierarchy.  Beyond that k-means first forms ``micro`` groups in parallel,
-    and only their sizes and sums are merged (compare BIRCH).  The tree is
+    ``micro_groups`` forms at most ``micro`` groups in parallel, and their sizes
+    and sums are merged (compare BIRCH).  The steps are the same at every size;
+    while each distinct row is a group the tree is the exact hierarchy.  It is
     built once and can be cut at any count.
     """
 
@@ -201,28 +247,11 @@ class Agglomerative:
                     "features", lambda x: x / F.when(F.col("_len") > 0, F.col("_len")).otherwise(F.lit(1.0))
                 ).alias("features"),
             )
-        rows = shaped.count()
-        if rows <= micro:
-            ranked = global_rank(shaped.select(id_col, "features"), [id_col], "_slot", start=0)
-            self.members = settle(ranked.select(id_col, F.col("_slot").cast("int").alias("slot")))
-            grouped = ranked.select(F.col("_slot").alias("slot"), F.lit(1).alias("size"), F.col("features").alias("sum"))
-        else:
-            fitted = kmeans(shaped, micro, seed, id_col, max_iter=MICRO_PASSES)
-            self.members = fitted.labels.select(id_col, F.col("label").alias("slot"))
-            grouped = (
-                shaped.join(self.members, id_col)
-                .groupBy("slot")
-                .agg(
-                    F.count(F.lit(1)).alias("size"),
-                    vector_to_array(Summarizer.sum(array_to_vector(F.col("features")))).alias("sum"),
-                )
-            )
-        # At most ``micro`` summaries.
-        summaries = grouped.orderBy("slot").collect()
-        self.slots = [int(row["slot"]) for row in summaries]
-        sizes = np.array([row["size"] for row in summaries])
-        sums = np.array([row["sum"] for row in summaries], dtype="float64")
-        self.merges = _merge(sizes, sums, linkage) if len(summaries) else []
+        self.members, groups = micro_groups(shaped, micro, MICRO_PASSES, seed, id_col)
+        self.slots = [slot for slot, _, _ in groups]
+        sizes = np.array([size for _, size, _ in groups])
+        sums = np.array([total for _, _, total in groups], dtype="float64")
+        self.merges = _merge(sizes, sums, linkage) if groups else []
 
     def cut(self, k: int) -> Clustering:
         labels = _cut(self.merges, len(self.slots), k)

@@ -41,10 +41,17 @@ def encode_documents(
 def word_vector_mean(
     docs: DataFrame, dimension: int = 64, seed: int = 42, id_col: str = "doc_id", text_col: str = "clustering_text"
 ) -> DataFrame:
-    """``(id, features)``: mean of word vectors trained on the table itself, when no model is at hand."""
+    """``(id, features)``: mean of word vectors trained on the table itself, when no model is at hand.
+
+    Training runs in as many partitions as the table has; texts without words have a zero vector.
+    """
     from pyspark.ml.feature import Word2Vec
     from pyspark.ml.functions import vector_to_array
 
-    words = docs.select(id_col, F.split(F.col(text_col), " ").alias("_words"))
-    model = Word2Vec(vectorSize=dimension, minCount=2, seed=seed, inputCol="_words", outputCol="_v").fit(words)
+    found = F.filter(F.split(F.col(text_col), " "), lambda word: word != "")
+    words = docs.select(id_col, found.alias("_words"))
+    partitions = max(1, words.rdd.getNumPartitions())
+    model = Word2Vec(
+        vectorSize=dimension, minCount=2, seed=seed, numPartitions=partitions, inputCol="_words", outputCol="_v"
+    ).fit(words.where(F.size("_words") > 0))
     return model.transform(words).select(id_col, vector_to_array("_v").alias("features"))

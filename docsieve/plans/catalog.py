@@ -28,7 +28,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 UNIGRAMS = V.VectorizerSettings(model="bow", max_features=20000, min_df=1, max_df=1.0, ngram_range=(1, 1))
 PREVIEW_TERMS = V.VectorizerSettings(model="bow", max_features=20000, min_df=2, max_df=0.95, ngram_range=(1, 1))
-CHARACTER_TERMS = V.VectorizerSettings(model="bow", max_features=3000, max_df=1.0, ngram_range=(3, 5), analyzer="char_wb")
+CHARACTER_TERMS = V.VectorizerSettings(model="bow", max_features=30000, max_df=1.0, ngram_range=(3, 5), analyzer="char_wb")
 LATENT_TERMS = V.VectorizerSettings(
     model="tfidf_lsa_dense", max_features=5000, max_df=1.0, ngram_range=(3, 5), analyzer="char_wb", dense_dimension=32
 )
@@ -359,7 +359,8 @@ def candidate_table(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def top_k_snippets(spark: SparkSession, folder: str) -> DataFrame:
-    ranked = ranking.candidate_table(feature_score(spark, folder, "type_token_ratio"))
+    lowest = feature_score(spark, folder, "type_token_ratio").orderBy("score", "doc_id").limit(10)
+    ranked = ranking.candidate_table(lowest)
     return rounded(top_with_snippets(ranked, documents(spark, folder), 10), "score")
 
 
@@ -625,7 +626,7 @@ def encode_with_model(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def encode_word_vectors(spark: SparkSession, folder: str) -> DataFrame:
-    return word_vector_mean(clustering_texts(spark, folder), 32)
+    return word_vector_mean(clustering_texts(spark, folder))
 
 
 # ---- jobs -----------------------------------------------------------------

@@ -278,7 +278,7 @@ sized AS (SELECT doc_id, p, c, unnest([3, 4, 5]) AS n FROM wd),
 gram AS (SELECT doc_id, c, unnest(list_transform(range(1, greatest(length(p) - n, 0) + 2), lambda i: substring(p, i, n))) AS term
   FROM sized WHERE n = 3 OR n <= length(p)),
 counts AS (SELECT doc_id, term, sum(c) AS tf FROM gram GROUP BY doc_id, term),
-{vocabulary(3000, 1, N)} SELECT * FROM vocab""",
+{vocabulary(30000, 1, N)} SELECT * FROM vocab""",
         "tfidf": f"WITH {TOPIC} SELECT doc_id, term, round(weight, 6) AS weight FROM tfidf",
         "tfidf_transform_new": f"""WITH {VIEWS},{word_counts('views', 'doc_id', 'view', '1,2')},{vocabulary(20000, 1, f'0.92 * {N}')},
 fresh AS (SELECT item_id, {CLUSTER_VIEW} AS view FROM benchmark),{word_counts('fresh', 'item_id', 'view', '1,2', 'fc')},

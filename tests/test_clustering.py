@@ -178,3 +178,23 @@ def test_terms_and_representatives(spark):
     found = clustering.Clustering(labels, 1, [np.array([0.1, 0.7])])
     vocab = spark.createDataFrame([(0, "aa"), (1, "bb")], "term_id long, term string")
     assert evaluation.center_top_terms(spark, found, vocab, 1).first()["term"] == "bb"
+
+
+def test_labels_do_not_depend_on_the_session_width(spark):
+    draw = np.random.default_rng(9)
+    points = frame(spark, draw.normal(size=(300, 6))).persist()
+    found = []
+    for width in ("2", "4", "8"):
+        spark.conf.set("spark.sql.shuffle.partitions", width)
+        found.append(sorted(tuple(r) for r in clustering.kmeans(points, 5, max_iter=20).labels.collect()))
+    spark.conf.set("spark.sql.shuffle.partitions", "4")
+    assert found[0] == found[1] == found[2]
+
+
+def test_agglomerative_takes_the_same_steps_on_both_sides_of_the_bound(spark):
+    draw = np.random.default_rng(3)
+    vectors = np.concatenate([draw.normal(loc=c, scale=0.3, size=(14, 3)) for c in (0.0, 4.0, 8.0)])
+    exact = clustering.Agglomerative(frame(spark, vectors), "ward", micro=42).cut(3).labels
+    summed = clustering.Agglomerative(frame(spark, vectors), "ward", micro=41).cut(3).labels
+    sizes = [sorted(r["count"] for r in labels.groupBy("label").count().collect()) for labels in (exact, summed)]
+    assert sizes == [[14, 14, 14]] * 2
