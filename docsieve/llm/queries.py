@@ -112,4 +112,24 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_html": op10_html,
 }
 
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {
+    "op1_warc": """WITH p AS (SELECT page_id, coalesce(html, '') AS h, sha1(coalesce(html, '')) AS x FROM pages),
+latest AS (SELECT x, max(page_id) AS m FROM p GROUP BY x)
+SELECT page_id, octet_length(encode(h))::BIGINT AS payload_bytes,
+    array_to_string(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+        (((('0x' || substr(x, (5 * (i // 4) + 1)::INT, 5))::BIGINT >> (15 - 5 * (i % 4))) & 31) + 1)::INT, 1)), '') AS payload_digest,
+    CASE WHEN m = page_id THEN 'response' ELSE 'revisit' END AS record_type,
+    CASE WHEN m <> page_id THEN m END AS refers_to
+FROM p JOIN latest USING (x)""",
+    "op4_line_dedup": """WITH d AS (SELECT doc_id, text, string_split(text, chr(10)) AS ls FROM documents),
+lines AS (SELECT doc_id, unnest(ls) AS l, unnest(range(len(ls))) AS line_no FROM d),
+filled AS (SELECT doc_id, line_no, trim(l, ' ') AS t FROM lines WHERE trim(l, ' ') <> ''),
+runs AS (SELECT doc_id, line_no AS low, lead(line_no, 2) OVER o AS high, t || chr(10) || lead(t) OVER o || chr(10) || lead(t, 2) OVER o AS run
+    FROM filled WINDOW o AS (PARTITION BY doc_id ORDER BY line_no)),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY run ORDER BY doc_id, low) AS n FROM runs WHERE high IS NOT NULL),
+gone AS (SELECT DISTINCT doc_id, unnest(range(low, high + 1)) AS line_no FROM ranked WHERE n > 1),
+kept AS (SELECT doc_id, string_agg(l, chr(10) ORDER BY line_no) AS left_text FROM lines ANTI JOIN gone USING (doc_id, line_no) GROUP BY doc_id),
+counts AS (SELECT doc_id, count(*) AS c FROM gone GROUP BY doc_id)
+SELECT doc_id, CASE WHEN c IS NULL THEN text ELSE coalesce(left_text, '') END AS text, coalesce(c, 0)::BIGINT AS removed_lines
+FROM d LEFT JOIN kept USING (doc_id) LEFT JOIN counts USING (doc_id)""",
+}
