@@ -12,7 +12,7 @@ from docsieve.functions.patterns import STRUCTURAL_FEATURES
 from docsieve.operators.forest import isolation_forest, sparse_isolation_forest
 from docsieve.operators.lsa import fit_projection, project
 from docsieve.operators.neighbors import knn_scores, lof_scores
-from docsieve.operators.ranking import global_rank, quantile, rank_normalized
+from docsieve.operators.ranking import order_statistic, quantile, rank_normalized
 from docsieve.operators.structural import feature_vector, structural_features
 from docsieve.operators.vectorize import (
     VectorizerSettings,
@@ -47,11 +47,10 @@ def distance_mask(scores: DataFrame, share: float) -> DataFrame:
     return distances.withColumn("is_anomaly", F.col("_distance") >= F.lit(limit)).drop("_distance")
 
 
-def threshold_score(scores: DataFrame, share: float = 0.025, id_col: str = "doc_id") -> DataFrame:
-    """One row ``(threshold)``: the score at position ``floor(n * share)`` in ascending order."""
-    position = int(scores.count() * share)
-    ranked = global_rank(scores.select(id_col, "score"), ["score", id_col], "_rank", start=0)
-    return ranked.where(F.col("_rank") == position).select(F.col("score").alias("threshold"))
+def threshold_score(scores: DataFrame, share: float = 0.025) -> DataFrame:
+    """One row ``(threshold)``: the score at position ``floor(n * share)`` in ascending order; none beyond the last."""
+    value = order_statistic(scores, "score", share)
+    return scores.sparkSession.createDataFrame([] if value is None else [(value,)], "threshold double")
 
 
 def rank_average(tables: Sequence[DataFrame], id_col: str = "doc_id") -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -49,12 +49,24 @@ def global_rank(df: DataFrame, order: Sequence[str | Column], rank_col: str, sta
 
 
 def exact_quantiles(df: DataFrame, columns: Sequence[str], probabilities: Sequence[float]) -> dict[str, list[float | None]]:
-    """Linearly interpolated quantiles of several columns, exact at any size.
+    """Linearly interpolated quantiles of several columns, exact at any size."""
+    return _exact_values(df, columns, probabilities, lambda p, n: p * (n - 1))
 
-    One pass brackets every wanted order statistic with a quantile sketch; a
-    second pass counts the rows below each bracket and groups the equal values
-    inside it.  Only those few distinct values are then put in order, so no
-    task holds a column.
+
+def order_statistic(df: DataFrame, column: str, share: float) -> float | None:
+    """The value at position ``floor(n * share)`` from 0 in ascending order, None beyond the last; nulls do not count."""
+    return _exact_values(df, [column], [share], lambda p, n: float(int(n * p)))[column][0]
+
+
+def _exact_values(
+    df: DataFrame, columns: Sequence[str], probabilities: Sequence[float], position: Callable[[float, int], float]
+) -> dict[str, list[float | None]]:
+    """Values at the positions that ``position`` gives for each probability and number of rows.
+
+    A position may differ by one from the quantile's.  One pass brackets every
+    wanted order statistic with a quantile sketch; a second pass counts the rows
+    below each bracket and groups the equal values inside it.  Only those few
+    distinct values are then put in order, so no task holds a column.
     """
     probabilities = list(probabilities)
     slack = 2.0 / SKETCH_ACCURACY
@@ -81,7 +93,7 @@ def exact_quantiles(df: DataFrame, columns: Sequence[str], probabilities: Sequen
                 steps = 4.0 / n
                 below = sketch[f"min_{i}"] if p - steps <= 0 else below
                 above = sketch[f"max_{i}"] if p + steps >= 1 else above
-            brackets.append((i, j, p * (n - 1), below, above))
+            brackets.append((i, j, position(p, n), below, above))
     result: dict[str, list[float | None]] = {c: [None] * len(probabilities) for c in columns}
     found = _resolve(df, columns, brackets)
     missed = [b for b in brackets if (b[0], b[1]) not in found]

@@ -337,7 +337,8 @@ def ensemble_mask(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def threshold_score(spark: SparkSession, folder: str) -> DataFrame:
-    return rounded(anomaly.threshold_score(feature_score(spark, folder, "bigram_type_token_ratio"), 0.025), "threshold")
+    scores = settle(feature_score(spark, folder, "bigram_type_token_ratio"))
+    return rounded(anomaly.threshold_score(scores, 0.025), "threshold")
 
 
 # ---- rankings -------------------------------------------------------------

@@ -85,6 +85,16 @@ def test_masks(spark):
     assert anomaly.threshold_score(df, 0.025).first()["threshold"] == 2.0
 
 
+def test_threshold_score_is_an_order_statistic(spark):
+    for n in (1, 2, 7, 101, 30000):
+        # Rising values with ties, in scattered order.
+        df = spark.range(n).select(F.col("id").alias("doc_id"), F.floor(F.col("id") * 7919 % n / 3).cast("double").alias("score"))
+        ordered = sorted(float(i * 7919 % n // 3) for i in range(n))
+        for share in (0.0, 0.025, 0.5, 0.999):
+            assert anomaly.threshold_score(df, share).first()["threshold"] == ordered[int(n * share)]
+        assert anomaly.threshold_score(df, 1.0).count() == 0
+
+
 def test_rank_average(spark):
     a = spark.createDataFrame([("x", 1.0), ("y", 2.0), ("z", 3.0)], "doc_id string, score double")
     b = spark.createDataFrame([("x", 9.0), ("y", 1.0), ("z", 5.0)], "doc_id string, score double")
