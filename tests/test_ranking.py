@@ -26,22 +26,22 @@ def test_candidates_and_snippets(spark):
     table = ranking.candidate_table(scores, mask_col="is_anomaly")
     assert table.where("anomaly_rank = 1").first()["doc_id"] == "DOC_002"
     docs = spark.createDataFrame(
-        [("DOC_001", "normal vehicle maintenance log"), ("DOC_002", "buy now ###\nbroken html <div>")],
+        [("DOC_001", "notes on pruning an orchard"), ("DOC_002", "win $$$\ncut off <table>")],
         "doc_id string, text string",
     )
     rows = top_with_snippets(table, docs, 2).orderBy("anomaly_rank").collect()
     assert [r["doc_id"] for r in rows] == ["DOC_002", "DOC_003"]
-    assert rows[0]["snippet"] == "buy now ### broken html <div>" and rows[1]["snippet"] == ""
+    assert rows[0]["snippet"] == "win $$$ cut off <table>" and rows[1]["snippet"] == ""
 
 
 def test_attach_text(spark):
     table = spark.createDataFrame([("DOC_002", -0.5), ("DOC_009", -0.2)], "doc_id string, score double")
     docs = spark.createDataFrame(
-        [("DOC_002", "first", 0), ("DOC_002", "outlier line", 1), ("DOC_001", "x", 2)],
+        [("DOC_002", "first", 0), ("DOC_002", "last of two", 1), ("DOC_001", "x", 2)],
         "doc_id string, text string, row_seq long",
     )
     got = {r["doc_id"]: r["text"] for r in attach_text(table, docs).collect()}
-    assert got == {"DOC_002": "outlier line", "DOC_009": ""}
+    assert got == {"DOC_002": "last of two", "DOC_009": ""}
     with pytest.raises(KeyError):
         attach_text(table.drop("doc_id"), docs)
 

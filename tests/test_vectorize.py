@@ -50,18 +50,18 @@ def test_one_letter_tokens_are_dropped(spark):
 
 
 def test_tfidf_values(spark):
-    texts = ["engine failure", "engine alert engine"]
+    texts = ["harbour storm", "harbour calm harbour"]
     settings = V.VectorizerSettings(max_df=1.0, ngram_range=(1, 1))
     model, table = V.fit_transform(docs_of(spark, texts), settings)
-    idf = {"engine": 1.0, "failure": math.log(3 / 2) + 1, "alert": math.log(3 / 2) + 1}
-    raw = [{"engine": 1.0, "failure": idf["failure"]}, {"engine": 1 + math.log(2), "alert": idf["alert"]}]
+    idf = {"harbour": 1.0, "storm": math.log(3 / 2) + 1, "calm": math.log(3 / 2) + 1}
+    raw = [{"harbour": 1.0, "storm": idf["storm"]}, {"harbour": 1 + math.log(2), "calm": idf["calm"]}]
     want = {}
     for i, row in enumerate(raw):
         length = math.sqrt(sum(v * v for v in row.values()))
         want.update({(i, t): v / length for t, v in row.items()})
     assert weights_of(table) == pytest.approx(want)
     assert weights_of(model.transform(docs_of(spark, texts))) == pytest.approx(want)
-    assert [r["term"] for r in model.feature_names().collect()] == ["alert", "engine", "failure"]
+    assert [r["term"] for r in model.feature_names().collect()] == ["calm", "harbour", "storm"]
 
 
 def test_bounds_and_cap(spark):
@@ -81,10 +81,10 @@ def test_bounds_and_cap(spark):
 
 def test_bow_and_names(spark):
     model, table = V.fit_transform(
-        docs_of(spark, ["pump issue", "pump failure"]), V.VectorizerSettings(model="bow", max_df=1.0)
+        docs_of(spark, ["valve leak", "valve noise"]), V.VectorizerSettings(model="bow", max_df=1.0)
     )
-    assert {(r["doc_id"], r["term"]): r["tf"] for r in table.collect()}[(0, "pump")] == 1
-    assert "pump" in {r["term"] for r in model.feature_names().collect()}
+    assert {(r["doc_id"], r["term"]): r["tf"] for r in table.collect()}[(0, "valve")] == 1
+    assert "valve" in {r["term"] for r in model.feature_names().collect()}
 
 
 def test_alias_and_unknown_model():
@@ -96,13 +96,13 @@ def test_alias_and_unknown_model():
 
 
 def test_dense_model(spark):
-    texts = ["aircraft engine inspection", "medical symptom report", "car gearbox vibration"]
+    texts = ["orchard apple harvest", "violin string concert", "glacier ice survey"]
     settings = V.VectorizerSettings(model="tfidf_svd_dense", max_df=1.0, dense_dimension=4)
     model, table = V.fit_transform(docs_of(spark, texts), settings)
     rows = table.collect()
     assert len(rows) == 3 and all(len(r["features"]) <= 4 for r in rows)
     assert model.feature_names().count() == 0
-    fresh = model.transform(docs_of(spark, ["engine engine", "unseen words"])).orderBy("doc_id").collect()
+    fresh = model.transform(docs_of(spark, ["violin violin", "unseen words"])).orderBy("doc_id").collect()
     assert np.abs(fresh[0]["features"]).sum() > 0 and np.abs(fresh[1]["features"]).sum() == 0
 
 
