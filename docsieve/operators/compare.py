@@ -120,8 +120,9 @@ def set_cosine_spread(points: DataFrame, vector_col: str = "features", digits: i
 
 
 def random_baseline(docs: DataFrame, rows: int = 50, seed: int = 42, id_col: str = "doc_id") -> DataFrame:
-    """A fixed-size sample by hashed id; the same whatever the partitioning."""
-    return docs.select(id_col).orderBy(F.xxhash64(F.col(id_col), F.lit(seed)), id_col).limit(rows)
+    """A fixed-size sample, the smallest MD5 of seed and id; the same whatever the partitioning."""
+    draw = F.md5(F.concat_ws(":", F.lit(seed), F.col(id_col).cast("string")))
+    return docs.select(id_col).orderBy(draw, id_col).limit(rows)
 
 
 def detector_profile(

@@ -7,6 +7,8 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -18,6 +20,8 @@ POWER_PASSES = 5
 # Terms per partial result and partial results added up by one task.
 TERM_BLOCK = 512
 FAN_IN = 16
+# Documents laid out at a time as a dense matrix over the terms they use.
+DENSE_ROWS = 64
 
 
 @dataclass(frozen=True)
@@ -49,6 +53,18 @@ def pack_rows(weights: DataFrame, id_col: str = "doc_id") -> DataFrame:
     )
 
 
+def _dense_blocks(batch: pa.RecordBatch) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """``(terms, matrix)`` of a few documents at a time; documents without terms are zero rows."""
+    for start in range(0, batch.num_rows, DENSE_ROWS):
+        part = batch.slice(start, DENSE_ROWS)
+        ids, values = part.column("ids"), part.column("values")
+        lengths = pc.fill_null(pc.list_value_length(ids), 0).to_numpy(zero_copy_only=False)
+        terms, columns = np.unique(ids.flatten().to_numpy(zero_copy_only=False), return_inverse=True)
+        dense = np.zeros((part.num_rows, len(terms)))
+        dense[np.repeat(np.arange(part.num_rows), lengths), columns] = values.flatten().to_numpy(zero_copy_only=False)
+        yield terms, dense
+
+
 def _gram_product(packed: DataFrame, basis: np.ndarray) -> np.ndarray:
     """``A' A Q`` for the packed rows A and a basis Q.
 
@@ -60,21 +76,21 @@ def _gram_product(packed: DataFrame, basis: np.ndarray) -> np.ndarray:
     shared = spark.sparkContext.broadcast(basis)
     width = basis.shape[1]
 
-    def multiply(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def multiply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         right = shared.value
         total = np.zeros_like(right)
         touched = False
         for batch in batches:
-            for ids, values in zip(batch["ids"], batch["values"], strict=True):
-                rows = right[ids]
-                total[ids] += values[:, None] * (values @ rows)[None, :]
+            for terms, dense in _dense_blocks(batch):
+                total[terms] += dense.T @ (dense @ right[terms])
                 touched = True
         if touched:
             part = TaskContext.get().partitionId()
             for block, start in enumerate(range(0, len(total), TERM_BLOCK)):
                 piece = total[start : start + TERM_BLOCK]
                 if piece.any():
-                    yield pd.DataFrame({"block": [block], "part": [part], "data": [piece.tobytes()]})
+                    columns = [pa.array([block], pa.int32()), pa.array([part], pa.int32()), pa.array([piece.tobytes()], pa.binary())]
+                    yield pa.RecordBatch.from_arrays(columns, ["block", "part", "data"])
 
     def add(pieces: pd.DataFrame) -> pd.DataFrame:
         total = sum(np.frombuffer(data) for data in pieces["data"])
@@ -84,7 +100,7 @@ def _gram_product(packed: DataFrame, basis: np.ndarray) -> np.ndarray:
 
     schema = "block int, part int, data binary"
     parts = packed.rdd.getNumPartitions()
-    pieces = packed.select("ids", "values").mapInPandas(multiply, schema)
+    pieces = packed.select("ids", "values").mapInArrow(multiply, schema)
     while parts > 1:
         pieces = pieces.groupBy("block", F.floor(F.col("part") / FAN_IN).alias("_group")).applyInPandas(add, schema)
         parts = -(-parts // FAN_IN)
@@ -136,13 +152,15 @@ def project(
     width = projection.dimension
     id_type = packed.schema[id_col].dataType.simpleString()
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         components = shared.value
         for batch in batches:
-            vectors = [
-                np.zeros(width) if ids is None or len(ids) == 0 else values @ components[ids]
-                for ids, values in zip(batch["ids"], batch["values"], strict=True)
-            ]
-            yield pd.DataFrame({id_col: batch[id_col], "features": vectors})
-
-    return packed.mapInPandas(run, f"`{id_col}` {id_type}, features array<double>")
+            vectors = np.zeros((batch.num_rows, width))
+            for number, (terms, dense) in enumerate(_dense_blocks(batch)):
+                at = number * DENSE_ROWS
+                vectors[at : at + len(dense)] = dense @ components[terms]
+            ends = np.arange(batch.num_rows + 1, dtype=np.int32) * width
+            lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(vectors.ravel()))
+            yield pa.RecordBatch.from_arrays([batch.column(id_col), lists], [id_col, "features"])
+
+    return packed.select(id_col, "ids", "values").mapInArrow(run, f"`{id_col}` {id_type}, features array<double>")

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from docsieve.operators.blocks import BLOCK_ROWS, block_join, distance_tiles, matrix, slices
+from docsieve.operators.blocks import block_join, distance_tiles, matrix, slices
 from docsieve.session import settle
 
 # Upper bound on the pivots every task holds.
@@ -62,7 +62,7 @@ def _assign(reps: DataFrame, pivots: np.ndarray, k: int, id_type: str) -> DataFr
 def _visits(
     queries: DataFrame, pivots: np.ndarray, radius: np.ndarray, scale: float, id_type: str
 ) -> DataFrame:
-    """The other cells that can still hold a neighbour of each query.
+    """The other cells that can still hold a neighbour of each query, one row per query.
 
     A cell is skipped only if every vector in it must be farther than the bound
     already reached: by the triangle inequality around its pivot, and by the
@@ -82,19 +82,22 @@ def _visits(
             wanted = lower <= batch["bound"].to_numpy()[:, None] + SLACK * scale
             wanted &= radius[None, :] >= 0
             wanted[np.arange(len(batch)), own] = False
-            rows, cells = np.nonzero(wanted)
-            chosen = batch.iloc[rows]
+            counts = wanted.sum(1)
+            chosen = batch[counts > 0]
+            if chosen.empty:
+                continue
+            cells = np.split(np.nonzero(wanted)[1].astype("int32"), np.cumsum(counts[counts > 0])[:-1])
             yield pd.DataFrame(
                 {
                     "rep": chosen["rep"].to_numpy(),
                     "v": chosen["v"].to_numpy(),
                     "bound": chosen["bound"].to_numpy(),
-                    "cell": cells.astype("int32"),
+                    "cells": cells,
                 }
             )
 
     return queries.select("rep", "v", "cell", "bound").mapInPandas(
-        run, f"rep {id_type}, v array<double>, bound double, cell int"
+        run, f"rep {id_type}, v array<double>, bound double, cells array<int>"
     )
 
 
@@ -142,11 +145,9 @@ def _nearest_kernel(k: int, scale: float):
     return run
 
 
-def _euclidean_lists(reps: DataFrame, total: int, k: int, id_type: str, cell_rows: int | None) -> DataFrame:
+def _euclidean_lists(reps: DataFrame, total: int, k: int, id_type: str, cell_rows: int) -> DataFrame:
     """``(rep, near)``: the k nearest ``struct(distance, id)`` among the other distinct vectors."""
     schema = f"rep {id_type}, neighbor {id_type}, distance double"
-    if cell_rows is None:
-        cell_rows = CELL_ROWS if total > BLOCK_ROWS else total
     wanted = int(min(MAX_PIVOTS, max(1, total // cell_rows)))
     picked = reps.orderBy(F.xxhash64("rep"), "rep").limit(wanted).select("v").collect()
     pivots = np.array([row["v"] for row in picked], dtype="float64")
@@ -169,7 +170,7 @@ def _euclidean_lists(reps: DataFrame, total: int, k: int, id_type: str, cell_row
         narrowed = assigned.join(tighter, "rep", "left").withColumn(
             "bound", F.when(F.col("_n") >= k, F.least("bound", "_far")).otherwise(F.col("bound"))
         )
-        visits = settle(_visits(narrowed, pivots, radius, scale, id_type))
+        visits = settle(_visits(narrowed, pivots, radius, scale, id_type)).withColumn("cell", F.explode("cells")).drop("cells")
         near = cut(near.unionByName(block_join(visits, data, "rep", "rep", kernel, schema)))
     return near.groupBy("rep").agg(
         F.sort_array(F.collect_list(F.struct("distance", F.col("neighbor").alias("id")))).alias("near")
@@ -182,7 +183,7 @@ def nearest_neighbors(
     metric: str = "euclidean",
     id_col: str = "doc_id",
     vector_col: str = "features",
-    cell_rows: int | None = None,
+    cell_rows: int = CELL_ROWS,
 ) -> DataFrame:
     """``(id, neighbor_id, distance, neighbor_rank)``: the k nearest other rows, ties by id.
 
@@ -191,7 +192,7 @@ def nearest_neighbors(
     the data, so dense regions get more cells; each vector first searches its
     own cell and then only the cells that its distance bound cannot rule out.
     A zero vector has cosine distance 1 to everything.  ``cell_rows`` sets the
-    aimed cell size; tables that fit one piece use a single cell.
+    aimed cell size.
     """
     if metric not in ("euclidean", "cosine"):
         raise ValueError(f"Unsupported metric '{metric}'; use euclidean or cosine.")
@@ -264,22 +265,22 @@ def _zero_rows(zeros: DataFrame, others: DataFrame, zero_ids: list, k: int, id_t
 
 
 def knn_scores(
-    points: DataFrame, k: int = 5, id_col: str = "doc_id", vector_col: str = "features"
+    points: DataFrame, k: int = 5, id_col: str = "doc_id", vector_col: str = "features", cell_rows: int = CELL_ROWS
 ) -> DataFrame:
     """``(id, score)``: minus the mean cosine distance to the k nearest others."""
-    near = nearest_neighbors(points, k, "cosine", id_col, vector_col)
+    near = nearest_neighbors(points, k, "cosine", id_col, vector_col, cell_rows)
     return near.groupBy(id_col).agg((-F.avg("distance")).alias("score"))
 
 
 def lof_scores(
-    points: DataFrame, k: int = 20, id_col: str = "doc_id", vector_col: str = "features"
+    points: DataFrame, k: int = 20, id_col: str = "doc_id", vector_col: str = "features", cell_rows: int = CELL_ROWS
 ) -> DataFrame:
     """``(id, score)``: negative local outlier factor over Euclidean neighbours.
 
     ``k`` is lowered to one less than the number of rows when there are fewer.
     """
     k = max(1, min(k, points.count() - 1))
-    near = settle(nearest_neighbors(points, k, "euclidean", id_col, vector_col))
+    near = settle(nearest_neighbors(points, k, "euclidean", id_col, vector_col, cell_rows))
     reach = near.groupBy(id_col).agg(F.max("distance").alias("k_distance"))
     density = (
         near.join(reach.withColumnRenamed(id_col, "neighbor_id"), "neighbor_id")
@@ -295,7 +296,7 @@ def lof_scores(
 
 
 def affinity_graph(
-    points: DataFrame, k: int = 6, id_col: str = "doc_id", vector_col: str = "features"
+    points: DataFrame, k: int = 6, id_col: str = "doc_id", vector_col: str = "features", cell_rows: int = CELL_ROWS
 ) -> DataFrame:
     """``(src, dst, weight)``: the k-neighbour graph averaged with its reverse, both directions.
 
@@ -304,7 +305,7 @@ def affinity_graph(
     """
     ids = points.select(F.col(id_col).alias("src"), F.col(id_col).alias("dst"))
     edges = (
-        nearest_neighbors(points, k - 1, "euclidean", id_col, vector_col)
+        nearest_neighbors(points, k - 1, "euclidean", id_col, vector_col, cell_rows)
         .select(F.col(id_col).alias("src"), F.col("neighbor_id").alias("dst"))
         .unionByName(ids)
     )

@@ -57,6 +57,7 @@ def silhouette(
     id_col: str = "doc_id",
     vector_col: str = "features",
     metric: str = "euclidean",
+    block_rows: int | None = None,
 ) -> float:
     """Mean silhouette over all rows; rows alone in their cluster count as 0.
 
@@ -66,7 +67,7 @@ def silhouette(
     per-cluster sums and stay linear, so use those for very large tables.
     """
     if metric == "euclidean":
-        rows = silhouette_rows(points, label_col, id_col, vector_col)
+        rows = silhouette_rows(points, label_col, id_col, vector_col, block_rows)
         total = rows.agg(F.sum(F.col("weight") * F.col("silhouette")).alias("s"), F.sum("weight").alias("n")).first()
         return float(total["s"] / total["n"])
     names = {"squared_euclidean": "squaredEuclidean", "cosine": "cosine"}
@@ -80,7 +81,11 @@ def silhouette(
 
 
 def silhouette_rows(
-    points: DataFrame, label_col: str = "label", id_col: str = "doc_id", vector_col: str = "features"
+    points: DataFrame,
+    label_col: str = "label",
+    id_col: str = "doc_id",
+    vector_col: str = "features",
+    block_rows: int | None = None,
 ) -> DataFrame:
     """``(label, rep, silhouette, weight)`` per distinct vector and cluster; weight counts its copies.
 
@@ -88,7 +93,7 @@ def silhouette_rows(
     smallest mean distance.  That mean lies between the distance to the centroid
     and the root mean squared distance, both known from per-cluster sums, so
     clusters that cannot be the nearest are never visited.  What is visited is
-    cut into pieces of bounded size and only sums leave a piece.
+    cut into pieces of about ``block_rows`` rows and only sums leave a piece.
     """
     sparse = not isinstance(points.schema[vector_col].dataType, T.ArrayType)
     parts = {"v": F.col(vector_col).cast("array<double>")} if not sparse else {
@@ -172,7 +177,7 @@ def silhouette_rows(
             "rep",
             add_up,
             f"rep {rep_type}, own int, weight long, cell int, total double",
-            SPARSE_BLOCK_ROWS if sparse else BLOCK_ROWS,
+            block_rows or (SPARSE_BLOCK_ROWS if sparse else BLOCK_ROWS),
         )
         .groupBy("rep", "own", "weight", "cell")
         .agg(F.sum("total").alias("total"))

@@ -11,7 +11,7 @@ from pyspark.sql.window import Window
 
 from docsieve.functions import patterns as P
 from docsieve.functions.lists import char_wb_ngrams, count_items, word_ngrams
-from docsieve.session import settle
+from docsieve.session import settle, stored
 
 # Model names and their aliases.
 MODELS = ("tfidf", "bow", "tfidf_lsa_dense")
@@ -224,10 +224,13 @@ def bow_preview(
 
 
 def sparse_vectors(weights: DataFrame, width: int, id_col: str = "doc_id", docs: DataFrame | None = None) -> DataFrame:
-    """``(id, features)`` as MLlib sparse vectors; documents without terms are zero vectors."""
-    from pyspark.ml.linalg import SparseVector, VectorUDT
+    """``(id, features)`` as MLlib sparse vectors; documents without terms are zero vectors.
+
+    The vectors' stored form is put together in SQL, written once and read back
+    as vectors, so that no Python runs for each row.
+    """
+    from pyspark.ml.linalg import VectorUDT
 
-    build = F.udf(lambda ids, values: SparseVector(width, ids, values), VectorUDT())
     entry = F.sort_array(F.collect_list(F.struct("term_id", "weight")))
     packed = weights.groupBy(id_col).agg(entry.alias("_entries"))
     if docs is not None:
@@ -237,7 +240,11 @@ def sparse_vectors(weights: DataFrame, width: int, id_col: str = "doc_id", docs:
     ]))))
     ids = F.coalesce(F.transform(entries, lambda e: e["term_id"].cast("int")), F.expr("cast(array() as array<int>)"))
     values = F.coalesce(F.transform(entries, lambda e: e["weight"]), F.expr("cast(array() as array<double>)"))
-    return packed.select(id_col, build(ids, values).alias("features"))
+    # Fixed value: 0 marks a sparse vector.
+    kind = F.lit(0).cast("tinyint").alias("type")
+    vector = F.struct(kind, F.lit(width).cast("int").alias("size"), ids.alias("indices"), values.alias("values"))
+    schema = T.StructType([packed.schema[id_col], T.StructField("features", VectorUDT())])
+    return stored(packed.select(id_col, vector.alias("features")), schema)
 
 
 def concat_blocks(*blocks: DataFrame, id_col: str = "doc_id", vector_col: str = "features") -> DataFrame:

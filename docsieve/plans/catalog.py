@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 import numpy as np
+from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -16,10 +19,11 @@ from docsieve.operators.encode import encode_documents, word_vector_mean
 from docsieve.operators.forest import isolation_forest
 from docsieve.operators.lookup import attach_text, top_with_snippets
 from docsieve.operators.lsa import fit_projection, project
-from docsieve.operators.normalize import text_views, view_preview
+from docsieve.operators.normalize import document_tokens, normalize_with_lexicon, text_views, view_preview
 from docsieve.operators.structural import NATIVE_FEATURES, feature_vector, structural_features
 from docsieve.plans.jobs import TOPIC_SETTINGS, CorpusJobs
-from docsieve.session import settle
+from docsieve.session import settle, shared_folder
+from docsieve.sources import articles as article_source
 from docsieve.sources.articles import as_articles, spread
 from docsieve.sources.tables import load_embeddings
 from docsieve.sources.termmatrix import matrix_lines
@@ -29,11 +33,13 @@ Query = Callable[[SparkSession, str], DataFrame]
 UNIGRAMS = V.VectorizerSettings(model="bow", max_features=20000, min_df=1, max_df=1.0, ngram_range=(1, 1))
 PREVIEW_TERMS = V.VectorizerSettings(model="bow", max_features=20000, min_df=2, max_df=0.95, ngram_range=(1, 1))
 CHARACTER_TERMS = V.VectorizerSettings(model="bow", max_features=30000, max_df=1.0, ngram_range=(3, 5), analyzer="char_wb")
-LATENT_TERMS = V.VectorizerSettings(
-    model="tfidf_lsa_dense", max_features=5000, max_df=1.0, ngram_range=(3, 5), analyzer="char_wb", dense_dimension=32
-)
-
-
+# Latent dimensions before Ward and average linkage, cluster counts of the method sweeps.
+WARD_DIMENSION, AVERAGE_DIMENSION = 100, 128
+SWEEP_COUNTS = tuple(range(2, 11))
+# Cluster counts on both sides of the size bound, for the filters that only read the finished rows.
+SIZED_COUNTS = (2, 5)
+# Rows of a cell or piece in the queries that show that the cut changes no result.
+SMALL_PIECE = 16
 
 # ---- inputs ---------------------------------------------------------------
 
@@ -101,6 +107,10 @@ def rounded(df: DataFrame, *names: str, digits: int = 6) -> DataFrame:
 
 
 def load_articles(spark: SparkSession, folder: str) -> DataFrame:
+    return article_source.load_articles(spark, f"{folder}/documents.parquet", "doc_id", "text")
+
+
+def articles(spark: SparkSession, folder: str) -> DataFrame:
     return as_articles(documents(spark, folder))
 
 
@@ -132,6 +142,14 @@ def normalization_preview(spark: SparkSession, folder: str) -> DataFrame:
     return view_preview(documents(spark, folder), 5)
 
 
+def lemma_view(spark: SparkSession, folder: str) -> DataFrame:
+    """The clustering view by a lemma table: every word of a benchmark item becomes its first four letters."""
+    items = document_tokens(table(spark, folder, "benchmark", "item_id"), CLUSTERING_SETTINGS, "item_id")
+    lexicon = items.select("token", F.substring("token", 1, 4).alias("lemma"))
+    found = normalize_with_lexicon(documents(spark, folder), CLUSTERING_SETTINGS, lexicon)
+    return found.select("doc_id", "normalized_text")
+
+
 def corpus_summary(spark: SparkSession, folder: str) -> DataFrame:
     return rounded(stats.corpus_summary(documents(spark, folder)), "average_character_count", "average_word_count")
 
@@ -224,6 +242,10 @@ def vocabulary(spark: SparkSession, folder: str) -> DataFrame:
     return V.vocabulary(counts, docs.count(), TOPIC_SETTINGS)
 
 
+def feature_names(spark: SparkSession, folder: str) -> DataFrame:
+    return V.fit(clustering_texts(spark, folder), TOPIC_SETTINGS, text_col="clustering_text").feature_names()
+
+
 def bag_of_words(spark: SparkSession, folder: str) -> DataFrame:
     docs = clustering_texts(spark, folder)
     counts = V.term_counts(docs, UNIGRAMS, text_col="clustering_text")
@@ -303,6 +325,35 @@ def lof_score(spark: SparkSession, folder: str) -> DataFrame:
     return rounded(neighbors.lof_scores(points(spark, folder), 20), "score")
 
 
+def knn_cosine_cells(spark: SparkSession, folder: str) -> DataFrame:
+    found = neighbors.nearest_neighbors(embeddings(spark, folder), 5, "cosine", "vec_id", cell_rows=SMALL_PIECE)
+    return rounded(found, "distance")
+
+
+def knn_euclidean_cells(spark: SparkSession, folder: str) -> DataFrame:
+    return rounded(neighbors.nearest_neighbors(points(spark, folder), 5, "euclidean", cell_rows=SMALL_PIECE), "distance")
+
+
+def knn_score_cells(spark: SparkSession, folder: str) -> DataFrame:
+    return rounded(neighbors.knn_scores(embeddings(spark, folder), 5, "vec_id", cell_rows=SMALL_PIECE), "score")
+
+
+def lof_score_cells(spark: SparkSession, folder: str) -> DataFrame:
+    return rounded(neighbors.lof_scores(points(spark, folder), 20, cell_rows=SMALL_PIECE), "score")
+
+
+def affinity_graph_cells(spark: SparkSession, folder: str) -> DataFrame:
+    return neighbors.affinity_graph(embeddings(spark, folder), 6, "vec_id", cell_rows=SMALL_PIECE)
+
+
+def lof_detection(spark: SparkSession, folder: str) -> DataFrame:
+    return anomaly.detect_lof(points(spark, folder)).select("doc_id", "is_anomaly")
+
+
+def knn_detection(spark: SparkSession, folder: str) -> DataFrame:
+    return anomaly.detect_knn(embeddings(spark, folder), id_col="vec_id").select("vec_id", "is_anomaly")
+
+
 def affinity_graph(spark: SparkSession, folder: str) -> DataFrame:
     return neighbors.affinity_graph(embeddings(spark, folder), 6, "vec_id")
 
@@ -419,6 +470,11 @@ def silhouette_euclidean(spark: SparkSession, folder: str) -> DataFrame:
     return spark.createDataFrame([(round(value, 6),)], "silhouette double")
 
 
+def silhouette_pieces(spark: SparkSession, folder: str) -> DataFrame:
+    value = silhouette.silhouette(embeddings(spark, folder), "label", "vec_id", block_rows=SMALL_PIECE)
+    return spark.createDataFrame([(round(value, 6),)], "silhouette double")
+
+
 def silhouette_squared(spark: SparkSession, folder: str) -> DataFrame:
     value = silhouette.silhouette(embeddings(spark, folder), "label", "vec_id", metric="squared_euclidean")
     return spark.createDataFrame([(round(value, 6),)], "silhouette double")
@@ -434,7 +490,7 @@ def cluster_sizes(spark: SparkSession, folder: str) -> DataFrame:
     return evaluation.cluster_sizes(embeddings(spark, folder))
 
 
-def label_metrics(spark: SparkSession, folder: str) -> tuple[DataFrame, dict]:
+def label_metrics(spark: SparkSession, folder: str, counts: tuple[int, ...] = SWEEP_COUNTS) -> DataFrame:
     """Metric rows of clusterings derived from the stored label and from the id."""
     stored = settle(embeddings(spark, folder))
 
@@ -445,20 +501,20 @@ def label_metrics(spark: SparkSession, folder: str) -> tuple[DataFrame, dict]:
         return clustering.Clustering(stored.select("vec_id", (F.col("vec_id") % k).cast("int").alias("label")), k)
 
     methods = {"by_id": by_id, "by_label": by_label}
-    rows, labels = evaluation.method_sweep(stored, methods, (2, 5), 260, id_col="vec_id")
-    return settle(rounded(rows, "silhouette_score")), labels
+    rows = evaluation.method_sweep(stored, methods, counts, 260, id_col="vec_id")[0]
+    return settle(rounded(rows, "silhouette_score"))
 
 
 def metric_rows(spark: SparkSession, folder: str) -> DataFrame:
-    return label_metrics(spark, folder)[0]
+    return label_metrics(spark, folder)
 
 
 def size_filter(spark: SparkSession, folder: str) -> DataFrame:
-    return evaluation.size_filter(metric_rows(spark, folder), 240).select("method", "cluster_count", "max_cluster_size")
+    return evaluation.size_filter(label_metrics(spark, folder, SIZED_COUNTS), 240).select("method", "cluster_count", "max_cluster_size")
 
 
 def violating_runs(spark: SparkSession, folder: str) -> DataFrame:
-    return evaluation.violating_runs(metric_rows(spark, folder), 240).select("method", "cluster_count", "max_cluster_size")
+    return evaluation.violating_runs(label_metrics(spark, folder, SIZED_COUNTS), 240).select("method", "cluster_count", "max_cluster_size")
 
 
 def best_per_group(spark: SparkSession, folder: str) -> DataFrame:
@@ -533,27 +589,27 @@ def feature_export(spark: SparkSession, folder: str) -> DataFrame:
     return stats.feature_export(scored, anomaly.detect_forest(vectors), STRUCTURAL_FEATURES)
 
 
-def latent_points(spark: SparkSession, folder: str) -> DataFrame:
-    """Word TF-IDF of the clustering view in 50 latent dimensions."""
+def latent_points(spark: SparkSession, folder: str, dimension: int) -> DataFrame:
+    """Word TF-IDF of the clustering view in the latent space."""
     weights, docs = topic_weights(spark, folder)
     weights = settle(weights)
-    return project(weights, fit_projection(weights, 50), docs=docs)
+    return project(weights, fit_projection(weights, dimension), docs=docs)
 
 
 def lsa(spark: SparkSession, folder: str) -> DataFrame:
-    return latent_points(spark, folder)
+    return latent_points(spark, folder, WARD_DIMENSION)
 
 
 def lsa_detection(spark: SparkSession, folder: str) -> DataFrame:
-    return anomaly.lsa_detection(anomaly_texts(spark, folder), LATENT_TERMS)
+    return anomaly.lsa_detection(anomaly_texts(spark, folder))
 
 
 def lsa_hybrid_detection(spark: SparkSession, folder: str) -> DataFrame:
-    return anomaly.lsa_hybrid_detection(anomaly_texts(spark, folder), LATENT_TERMS)
+    return anomaly.lsa_hybrid_detection(anomaly_texts(spark, folder))
 
 
 def sparse_hybrid_detection(spark: SparkSession, folder: str) -> DataFrame:
-    return anomaly.sparse_hybrid_detection(anomaly_texts(spark, folder), LATENT_TERMS)
+    return anomaly.sparse_hybrid_detection(anomaly_texts(spark, folder))
 
 
 def kmeans(spark: SparkSession, folder: str) -> DataFrame:
@@ -577,38 +633,68 @@ def choose_k(spark: SparkSession, folder: str) -> DataFrame:
     return clustering.cluster_kmeans(embeddings(spark, folder), None, id_col="vec_id").labels
 
 
+def choose_k_tfidf(spark: SparkSession, folder: str) -> DataFrame:
+    weights, docs = topic_weights(spark, folder)
+    vectors = V.sparse_vectors(weights, TOPIC_SETTINGS.max_features, docs=docs)
+    return clustering.cluster_kmeans(vectors, None).labels
+
+
+def label_means(spark: SparkSession, folder: str, linkage: str) -> DataFrame:
+    """The means of the embeddings' labels, merged down to three groups."""
+    mean = vector_to_array(Summarizer.mean(array_to_vector("features")))
+    means = embeddings(spark, folder).groupBy(F.col("label").cast("bigint").alias("topic")).agg(mean.alias("_mean"))
+    exact = means.select("topic", F.transform("_mean", lambda x: F.round(x, 6)).alias("features"))
+    return clustering.Agglomerative(settle(exact), linkage, id_col="topic").cut(3).labels
+
+
+def ward_label_means(spark: SparkSession, folder: str) -> DataFrame:
+    return label_means(spark, folder, "ward")
+
+
+def average_label_means(spark: SparkSession, folder: str) -> DataFrame:
+    return label_means(spark, folder, "average")
+
+
 def ward(spark: SparkSession, folder: str) -> DataFrame:
-    return clustering.cluster_agglomerative(settle(latent_points(spark, folder)), 8).labels
+    return clustering.cluster_agglomerative(settle(latent_points(spark, folder, WARD_DIMENSION)), 8).labels
 
 
 def average_linkage(spark: SparkSession, folder: str) -> DataFrame:
-    return clustering.cluster_agglomerative(settle(latent_points(spark, folder)), 8, linkage="average").labels
+    return clustering.cluster_agglomerative(settle(latent_points(spark, folder, AVERAGE_DIMENSION)), 8, linkage="average").labels
 
 
 def spectral(spark: SparkSession, folder: str) -> DataFrame:
     return clustering.spectral(embeddings(spark, folder), 5, id_col="vec_id").labels
 
 
-def _sweep(base: DataFrame, counts: tuple[int, ...], id_col: str) -> DataFrame:
-    base = settle(base)
-    tree = clustering.Agglomerative(base, "average", id_col=id_col)
+def embedding_sweep(spark: SparkSession, folder: str) -> DataFrame:
+    base = settle(embeddings(spark, folder).select("vec_id", "features"))
+    tree = clustering.Agglomerative(base, "average", id_col="vec_id")
     methods = {
-        "kmeans": lambda k: clustering.kmeans(base, k, id_col=id_col),
+        "kmeans": lambda k: clustering.kmeans(base, k, id_col="vec_id"),
         "agglomerative": tree.cut,
-        "spectral": lambda k: clustering.spectral(base, k, id_col=id_col),
+        "spectral": lambda k: clustering.spectral(base, k, id_col="vec_id"),
     }
-    return evaluation.method_sweep(base, methods, counts, id_col=id_col)[0]
+    return evaluation.method_sweep(base, methods, SWEEP_COUNTS, id_col="vec_id")[0]
+
+
+def topic_sweep(spark: SparkSession, folder: str) -> DataFrame:
+    """K-means on the sparse TF-IDF vectors, Ward on their latent space; both scored where they were fitted."""
+    weights, docs = topic_weights(spark, folder)
+    weights = settle(weights)
+    sparse = V.sparse_vectors(weights, TOPIC_SETTINGS.max_features, docs=docs)
+    latent = settle(project(weights, fit_projection(weights, WARD_DIMENSION), docs=docs))
+    tree = clustering.Agglomerative(latent)
+    by_means = evaluation.method_sweep(sparse, {"kmeans": lambda k: clustering.kmeans(sparse, k)}, SWEEP_COUNTS)[0]
+    return by_means.unionByName(evaluation.method_sweep(latent, {"agglomerative": tree.cut}, SWEEP_COUNTS)[0])
 
 
 def method_sweep(spark: SparkSession, folder: str) -> DataFrame:
-    return _sweep(embeddings(spark, folder).select("vec_id", "features"), (2, 4), "vec_id")
+    return embedding_sweep(spark, folder)
 
 
 def approach_comparison(spark: SparkSession, folder: str) -> DataFrame:
-    tables = {
-        "embeddings": _sweep(embeddings(spark, folder).select("vec_id", "features"), (5,), "vec_id"),
-        "structural": _sweep(anomaly.standardized(points(spark, folder)), (5,), "doc_id"),
-    }
+    tables = {"embeddings": embedding_sweep(spark, folder), "tfidf": topic_sweep(spark, folder)}
     return evaluation.approach_comparison(spark, tables)
 
 
@@ -634,15 +720,32 @@ def encode_word_vectors(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def job_topics(spark: SparkSession, folder: str) -> DataFrame:
-    return CorpusJobs(load_articles(spark, folder), preferred_clusters=8).cluster("kmeans")
+    return CorpusJobs(articles(spark, folder), preferred_clusters=8).cluster("kmeans")
+
+
+def job_topics_embeddings(spark: SparkSession, folder: str) -> DataFrame:
+    """Topics of the documents that have a stored embedding of their number."""
+    stored = embeddings(spark, folder).select(F.col("vec_id").cast("string").alias("doc_id"), "features")
+    return CorpusJobs(articles(spark, folder)).cluster(embeddings=stored)
 
 
 def job_topics_agglomerative(spark: SparkSession, folder: str) -> DataFrame:
-    return CorpusJobs(load_articles(spark, folder), preferred_clusters=8).cluster("agglomerative")
+    return CorpusJobs(articles(spark, folder), preferred_clusters=8).cluster("agglomerative")
 
 
 def job_anomalies(spark: SparkSession, folder: str) -> DataFrame:
-    return CorpusJobs(load_articles(spark, folder)).anomalies()
+    return CorpusJobs(articles(spark, folder)).anomalies()
+
+
+def job_anomalies_ensemble(spark: SparkSession, folder: str) -> DataFrame:
+    return CorpusJobs(articles(spark, folder)).anomalies(use_ensemble=True)
+
+
+def job_bag_of_words(spark: SparkSession, folder: str) -> DataFrame:
+    """The term matrix as the job writes it to the shared folder, read back line by line."""
+    path = f"{shared_folder(spark)}/docsieve-terms/{uuid.uuid4().hex}"
+    CorpusJobs(articles(spark, folder)).export_bag_of_words(path)
+    return spark.read.text(path).select(F.col("value").alias("line"))
 
 
 def flagship(spark: SparkSession, folder: str) -> DataFrame:
@@ -664,15 +767,17 @@ CHECKED = (
     top_k_snippets, attach_texts, side_by_side, overlap_sets, overlap_curve, spearman, detector_profile,
     set_cosine_spread, silhouette_euclidean, silhouette_squared, silhouette_by_cluster, cluster_sizes, metric_rows,
     size_filter, violating_runs, best_per_group, global_best, wide_labels, nearest_to_centroid, cluster_top_terms,
-    cluster_top_terms_no_noise, representative_docs,
+    cluster_top_terms_no_noise, representative_docs, lemma_view, feature_names, knn_cosine_cells, knn_euclidean_cells,
+    knn_score_cells, lof_score_cells, affinity_graph_cells, lof_detection, knn_detection, silhouette_pieces,
+    ward_label_means, average_label_means, random_baseline, job_bag_of_words,
 )
 
 UNCHECKED = (
-    compression_ratio, structural_features_all, structural_precision, random_baseline, isolation_forest_scores,
+    compression_ratio, structural_features_all, structural_precision, isolation_forest_scores,
     structural_detection, ensemble_detection, feature_export, lsa, lsa_detection, lsa_hybrid_detection,
     sparse_hybrid_detection, kmeans, kmeans_embeddings, center_top_terms, choose_k, ward, average_linkage, spectral,
     method_sweep, approach_comparison, encode_with_model, encode_word_vectors, job_topics, job_topics_agglomerative,
-    job_anomalies,
+    job_anomalies, choose_k_tfidf, topic_sweep, job_topics_embeddings, job_anomalies_ensemble,
 )
 
 

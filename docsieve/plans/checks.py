@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from docsieve.functions.cleaning import ANOMALY_SETTINGS, CLUSTERING_SETTINGS, CleaningSettings
 from docsieve.functions.patterns import CONTRACTIONS
 from docsieve.operators.structural import NATIVE_FEATURES
@@ -59,6 +61,7 @@ def view(text: str, settings: CleaningSettings) -> str:
 
 CLUSTER_VIEW = view("text", CLUSTERING_SETTINGS)
 ANOMALY_VIEW = view("text", ANOMALY_SETTINGS)
+PLAIN_VIEW = view("text", replace(CLUSTERING_SETTINGS, use_lemmatization=False))
 
 
 def measures(table: str = "documents", key: str = "doc_id", text: str = "text") -> str:
@@ -174,11 +177,11 @@ ab AS (SELECT i, a AS l, max(CASE WHEN a = b THEN t / n END) AS inside, min(CASE
 sil AS (SELECT i, l, CASE WHEN inside IS NULL THEN 0 ELSE (outside - inside) / greatest(outside, inside) END AS s FROM ab)"""
 
 
-def metric_table() -> str:
+def metric_table(counts: tuple[int, ...]) -> str:
     """CTEs ending in ``metrics(method, cluster_count, silhouette_score, max_cluster_size)``."""
     parts, ctes = [], []
     for method, column in (("by_id", "id"), ("by_label", "label")):
-        for k in (2, 5):
+        for k in counts:
             li = f"i % {k}" if column == "id" else f"li % {k}"
             lj = f"j % {k}" if column == "id" else f"lj % {k}"
             own = f"vec_id % {k}" if column == "id" else f"label % {k}"
@@ -195,6 +198,28 @@ def metric_table() -> str:
     return f"{EMB},{','.join(ctes)},\nmetrics AS ({' UNION ALL '.join(parts)})"
 
 
+def label_merges(linkage: str, rounds: int = 7) -> str:
+    """The label means of the embeddings, the two nearest groups merged in each round."""
+    if linkage == "ward":
+        unit = "v"
+        mean_a, mean_b = ("list_transform({0}.s, lambda x: x / {0}.n)".format(side) for side in "ab")
+        cost = f"a.n * b.n / (a.n + b.n) * list_distance({mean_a}, {mean_b}) ** 2"
+    else:
+        unit = "list_transform(v, lambda x: x / sqrt(list_inner_product(v, v)))"
+        cost = "1 - list_inner_product(a.s, b.s) / (a.n * b.n)"
+    steps = []
+    for r in range(rounds):
+        steps.append(f"""
+near{r} AS (SELECT a.slot AS i, b.slot AS j FROM g{r} a JOIN g{r} b ON a.slot < b.slot ORDER BY {cost}, i, j LIMIT 1),
+g{r + 1} AS (SELECT slot, n, s, topics FROM g{r}, near{r} WHERE slot <> i AND slot <> j UNION ALL
+  SELECT i, a.n + b.n, list_transform(list_zip(a.s, b.s), lambda z: z[1] + z[2]), list_concat(a.topics, b.topics)
+  FROM near{r} JOIN g{r} a ON a.slot = i JOIN g{r} b ON b.slot = j)""")
+    return f"""WITH u AS (SELECT label, unnest(embedding::DOUBLE[]) AS x, unnest(range(len(embedding))) AS p FROM embeddings),
+m AS (SELECT label, list(x ORDER BY p) AS v FROM (SELECT label, p, round(avg(x), 6) AS x FROM u GROUP BY label, p) GROUP BY label),
+g0 AS (SELECT label AS slot, 1::DOUBLE AS n, {unit} AS s, [label::BIGINT] AS topics FROM m),{",".join(steps)}
+SELECT unnest(topics) AS topic, label FROM (SELECT topics, (row_number() OVER (ORDER BY slot) - 1)::INTEGER AS label FROM g{rounds})"""
+
+
 def _snippet(text: str, length: int) -> str:
     return f"replace(substring({text}, 1, {length}), chr(10), ' ')"
 
@@ -202,7 +227,7 @@ def _snippet(text: str, length: int) -> str:
 def sql() -> dict[str, str]:
     f3 = f"""{FEAT}, {score('bigram_type_token_ratio', 's1')}, {score('lexical_entropy', 's2')},
 {score('average_token_length', 's3')}, {ranked('s1', 'r1')}, {ranked('s2', 'r2')}, {ranked('s3', 'r3')}"""
-    metrics = metric_table()
+    metrics, sized = metric_table(tuple(range(2, 11))), metric_table((2, 5))
     describe = ", ".join(
         f"round(quantile_cont(value, {p}), 6) AS {name}"
         for p, name in ((0.05, "p5"), (0.25, "p25"), (0.5, "median"), (0.75, "p75"), (0.95, "p95"))
@@ -279,6 +304,24 @@ gram AS (SELECT doc_id, c, unnest(list_transform(range(1, greatest(length(p) - n
   FROM sized WHERE n = 3 OR n <= length(p)),
 counts AS (SELECT doc_id, term, sum(c) AS tf FROM gram GROUP BY doc_id, term),
 {vocabulary(30000, 1, N)} SELECT * FROM vocab""",
+        "feature_names": f"WITH {VIEWS},{word_counts('views', 'doc_id', 'view', '1,2')},{vocabulary(20000, 1, f'0.92 * {N}')} SELECT term_id, term FROM vocab",
+        "lemma_view": f"""WITH lex AS (SELECT DISTINCT unnest(string_split({PLAIN_VIEW}, ' ')) AS token FROM benchmark),
+tok AS (SELECT doc_id, unnest(ws) AS token, unnest(range(len(ws))) AS place FROM (SELECT doc_id, string_split({PLAIN_VIEW}, ' ') AS ws FROM documents))
+SELECT doc_id, string_agg(CASE WHEN lex.token IS NULL THEN tok.token ELSE substring(tok.token, 1, 4) END, ' ' ORDER BY place) AS normalized_text
+FROM tok LEFT JOIN lex USING (token) GROUP BY doc_id""",
+        "random_baseline": "SELECT doc_id FROM documents ORDER BY md5('42:' || doc_id::VARCHAR), doc_id LIMIT 50",
+        "lof_detection": f"""WITH {FEAT}, {feature_pairs()}, {LOF}
+SELECT doc_id, score < (SELECT quantile_cont(score, 0.02) FROM lof) AS is_anomaly FROM lof""",
+        "knn_detection": f"""WITH {EMB}, {KNN}, s AS (SELECT i AS vec_id, avg(c) AS d FROM knn WHERE r <= 5 GROUP BY i)
+SELECT vec_id, d >= (SELECT quantile_cont(d, 0.98) FROM s) AS is_anomaly FROM s""",
+        "ward_label_means": label_merges("ward"),
+        "average_label_means": label_merges("average"),
+        "job_bag_of_words": f"""WITH {VIEWS},{word_counts('views', 'doc_id', 'view', '1')},{vocabulary(20000, 1, N)},
+rk AS (SELECT term, row_number() OVER (ORDER BY total_tf DESC, term) AS r FROM vocab),
+cell AS (SELECT doc_id, map(list(r), list(tf)) AS m FROM counts JOIN rk USING (term) GROUP BY doc_id)
+SELECT 'doc_id,' || (SELECT string_agg(term, ',' ORDER BY r) FROM rk) AS line
+UNION ALL SELECT d.doc_id::VARCHAR || ',' || array_to_string(list_transform(range(1, (SELECT count(*) FROM rk) + 1),
+  lambda i: coalesce(m[i], 0)), ',') FROM documents d LEFT JOIN cell USING (doc_id)""",
         "tfidf": f"WITH {TOPIC} SELECT doc_id, term, round(weight, 6) AS weight FROM tfidf",
         "tfidf_transform_new": f"""WITH {VIEWS},{word_counts('views', 'doc_id', 'view', '1,2')},{vocabulary(20000, 1, f'0.92 * {N}')},
 fresh AS (SELECT item_id, {CLUSTER_VIEW} AS view FROM benchmark),{word_counts('fresh', 'item_id', 'view', '1,2', 'fc')},
@@ -347,8 +390,8 @@ SELECT round(avg(c), 4) AS mean_internal_cosine_distance FROM pair JOIN r a ON a
         "silhouette_by_cluster": f"WITH {EMB},{silhouette_rows('li', 'lj', 'd')} SELECT l AS label, round(avg(s), 6) AS silhouette FROM sil GROUP BY l",
         "cluster_sizes": "SELECT label, count(*) AS size, max(count(*)) OVER () AS max_size FROM embeddings GROUP BY label",
         "metric_rows": f"WITH {metrics} SELECT *, max_cluster_size < 260 AS size_constraint_ok, NULL::VARCHAR AS error FROM metrics",
-        "size_filter": f"WITH {metrics} SELECT method, cluster_count, max_cluster_size FROM metrics WHERE max_cluster_size < 240 AND silhouette_score IS NOT NULL",
-        "violating_runs": f"WITH {metrics} SELECT method, cluster_count, max_cluster_size FROM metrics WHERE max_cluster_size >= 240",
+        "size_filter": f"WITH {sized} SELECT method, cluster_count, max_cluster_size FROM metrics WHERE max_cluster_size < 240 AND silhouette_score IS NOT NULL",
+        "violating_runs": f"WITH {sized} SELECT method, cluster_count, max_cluster_size FROM metrics WHERE max_cluster_size >= 240",
         "best_per_group": f"""WITH {metrics} SELECT method, cluster_count, silhouette_score FROM metrics
 QUALIFY row_number() OVER (PARTITION BY method ORDER BY silhouette_score DESC, cluster_count) = 1""",
         "global_best": f"""WITH {metrics} SELECT method, cluster_count, silhouette_score FROM metrics WHERE max_cluster_size < 1300
@@ -373,6 +416,10 @@ dd AS (SELECT d.doc_id, d.lang AS label, d.text, 1 - coalesce(x, 0) / l AS c FRO
 SELECT label, row_number() OVER (PARTITION BY label ORDER BY round(c, 12), doc_id)::INTEGER AS representative_rank, doc_id,
 round(c, 6) AS distance_to_centroid, {_snippet('text', 220)} AS snippet FROM dd QUALIFY representative_rank <= 5""",
     }
+    # The same results whatever the size of cells and pieces.
+    for name in ("knn_cosine", "knn_euclidean", "knn_score", "lof_score", "affinity_graph"):
+        result[f"{name}_cells"] = result[name]
+    result["silhouette_pieces"] = result["silhouette_euclidean"]
     for name, table_name, text in (("corpus_summary", "documents", "text"), ("corpus_summary_pages", "pages", "html")):
         result[name] = f"""SELECT count(*) AS document_count, round(avg(length({text})), 6) AS average_character_count,
 round(avg({found(text, WORDS)}), 6) AS average_word_count, count(*) FILTER (regexp_matches({text}, {quote(TAG)})) AS html_like_document_count,

@@ -92,7 +92,8 @@ class CorpusJobs:
         return self._features[name]
 
     def _build_views(self) -> DataFrame:
-        return settle(text_views(self.docs, "text", self.clustering_view, self.anomaly_view))
+        # Not written: a job reads one of the views, once.
+        return text_views(self.docs, "text", self.clustering_view, self.anomaly_view)
 
     def _build_vocabulary(self) -> DataFrame:
         model, weights = fit_transform(self.features("views"), self.settings, text_col="clustering_text")
@@ -114,7 +115,7 @@ class CorpusJobs:
             found = kmeans_embeddings(embeddings, EMBEDDING_CLUSTERS, self.seed)
         elif method == "kmeans":
             width = self.features("vocabulary").count()
-            points = settle(sparse_vectors(self.features("weights"), max(width, 1), docs=self.docs))
+            points = sparse_vectors(self.features("weights"), max(width, 1), docs=self.docs)
             found = cluster_kmeans(
                 points, self.preferred_clusters, seed=self.seed, metric=self.silhouette_metric
             )

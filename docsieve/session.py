@@ -8,6 +8,7 @@ import uuid
 import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 PACKAGE = os.path.dirname(os.path.abspath(__file__))
 _shipped: set[str] = set()
@@ -47,15 +48,16 @@ def shared_folder(spark: SparkSession) -> str:
     return _local_folders[application]
 
 
-def stored(df: DataFrame) -> DataFrame:
+def stored(df: DataFrame, schema: StructType | None = None) -> DataFrame:
     """Write ``df`` as Parquet to the shared folder and read it back.
 
     Cuts lineage like a checkpoint, but compressed, prunable and with known
-    size, and survives the loss of any executor.
+    size, and survives the loss of any executor.  ``schema`` names other types
+    with the same stored form to read the columns as.
     """
     path = f"{shared_folder(df.sparkSession)}/docsieve-tables/{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(schema or df.schema).parquet(path)
 
 
 def local_session(cores: int = 8, name: str = "docsieve") -> SparkSession:
