@@ -183,7 +183,7 @@ def nearest_neighbors(
     metric: str = "euclidean",
     id_col: str = "doc_id",
     vector_col: str = "features",
-    cell_rows: int = CELL_ROWS,
+    cell_rows: int | None = None,
 ) -> DataFrame:
     """``(id, neighbor_id, distance, neighbor_rank)``: the k nearest other rows, ties by id.
 
@@ -192,7 +192,7 @@ def nearest_neighbors(
     the data, so dense regions get more cells; each vector first searches its
     own cell and then only the cells that its distance bound cannot rule out.
     A zero vector has cosine distance 1 to everything.  ``cell_rows`` sets the
-    aimed cell size.
+    aimed cell size, ``CELL_ROWS`` if not given.
     """
     if metric not in ("euclidean", "cosine"):
         raise ValueError(f"Unsupported metric '{metric}'; use euclidean or cosine.")
@@ -218,7 +218,7 @@ def nearest_neighbors(
     distinct = reps.count()
     lists = reps.select("rep", "v", "ids")
     if distinct:
-        near = _euclidean_lists(reps.select("rep", "v", "ids"), distinct, k, id_type, cell_rows)
+        near = _euclidean_lists(reps.select("rep", "v", "ids"), distinct, k, id_type, cell_rows or CELL_ROWS)
         lists = reps.join(near, "rep", "left")
     else:
         lists = reps.withColumn("near", F.lit(None).cast(f"array<struct<distance:double,id:{id_type}>>"))
@@ -265,7 +265,7 @@ def _zero_rows(zeros: DataFrame, others: DataFrame, zero_ids: list, k: int, id_t
 
 
 def knn_scores(
-    points: DataFrame, k: int = 5, id_col: str = "doc_id", vector_col: str = "features", cell_rows: int = CELL_ROWS
+    points: DataFrame, k: int = 5, id_col: str = "doc_id", vector_col: str = "features", cell_rows: int | None = None
 ) -> DataFrame:
     """``(id, score)``: minus the mean cosine distance to the k nearest others."""
     near = nearest_neighbors(points, k, "cosine", id_col, vector_col, cell_rows)
@@ -273,7 +273,7 @@ def knn_scores(
 
 
 def lof_scores(
-    points: DataFrame, k: int = 20, id_col: str = "doc_id", vector_col: str = "features", cell_rows: int = CELL_ROWS
+    points: DataFrame, k: int = 20, id_col: str = "doc_id", vector_col: str = "features", cell_rows: int | None = None
 ) -> DataFrame:
     """``(id, score)``: negative local outlier factor over Euclidean neighbours.
 
@@ -296,7 +296,7 @@ def lof_scores(
 
 
 def affinity_graph(
-    points: DataFrame, k: int = 6, id_col: str = "doc_id", vector_col: str = "features", cell_rows: int = CELL_ROWS
+    points: DataFrame, k: int = 6, id_col: str = "doc_id", vector_col: str = "features", cell_rows: int | None = None
 ) -> DataFrame:
     """``(src, dst, weight)``: the k-neighbour graph averaged with its reverse, both directions.
 

@@ -2,10 +2,11 @@ import numpy as np
 import pytest
 
 from docsieve.functions.patterns import STRUCTURAL_FEATURES
-from docsieve.operators import anomaly, forest
+from docsieve.operators import anomaly, forest, stats
 from docsieve.operators.encode import encode_documents, word_vector_mean
 from docsieve.operators.neighbors import knn_scores, lof_scores
 from docsieve.operators.normalize import text_views
+from docsieve.operators.structural import feature_vector, structural_features
 from docsieve.operators.vectorize import VectorizerSettings
 
 
@@ -115,3 +116,18 @@ def test_encoders(spark):
     assert got == {i: [float(i), float(i)] for i in range(150)}
     vectors = word_vector_mean(corpus(spark), 8).collect()
     assert len(vectors) == 41 and len(vectors[0]["features"]) == 8
+
+
+def test_feature_export_joins_every_measure_with_score_and_mask(spark):
+    rows = [(i, " ".join(f"plank{(i * j) % (3 + i % 5)}" for j in range(4 + i % 7))) for i in range(40)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    scored = structural_features(docs).cache()
+    found = anomaly.detect_forest(feature_vector(scored, STRUCTURAL_FEATURES).select("doc_id", "features"), 0.1)
+    exported = stats.feature_export(scored, found, STRUCTURAL_FEATURES)
+    measures = {r["doc_id"]: r.asDict() for r in scored.collect()}
+    scores = {r["doc_id"]: (r["score"], r["is_anomaly"]) for r in found.collect()}
+    got = exported.collect()
+    assert sorted(r["doc_id"] for r in got) == list(range(40))
+    for row in got:
+        assert all(row[name] == pytest.approx(measures[row["doc_id"]][name]) for name in STRUCTURAL_FEATURES)
+        assert (-row["if_score"], row["is_anomaly"]) == scores[row["doc_id"]]
