@@ -192,8 +192,12 @@ def fit(docs: DataFrame, settings: VectorizerSettings, id_col: str = "doc_id", t
 def fit_transform(
     docs: DataFrame, settings: VectorizerSettings, id_col: str = "doc_id", text_col: str = "text"
 ) -> tuple[FittedVectorizer, DataFrame]:
-    """Fit and transform the same texts; their terms are counted once and kept."""
-    counts = settle(term_counts(docs, settings, id_col, text_col))
+    """Fit and transform the same texts.
+
+    The terms are counted in each pass: a second reading of the texts costs less
+    than writing all their counts, most of which the vocabulary leaves out.
+    """
+    counts = term_counts(docs, settings, id_col, text_col)
     model, table = _fit(counts, docs.count(), settings, id_col)
     if settings.model == "tfidf_lsa_dense":
         from docsieve.operators.lsa import project

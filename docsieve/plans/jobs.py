@@ -27,6 +27,7 @@ from docsieve.operators.vectorize import (
     term_counts,
     term_popularity,
     vocabulary,
+    with_vocabulary,
 )
 from docsieve.session import settle
 from docsieve.sources.cache import load_cache, save_cache
@@ -153,9 +154,9 @@ class CorpusJobs:
             model="bow", max_features=self.settings.max_features, min_df=1, max_df=1.0, ngram_range=(1, 1)
         )
         total = self.docs.count()
-        counts = settle(term_counts(self.features("views"), settings, text_col="clustering_text"))
+        counts = term_counts(self.features("views"), settings, text_col="clustering_text")
         vocab = settle(vocabulary(counts, total, settings))
-        kept = counts.join(vocab.select("term"), "term", "left_semi")
+        kept = settle(with_vocabulary(counts, vocab.select("term"), settings))
         ranking = settle(term_popularity(kept))
         write_term_matrix(self.docs, kept, ranking, path)
         return self.docs.sparkSession.createDataFrame(
