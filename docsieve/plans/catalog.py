@@ -777,7 +777,7 @@ UNCHECKED = (
     structural_detection, ensemble_detection, feature_export, lsa, lsa_detection, lsa_hybrid_detection,
     sparse_hybrid_detection, kmeans, kmeans_embeddings, center_top_terms, choose_k, ward, average_linkage, spectral,
     method_sweep, approach_comparison, encode_with_model, encode_word_vectors, job_topics, job_topics_agglomerative,
-    job_anomalies, choose_k_tfidf, topic_sweep, job_topics_embeddings, job_anomalies_ensemble,
+    job_anomalies, choose_k_tfidf, job_topics_embeddings, job_anomalies_ensemble,
 )
 
 
