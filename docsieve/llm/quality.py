@@ -8,7 +8,7 @@ from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from docsieve.session import stored
@@ -20,6 +20,8 @@ SYMBOLS = "#*$%&|<>"
 STOPS = ".,;:!?'\"()-"
 #: Words of one task kept apart before they are passed on.
 HELD_WORDS = 200_000
+#: References that a task keeps unpacked.
+HELD_REFERENCES = 1_000
 
 
 @dataclass(frozen=True)
@@ -28,17 +30,15 @@ class QualitySettings:
 
     ``common_words`` of every language make its word histogram, all other words
     are one more bin.  The fewer characters or words a text has, the further its
-    histogram strays by chance: by the root of their number, so ``class_spread``
-    and ``word_spread`` over that root are allowed on top of the distances, and
-    texts under a guard are not measured at all.  A language with fewer than ``least_reference`` words, or not
-    among the ``most_languages`` largest, is held against all documents together.
+    histogram strays by chance, and so does the reference of a small language: by
+    the root of one over the text's number plus one over the reference's, so that
+    many ``class_spread`` and ``word_spread`` are allowed on top of the distances,
+    and texts under a guard are not measured at all.
     """
 
     least_words: int = 50
     most_repeat_percent: int = 50
     common_words: int = 100
-    least_reference: int = 10_000
-    most_languages: int = 1_000
     class_guard: int = 200
     class_distance: float = 0.16
     class_spread: float = 2.0
@@ -49,11 +49,13 @@ class QualitySettings:
 
 @dataclass(frozen=True)
 class Reference:
-    """A language's histograms, both adding up to 1."""
+    """A language's histograms, both adding up to 1, and what they were counted from."""
 
     words: dict[str, int]
     word_shares: list[float]
     class_shares: list[float] = field(default_factory=list)
+    n_words: int = 0
+    n_chars: int = 0
 
 
 def _class_table():
@@ -166,41 +168,117 @@ def language_counts(docs: DataFrame, *, text_col: str = "text", lang_col: str =
     return named.groupBy("lang", "kind", "name").agg(F.sum("n").alias("n"))
 
 
-def language_references(docs: DataFrame, settings: QualitySettings, *, text_col: str = "text", lang_col: str = "lang") -> dict[str | None, Reference]:
-    """The references of all documents together (key ``"*"``) and of each large language (``"=" + lang``).
+def language_references(docs: DataFrame, settings: QualitySettings, *, text_col: str = "text", lang_col: str = "lang") -> DataFrame:
+    """``(lang, n_words, n_chars, words, word_shares, class_shares)``: the reference of every language with words.
 
-    The driver gets ``common_words`` words and the character classes of at most
-    ``most_languages`` languages.
+    ``words`` are the ``common_words`` most frequent ones; all others share the last
+    of ``word_shares``.  Documents without a language have one together (null).
     """
     counts = stored(language_counts(docs, text_col=text_col, lang_col=lang_col))
     words = counts.where("kind = 'word'")
-    sizes = words.groupBy("lang").agg(F.sum("n").alias("total"))
-    large = sizes.where((F.col("total") >= settings.least_reference) & F.col("lang").isNotNull())
-    large = large.orderBy(F.desc("total"), "lang").limit(settings.most_languages)
-    totals = {row["lang"]: row["total"] for row in large.collect()}
-    everything = counts.groupBy("kind", "name").agg(F.sum("n").alias("n")).withColumn("lang", F.lit("*"))
-    chosen = counts.where(F.col("lang").isin(list(totals))).withColumn("lang", F.concat(F.lit("="), "lang"))
-    both = stored(chosen.unionByName(everything))
     most = Window.partitionBy("lang").orderBy(F.desc("n"), "name")
-    top = both.where("kind = 'word'").withColumn("rank", F.row_number().over(most)).where(F.col("rank") <= settings.common_words)
-    every_word = both.where("kind = 'word'").groupBy("lang").agg(F.sum("n").alias("total")).collect()
-    total = {row["lang"]: row["total"] for row in every_word}
-    listed: dict[str, list[tuple[str, int]]] = {}
-    for row in top.orderBy("lang", "rank").select("lang", "name", "n").collect():
-        listed.setdefault(row["lang"], []).append((row["name"], row["n"]))
-    classes: dict[str, dict[str, int]] = {}
-    for row in both.where("kind = 'class'").collect():
-        classes.setdefault(row["lang"], {})[row["name"]] = row["n"]
-    out = {}
-    for lang, common in listed.items():
-        shares = [n / total[lang] for _, n in common]
-        chars = sum(classes[lang].values())
-        out[lang] = Reference(
-            {word: i for i, (word, _) in enumerate(common)},
-            [*shares, max(0.0, 1 - sum(shares))],
-            [classes[lang].get(name, 0) / chars for name in CLASSES],
-        )
-    return out
+    top = words.withColumn("rank", F.row_number().over(most)).where(F.col("rank") <= settings.common_words)
+    listed = top.groupBy("lang").agg(F.array_sort(F.collect_list(F.struct("rank", "name", "n"))).alias("top"))
+    sizes = words.groupBy("lang").agg(F.sum("n").alias("n_words"))
+    per_class = [F.sum(F.when(F.col("name") == c, F.col("n")).otherwise(0)) / F.sum("n") for c in CLASSES]
+    classes = counts.where("kind = 'class'").groupBy("lang").agg(F.sum("n").alias("n_chars"), F.array(*per_class).alias("class_shares"))
+    for other in (sizes, classes):
+        named = other.withColumnRenamed("lang", "other_lang")
+        listed = listed.join(named, F.col("lang").eqNullSafe(F.col("other_lang"))).drop("other_lang")
+    shares = F.transform("top", lambda w: w["n"] / F.col("n_words"))
+    listed = listed.withColumns({"words": F.col("top")["name"], "shares": shares})
+    rest = F.greatest(F.lit(0.0), 1 - F.aggregate("shares", F.lit(0.0), lambda total, x: total + x))
+    return stored(
+        listed.select("lang", "n_words", "n_chars", "words", F.concat("shares", F.array(rest)).alias("word_shares"), "class_shares")
+    )
+
+
+def named_words(text: str) -> Counter:
+    """How often each word of a text occurs, in lower case and without marks around it."""
+    names: Counter = Counter()
+    for word, n in Counter(text.lower().split()).items():
+        name = word.strip(SYMBOLS + STOPS)
+        if name:
+            names[name] += n
+    return names
+
+
+def nearest_languages(docs: DataFrame, references: DataFrame, *, text_col: str = "text") -> DataFrame:
+    """``(key, near_lang)``: the language whose common words are nearest to each text, by the MD5 of the text.
+
+    The divergence from every language is added up from the words that the text
+    shares with it, so no task needs all languages: a bin that the text lacks adds
+    half its share, and words outside the common ones are one more bin.  Of equally
+    near ones the first by name counts; texts that share no word with any take the
+    language with the largest rest.
+    """
+    text = F.col(f"`{text_col}`")
+    texts = docs.where(text.isNotNull()).select(F.md5(text).alias("key"), text.alias("text")).dropDuplicates(["key"])
+
+    def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for key, value in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                names = named_words(value.as_py())
+                total = sum(names.values())
+                columns = [[key] * len(names), list(names), [n / total for n in names.values()]]
+                kinds = (pa.string(), pa.string(), pa.float64())
+                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], ["key", "name", "p"])
+
+    shares = texts.mapInArrow(spread, "key string, name string, p double")
+    known = references.select("lang", F.element_at("word_shares", -1).alias("rest"), F.explode(F.arrays_zip("words", F.slice("word_shares", F.lit(1), F.size("words")).alias("q"))).alias("w"))
+    known = known.select("lang", "rest", F.col("w.words").alias("name"), F.col("w.q").alias("q"))
+
+    def term(p: Column, q: Column) -> Column:
+        return sum(F.when(x > 0, x * F.log2(2 * x / (p + q))).otherwise(0.0) for x in (p, q)) / 2
+
+    p, q = F.col("p"), F.col("q")
+    added = shares.join(known, "name").groupBy("key", "lang").agg(
+        F.sum(term(p, q)).alias("shared"), F.sum(p).alias("p"), F.sum(q).alias("q"), F.first("rest").alias("rest")
+    )
+    left = F.greatest(F.lit(0.0), 1 - p)
+    far = F.col("shared") + F.greatest(F.lit(0.0), 1 - F.col("rest") - q) / 2 + term(left, F.col("rest"))
+    near = added.groupBy("key").agg(F.min(F.struct(far.alias("far"), "lang"))["lang"].alias("near"))
+    widest = references.agg(F.min(F.struct(-F.element_at("word_shares", -1), "lang"))["lang"].alias("widest"))
+    found = texts.select("key").join(near, "key", "left").crossJoin(F.broadcast(widest))
+    return found.select("key", F.coalesce("near", "widest").alias("near_lang"))
+
+
+def with_references(docs: DataFrame, settings: QualitySettings, *, text_col: str = "text", lang_col: str = "lang") -> DataFrame:
+    """The documents with ``__reference``, the row of ``language_references`` that each is held against.
+
+    That of its language, however small, or where the language is null that of
+    the nearest language; if no document has a language, that of all.
+    """
+    references = language_references(docs, settings, text_col=text_col, lang_col=lang_col)
+    packed = references.select(F.col("lang").alias("__lang"), F.struct(*references.columns).alias("__reference"))
+    lang = F.col(f"`{lang_col}`").cast("string")
+    languages = references.where("lang is not null")
+    if languages.isEmpty():
+        return docs.join(packed, lang.eqNullSafe(F.col("__lang")), "left").drop("__lang")
+    named = docs.where(lang.isNotNull()).join(packed, lang == F.col("__lang"), "left").drop("__lang")
+    unnamed = docs.where(lang.isNull())
+    if unnamed.isEmpty():
+        return named
+    near = nearest_languages(unnamed, languages, text_col=text_col)
+    matched = unnamed.join(near, F.md5(F.col(f"`{text_col}`")) == F.col("key"), "left")
+    return named.unionByName(matched.join(packed, F.col("near_lang") == F.col("__lang"), "left").drop("key", "near_lang", "__lang"))
+
+
+def _references_of(batch: pa.RecordBatch, at: int, seen: dict[str | None, Reference]) -> Iterator[Reference | None]:
+    """The reference of each row; ``seen`` keeps those of the languages met so far."""
+    packed = batch.column(at)
+    langs, valid = packed.field("lang").to_pylist(), packed.is_valid().to_pylist()
+    for i, lang in enumerate(langs):
+        if not valid[i]:
+            yield None
+            continue
+        if lang not in seen:
+            if len(seen) >= HELD_REFERENCES:
+                seen.clear()
+            row = packed[i].as_py()
+            places = {word: place for place, word in enumerate(row["words"])}
+            seen[lang] = Reference(places, row["word_shares"], row["class_shares"], row["n_words"], row["n_chars"])
+        yield seen[lang]
 
 
 def divergences(text: str, n_words: int, reference: Reference) -> tuple[float, float]:
@@ -209,11 +287,9 @@ def divergences(text: str, n_words: int, reference: Reference) -> tuple[float, f
     by_class = distance(counts / counts.sum(), reference.class_shares)
     bins = [0] * len(reference.word_shares)
     place, total = reference.words, 0
-    for word, n in Counter(text.lower().split()).items():
-        name = word.strip(SYMBOLS + STOPS)
-        if name:
-            bins[place.get(name, -1)] += n
-            total += n
+    for name, n in named_words(text).items():
+        bins[place.get(name, -1)] += n
+        total += n
     if not total:
         return by_class, 1.0
     return by_class, distance([n / total for n in bins], reference.word_shares)
@@ -225,21 +301,20 @@ MEASURES = (
 )
 
 
-def judge(text: str | None, lang: str | None, references: dict, settings: QualitySettings) -> tuple:
+def judge(text: str | None, reference: Reference | None, settings: QualitySettings) -> tuple:
     """The values of ``MEASURES`` for one document."""
     text = text or ""
     measures = base_measures(text)
     n_words, repeated = measures[0], measures[4]
     failed = n_words < settings.least_words or 100 * repeated > settings.most_repeat_percent * n_words
-    reference = references.get(f"={lang}") or references.get("*")
     by_class = by_word = None
     if n_words and reference is not None:
         by_class, by_word = divergences(text, n_words, reference)
     far = False
     if by_class is not None and len(text) >= settings.class_guard:
-        far = by_class > settings.class_distance + settings.class_spread / math.sqrt(len(text))
+        far = by_class > settings.class_distance + settings.class_spread * math.sqrt(1 / len(text) + 1 / reference.n_chars)
     if by_word is not None and n_words >= settings.word_guard:
-        far = far or by_word > settings.word_distance + settings.word_spread / math.sqrt(n_words)
+        far = far or by_word > settings.word_distance + settings.word_spread * math.sqrt(1 / n_words + 1 / reference.n_words)
     return (*measures, by_class, by_word, failed, not failed and not far)
 
 
@@ -252,23 +327,24 @@ def judged(docs: DataFrame, settings: QualitySettings | None = None, *, id_col:
     or of their language's common words is further than the settings allow from
     that of all documents of the language, by Jensen-Shannon distance; a measure
     counts only for texts as long as its guard, and the allowance falls with the
-    root of the length.  Null texts are empty and fail.
-    Unknown and null languages are held against all documents.  Rows that repeat
+    root of the length.  Null texts are empty and fail.  Every language has its own
+    reference; null ones are held against the nearest of all languages.  Rows that repeat
     are returned as often; an empty table gives no rows; other columns are ignored.
     """
     settings = settings or QualitySettings()
-    references = language_references(docs, settings, text_col=text_col, lang_col=lang_col)
-    chosen = docs.select(
+    base = docs.select(
         F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").alias("text"), F.col(f"`{lang_col}`").cast("string").alias("lang")
     )
+    chosen = with_references(base, settings)
     names = ["id", *[part.split()[0] for part in MEASURES.split(", ")]]
     kinds = [{"bigint": pa.int64(), "double": pa.float64(), "boolean": pa.bool_()}[part.split()[1]] for part in MEASURES.split(", ")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: dict[str | None, Reference] = {}
         for batch in batches:
             rows = [
-                judge(text.as_py(), lang.as_py(), references, settings)
-                for text, lang in zip(batch.column(1), batch.column(2), strict=True)
+                judge(text.as_py(), reference, settings)
+                for text, reference in zip(batch.column(1), _references_of(batch, 3, seen), strict=True)
             ]
             columns = zip(*rows, strict=True) if rows else [()] * len(kinds)
             yield pa.RecordBatch.from_arrays([batch.column(0), *[pa.array(list(c), k) for c, k in zip(columns, kinds, strict=True)]], names)
@@ -279,15 +355,15 @@ def judged(docs: DataFrame, settings: QualitySettings | None = None, *, id_col:
 def kept_documents(docs: DataFrame, settings: QualitySettings | None = None, *, text_col: str = "text", lang_col: str = "lang") -> DataFrame:
     """The documents that ``judged`` keeps, with all their columns."""
     settings = settings or QualitySettings()
-    references = language_references(docs, settings, text_col=text_col, lang_col=lang_col)
-    at_text, at_lang = docs.columns.index(text_col), docs.columns.index(lang_col)
+    at_text, width, schema = docs.columns.index(text_col), len(docs.columns), docs.schema
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: dict[str | None, Reference] = {}
         for batch in batches:
             keep = [
-                judge(text.as_py(), None if lang.as_py() is None else str(lang.as_py()), references, settings)[-1]
-                for text, lang in zip(batch.column(at_text), batch.column(at_lang), strict=True)
+                judge(text.as_py(), reference, settings)[-1]
+                for text, reference in zip(batch.column(at_text), _references_of(batch, width, seen), strict=True)
             ]
-            yield batch.filter(pa.array(keep, pa.bool_()))
+            yield batch.select(list(range(width))).filter(pa.array(keep, pa.bool_()))
 
-    return docs.mapInArrow(run, docs.schema)
+    return with_references(docs, settings, text_col=text_col, lang_col=lang_col).mapInArrow(run, schema)

@@ -210,3 +210,25 @@ def test_broken_and_empty_pages(spark):
     rows = [(i, None if i == 1 else "u", p, "x") for i, p in enumerate(pages)] + [(0, "u", "<div>" * 5000 + "deep", "x"), (50, "u", "<p>a" * 50_000, "x")]
     found = htmltext.extract_main_text(spark.createDataFrame(rows, "page_id bigint, url string, html string, text string")).collect()
     assert len(found) == len(rows) and all(r["n_chars"] == len(r["text"]) for r in found)
+
+
+def test_small_and_null_languages_keep_clean_texts(spark):
+    draw = random.Random(6)
+
+    def texts(letters, common, n):
+        def word():
+            return draw.choice(common) if draw.random() < 0.5 else "".join(draw.choice(letters) for _ in range(5))
+
+        return [" ".join(word() for _ in range(150)) + "." for _ in range(n)]
+
+    english = texts("abcdefghi", ["the", "of", "and", "to", "in", "is"], 300)
+    small = texts("klmnopqrs", ["el", "los", "y", "por", "una", "con"], 12)
+    rows = [(i, t, "en", "x", "x") for i, t in enumerate(english)] + [(1000 + i, t, "es", "x", "x") for i, t in enumerate(small[:8])]
+    rows += [(2000 + i, t, None, "x", "x") for i, t in enumerate(small[8:] + english[:4])]
+    rows += [(3000, " ".join(f"ZQ{i}X" for i in range(600)), None, "x", "x")]
+    docs = spark.createDataFrame(rows, DOC_SCHEMA)
+    found = {r["id"]: r["kept"] for r in quality.judged(docs).collect()}
+    assert {i for i, kept in found.items() if not kept} == {3000}
+    assert {r["doc_id"] for r in quality.kept_documents(docs).collect()} == set(found) - {3000}
+    near = quality.nearest_languages(docs.where("lang is null"), quality.language_references(docs, quality.QualitySettings()).where("lang is not null"))
+    assert sorted(r["near_lang"] for r in near.collect())[-4:] == ["es"] * 4
