@@ -33,6 +33,7 @@ BESIDE_TAGS = frozenset(
     "head script style noscript template iframe noembed noframes object embed svg canvas audio video map nav aside footer form "
     "button select textarea input label dialog menu title".split()
 )
+NEVER_SHOWN = frozenset("head script style noscript template title".split())
 BESIDE_ROLES = frozenset("navigation banner contentinfo complementary search dialog alert alertdialog menu menubar form".split())
 BESIDE_NAMES = frozenset(
     "ad ads adv advert adverts advertisement advertising advertorial adsense sponsor sponsored promo promotion banner nav navbar navigation "
@@ -170,15 +171,55 @@ def densities(page: Page, kept: list[bool], body: int) -> tuple[list[float], lis
     return density, total
 
 
+def article_root(page: Page, kept: list[bool], path: list[int]) -> int:
+    """The element on a path (from its lowest node up) all of which, but for its beside parts, is the article.
+
+    The outermost article, else the outermost main element; without either the
+    highest node to which no beside part is added: neither an element that was
+    left out, but for those never shown, nor a block most of whose text is links.
+    """
+    for tag in ("article", "main"):
+        found = [node for node in path if page.tags[node] == tag]
+        if found:
+            return found[-1]
+    count = len(page.tags)
+    chars, link_chars, in_link = [0] * count, [0] * count, [False] * count
+    for node in range(1, count):
+        in_link[node] = page.tags[node] == "a" or in_link[page.parents[node]]
+    for node, piece in page.pieces:
+        if piece and kept[node]:
+            size = len("".join(piece.split()))
+            chars[node] += size
+            link_chars[node] += size * in_link[node]
+    on_path, holds = set(path), [False] * count
+    for node in range(count - 1, 0, -1):
+        parent = page.parents[node]
+        chars[parent] += chars[node]
+        link_chars[parent] += link_chars[node]
+        if kept[node]:
+            part = holds[node] or (page.tags[node] in BLOCKS and 2 * link_chars[node] > chars[node])
+        else:
+            part = page.tags[node] not in NEVER_SHOWN
+        if part and node not in on_path:
+            holds[parent] = True
+    root = path[0]
+    for node in path[1:]:
+        if holds[node]:
+            break
+        root = node
+    return root
+
+
 def main_text(source: str | None) -> str:
     """The article of a page, one line per block; empty if there is none.
 
     Parts that their element, role, class or id name as menus, headers, footers,
     sidebars, notices, adverts, forms, comments or scripts are left out first.
     The subtree whose children's densities have the largest sum is the article.
-    The smallest density on its path to the body is the threshold: beside that
-    path, subtrees at least as dense belong to it too, and so do first headings
-    before it.
+    All of the element that ``article_root`` finds around it belongs to it, text
+    between elements too.  The smallest density on the path from there to the
+    body is the threshold: beside that path, subtrees at least as dense belong to
+    it too, and so do first headings before it.
     """
     if not source:
         return ""
@@ -204,6 +245,8 @@ def main_text(source: str | None) -> str:
         node = page.parents[node]
     path.append(body)
     threshold = min(density[node] for node in path)
+    best = article_root(page, kept, path)
+    path = path[path.index(best) :]
     on_path, chosen = set(path), [False] * count
     for node in range(count):
         if not kept[node] or not inside[node]:

@@ -202,6 +202,18 @@ def test_main_text_without_article_elements():
     assert text.split("\n")[0] == "Head line" and "number 4" in text and "More" not in text
 
 
+def test_all_of_an_uneven_article_is_kept():
+    def section(n, name, size):
+        return f"<section><h2>{name}</h2>" + "".join(f"<p>{name}{i} {'x' * size}</p>" for i in range(n)) + "</section>"
+
+    parts = section(8, "long", 300) + "".join(section(3, f"short{k}", 100) for k in range(4))
+    inner = f"loose words <b>in bold</b>{parts}<ul><li>point</li></ul><p>End.</p>"
+    for before, after in (("<article>", "</article>"), ("<main>", "</main>"), ("<div class=menu><a href=x>m</a></div><div>", "</div>")):
+        lines = htmltext.main_text(f"<body><nav>menu</nav>{before}{inner}{after}<footer>foot</footer></body>").split("\n")
+        assert lines[0] == "loose words in bold" and lines[-2:] == ["point", "End."]
+        assert len(lines) == 1 + 9 + 4 * 4 + 2
+
+
 def test_broken_and_empty_pages(spark):
     pages = [None, "", "plain text only", "<p>open <b>never closed", "<!-- only", "<script>x", "<a href='", "&#0; &bogus; &amp", "<nav>menu</nav>"]
     texts = [htmltext.main_text(p) for p in pages]
