@@ -42,6 +42,17 @@ BESIDE_NAMES = frozenset(
     "disqus respond reply replies discussion share sharing social related recommended recommendations pagination pager toolbar masthead "
     "topbar search form skip".split()
 )
+#: Names that are also what an article may be about; inside one, only sparse parts of such a name go.
+AMBIGUOUS_NAMES = frozenset(
+    "promotion notice notices cookie cookies consent gdpr privacy alert subscription discussion reply replies share sharing social related "
+    "recommended recommendations search form foot rail comment comments overlay sponsor sponsored skip banner".split()
+)
+#: Words that only say where or how a part stands, and those that make a name a mark of state: "has-sidebar".
+PLACE_WORDS = frozenset(
+    "wrapper wrap container area list box left right top bottom slot unit bar block section inner outer panel primary secondary main "
+    "mobile desktop sticky fixed links link item items group row column col".split()
+)
+STATE_WORDS = frozenset("has have no not non with without is are hide hidden show enable enabled disable disabled".split())
 TOKEN = re.compile(
     r"<!--.*?(?:--!?>|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>?"
     r"|</(?P<close>[a-zA-Z][^\s/>]*)[^>]*(?:>|\Z)"
@@ -112,18 +123,36 @@ class Page:
         text(source[at:])
 
 
+def head_word(token: str) -> str:
+    """What a class or id token names: its last word but for those of place; empty for marks of state."""
+    if token.lower() in BESIDE_NAMES:
+        return token.lower()
+    parts = [part.lower() for part in NAME_PART.findall(token)]
+    if not parts or parts[0] in STATE_WORDS:
+        return ""
+    while len(parts) > 1 and parts[-1] in PLACE_WORDS:
+        parts.pop()
+    return parts[-1]
+
+
+def beside_names(attrs: str) -> set[str]:
+    """The names of parts beside the article that an element's class and id tokens give."""
+    found = set()
+    for key, a, b, c in ATTRIBUTE.findall(attrs):
+        if key.lower() in ("class", "id"):
+            found.update(head_word(token) for token in html.unescape(a or b or c).split())
+    return found & BESIDE_NAMES
+
+
 def beside(tag: str, attrs: str, in_article: bool) -> bool:
-    """Whether an element is by its name a part beside the article."""
+    """Whether an element is by its kind, role or style a part beside the article."""
     if tag in BESIDE_TAGS or (tag == "header" and not in_article):
         return True
     if not attrs or tag in ("html", "body", "article", "main"):
         return False
     for key, a, b, c in ATTRIBUTE.findall(attrs):
         key, value = key.lower(), a or b or c
-        if key in ("class", "id"):
-            if any(part.lower() in BESIDE_NAMES for part in NAME_PART.findall(html.unescape(value))):
-                return True
-        elif key == "role":
+        if key == "role":
             if value.lower() in BESIDE_ROLES:
                 return True
         elif key == "hidden" or (key == "aria-hidden" and value.lower() == "true"):
@@ -133,6 +162,55 @@ def beside(tag: str, attrs: str, in_article: bool) -> bool:
     return False
 
 
+def drop_named(page: Page, kept: list[bool], in_article: list[bool]) -> None:
+    """Take the parts that class or id names as beside the article out of ``kept``.
+
+    An element stays if it holds every article, main or h1 element of the page, or
+    most of the text outside links of the article around it, or of the page if that
+    has no such element: an advert may be longer than the article.  Inside an article those of ambiguous names
+    stay that have at least half as many such characters per tag as the article.
+    """
+    count = len(page.tags)
+    named = {
+        node: names
+        for node in range(1, count)
+        if kept[node] and page.attrs[node] and page.tags[node] not in ("html", "body", "article", "main")
+        and (names := beside_names(page.attrs[node]))
+    }
+    if not named:
+        return
+    kinds = ("article", "main", "h1")
+    free, tags, in_link = [0] * count, [1] * count, [False] * count
+    holds = {kind: [0] * count for kind in kinds}
+    for node in range(1, count):
+        in_link[node] = page.tags[node] == "a" or in_link[page.parents[node]]
+        if kept[node] and page.tags[node] in kinds:
+            holds[page.tags[node]][node] = 1
+    for node, piece in page.pieces:
+        if piece and kept[node] and not in_link[node]:
+            free[node] += len("".join(piece.split()))
+    for node in range(count - 1, 0, -1):
+        if kept[node]:
+            parent = page.parents[node]
+            free[parent] += free[node]
+            tags[parent] += tags[node]
+            for counts in holds.values():
+                counts[parent] += counts[node]
+    article = [0] * count
+    for node in range(1, count):
+        parent = page.parents[node]
+        article[node] = node if page.tags[node] in ("article", "main") else article[parent]
+        if not kept[parent]:
+            kept[node] = False
+        elif kept[node] and node in named:
+            around = article[node]
+            whole = any(counts[0] and counts[node] == counts[0] for counts in holds.values())
+            if around or not any(counts[0] for counts in holds.values()):
+                whole = whole or 2 * free[node] > free[around]
+            dense = in_article[parent] and 2 * free[node] * tags[around] >= free[around] * tags[node] > 0
+            kept[node] = whole or (dense and named[node] <= AMBIGUOUS_NAMES)
+
+
 def densities(page: Page, kept: list[bool], body: int) -> tuple[list[float], list[float]]:
     """Composite text density of every element, and the sum of its children's.
 
@@ -214,7 +292,8 @@ def main_text(source: str | None) -> str:
     """The article of a page, one line per block; empty if there is none.
 
     Parts that their element, role, class or id name as menus, headers, footers,
-    sidebars, notices, adverts, forms, comments or scripts are left out first.
+    sidebars, notices, adverts, forms, comments or scripts are left out first;
+    class and id tokens count by their head word (see ``drop_named``).
     The subtree whose children's densities have the largest sum is the article.
     All of the element that ``article_root`` finds around it belongs to it, text
     between elements too.  The smallest density on the path from there to the
@@ -230,6 +309,7 @@ def main_text(source: str | None) -> str:
         parent = page.parents[node]
         kept[node] = kept[parent] and not beside(page.tags[node], page.attrs[node], in_article[parent])
         in_article[node] = in_article[parent] or page.tags[node] in ("article", "main")
+    drop_named(page, kept, in_article)
     body = next((node for node in range(count) if page.tags[node] == "body"), 0)
     density, total = densities(page, kept, body)
     inside = [False] * count

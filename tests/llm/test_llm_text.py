@@ -214,6 +214,29 @@ def test_all_of_an_uneven_article_is_kept():
         assert len(lines) == 1 + 9 + 4 * 4 + 2
 
 
+@pytest.mark.parametrize("name", ["content has-sidebar", "no-sidebar", "related-work", "privacy", "with-comments", "page sidebar", "menu"])
+def test_wrappers_of_the_article_are_not_dropped_by_name(name):
+    body = "<h1>Head</h1>" + "".join(f"<p>Paragraph {i} has some ordinary words in it.</p>" for i in range(6))
+    beside = "<div class='sidebar-right'><p>Side words.</p></div><div id=mainNav><p>Some menu</p></div><div class='comment-list'><p>Reader words</p></div>"
+    for key in ("class", "id"):
+        text = htmltext.main_text(f"<body><div {key}='{name}'><article>{body}</article></div>{beside}</body>")
+        assert text.count("Paragraph") == 6 and not re.search("Side|menu|Reader", text)
+
+
+def test_text_under_a_beside_name_is_kept_only_without_an_article_elsewhere():
+    words = "Many words that fill a page and say a lot about it."
+    assert htmltext.main_text(f"<body><div class=widget><p>{words}</p></div><p>Rest.</p></body>").startswith(words)
+    assert htmltext.main_text(f"<body><div class=ad>{words}</div><article><h1>Short.</h1></article></body>") == "Short."
+
+
+def test_parts_of_an_article_named_like_its_subject_are_kept():
+    body = "".join(f"<p>Paragraph {i} has some ordinary words in it.</p>" for i in range(6))
+    inside = "<section class='related-work'><p>Other people wrote about this too.</p></section><p class='privacy'>Their privacy is the subject here.</p>"
+    inside += "<div class='share'><a href=x>One</a> <a href=y>Two</a></div><div class='ad'><p>Buy these things now, they are cheap.</p></div>"
+    text = htmltext.main_text(f"<body><article><h1>Head</h1>{body}{inside}</article></body>")
+    assert "Other people" in text and "Their privacy" in text and "One" not in text and "Buy" not in text
+
+
 def test_broken_and_empty_pages(spark):
     pages = [None, "", "plain text only", "<p>open <b>never closed", "<!-- only", "<script>x", "<a href='", "&#0; &bogus; &amp", "<nav>menu</nav>"]
     texts = [htmltext.main_text(p) for p in pages]
