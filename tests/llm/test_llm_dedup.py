@@ -50,6 +50,14 @@ def test_sketch_likeness_is_that_of_the_paragraphs(spark):
     assert found[102]["fingerprint"] == found[103]["fingerprint"] != found[104]["fingerprint"]
 
 
+def test_one_line_texts_stay_like_their_edited_form(spark):
+    draw = random.Random(9)
+    rows = [(i, " ".join(f"w{draw.randrange(10_000)}" for _ in range(300))) for i in range(30)]
+    found = iblt.compare_with_edits(docs_of(spark, rows)).collect()
+    # Half of the runs stay of each, so about a third of all.
+    assert all(0.15 < r["near_edited"] < 0.5 and r["near_next"] < 0.1 for r in found)
+
+
 def test_next_text_over_many_ranges_ties_and_nulls(spark, monkeypatch):
     monkeypatch.setattr(iblt, "DOCS_PER_RANGE", 5)
     rows = [(i * i % 101, f"t{i}") for i in range(80)] + [(None, "last")]
