@@ -192,13 +192,16 @@ def _nearest(centers: np.ndarray) -> Callable[..., Column]:
 def micro_groups(points: DataFrame, count: int, passes: int, seed: int, id_col: str) -> tuple[DataFrame, list[tuple]]:
     """``(id, slot)`` and ``(slot, size, sum)`` of at most ``count`` groups of ``(id, features)``.
 
-    The rows with the smallest MD5 of seed and id are the first centres, numbered
-    by id; each pass assigns all rows to the nearest centre and moves the centres
-    to the means.  Where there are no more rows than centres, every distinct row
-    is a group of its own by the same steps.
+    Distinct vectors are the first centres, drawn by the MD5 of seed and smallest id
+    with their number of rows as weight and numbered by that id; each pass assigns all rows to the nearest centre and moves the centres
+    to the means.  Where there are no more distinct vectors than centres, each is
+    a group of its own by the same steps.
     """
+    distinct = points.groupBy("features").agg(F.min(id_col).alias(id_col), F.count(F.lit(1)).alias("n"))
     draw = F.md5(F.concat_ws(":", F.lit(seed), F.col(id_col).cast("string")))
-    first = points.orderBy(draw, id_col).limit(count).orderBy(id_col).collect()
+    # Exponential waiting times with the counts as rates; equal counts keep the order of the MD5.
+    share = F.conv(F.substring(draw, 1, 13), 16, 10).cast("double") / float(2**52)
+    first = distinct.orderBy(-F.log1p(-share) / F.col("n"), draw, id_col).limit(count).orderBy(id_col).collect()
     if not first:
         return points.select(id_col, F.lit(0).alias("slot")), []
     centers = np.array([row["features"] for row in first], dtype="float64")

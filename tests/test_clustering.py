@@ -125,6 +125,15 @@ def test_agglomerative_over_micro_clusters(spark):
         clustering.Agglomerative(frame(spark, vectors), "single")
 
 
+def test_agglomerative_is_exact_with_more_rows_than_groups_but_fewer_vectors(spark):
+    distinct = np.random.default_rng(11).normal(size=(12, 3))
+    vectors = np.concatenate([np.repeat(distinct[:1], 30, axis=0), distinct])
+    exact = clustering.Agglomerative(frame(spark, vectors), "ward", micro=len(vectors))
+    capped = clustering.Agglomerative(frame(spark, vectors), "ward", micro=12)
+    assert len(capped.slots) == 12
+    assert same_split(labels_of(capped.cut(4)), labels_of(exact.cut(4)))
+
+
 def test_spectral_covers_every_row(spark):
     vectors, _ = groups(spread=1.5)
     found = clustering.spectral(frame(spark, vectors), 3)
