@@ -8,16 +8,20 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from docsieve.llm.crosstokens import aligned_tokens, scored_links
 from docsieve.llm.htmltext import extract_main_text
 from docsieve.llm.iblt import compare_with_edits
 from docsieve.llm.kdshards import kd_shards
 from docsieve.llm.linededup import drop_repeated_lines
 from docsieve.llm.mixing import mix_sources
+from docsieve.llm.ngramjoin import ngram_groups
 from docsieve.llm.packing import pack_sequences
 from docsieve.llm.quality import judged
 from docsieve.llm.simhash import simhash_groups
+from docsieve.llm.spelling import noisy_words, spelling_variants
 from docsieve.llm.tokencounts import section_tokens
 from docsieve.llm.warc import archive_folder, read_warc, write_warc
+from docsieve.session import stored
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -99,6 +103,27 @@ def op10_html(spark: SparkSession, folder: str) -> DataFrame:
     return extract_main_text(table(spark, folder, "pages")).withColumnRenamed("id", "page_id")
 
 
+def op11_cross_tokens(spark: SparkSession, folder: str) -> DataFrame:
+    """Two tokenizations of every document aligned, with the corpus-wide counts of its links."""
+    pattern = importlib.import_module("public_tokenizers").PATTERN
+    documents = table(spark, folder, "documents")
+    aligned = aligned_tokens(documents, tokenizer_file("byte_bpe_50k.json"), pattern, tokenizer_file("piece_bpe_32k.model"))
+    digest = F.when(F.col("n_a") > 0, F.sha2(F.col("groups").cast("binary"), 256)).otherwise("")
+    scored = scored_links(stored(aligned.withColumn("groups_sha256", digest).drop("groups")))
+    return scored.withColumnRenamed("id", "doc_id")
+
+
+def op12_spelling(spark: SparkSession, folder: str) -> DataFrame:
+    """The words of all documents, slips included, with the words that they are variants of."""
+    return spelling_variants(noisy_words(table(spark, folder, "documents")))
+
+
+def op13_ngram_join(spark: SparkSession, folder: str) -> DataFrame:
+    """Groups of documents whose sets of three-word shingles share 90 % of their union."""
+    groups = ngram_groups(table(spark, folder, "documents"), words=3, percent=90)
+    return groups.select(F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"), "component_id")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_warc": op1_warc,
     "op2_mixing": op2_mixing,
@@ -110,6 +135,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_quality": op8_quality,
     "op9_token_counts": op9_token_counts,
     "op10_html": op10_html,
+    "op11_cross_tokens": op11_cross_tokens,
+    "op12_spelling": op12_spelling,
+    "op13_ngram_join": op13_ngram_join,
 }
 
 SQL: dict[str, str] = {
