@@ -73,10 +73,13 @@ def near_words(words: DataFrame) -> DataFrame:
     word, length = F.col("word"), F.char_length("word")
     heads = _affix_nodes(words, word.substr(F.lit(1), F.col("i")), "heads")
     tails = _affix_nodes(words, word.substr(length - F.col("i") + 1, F.col("i")), "tails")
-    nodes = stored(words.join(heads, "k").join(tails, "k"))
+    root = F.array(F.lit(0).cast("bigint"))
+    placed = words.join(heads, "k", "left").join(tails, "k", "left")
+    # The empty word has the roots only.
+    nodes = stored(placed.withColumns({side: F.coalesce(side, root) for side in ("heads", "tails")}))
 
     def entries(last: Column, tail: Column, first: Column) -> DataFrame:
-        placed = nodes.select("k", "n", "word", "heads", "tails", F.explode(F.sequence(F.lit(0), last)).alias("i"))
+        placed = nodes.where(last >= 0).select("k", "n", "word", "heads", "tails", F.explode(F.sequence(F.lit(0), last)).alias("i"))
         return placed.select(
             F.get("heads", F.col("i")).alias("head"), F.get("tails", tail).alias("tail"), "k", "n", first.alias("first")
         )
@@ -129,7 +132,7 @@ def spelling_variants(words: DataFrame, *, word_col: str = "word", count_col: st
     # Numbers rise with the words, so they break ties.
     numbered = stored(counted.orderBy("word").select(F.monotonically_increasing_id().alias("k"), "word", "n"))
     best = F.max(F.struct(F.col("near_n").alias("n"), (-F.col("near")).alias("last")))
-    linked = near_words(numbered.where("word <> ''")).groupBy("k", "n").agg(F.count("*").alias("n_near"), best.alias("best"))
+    linked = near_words(numbered).groupBy("k", "n").agg(F.count("*").alias("n_near"), best.alias("best"))
     strong = F.col("best.n") >= times * F.col("n")
     forms = stored(
         linked.select("k", "n_near", F.when(strong, -F.col("best.last")).alias("form"), F.when(strong, F.col("best.n")).alias("form_n"))
