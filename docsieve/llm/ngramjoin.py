@@ -13,8 +13,10 @@ from pyspark.sql import functions as F
 from docsieve.llm.common import connected_components
 from docsieve.session import stored
 
-#: N-grams of the documents of one block, and the least that a document counts, which bounds a block's documents to 512 or so.
-BLOCK_GRAMS, LEAST_WEIGHT = 100_000, 200
+#: N-grams of the documents of one block, and the least that a document counts, which bounds a block's documents to 2,000 or so.
+BLOCK_GRAMS, LEAST_WEIGHT = 400_000, 200
+#: Pairs left between blocks that one task multiplies, about.
+PAIRS = 20_000
 #: Columns of the product that are multiplied at a time.
 COLUMNS = 8192
 #: Words of which a worker remembers the hash.
@@ -134,22 +136,29 @@ def _without_lonely(sets: DataFrame, entries: DataFrame, percent: int) -> DataFr
 
 
 def rare_columns(sets: DataFrame, percent: int) -> DataFrame:
-    """``(gram, set, n)``: of every set the rarest n-grams, as many as hold at least one of any overlap that links it.
+    """``(gram, set, n, place)``: of every set the rarest n-grams, as many as hold at least one of any overlap that links it.
 
-    N-grams are ordered by how many sets hold them, then by hash.  Those in one set only come first and are left out.
+    N-grams are ordered by how many sets hold them, then by hash; ``place`` counts from 1.  Those in one set only come
+    first and are left out.
     """
     entries = sets.select("set", "n", F.explode("grams").alias("gram"))
     counts = entries.groupBy("gram").agg(F.count("*").alias("c"))
     shared = entries.join(counts.where("c > 1"), "gram")
     ordered = shared.groupBy("set", "n").agg(F.array_sort(F.collect_list(F.struct("c", "gram"))).alias("ordered"))
-    # Of n - least + 1 places in rare-first order, those in no other set take the first.
-    places = F.size("ordered") - _least_partner(F.col("n"), percent) + 1
-    return ordered.where(places > 0).select(
-        F.explode(F.slice("ordered.gram", F.lit(1), places.cast("int"))).alias("gram"), "set", "n"
-    )
+    lonely = F.col("n") - F.size("ordered")
+    # Of n - least + 1 places the lonely ones take the first.
+    places = (F.col("n") - _least_partner(F.col("n"), percent) + 1 - lonely).cast("int")
+    rare = ordered.where(places > 0).select("set", "n", lonely.alias("lonely"), F.posexplode(F.slice("ordered.gram", F.lit(1), places)).alias("at", "gram"))
+    return rare.select("gram", "set", "n", (F.col("lonely") + F.col("at") + 1).alias("place"))
 
 
 def _forest(key, rows: pd.DataFrame, percent: int) -> pd.DataFrame:
+    """Links that connect what the products of a task's blocks connect."""
+    found = [link for _, part in rows.groupby("block", sort=False) for link in _block_links(part, percent)]
+    return pd.DataFrame(found, columns=["a", "b"]).astype("int64")
+
+
+def _block_links(rows: pd.DataFrame, percent: int) -> list[tuple]:
     """Links that connect what the product of a block with itself, or of the two sides of a pair of blocks, connects.
 
     Counts of shared n-grams are accumulated over the columns, a slice at a time; a pair is discarded as soon as what
@@ -199,39 +208,42 @@ def _forest(key, rows: pd.DataFrame, percent: int) -> pd.DataFrame:
             reached |= front
         seen |= reached
         found += [(names[start], names[other]) for other in np.nonzero(reached)[0] if other != start]
-    return pd.DataFrame(found, columns=["a", "b"]).astype("int64")
+    return found
 
 
 def _product(rows: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Links ``(a, b)`` of every task's rows ``(low, high, side, set)``."""
+    """Links ``(a, b)`` of the blocks, or parts of two blocks, in every task's rows ``(task, block, side, set)``."""
     filled = rows.join(sets.select("set", "n", "grams"), "set")
-    return filled.groupBy("low", "high").applyInPandas(lambda key, part: _forest(key, part, percent), "a bigint, b bigint")
+    return filled.groupBy("task").applyInPandas(lambda key, part: _forest(key, part, percent), "a bigint, b bigint")
 
 
 def _blocks(columns: DataFrame) -> DataFrame:
-    """``(set, block)``: sets that share a column go to one block as far as its size allows.
+    """``(set, block, task)``: sets that share a column are one block as far as its size allows; small ones share a task.
 
-    A set's home is the least number that a column of it holds.  Homes that outgrow a block are cut by hash, small ones
-    are put together, so a block's n-grams are bounded whatever the groups.
+    A set's home is the least number that a column of it holds.  The sets of a home are a block; homes that outgrow one
+    are cut by hash, with the set that names the home in every piece.  So a block's n-grams are bounded whatever the groups.
     """
     pulled = columns.join(columns.groupBy("gram").agg(F.min("set").alias("first")), "gram")
-    homes = pulled.groupBy("set", "n").agg(F.min("first").alias("home"))
+    homes = stored(pulled.groupBy("set", "n").agg(F.min("first").alias("home")))
     weighed = homes.groupBy("home").agg(F.sum(F.greatest("n", F.lit(LEAST_WEIGHT))).alias("weight"))
     total = weighed.agg(F.sum("weight")).first()[0] or 0
-    small = max(1, -(-int(total) // BLOCK_GRAMS))
-    pieces = F.ceil(F.col("weight") / BLOCK_GRAMS)
-    large = F.xxhash64("home", F.pmod(F.xxhash64("set"), pieces))
-    return homes.join(weighed, "home").select(
-        "set", F.when(pieces > 1, large).otherwise(F.pmod(F.xxhash64("home"), F.lit(small))).alias("block")
+    tasks = max(1, -(-int(total) // BLOCK_GRAMS))
+    weighed = weighed.select("home", F.ceil(F.col("weight") / BLOCK_GRAMS).alias("pieces"))
+    rows = homes.join(weighed, "home").select("home", "pieces", "set", F.pmod(F.xxhash64("set"), "pieces").alias("piece"))
+    named = weighed.where("pieces > 1").select(
+        "home", "pieces", F.col("home").alias("set"), F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("pieces") - 1)).alias("piece")
     )
+    block = F.xxhash64("home", "piece")
+    task = F.when(F.col("pieces") > 1, block).otherwise(F.pmod(F.xxhash64("home"), F.lit(tasks)))
+    return rows.unionByName(named).select("set", block.alias("block"), task.alias("task")).distinct()
 
 
 def crossing_pairs(columns: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
-    """``(a, b)``: pairs of different labels that their columns and sizes do not rule out.
+    """``(a, block_a, b, block_b)``: pairs of different labels and blocks that their sizes and a column do not rule out.
 
     Columns are joined within bands of size, of which a linked pair is at most one apart.  In every column the sets
-    outside its largest label meet those of other labels.  The columns that a pair shares are counted; with what
-    neither order has left behind them, they must reach the overlap that the pair's sizes ask for.
+    outside its largest label meet those of other labels.  At the first column that a linked pair shares, what comes after
+    it in the smaller remainder must reach the overlap that the sizes ask for.
     """
     # A little wider than the ratio, so that rounding never parts sizes at the limit.
     band = F.floor(F.log("n") / F.lit(math.log(100 / percent) + 1e-3)).cast("int")
@@ -240,49 +252,50 @@ def crossing_pairs(columns: DataFrame, labels: DataFrame, percent: int) -> DataF
     mixed = held.agg(F.max(F.struct("c", "label"))["label"].alias("largest"), F.count("*").alias("labels")).where("labels > 1")
     rows = rows.join(mixed.select("gram", "largest"), "gram")
     near = F.explode(F.array(F.col("band") - 1, F.col("band"), F.col("band") + 1)).alias("band")
-    small = rows.where("label <> largest").select("gram", near, F.col("set").alias("a"), F.col("n").alias("n_a"), F.col("label").alias("l_a"))
-    other = rows.select("gram", "band", "largest", F.col("set").alias("b"), F.col("n").alias("n_b"), F.col("label").alias("l_b"))
+
+    def side(name: str) -> list[Column]:
+        return [F.col(c).alias(f"{c}_{name}") for c in ("set", "n", "label", "block", "place")]
+
+    small = rows.where("label <> largest").select("gram", near, *side("a"))
+    other = rows.select("gram", "band", "largest", *side("b"))
     sized = F.least("n_a", "n_b") * 100 >= F.greatest("n_a", "n_b") * percent
-    once = (F.col("l_b") == F.col("largest")) | (F.col("a") < F.col("b"))
-    met = small.join(other, ["gram", "band"]).where((F.col("l_a") != F.col("l_b")) & sized & once)
-    pair = [F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), F.when(F.col("a") < F.col("b"), F.col("n_a")).otherwise(F.col("n_b")).alias("n_a")]
-    pair.append(F.when(F.col("a") < F.col("b"), F.col("n_b")).otherwise(F.col("n_a")).alias("n_b"))
-    counted = met.select(*pair).groupBy("a", "b", "n_a", "n_b").agg(F.count("*").alias("c"))
-    behind = F.greatest(_least_partner(F.col("n_a"), percent), _least_partner(F.col("n_b"), percent)) - 1
-    return counted.where(F.col("c") + behind >= _needed(F.col("n_a"), F.col("n_b"), percent)).select("a", "b")
+    once = (F.col("label_b") == F.col("largest")) | (F.col("set_a") < F.col("set_b"))
+    apart = (F.col("label_a") != F.col("label_b")) & (F.col("block_a") != F.col("block_b"))
+    reach = 1 + F.least(F.col("n_a") - F.col("place_a"), F.col("n_b") - F.col("place_b")) >= _needed(F.col("n_a"), F.col("n_b"), percent)
+    met = small.join(other, ["gram", "band"]).where(apart & sized & once & reach)
+    return met.select(F.col("set_a").alias("a"), "block_a", F.col("set_b").alias("b"), "block_b").distinct()
 
 
 def linked_sets(sets: DataFrame, percent: int) -> DataFrame:
     """``(set, label)``: the linked ones of stored sets ``(set, n, grams)``, each with a name of its group.
 
     First every block of sets with rare n-grams in common is multiplied with itself; what is linked gets one label.
-    Then only pairs of different labels are left, and the parts of blocks that hold such pairs are multiplied.
+    Then only pairs of different labels and blocks are left, and the parts of blocks that hold such pairs are multiplied.
     Large groups of near copies thus never become all their pairs, and no link between labels is lost.
     """
     columns = rare_columns(sets, percent)
     shared = columns.groupBy("gram").agg(F.count("*").alias("c")).where("c > 1").select("gram")
     columns = stored(columns.join(shared, "gram"))
     blocks = stored(_blocks(columns))
-    alone = blocks.select(F.col("block").alias("low"), F.col("block").alias("high"), F.lit(0).alias("side"), "set")
-    links = stored(_product(alone, sets, percent))
+    links = stored(_product(blocks.withColumn("side", F.lit(0)), sets, percent))
     found = connected_components(links, "a", "b")
+    # The set that names a large home is in several blocks; any one of them will do.
+    placed = blocks.groupBy("set").agg(F.min("block").alias("block"))
     labels = stored(
-        blocks.join(found, F.col("set") == F.col("node"), "left").select("set", "block", F.coalesce("component", "set").alias("label"))
+        placed.join(found, F.col("set") == F.col("node"), "left").select("set", "block", F.coalesce("component", "set").alias("label"))
     )
-    pairs = stored(crossing_pairs(columns, labels.select("set", "label"), percent))
-    placed = pairs
-    for end in ("a", "b"):
-        placed = placed.join(blocks.select(F.col("set").alias(end), F.col("block").alias(f"block_{end}")), end)
+    pairs = stored(crossing_pairs(columns, labels, percent))
+    count = pairs.count()
+    tasks = max(1, -(-count // PAIRS))
     turned = F.col("block_a") > F.col("block_b")
     sides = [("a", "b", 0), ("b", "a", 1)]
     each = F.explode(
         F.array(*[F.struct(F.lit(side).alias("side"), F.when(turned, F.col(y)).otherwise(F.col(x)).alias("set")) for x, y, side in sides])
     )
-    ends = placed.select(F.least("block_a", "block_b").alias("low"), F.greatest("block_a", "block_b").alias("high"), each.alias("end"))
-    # Within one block a set may be on both sides; then the block's part is multiplied with itself.
-    side = F.when(F.col("low") == F.col("high"), 0).otherwise(F.col("end.side"))
-    task = ends.select("low", "high", side.alias("side"), F.col("end.set").alias("set")).distinct()
-    more = stored(_product(task, sets, percent))
+    both = F.xxhash64(F.least("block_a", "block_b"), F.greatest("block_a", "block_b"))
+    ends = pairs.select(both.alias("block"), each.alias("end"))
+    parts = ends.select(F.pmod("block", F.lit(tasks)).alias("task"), "block", "end.side", "end.set").distinct()
+    more = stored(_product(parts, sets, percent))
     relabelled = more
     for end in ("a", "b"):
         relabelled = relabelled.join(labels.select(F.col("set").alias(end), F.col("label").alias(f"label_{end}")), end)
