@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from docsieve.operators.hierarchy import FINISH, MergeTree
 from docsieve.operators.neighbors import affinity_graph
 from docsieve.operators.ranking import global_rank
 from docsieve.operators.silhouette import silhouette
@@ -22,11 +23,6 @@ from docsieve.session import settle
 # Cluster counts tried when none is given.
 CANDIDATE_COUNTS = (4, 6, 8, 10)
 
-# Groups that the agglomerative step merges; bounds its memory and its work.
-MICRO_CLUSTERS = 500
-# Passes that form them; they need not be converged.
-MICRO_PASSES = 5
-
 # Rows of one partition in k-means; the number of partitions sets its first draw, so it follows from the table alone.
 ROWS_PER_PARTITION = 100_000
 LEAST_PARTITIONS = 8
@@ -135,131 +131,21 @@ def cluster_kmeans(
     )
 
 
-def _merge(sizes: np.ndarray, sums: np.ndarray, linkage: str) -> list[tuple[int, int]]:
-    """The order in which summarised groups are merged, as pairs of slots (kept, absorbed).
-
-    Only sizes and vector sums are needed: Ward's cost and the mean cosine
-    distance of unit vectors both follow from them.
-    """
-    count = len(sizes)
-    sizes, sums = sizes.astype("float64").copy(), sums.copy()
-
-    def costs(slot: int) -> np.ndarray:
-        means = sums / sizes[:, None]
-        if linkage == "ward":
-            gap = means - means[slot]
-            return sizes * sizes[slot] / (sizes + sizes[slot]) * (gap * gap).sum(1)
-        return 1.0 - means @ means[slot]
-
-    table = np.array([costs(slot) for slot in range(count)]).reshape(count, count)
-    np.fill_diagonal(table, np.inf)
-    merges = []
-    for _ in range(count - 1):
-        kept, absorbed = sorted(divmod(int(table.argmin()), count))
-        merges.append((kept, absorbed))
-        sizes[kept] += sizes[absorbed]
-        sums[kept] += sums[absorbed]
-        fresh = costs(kept)
-        gone = np.isinf(table[kept]) & np.isinf(table[:, kept])
-        fresh[gone] = np.inf
-        table[kept], table[:, kept] = fresh, fresh
-        table[kept, kept] = np.inf
-        table[absorbed], table[:, absorbed] = np.inf, np.inf
-    return merges
-
-
-def _cut(merges: list[tuple[int, int]], count: int, k: int) -> list[int]:
-    """Group label of each slot after merging down to ``k`` groups, numbered by first slot."""
-    owner = list(range(count))
-    for kept, absorbed in merges[: max(0, count - k)]:
-        owner = [kept if slot == absorbed else slot for slot in owner]
-    names = {slot: label for label, slot in enumerate(sorted(set(owner)))}
-    return [names[slot] for slot in owner]
-
-
-def _nearest(centers: np.ndarray) -> Callable[..., Column]:
-    """A column function: the number of the nearest centre, the first of equally near ones."""
-    lengths = (centers**2).sum(axis=1)
-
-    @F.pandas_udf("int")
-    def assign(vectors: pd.Series) -> pd.Series:
-        points = np.stack(vectors.to_numpy()) if len(vectors) else np.zeros((0, centers.shape[1]))
-        return pd.Series((lengths - 2.0 * points @ centers.T).argmin(axis=1), dtype="int32")
-
-    return assign
-
-
-def micro_groups(points: DataFrame, count: int, passes: int, seed: int, id_col: str) -> tuple[DataFrame, list[tuple]]:
-    """``(id, slot)`` and ``(slot, size, sum)`` of at most ``count`` groups of ``(id, features)``.
-
-    Distinct vectors are the first centres, drawn by the MD5 of seed and smallest id
-    with their number of rows as weight and numbered by that id; each pass assigns all rows to the nearest centre and moves the centres
-    to the means.  Where there are no more distinct vectors than centres, each is
-    a group of its own by the same steps.
-    """
-    distinct = points.groupBy("features").agg(F.min(id_col).alias(id_col), F.count(F.lit(1)).alias("n"))
-    draw = F.md5(F.concat_ws(":", F.lit(seed), F.col(id_col).cast("string")))
-    # Exponential waiting times with the counts as rates; equal counts keep the order of the MD5.
-    share = F.conv(F.substring(draw, 1, 13), 16, 10).cast("double") / float(2**52)
-    first = distinct.orderBy(-F.log1p(-share) / F.col("n"), draw, id_col).limit(count).orderBy(id_col).collect()
-    if not first:
-        return points.select(id_col, F.lit(0).alias("slot")), []
-    centers = np.array([row["features"] for row in first], dtype="float64")
-    sums: list[tuple] = []
-    for step in range(passes + 1):
-        labelled = points.withColumn("slot", _nearest(centers)(F.col("features")))
-        if step == passes:
-            labelled = settle(labelled)
-        total = vector_to_array(Summarizer.sum(array_to_vector(F.col("features")))).alias("sum")
-        # At most ``count`` rows.
-        found = labelled.groupBy("slot").agg(F.count(F.lit(1)).alias("size"), total).orderBy("slot").collect()
-        sums = [(int(row["slot"]), int(row["size"]), np.array(row["sum"], dtype="float64")) for row in found]
-        if step < passes:
-            for slot, size, moved in sums:
-                centers[slot] = moved / size
-    return labelled.select(id_col, "slot"), sums
-
-
 class Agglomerative:
-    """Two-level Ward or average-cosine merging: rows into micro-groups, groups into a tree.
-
-    ``micro_groups`` forms at most ``micro`` groups in parallel, and their sizes
-    and sums are merged (compare BIRCH).  The steps are the same at every size;
-    while each distinct row is a group the tree is the exact hierarchy.  It is
-    built once and can be cut at any count.
-    """
+    """The exact Ward or average-cosine tree of the rows, built once and cut at any count; see ``MergeTree``."""
 
     def __init__(
         self,
         points: DataFrame,
         linkage: str = "ward",
-        micro: int = MICRO_CLUSTERS,
-        seed: int = 42,
         id_col: str = "doc_id",
         vector_col: str = "features",
+        finish: int = FINISH,
     ) -> None:
-        if linkage not in ("ward", "average"):
-            raise ValueError(f"Unsupported linkage '{linkage}'; use ward or average.")
-        self.id_col = id_col
-        shaped = points.select(id_col, F.col(vector_col).cast("array<double>").alias("features"))
-        if linkage == "average":
-            length = F.sqrt(F.aggregate("features", F.lit(0.0), lambda acc, x: acc + x * x))
-            shaped = shaped.withColumn("_len", length).select(
-                id_col,
-                F.transform(
-                    "features", lambda x: x / F.when(F.col("_len") > 0, F.col("_len")).otherwise(F.lit(1.0))
-                ).alias("features"),
-            )
-        self.members, groups = micro_groups(shaped, micro, MICRO_PASSES, seed, id_col)
-        self.slots = [slot for slot, _, _ in groups]
-        sizes = np.array([size for _, size, _ in groups])
-        sums = np.array([total for _, _, total in groups], dtype="float64")
-        self.merges = _merge(sizes, sums, linkage) if groups else []
+        self.tree = MergeTree(points, linkage, id_col, vector_col, finish)
 
     def cut(self, k: int) -> Clustering:
-        labels = _cut(self.merges, len(self.slots), k)
-        table = self.members.sparkSession.createDataFrame(list(zip(self.slots, labels, strict=True)), "slot int, label int")
-        return Clustering(self.members.join(F.broadcast(table), "slot").select(self.id_col, "label"), k)
+        return Clustering(self.tree.cut(k), k)
 
 
 def cluster_agglomerative(
@@ -267,13 +153,12 @@ def cluster_agglomerative(
     preferred: int | None = None,
     candidates: Sequence[int] = CANDIDATE_COUNTS,
     linkage: str = "ward",
-    seed: int = 42,
     id_col: str = "doc_id",
     vector_col: str = "features",
     metric: str = "euclidean",
 ) -> Clustering:
     """Agglomerative clustering with a given count or the best silhouette."""
-    tree = Agglomerative(points, linkage, seed=seed, id_col=id_col, vector_col=vector_col)
+    tree = Agglomerative(points, linkage, id_col, vector_col)
     if preferred:
         return tree.cut(preferred)
     return choose_clustering(points, tree.cut, candidates, id_col, vector_col, metric)

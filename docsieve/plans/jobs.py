@@ -135,9 +135,7 @@ class CorpusJobs:
             weights, AGGLOMERATIVE_DIMENSION, self.seed, terms=self.features("vocabulary").count()
         )
         points = settle(project(weights, projection, docs=self.docs))
-        return cluster_agglomerative(
-            points, self.preferred_clusters, seed=self.seed, metric=self.silhouette_metric
-        )
+        return cluster_agglomerative(points, self.preferred_clusters, metric=self.silhouette_metric)
 
     def anomalies(self, use_ensemble: bool = False, path: str | None = None) -> DataFrame:
         """``(anomaly, doc_id)`` by isolation forest or by the three-detector ensemble."""

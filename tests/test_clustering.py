@@ -1,9 +1,11 @@
+from collections import Counter
+
 import numpy as np
 import pytest
 from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
 
-from docsieve.operators import blocks, clustering, evaluation
+from docsieve.operators import blocks, clustering, evaluation, hierarchy
 from docsieve.operators.silhouette import silhouette, silhouette_rows
 
 
@@ -117,21 +119,53 @@ def test_agglomerative_is_exact_on_small_tables(spark, linkage):
         assert same_split(labels_of(tree.cut(k)), plain_agglomerative(vectors, k, linkage))
 
 
-def test_agglomerative_over_micro_clusters(spark):
-    vectors, labels = groups(size=60)
-    tree = clustering.Agglomerative(frame(spark, vectors), "ward", micro=30)
-    assert same_split(labels_of(tree.cut(3)), labels)
+@pytest.mark.parametrize("linkage", ["ward", "average"])
+def test_agglomerative_in_distributed_rounds_is_the_same_tree(spark, monkeypatch, linkage):
+    draw = np.random.default_rng(8)
+    # Groups, scattered rows, copies, and ties on a grid.
+    grid = np.array([(x, y, 1.0) for x in range(5) for y in range(5)]) * 3 + 20
+    vectors = np.concatenate([draw.normal(size=(60, 3)), draw.normal(size=(60, 3)) * 0.2 + 4, np.repeat(draw.normal(size=(2, 3)), 15, axis=0)])
+    monkeypatch.setattr(hierarchy, "CELL_ROWS", 6)
+    tree = clustering.Agglomerative(frame(spark, vectors), linkage, finish=8)
+    assert len(tree.tree.top) < 8 and tree.tree.merges.count() == len(np.unique(vectors, axis=0)) - 1
+    for k in (1, 2, 3, 9, 40):
+        found = labels_of(tree.cut(k))
+        assert same_split(found, plain_agglomerative(vectors, k, linkage)) and len(set(found)) == k
+    tied = clustering.Agglomerative(frame(spark, grid), linkage, finish=2)
+    assert tied.tree.merges.count() == 24
+    assert sorted(Counter(labels_of(tied.cut(25))).values()) == [1] * 25
+
+
+def test_agglomerative_equals_the_plain_tree_on_embeddings(spark):
+    table = spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet").orderBy("vec_id")
+    points = table.select(F.col("vec_id").alias("doc_id"), F.col("embedding").cast("array<double>").alias("features"))
+    vectors = np.array([r["features"] for r in points.collect()])
+    assert len(vectors) == 2000
+    tree = clustering.Agglomerative(points, "ward", finish=300)
+    sizes, sums, owner = np.ones(len(vectors)), vectors.copy(), np.arange(len(vectors))
+    gaps = ((vectors**2).sum(1)[:, None] + (vectors**2).sum(1)[None] - 2 * vectors @ vectors.T) / 2
+    np.fill_diagonal(gaps, np.inf)
+    expected = {}
+    for left in range(len(vectors), 8, -1):
+        i, j = sorted(divmod(int(gaps.argmin()), len(vectors)))
+        sizes[i], sums[i] = sizes[i] + sizes[j], sums[i] + sums[j]
+        owner[owner == j] = i
+        cost = sizes * sizes[i] / (sizes + sizes[i]) * ((sums / sizes[:, None] - sums[i] / sizes[i]) ** 2).sum(1)
+        cost[np.isinf(gaps[i]) & np.isinf(gaps[:, i])] = np.inf
+        gaps[i], gaps[:, i] = cost, cost
+        gaps[i, i] = np.inf
+        gaps[j], gaps[:, j] = np.inf, np.inf
+        expected[left - 1] = owner.copy()
+    for k in (8, 50, 900):
+        assert same_split(labels_of(tree.cut(k)), expected[k].tolist())
+
+
+def test_agglomerative_edges(spark):
+    one = frame(spark, np.ones((4, 2)))
+    assert set(labels_of(clustering.Agglomerative(one).cut(3))) == {0}
+    assert clustering.Agglomerative(one.limit(0)).cut(2).labels.count() == 0
     with pytest.raises(ValueError):
-        clustering.Agglomerative(frame(spark, vectors), "single")
-
-
-def test_agglomerative_is_exact_with_more_rows_than_groups_but_fewer_vectors(spark):
-    distinct = np.random.default_rng(11).normal(size=(12, 3))
-    vectors = np.concatenate([np.repeat(distinct[:1], 30, axis=0), distinct])
-    exact = clustering.Agglomerative(frame(spark, vectors), "ward", micro=len(vectors))
-    capped = clustering.Agglomerative(frame(spark, vectors), "ward", micro=12)
-    assert len(capped.slots) == 12
-    assert same_split(labels_of(capped.cut(4)), labels_of(exact.cut(4)))
+        clustering.Agglomerative(one, "single")
 
 
 def test_spectral_covers_every_row(spark):
@@ -198,12 +232,3 @@ def test_labels_do_not_depend_on_the_session_width(spark):
         found.append(sorted(tuple(r) for r in clustering.kmeans(points, 5, max_iter=20).labels.collect()))
     spark.conf.set("spark.sql.shuffle.partitions", "4")
     assert found[0] == found[1] == found[2]
-
-
-def test_agglomerative_takes_the_same_steps_on_both_sides_of_the_bound(spark):
-    draw = np.random.default_rng(3)
-    vectors = np.concatenate([draw.normal(loc=c, scale=0.3, size=(14, 3)) for c in (0.0, 4.0, 8.0)])
-    exact = clustering.Agglomerative(frame(spark, vectors), "ward", micro=42).cut(3).labels
-    summed = clustering.Agglomerative(frame(spark, vectors), "ward", micro=41).cut(3).labels
-    sizes = [sorted(r["count"] for r in labels.groupBy("label").count().collect()) for labels in (exact, summed)]
-    assert sizes == [[14, 14, 14]] * 2
