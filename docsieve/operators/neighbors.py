@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -184,6 +184,7 @@ def nearest_neighbors(
     id_col: str = "doc_id",
     vector_col: str = "features",
     cell_rows: int | None = None,
+    lists: Callable[[DataFrame, int, int, str], DataFrame] | None = None,
 ) -> DataFrame:
     """``(id, neighbor_id, distance, neighbor_rank)``: the k nearest other rows, ties by id.
 
@@ -192,7 +193,8 @@ def nearest_neighbors(
     the data, so dense regions get more cells; each vector first searches its
     own cell and then only the cells that its distance bound cannot rule out.
     A zero vector has cosine distance 1 to everything.  ``cell_rows`` sets the
-    aimed cell size, ``CELL_ROWS`` if not given.
+    aimed cell size, ``CELL_ROWS`` if not given.  ``lists`` replaces the search
+    among the distinct vectors, given these, their number, k and the id's type.
     """
     if metric not in ("euclidean", "cosine"):
         raise ValueError(f"Unsupported metric '{metric}'; use euclidean or cosine.")
@@ -216,13 +218,15 @@ def nearest_neighbors(
         raise ValueError(f"{k} neighbours need more than {k} rows, found {total_rows}.")
     reps = settle(_copies(base, k))
     distinct = reps.count()
-    lists = reps.select("rep", "v", "ids")
+    groups = reps.select("rep", "v", "ids")
     if distinct:
-        near = _euclidean_lists(reps.select("rep", "v", "ids"), distinct, k, id_type, cell_rows or CELL_ROWS)
-        lists = reps.join(near, "rep", "left")
+        if lists is None:
+            near = _euclidean_lists(groups, distinct, k, id_type, cell_rows or CELL_ROWS)
+        else:
+            near = lists(groups, distinct, k, id_type)
+        groups = groups.join(near, "rep", "left")
     else:
-        lists = reps.withColumn("near", F.lit(None).cast(f"array<struct<distance:double,id:{id_type}>>"))
-    groups = lists.select("rep", "v", "ids", "near")
+        groups = groups.withColumn("near", F.lit(None).cast(f"array<struct<distance:double,id:{id_type}>>"))
     if distinct == base_rows:
         joined = groups.withColumn("id", F.col("rep"))
     else:
@@ -264,23 +268,27 @@ def _zero_rows(zeros: DataFrame, others: DataFrame, zero_ids: list, k: int, id_t
     return zeros.select("id", best.alias("best"))
 
 
+#: ``nearest_neighbors``, or an approximate search with the same first arguments and result.
+Search = Callable[[DataFrame, int, str, str, str], DataFrame]
+
+
 def knn_scores(
-    points: DataFrame, k: int = 5, id_col: str = "doc_id", vector_col: str = "features", cell_rows: int | None = None
+    points: DataFrame, k: int = 5, id_col: str = "doc_id", vector_col: str = "features", search: Search = nearest_neighbors
 ) -> DataFrame:
-    """``(id, score)``: minus the mean cosine distance to the k nearest others."""
-    near = nearest_neighbors(points, k, "cosine", id_col, vector_col, cell_rows)
+    """``(id, score)``: minus the mean cosine distance to the k nearest others that ``search`` finds."""
+    near = search(points, k, "cosine", id_col, vector_col)
     return near.groupBy(id_col).agg((-F.avg("distance")).alias("score"))
 
 
 def lof_scores(
-    points: DataFrame, k: int = 20, id_col: str = "doc_id", vector_col: str = "features", cell_rows: int | None = None
+    points: DataFrame, k: int = 20, id_col: str = "doc_id", vector_col: str = "features", search: Search = nearest_neighbors
 ) -> DataFrame:
     """``(id, score)``: negative local outlier factor over Euclidean neighbours.
 
     ``k`` is lowered to one less than the number of rows when there are fewer.
     """
     k = max(1, min(k, points.count() - 1))
-    near = settle(nearest_neighbors(points, k, "euclidean", id_col, vector_col, cell_rows))
+    near = settle(search(points, k, "euclidean", id_col, vector_col))
     reach = near.groupBy(id_col).agg(F.max("distance").alias("k_distance"))
     density = (
         near.join(reach.withColumnRenamed(id_col, "neighbor_id"), "neighbor_id")
@@ -296,7 +304,7 @@ def lof_scores(
 
 
 def affinity_graph(
-    points: DataFrame, k: int = 6, id_col: str = "doc_id", vector_col: str = "features", cell_rows: int | None = None
+    points: DataFrame, k: int = 6, id_col: str = "doc_id", vector_col: str = "features", search: Search = nearest_neighbors
 ) -> DataFrame:
     """``(src, dst, weight)``: the k-neighbour graph averaged with its reverse, both directions.
 
@@ -305,7 +313,7 @@ def affinity_graph(
     """
     ids = points.select(F.col(id_col).alias("src"), F.col(id_col).alias("dst"))
     edges = (
-        nearest_neighbors(points, k - 1, "euclidean", id_col, vector_col, cell_rows)
+        search(points, k - 1, "euclidean", id_col, vector_col)
         .select(F.col(id_col).alias("src"), F.col("neighbor_id").alias("dst"))
         .unionByName(ids)
     )

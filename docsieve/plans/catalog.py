@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
+from functools import partial
 
 import numpy as np
 from pyspark.ml.functions import array_to_vector, vector_to_array
@@ -13,7 +14,7 @@ from pyspark.sql import functions as F
 
 from docsieve.functions.cleaning import ANOMALY_SETTINGS, CLUSTERING_SETTINGS, normalize
 from docsieve.functions.patterns import STRUCTURAL_FEATURES
-from docsieve.operators import anomaly, clustering, compare, evaluation, neighbors, ranking, silhouette, stats
+from docsieve.operators import anomaly, clustering, compare, descent, evaluation, neighbors, ranking, silhouette, stats
 from docsieve.operators import vectorize as V
 from docsieve.operators.encode import encode_documents, word_vector_mean
 from docsieve.operators.forest import isolation_forest
@@ -334,16 +335,36 @@ def knn_euclidean_cells(spark: SparkSession, folder: str) -> DataFrame:
     return rounded(neighbors.nearest_neighbors(points(spark, folder), 5, "euclidean", cell_rows=SMALL_PIECE), "distance")
 
 
+in_small_cells = partial(neighbors.nearest_neighbors, cell_rows=SMALL_PIECE)
+
+
 def knn_score_cells(spark: SparkSession, folder: str) -> DataFrame:
-    return rounded(neighbors.knn_scores(embeddings(spark, folder), 5, "vec_id", cell_rows=SMALL_PIECE), "score")
+    return rounded(neighbors.knn_scores(embeddings(spark, folder), 5, "vec_id", search=in_small_cells), "score")
 
 
 def lof_score_cells(spark: SparkSession, folder: str) -> DataFrame:
-    return rounded(neighbors.lof_scores(points(spark, folder), 20, cell_rows=SMALL_PIECE), "score")
+    return rounded(neighbors.lof_scores(points(spark, folder), 20, search=in_small_cells), "score")
 
 
 def affinity_graph_cells(spark: SparkSession, folder: str) -> DataFrame:
-    return neighbors.affinity_graph(embeddings(spark, folder), 6, "vec_id", cell_rows=SMALL_PIECE)
+    return neighbors.affinity_graph(embeddings(spark, folder), 6, "vec_id", search=in_small_cells)
+
+
+def neighbor_graph(spark: SparkSession, folder: str) -> DataFrame:
+    """The approximate neighbour lists of all embeddings."""
+    return rounded(descent.graph_neighbors(embeddings(spark, folder), 5, "cosine", "vec_id"), "distance")
+
+
+def neighbor_graph_recall(spark: SparkSession, folder: str) -> DataFrame:
+    """How many exact neighbours the approximate lists hold, for the ids divisible by 100 against all rows."""
+    base = embeddings(spark, folder)
+    exact = descent.searched_neighbors(base, base.where("vec_id % 100 = 0"), 5, "cosine", "vec_id")
+    return descent.neighbor_recall(descent.graph_neighbors(base, 5, "cosine", "vec_id"), exact, "vec_id")
+
+
+def lof_score_graph(spark: SparkSession, folder: str) -> DataFrame:
+    """Outlier factors over approximate neighbour lists."""
+    return rounded(neighbors.lof_scores(points(spark, folder), 20, search=descent.graph_neighbors), "score")
 
 
 def lof_detection(spark: SparkSession, folder: str) -> DataFrame:
@@ -777,7 +798,8 @@ UNCHECKED = (
     structural_detection, ensemble_detection, feature_export, lsa, lsa_detection, lsa_hybrid_detection,
     sparse_hybrid_detection, kmeans, kmeans_embeddings, center_top_terms, choose_k, ward, average_linkage, spectral,
     method_sweep, approach_comparison, encode_with_model, encode_word_vectors, job_topics, job_topics_agglomerative,
-    job_anomalies, choose_k_tfidf, job_topics_embeddings, job_anomalies_ensemble,
+    job_anomalies, choose_k_tfidf, job_topics_embeddings, job_anomalies_ensemble, neighbor_graph,
+    neighbor_graph_recall, lof_score_graph,
 )
 
 
