@@ -67,33 +67,11 @@ def pieces(path: str) -> tuple:
     return _loaded[key]
 
 
-def align_window(a: list[int], b: list[int], bytes_a: list[bytes], bytes_b: list[bytes]) -> tuple[bytes, bytes]:
-    """The groups of a window as text, and its links as packed id pairs, an entry for every overlap."""
-    import numpy as np
-
-    groups, links = [], []
-    i = j = from_a = from_b = 0
-    end_a, end_b = len(bytes_a[a[0]]), len(bytes_b[b[0]])
-    while True:
-        links.append(a[i] << ID_BITS | b[j])
-        if end_a == end_b:
-            groups.append(",".join(map(str, a[from_a : i + 1])) + "|" + ",".join(map(str, b[from_b : j + 1])))
-            i, j = i + 1, j + 1
-            if i == len(a):
-                break
-            from_a, from_b = i, j
-            end_a, end_b = end_a + len(bytes_a[a[i]]), end_b + len(bytes_b[b[j]])
-        elif end_a < end_b:
-            i += 1
-            end_a += len(bytes_a[a[i]])
-        else:
-            j += 1
-            end_b += len(bytes_b[b[j]])
-    return ";".join(groups).encode(), np.array(links, np.int64).tobytes()
-
-
 class Aligner:
-    """Aligns the texts of one task and remembers the alignment of every window by its two tuples of ids."""
+    """Aligns texts and remembers the alignment of every window by its two tuples of ids.
+
+    The memory has two generations of ``REMEMBERED`` windows; what is used again moves to the newer one.
+    """
 
     def __init__(self, first: tuple, second: tuple) -> None:
         import numpy as np
@@ -102,19 +80,80 @@ class Aligner:
         self.tables = [first[1], second[1]]
         self.lengths = [np.array([len(t) for t in table], np.int64) for table in self.tables]
         self.spaced = [np.array([t[:1] == b" " for t in table]) for table in self.tables]
-        self.known: dict[tuple[bytes, bytes], tuple[bytes, bytes]] = {}
-        self.older: dict[tuple[bytes, bytes], tuple[bytes, bytes]] = {}
+        # An id with what follows it: more of its side, or the other side or group.
+        self.shown = [b"%d%c" % (i, mark) for table, marks in zip(self.tables, (b",|", b",;"), strict=True) for mark in marks for i in range(len(table))]
+        self.known: dict[bytes, tuple[bytes, bytes]] = {}
+        self.older: dict[bytes, tuple[bytes, bytes]] = {}
+
+    def windows(self, ids: list, counts: list) -> Iterator[tuple[bytes, bytes]]:
+        """The groups of each of many windows as text, and its links as packed id pairs, an entry for every overlap.
 
-    def window(self, key: tuple[bytes, bytes]) -> tuple[bytes, bytes]:
+        ``ids`` are the two sides' ids, window after window, and ``counts`` how many of them each window has.
+        """
         import numpy as np
 
-        found = self.older.get(key)
-        if found is None:
-            a, b = (np.frombuffer(ids, np.uint32).tolist() for ids in key)
-            found = align_window(a, b, *self.tables)
+        ends = [np.cumsum(lengths[x]) for lengths, x in zip(self.lengths, ids, strict=True)]
+        marks = [np.zeros(ends[0][-1] + 1, bool) for _ in ends]
+        for mark, at in zip(marks, ends, strict=True):
+            mark[at] = True
+        # Between two neighbouring ends of either side lies one token of each.
+        cuts = np.nonzero(marks[0] | marks[1])[0]
+        over = [np.searchsorted(e, cuts) for e in ends]
+        links = (ids[0][over[0]].astype(np.int64) << ID_BITS | ids[1][over[1]]).tobytes()
+        shared = [marks[1 - side][ends[side]] for side in (0, 1)]
+        starts = [np.concatenate(([0], np.nonzero(x)[0] + 1)) for x in shared]
+        groups = [np.cumsum(x) - x for x in shared]
+        codes = np.empty(len(ids[0]) + len(ids[1]), np.int64)
+        base = 2 * len(self.tables[0])
+        codes[np.arange(len(ids[0])) + starts[1][groups[0]]] = ids[0] + shared[0] * len(self.tables[0])
+        codes[np.arange(len(ids[1])) + starts[0][groups[1] + 1]] = ids[1] + base + shared[1] * len(self.tables[1])
+        stops = np.cumsum(counts[0]) + np.cumsum(counts[1])
+        cut_at = np.searchsorted(cuts, ends[0][np.cumsum(counts[0]) - 1]) + 1
+        show, codes = self.shown.__getitem__, codes.tolist()
+        low = link = 0
+        for stop, last in zip(stops.tolist(), (8 * cut_at).tolist(), strict=True):
+            yield b"".join(map(show, codes[low:stop]))[:-1], links[link:last]
+            low, link = stop, last
+
+    def remembered(self, ids: list, stops: list) -> list[tuple[bytes, bytes]]:
+        """The alignment of every window; ``stops`` are the ends of the windows in the two sides' ids."""
+        import numpy as np
+
+        cuts = [np.concatenate(([0], x)) for x in stops]
+        # A key is the ids of both sides of a window, A's first; those of B are told apart by a high bit.
+        per_window = [np.diff(x) for x in cuts]
+        both = np.empty(len(ids[0]) + len(ids[1]), np.uint32)
+        both[np.arange(len(ids[0])) + np.repeat(cuts[1][:-1], per_window[0])] = ids[0]
+        both[np.arange(len(ids[1])) + np.repeat(cuts[0][1:], per_window[1])] = ids[1] | np.uint32(1 << ID_BITS)
+        buffer, at = both.tobytes(), (4 * (cuts[0] + cuts[1])).tolist()
+        keys = [buffer[i:j] for i, j in zip(at, at[1:], strict=False)]
+        found = list(map(self.known.get, keys))
+        missing = [i for i, x in enumerate(found) if x is None]
+        if not missing:
+            return found
         if len(self.known) >= REMEMBERED:
             self.older, self.known = self.known, {}
-        self.known[key] = found
+        fresh: dict[bytes, int] = {}
+        for i in missing:
+            key = keys[i]
+            if key in self.known or key in fresh:
+                continue
+            old = self.older.get(key)
+            if old is None:
+                fresh[key] = i
+            else:
+                self.known[key] = old
+        if fresh:
+            chosen = np.fromiter(fresh.values(), np.int64, len(fresh))
+            parts, counts = [], []
+            for x, cut in zip(ids, cuts, strict=True):
+                count = np.diff(cut)[chosen]
+                ahead = np.cumsum(count) - count
+                parts.append(x[np.repeat(cut[chosen] - ahead, count) + np.arange(count.sum())])
+                counts.append(count)
+            self.known.update(zip(fresh, self.windows(parts, counts), strict=True))
+        for i in missing:
+            found[i] = self.known[keys[i]]
         return found
 
     def align(self, texts: list[str]) -> list[tuple]:
@@ -125,12 +164,11 @@ class Aligner:
         out: list = [None] * len(texts)
         rows, ids = [], ([], [])
         for row, (text, a, b) in enumerate(zip(texts, *encoded, strict=True)):
-            a, b = np.asarray(a, np.uint32), np.asarray(b, np.uint32)
             whole = b" " + text.encode()
-            if text and all(b"".join(map(t.__getitem__, x.tolist())) == whole for t, x in zip(self.tables, (a, b), strict=True)):
+            if text and all(b"".join(map(t.__getitem__, x)) == whole for t, x in zip(self.tables, (a.tolist(), b), strict=True)):
                 rows.append(row)
-                ids[0].append(a)
-                ids[1].append(b)
+                ids[0].append(np.asarray(a, np.uint32))
+                ids[1].append(np.array(b, np.uint32))
         if not rows:
             return out
         counts = [np.array([len(x) for x in side]) for side in ids]
@@ -145,26 +183,15 @@ class Aligner:
         for side in (0, 1):
             following = np.append(self.spaced[side][flat[side]], True)[1:]
             anchor &= following[shared[side]]
-        last = [np.cumsum(c) - 1 for c in counts]
-        of_text = np.searchsorted(shared[0], last[0])
+        last = np.cumsum(counts[0]) - 1
+        of_text = np.searchsorted(shared[0], last)
         anchor[of_text] = True
         n_groups = np.diff(np.concatenate(([0], of_text + 1)))
         stops = [shared[side][anchor] + 1 for side in (0, 1)]
-        n_windows = np.diff(np.concatenate(([0], np.searchsorted(stops[0], last[0] + 1) + 1)))
-        (cut_a, cut_b), (buffer_a, buffer_b) = ([0, *(4 * s).tolist()] for s in stops), (x.tobytes() for x in flat)
-        known, window = self.known.get, self.window
-        aligned = []
-        for at in range(len(cut_a) - 1):
-            key = (buffer_a[cut_a[at] : cut_a[at + 1]], buffer_b[cut_b[at] : cut_b[at + 1]])
-            found = known(key)
-            if found is None:
-                found = window(key)
-                known = self.known.get
-            aligned.append(found)
-        at = 0
+        bounds = [0, *(np.searchsorted(stops[0], last + 1) + 1).tolist()]
+        aligned = self.remembered(flat, stops)
         for place, row in enumerate(rows):
-            texts_of, links_of = zip(*aligned[at : at + n_windows[place]], strict=True)
-            at += n_windows[place]
+            texts_of, links_of = zip(*aligned[bounds[place] : bounds[place + 1]], strict=True)
             links = np.sort(np.frombuffer(b"".join(links_of), np.int64))
             first = np.nonzero(np.concatenate(([True], links[1:] != links[:-1])))[0]
             times = np.diff(np.append(first, len(links)))
@@ -178,6 +205,10 @@ class Aligner:
         return out
 
 
+#: One for each worker, so that a later task of it starts with what the earlier ones remember.
+_aligners: dict[tuple, Aligner] = {}
+
+
 def aligned_tokens(
     docs: DataFrame, byte_level_path: str, pattern: str, pieces_path: str, *, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
@@ -199,7 +230,10 @@ def aligned_tokens(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import numpy as np
 
-        aligner = Aligner(byte_level(byte_level_path, pattern), pieces(pieces_path))
+        key = (byte_level_path, pattern, pieces_path)
+        if key not in _aligners:
+            _aligners[key] = Aligner(byte_level(byte_level_path, pattern), pieces(pieces_path))
+        aligner = _aligners[key]
         for batch in batches:
             sizes = np.cumsum(np.fromiter((len(x.as_py() or "") for x in batch.column(2)), np.int64, batch.num_rows))
             starts = [0, *(np.nonzero(np.diff(sizes // SLICE))[0] + 1).tolist(), batch.num_rows]

@@ -108,18 +108,24 @@ def test_alignment_equals_all_overlaps(spark, monkeypatch, share):
 
 
 def test_windows_give_the_alignment_of_the_whole(monkeypatch):
+    import numpy as np
+
     pattern = importlib.import_module("public_tokenizers").PATTERN
     first = crosstokens.byte_level(queries.tokenizer_file("byte_bpe_50k.json"), pattern)
     second = crosstokens.pieces(queries.tokenizer_file("piece_bpe_32k.model"))
     texts = [t for t in odd_texts() if t and "▁" not in t]
+    aligner = crosstokens.Aligner(first, second)
     whole = []
     for text in texts:
-        ids = [[int(i) for i in side[0]([text])[0]] for side in (first, second)]
-        whole.append(crosstokens.align_window(*ids, first[1], second[1])[0])
+        ids = [np.array(side[0]([text])[0], np.uint32) for side in (first, second)]
+        whole += list(aligner.windows(ids, [np.array([len(x)]) for x in ids]))
+    assert not aligner.known
     monkeypatch.setattr(crosstokens, "REMEMBERED", 5)
-    aligner = crosstokens.Aligner(first, second)
-    assert [x[4] for x in aligner.align(texts)] == whole
-    assert len(aligner.known) <= 5 and aligner.older
+    for step in (1, 7, len(texts)):
+        found = [x for at in range(0, len(texts), step) for x in aligner.align(texts[at : at + step])]
+        assert [x[4] for x in found] == [groups for groups, _ in whole]
+        assert [x[3] for x in found] == [len(links) // 8 for _, links in whole]
+    assert aligner.older
 
 
 def test_a_link_counted_over_the_limit_of_an_entry(monkeypatch):
