@@ -13,7 +13,7 @@ from docsieve.session import stored
 #: Bits of a token id, and of the times that one entry counts a link.
 ID_BITS, TIMES_BITS = 20, 22
 #: Windows of which a worker remembers the alignment, in each of two generations.
-REMEMBERED = 100_000
+REMEMBERED = 150_000
 #: Characters of text that are aligned at a time.
 SLICE = 1 << 20
 #: Links with at least this share of all are few enough, by their number, to send to every task.
@@ -79,6 +79,8 @@ class Aligner:
         self.encoders = [first[0], second[0]]
         self.tables = [first[1], second[1]]
         self.lengths = [np.array([len(t) for t in table], np.int64) for table in self.tables]
+        self.bytes = [np.frombuffer(b"".join(table), np.uint8) for table in self.tables]
+        self.starts = [np.cumsum(x) - x for x in self.lengths]
         self.spaced = [np.array([t[:1] == b" " for t in table]) for table in self.tables]
         # An id with what follows it: more of its side, or the other side or group.
         self.shown = [b"%d%c" % (i, mark) for table, marks in zip(self.tables, (b",|", b",;"), strict=True) for mark in marks for i in range(len(table))]
@@ -156,21 +158,43 @@ class Aligner:
             found[i] = self.known[keys[i]]
         return found
 
+    def spelled(self, ids: list, counts: list, wholes: list[bytes]) -> list[bool]:
+        """Whether the token bytes of each text are its bytes on both sides."""
+        import numpy as np
+
+        good = np.ones(len(wholes), bool)
+        expected = np.frombuffer(b"".join(wholes), np.uint8)
+        stops = np.cumsum([len(x) for x in wholes])
+        for x, count, lengths, starts, flat in zip(ids, counts, self.lengths, self.starts, self.bytes, strict=True):
+            size = lengths[x]
+            per_text = np.add.reduceat(np.append(size, 0), np.minimum(np.cumsum(count) - count, len(size))) * (count > 0)
+            good &= per_text == np.diff(stops, prepend=0)
+            if not good.all():
+                # Only texts of the right length can be compared byte by byte.
+                size, x = (np.where(np.repeat(good, count), y, z) for y, z in ((size, 0), (x, 0)))
+            ahead = np.cumsum(size) - size
+            found = flat[np.repeat(starts[x] - ahead, size) + np.arange(size.sum())]
+            wanted = expected if good.all() else expected[np.repeat(good, np.diff(stops, prepend=0))]
+            if not np.array_equal(found, wanted):
+                owner = np.repeat(np.arange(len(wholes)), np.diff(stops, prepend=0) * good)
+                good[owner[found != wanted]] = False
+        return good.tolist()
+
     def align(self, texts: list[str]) -> list[tuple]:
         """``(n_a, n_b, n_groups, n_links, groups, links)`` of every text; None without tokens."""
         import numpy as np
 
-        encoded = [encode(texts) for encode in self.encoders]
         out: list = [None] * len(texts)
-        rows, ids = [], ([], [])
-        for row, (text, a, b) in enumerate(zip(texts, *encoded, strict=True)):
-            whole = b" " + text.encode()
-            if text and all(b"".join(map(t.__getitem__, x)) == whole for t, x in zip(self.tables, (a.tolist(), b), strict=True)):
-                rows.append(row)
-                ids[0].append(np.asarray(a, np.uint32))
-                ids[1].append(np.array(b, np.uint32))
+        rows = [row for row, text in enumerate(texts) if text]
+        if not rows:
+            return out
+        ids = [[np.asarray(x, np.uint32) for x in encode([texts[row] for row in rows])] for encode in self.encoders]
+        sizes = [np.array([len(x) for x in side]) for side in ids]
+        good = self.spelled([np.concatenate(side) for side in ids], sizes, [b" " + texts[row].encode() for row in rows])
+        rows = [row for row, fits in zip(rows, good, strict=True) if fits]
         if not rows:
             return out
+        ids = [[x for x, fits in zip(side, good, strict=True) if fits] for side in ids]
         counts = [np.array([len(x) for x in side]) for side in ids]
         flat = [np.concatenate(side) for side in ids]
         ends = [np.cumsum(lengths[x]) for lengths, x in zip(self.lengths, flat, strict=True)]
