@@ -12,9 +12,7 @@ from docsieve.session import stored
 
 #: Bits of a token id, and of the times that one entry counts a link.
 ID_BITS, TIMES_BITS = 20, 22
-#: Windows of which a worker remembers the alignment, in each of two generations.
-REMEMBERED = 150_000
-#: Characters of text that are aligned at a time.
+#: Characters of text that are aligned at a time, and share the memory of their windows.
 SLICE = 1 << 20
 #: Links with at least this share of all are few enough, by their number, to send to every task.
 FREQUENT = 100_000
@@ -67,11 +65,19 @@ def pieces(path: str) -> tuple:
     return _loaded[key]
 
 
-class Aligner:
-    """Aligns texts and remembers the alignment of every window by its two tuples of ids.
+def _hashes(ids, cuts):
+    """A 64-bit hash of each stretch of ids between neighbouring cuts."""
+    import numpy as np
+
+    mixed = (ids.astype(np.uint64) + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15)
+    mixed ^= mixed >> np.uint64(29)
+    place = np.arange(len(ids)) - np.repeat(cuts[:-1], np.diff(cuts))
+    powers = np.full(int(place.max()) + 1, 0xC2B2AE3D27D4EB4F, np.uint64).cumprod()
+    return np.add.reduceat(mixed * powers[place], cuts[:-1])
 
-    The memory has two generations of ``REMEMBERED`` windows; what is used again moves to the newer one.
-    """
+
+class Aligner:
+    """Aligns texts, each distinct window of ids among them once."""
 
     def __init__(self, first: tuple, second: tuple) -> None:
         import numpy as np
@@ -83,14 +89,16 @@ class Aligner:
         self.starts = [np.cumsum(x) - x for x in self.lengths]
         self.spaced = [np.array([t[:1] == b" " for t in table]) for table in self.tables]
         # An id with what follows it: more of its side, or the other side or group.
-        self.shown = [b"%d%c" % (i, mark) for table, marks in zip(self.tables, (b",|", b",;"), strict=True) for mark in marks for i in range(len(table))]
-        self.known: dict[bytes, tuple[bytes, bytes]] = {}
-        self.older: dict[bytes, tuple[bytes, bytes]] = {}
+        shown = [b"%d%c" % (i, mark) for table, marks in zip(self.tables, (b",|", b",;"), strict=True) for mark in marks for i in range(len(table))]
+        self.shown = np.frombuffer(b"".join(shown), np.uint8)
+        self.shown_length = np.array([len(x) for x in shown], np.int64)
+        self.shown_start = np.cumsum(self.shown_length) - self.shown_length
 
-    def windows(self, ids: list, counts: list) -> Iterator[tuple[bytes, bytes]]:
-        """The groups of each of many windows as text, and its links as packed id pairs, an entry for every overlap.
+    def windows(self, ids: list, counts: list) -> tuple[list[bytes], object, object]:
+        """``(groups, links, ends)``: the groups of each of many windows as text, and their links as packed id pairs.
 
-        ``ids`` are the two sides' ids, window after window, and ``counts`` how many of them each window has.
+        ``ids`` are the two sides' ids, window after window, and ``counts`` how many of them each window has.  There is a
+        link for every overlap; those of a window stop at its end in ``ends``.
         """
         import numpy as np
 
@@ -101,7 +109,7 @@ class Aligner:
         # Between two neighbouring ends of either side lies one token of each.
         cuts = np.nonzero(marks[0] | marks[1])[0]
         over = [np.searchsorted(e, cuts) for e in ends]
-        links = (ids[0][over[0]].astype(np.int64) << ID_BITS | ids[1][over[1]]).tobytes()
+        links = ids[0][over[0]].astype(np.int64) << ID_BITS | ids[1][over[1]]
         shared = [marks[1 - side][ends[side]] for side in (0, 1)]
         starts = [np.concatenate(([0], np.nonzero(x)[0] + 1)) for x in shared]
         groups = [np.cumsum(x) - x for x in shared]
@@ -109,54 +117,42 @@ class Aligner:
         base = 2 * len(self.tables[0])
         codes[np.arange(len(ids[0])) + starts[1][groups[0]]] = ids[0] + shared[0] * len(self.tables[0])
         codes[np.arange(len(ids[1])) + starts[0][groups[1] + 1]] = ids[1] + base + shared[1] * len(self.tables[1])
-        stops = np.cumsum(counts[0]) + np.cumsum(counts[1])
-        cut_at = np.searchsorted(cuts, ends[0][np.cumsum(counts[0]) - 1]) + 1
-        show, codes = self.shown.__getitem__, codes.tolist()
-        low = link = 0
-        for stop, last in zip(stops.tolist(), (8 * cut_at).tolist(), strict=True):
-            yield b"".join(map(show, codes[low:stop]))[:-1], links[link:last]
-            low, link = stop, last
-
-    def remembered(self, ids: list, stops: list) -> list[tuple[bytes, bytes]]:
-        """The alignment of every window; ``stops`` are the ends of the windows in the two sides' ids."""
+        size = self.shown_length[codes]
+        after = np.cumsum(size)
+        text = self.shown[np.repeat(self.shown_start[codes] - after + size, size) + np.arange(size.sum())].tobytes()
+        stops = after[np.cumsum(counts[0]) + np.cumsum(counts[1]) - 1].tolist()
+        texts = [text[low : stop - 1] for low, stop in zip([0, *stops], stops, strict=False)]
+        return texts, links, np.searchsorted(cuts, ends[0][np.cumsum(counts[0]) - 1]) + 1
+
+    def remembered(self, ids: list, stops: list) -> tuple[list[bytes], object, object, list[int]]:
+        """``windows`` of the distinct ones, and which of them each window is; ``stops`` end the windows on the two sides.
+
+        Windows are the same when their ids are: a hash brings candidates together, and ids that differ from those of
+        the first with a hash make a window of its own.
+        """
         import numpy as np
 
         cuts = [np.concatenate(([0], x)) for x in stops]
-        # A key is the ids of both sides of a window, A's first; those of B are told apart by a high bit.
         per_window = [np.diff(x) for x in cuts]
+        # The ids of both sides of a window, A's first; those of B are told apart by a high bit.
         both = np.empty(len(ids[0]) + len(ids[1]), np.uint32)
         both[np.arange(len(ids[0])) + np.repeat(cuts[1][:-1], per_window[0])] = ids[0]
         both[np.arange(len(ids[1])) + np.repeat(cuts[0][1:], per_window[1])] = ids[1] | np.uint32(1 << ID_BITS)
-        buffer, at = both.tobytes(), (4 * (cuts[0] + cuts[1])).tolist()
-        keys = [buffer[i:j] for i, j in zip(at, at[1:], strict=False)]
-        found = list(map(self.known.get, keys))
-        missing = [i for i, x in enumerate(found) if x is None]
-        if not missing:
-            return found
-        if len(self.known) >= REMEMBERED:
-            self.older, self.known = self.known, {}
-        fresh: dict[bytes, int] = {}
-        for i in missing:
-            key = keys[i]
-            if key in self.known or key in fresh:
-                continue
-            old = self.older.get(key)
-            if old is None:
-                fresh[key] = i
-            else:
-                self.known[key] = old
-        if fresh:
-            chosen = np.fromiter(fresh.values(), np.int64, len(fresh))
-            parts, counts = [], []
-            for x, cut in zip(ids, cuts, strict=True):
-                count = np.diff(cut)[chosen]
-                ahead = np.cumsum(count) - count
-                parts.append(x[np.repeat(cut[chosen] - ahead, count) + np.arange(count.sum())])
-                counts.append(count)
-            self.known.update(zip(fresh, self.windows(parts, counts), strict=True))
-        for i in missing:
-            found[i] = self.known[keys[i]]
-        return found
+        at = cuts[0] + cuts[1]
+        length = np.diff(at)
+        _, first, which = np.unique(_hashes(both, at), return_index=True, return_inverse=True)
+        model = first[which]
+        model = np.where(length[model] == length, model, np.arange(len(length)))
+        same = both[np.repeat(at[model] - at[:-1], length) + np.arange(len(both))] == both
+        model = np.where(np.logical_and.reduceat(same, at[:-1]), model, np.arange(len(length)))
+        chosen, which = np.unique(model, return_inverse=True)
+        parts, counts = [], []
+        for x, cut, count in zip(ids, cuts, per_window, strict=True):
+            count = count[chosen]
+            ahead = np.cumsum(count) - count
+            parts.append(x[np.repeat(cut[chosen] - ahead, count) + np.arange(count.sum())])
+            counts.append(count)
+        return *self.windows(parts, counts), which
 
     def spelled(self, ids: list, counts: list, wholes: list[bytes]) -> list[bool]:
         """Whether the token bytes of each text are its bytes on both sides."""
@@ -213,23 +209,35 @@ class Aligner:
         n_groups = np.diff(np.concatenate(([0], of_text + 1)))
         stops = [shared[side][anchor] + 1 for side in (0, 1)]
         bounds = [0, *(np.searchsorted(stops[0], last + 1) + 1).tolist()]
-        aligned = self.remembered(flat, stops)
+        texts_of, links_of, link_ends, which = self.remembered(flat, stops)
+        per_window = np.diff(link_ends, prepend=0)[which]
+        begins = (link_ends - np.diff(link_ends, prepend=0))[which]
+        ahead = np.cumsum(per_window) - per_window
+        links = links_of[np.repeat(begins - ahead, per_window) + np.arange(per_window.sum())]
+        per_text = np.add.reduceat(per_window, bounds[:-1])
+        # The links of all texts in one sort, by text and pair.
+        owner = np.repeat(np.arange(len(rows)), per_text)
+        order = np.sort(owner << 2 * ID_BITS | links)
+        first = np.nonzero(np.concatenate(([True], order[1:] != order[:-1])))[0]
+        times = np.diff(np.append(first, len(order)))
+        pairs, most = order[first], (1 << TIMES_BITS) - 1
+        while (times > most).any():
+            # An entry counts so many at most; what is over makes another.
+            over = np.nonzero(times > most)[0]
+            pairs, more = np.insert(pairs, over, pairs[over]), times[over] - most
+            times[over] = most
+            times = np.insert(times, over, more)
+        packed = (pairs & ((1 << 2 * ID_BITS) - 1)) << TIMES_BITS | times
+        entries = np.searchsorted(pairs >> 2 * ID_BITS, np.arange(len(rows) + 1)).tolist()
+        show, which = texts_of.__getitem__, which.tolist()
         for place, row in enumerate(rows):
-            texts_of, links_of = zip(*aligned[bounds[place] : bounds[place + 1]], strict=True)
-            links = np.sort(np.frombuffer(b"".join(links_of), np.int64))
-            first = np.nonzero(np.concatenate(([True], links[1:] != links[:-1])))[0]
-            times = np.diff(np.append(first, len(links)))
-            pairs, most = links[first], (1 << TIMES_BITS) - 1
-            while (times > most).any():
-                over = times > most
-                pairs = np.concatenate((pairs, pairs[over]))
-                times = np.concatenate((np.where(over, most, times), times[over] - most))
-            packed = pairs << TIMES_BITS | times
-            out[row] = (int(counts[0][place]), int(counts[1][place]), int(n_groups[place]), len(links), b";".join(texts_of), packed)
+            groups = b";".join(map(show, which[bounds[place] : bounds[place + 1]]))
+            numbers = (int(counts[0][place]), int(counts[1][place]), int(n_groups[place]), int(per_text[place]))
+            out[row] = (*numbers, groups, packed[entries[place] : entries[place + 1]])
         return out
 
 
-#: One for each worker, so that a later task of it starts with what the earlier ones remember.
+#: One for each worker.
 _aligners: dict[tuple, Aligner] = {}
 
 
@@ -242,7 +250,7 @@ def aligned_tokens(
     space.  Byte offsets where tokens of both end cut the document into groups; ``groups`` lists their ids, ``a1,a2|b1;
     a3|b2``.  A token of A and one of B are linked where their bytes overlap; ``links`` holds each linked pair of ids
     with its times in the document, packed.  Shared ends before space-marked tokens of both cut the document into
-    windows first, and a worker aligns each distinct window of ids once.  Texts that are null or empty, or whose token
+    windows first, and each distinct window of ids is aligned once for the texts at hand, ``SLICE`` characters or so.  Texts that are null or empty, or whose token
     bytes joined differ from space and text on either side, have no tokens: zeros, no groups and no links.  Rows that
     repeat are returned as often, an empty table gives no rows, other columns are ignored; very long texts are
     encoded whole.  ``row`` numbers the rows; it holds for one evaluation, so store the result to use it.
