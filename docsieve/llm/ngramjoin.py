@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from docsieve.llm.common import connected_components
-from docsieve.session import stored
+from docsieve.session import broadcast_if_small, stored
 
 #: N-grams of the documents of one block, and the least that a document counts, which bounds a block's documents to 2,000 or so.
 BLOCK_GRAMS, LEAST_WEIGHT = 400_000, 200
@@ -64,13 +64,18 @@ def _needed(a: Column, b: Column, percent: int) -> Column:
     return F.floor(((a + b) * percent + (99 + percent)) / F.lit(100 + percent)).cast("long")
 
 
+#: Sizes from which one, two and three leading hash bits are 0 in the n-grams first looked at: a half to an eighth of them.
+CUTS = (64, 128, 1024)
+
+
 def _cut(n: Column) -> Column:
-    """Leading hash bits that are 0 in the n-grams first looked at: a half or quarter of those of large sets."""
-    return F.when(n < 64, 0).when(n < 128, 1).otherwise(2)
+    return F.when(n < CUTS[0], 0).when(n < CUTS[1], 1).when(n < CUTS[2], 2).otherwise(3)
 
 
 def _within(gram: Column, bits: Column) -> Column:
-    return (bits == 0) | (F.shiftrightunsigned(gram, 62).bitwiseAND(F.when(bits == 1, 2).otherwise(3)) == 0)
+    """Whether the leading ``bits`` bits of a hash, up to three, are 0."""
+    mask = F.when(bits == 0, 0).when(bits == 1, 4).when(bits == 2, 6).otherwise(7)
+    return F.shiftrightunsigned(gram, 61).bitwiseAND(mask) == 0
 
 
 def sketches(docs: DataFrame, *, id_col: str, text_col: str, words: int) -> DataFrame:
@@ -94,7 +99,7 @@ def sketches(docs: DataFrame, *, id_col: str, text_col: str, words: int) -> Data
                     n = len(grams)
                     sizes.append(n)
                     digests.append(xxhash.xxh3_128_digest(grams.tobytes()))
-                    bits = 0 if n < 64 else 1 if n < 128 else 2
+                    bits = sum(n >= cut for cut in CUTS)
                     few.append(grams[: np.searchsorted(grams, np.uint64(1 << (64 - bits)))] if bits else grams)
                 offsets = np.concatenate(([0], np.cumsum([len(x) for x in few]))).astype(np.int32)
                 flat = np.concatenate(few).view(np.int64)
@@ -107,7 +112,7 @@ def sketches(docs: DataFrame, *, id_col: str, text_col: str, words: int) -> Data
 
 def whole_sets(docs: DataFrame, wanted: DataFrame, *, id_col: str, text_col: str, words: int) -> DataFrame:
     """``(set, n, grams)`` of the wanted sets ``(set, id, key)``, read again from one document of each."""
-    named = wanted.select("set", F.col("id").alias("__id"), F.col("key").alias("__key"))
+    named = broadcast_if_small(wanted.select("set", F.col("id").alias("__id"), F.col("key").alias("__key")))
     texts = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").alias("text"))
     same = F.col("id").eqNullSafe(F.col("__id")) & (F.xxhash64("text") == F.col("__key"))
     chosen = texts.join(named, same).select("set", F.col("text").cast("binary").alias("text"))
@@ -121,18 +126,22 @@ def whole_sets(docs: DataFrame, wanted: DataFrame, *, id_col: str, text_col: str
                 columns = [part.column(0), pa.array([len(x) for x in sets], pa.int64()), pa.array(sets, pa.list_(pa.int64()))]
                 yield pa.RecordBatch.from_arrays(columns, ["set", "n", "grams"])
 
-    return chosen.mapInArrow(run, "set bigint, n bigint, grams array<bigint>").dropDuplicates(["set"])
+    sets = stored(chosen.mapInArrow(run, "set bigint, n bigint, grams array<bigint>"))
+    # Rows equal in id and text give a set more than once.
+    repeated = sets.groupBy("set").count().where("count > 1").limit(1).count()
+    return stored(sets.dropDuplicates(["set"])) if repeated else sets
 
 
 def _without_lonely(sets: DataFrame, entries: DataFrame, percent: int) -> DataFrame:
-    """The sets of which few enough n-grams are in no other: of a linked one, another holds ``percent`` of them.
+    """The rows of ``(mark, n, ...)`` of which few enough n-grams are in no other set: of a linked one, another holds ``percent`` of them.
 
-    ``entries`` is ``(gram, set, inside)``; only n-grams ``inside`` count against their set.  Adds ``lonely``.
+    ``entries`` is ``(gram, mark, inside)``, a row for each row that holds the n-gram, and equal sets have equal marks; only
+    n-grams ``inside`` count against their set.
     """
-    once = entries.groupBy("gram").agg(F.count("*").alias("c"), F.min("set").alias("set"), F.max("inside").alias("inside"))
-    lonely = once.where("c = 1 AND inside").groupBy("set").agg(F.count("*").alias("lonely"))
-    counted = sets.join(lonely, "set", "left").withColumn("lonely", F.coalesce("lonely", F.lit(0)))
-    return counted.where(F.col("lonely") <= F.col("n") - _least_partner(F.col("n"), percent))
+    marks = entries.groupBy("gram").agg(F.min("mark").alias("mark"), F.max("mark").alias("other"), F.max("inside").alias("inside"))
+    lonely = marks.where("mark = other AND inside").groupBy("mark").agg(F.count("*").alias("lonely"))
+    counted = sets.join(lonely, "mark", "left")
+    return counted.where(F.coalesce("lonely", F.lit(0)) <= F.col("n") - _least_partner(F.col("n"), percent)).drop("lonely")
 
 
 def rare_columns(sets: DataFrame, percent: int) -> DataFrame:
@@ -321,16 +330,18 @@ def ngram_groups(
         raise ValueError("percent must be over 0 and at most 100")
     found = stored(sketches(docs, id_col=id_col, text_col=text_col, words=words))
     order = F.struct(F.col("id").isNull().alias("none"), F.col("id").alias("id"), F.col("key").alias("key"))
-    distinct = found.where("n > 0").groupBy("digest", "n").agg(F.min(order).alias("first"), F.any_value("few").alias("few"))
-    classes = stored(distinct.select(F.monotonically_increasing_id().alias("set"), "digest", "n", "first.id", "first.key", "few"))
+    distinct = found.where("n > 0").groupBy("digest", "n").agg(F.min(order).alias("first"))
+    mark = F.xxhash64("digest").alias("mark")
+    classes = stored(distinct.select(F.monotonically_increasing_id().alias("set"), "digest", mark, "n", "first.id", "first.key"))
 
     widest = F.floor(F.col("n") * 100 / F.lit(percent))
     inside = _within(F.col("gram"), F.col("bits"))
-    entries = classes.select("set", _cut(widest).alias("bits"), F.explode("few").alias("gram")).select("gram", "set", inside.alias("inside"))
-    likely = _without_lonely(classes.select("set", "id", "key", "n"), entries, percent)
-    sets = stored(whole_sets(docs, likely, id_col=id_col, text_col=text_col, words=words))
-    whole = sets.select(F.explode("grams").alias("gram"), "set", F.lit(True).alias("inside"))
-    left = stored(_without_lonely(sets, whole, percent).drop("lonely"))
+    entries = found.select(mark, _cut(widest).alias("bits"), F.explode("few").alias("gram")).select("gram", "mark", inside.alias("inside"))
+    likely = _without_lonely(classes.select("set", "mark", "id", "key", "n"), entries, percent)
+    sets = whole_sets(docs, likely, id_col=id_col, text_col=text_col, words=words)
+    whole = sets.select(F.explode("grams").alias("gram"), F.col("set").alias("mark"), F.lit(True).alias("inside"))
+    again = _without_lonely(sets.select(F.col("set").alias("mark"), "n"), whole, percent).select(F.col("mark").alias("set"))
+    left = stored(sets.join(broadcast_if_small(again), "set", "left_semi"))
     labels = linked_sets(left, percent)
 
     named = classes.join(labels, "set", "left").select("digest", "id", F.coalesce("label", "set").alias("label"))
