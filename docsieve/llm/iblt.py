@@ -4,8 +4,9 @@ A text's paragraphs, lines or runs of words of long lines, are hashed to 64-bit
 of each third of a table.  A cell holds the number of its digests, their XOR and
 the XOR of a check value.  The cell-wise difference of two tables holds only the
 digests that one of the texts lacks; a cell with one digest left gives it away,
-and taking it out of its other cells frees further ones (peeling).  Where that
-gets stuck, both tables are built again four times wider.
+and taking it out of its other cells frees further ones (peeling).  Tables start
+as wide as both texts together may need; where peeling gets stuck all the same,
+both are built again four times wider.
 
 Tables are rows ``(row, side or pair, cell)``, so that building, subtracting and
 peeling are hash aggregations.  A text's digests travel as one array and are
@@ -23,9 +24,11 @@ from pyspark.sql import functions as F
 from docsieve.llm.common import first_at_least
 from docsieve.session import stored
 
-#: Cells in a third of a fingerprint's table; a retry is four times wider, LEVELS times at most.
+#: Cells in a third of a fingerprint's table, and of the smallest compared one; a retry is four times wider, LEVELS times at most.
 SLOTS = 8
 LEVELS = 9
+#: Digests of pairs that one task takes, about.
+DIGESTS_PER_TASK = 400_000
 #: Bits of a digest that choose its cell in a third, so a third has 2 ** 21 cells at most.
 PLACE_BITS = 21
 #: Times that one attempt peels each third.
@@ -81,26 +84,30 @@ def paragraph_digests(text: Column, separator: str = r"\n") -> Column:
     return F.array_distinct(F.transform(F.filter(parts, lambda p: F.length(p) > 0), lambda p: F.xxhash64(p)))
 
 
-def _cell(key: Column, third: int, width: int) -> Column:
-    """The cell of a digest in a third of a table whose thirds have ``width`` cells."""
-    return F.shiftrightunsigned(key, PLACE_BITS * third).bitwiseAND(F.lit(width - 1)) + third * width
+def _cell(key: Column, third: int, width: Column) -> Column:
+    """The cell of a digest in a third of a table whose thirds have ``width`` cells, a power of two."""
+    return F.shiftrightunsigned(key, PLACE_BITS * third).bitwiseAND(width - 1) + third * width
 
 
-def sketches(digests: DataFrame, by: Sequence[str], width: int = SLOTS) -> DataFrame:
-    """Tables of ``(*by, key)`` rows, distinct by table: ``(*by, cell, n, key, check)``."""
-    spread = digests.withColumn("cell", F.explode(F.array(*[_cell(F.col("key"), t, width) for t in range(3)])))
+def sketches(digests: DataFrame, by: Sequence[str], width: Column, sign: Column) -> DataFrame:
+    """Tables of ``(*by, key)`` rows, distinct by table and sign: ``(*by, cell, n, key, check)``.
+
+    Digests of sign -1 are taken away, so a table of both signs is the difference of two.
+    """
+    spread = digests.withColumns({"sign": sign.cast("long"), "cell": F.explode(F.array(*[_cell(F.col("key"), t, width) for t in range(3)]))})
     return spread.groupBy(*by, "cell").agg(
-        F.count("*").alias("n"), F.expr("bit_xor(key)").alias("key"), F.expr(f"bit_xor({CHECK_SQL})").alias("check")
+        F.sum("sign").alias("n"), F.expr("bit_xor(key)").alias("key"), F.expr(f"bit_xor({CHECK_SQL})").alias("check")
     )
 
 
-def peel(table: DataFrame, by: Sequence[str], width: int = SLOTS) -> DataFrame:
+def peel(table: DataFrame, by: Sequence[str], width: Column, keep_digests: bool = True) -> DataFrame:
     """Peel differences ``(*by, cell, n, key, check)``.
 
     Returns the same columns and ``digest``: recovered digests are rows of cell
     -1 with their ``digest`` and n 1 (left) or -1 (right); rows of other cells
-    are what stayed stuck.  The cells of one third are peeled at a time, so a
-    digest that stands alone in two of its cells is found once.
+    are what stayed stuck.  Without ``keep_digests`` those of one side are one
+    row, with n their number or its negative.  The cells of one third are peeled
+    at a time, so a digest that stands alone in two of its cells is found once.
     """
     zero = F.lit(0).cast("long")
     names = ["cell", "digest", "n", "key", "check"]
@@ -118,7 +125,7 @@ def peel(table: DataFrame, by: Sequence[str], width: int = SLOTS) -> DataFrame:
         )
         others = [t for t in range(3) if t != third]
         freed = F.array(
-            row(F.lit(-1), F.col("key"), F.col("n"), zero, zero),
+            row(F.lit(-1), F.col("key") if keep_digests else F.col("n"), F.col("n"), zero, zero),
             *[row(_cell(F.col("key"), t, width), zero, -F.col("n"), F.col("key"), F.col("check")) for t in others],
         )
         same = F.array(row(*[F.col(name) for name in names]))
@@ -137,9 +144,11 @@ def likeness(left_count: Column, right_count: Column, differing: Column) -> Colu
     return F.when(every == 0, 1.0).otherwise((every - differing) / (every + differing))
 
 
-def with_next_text(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def with_next_text(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", own: Column | None = None) -> DataFrame:
     """``(id, text, next_text)``: each text beside that of the next larger id, the last beside the first.
 
+    With ``own``, a column made of ``text``, also ``own`` and ``next_own``.
+
     Ids are integers; rows of equal id follow each other by a hash of the text,
     null ids come last, null texts are empty.  Quantiles of the ids cut the table
     into ranges; a range is ordered in one task, and its last row takes the first
@@ -147,76 +156,74 @@ def with_next_text(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     """
     base = docs.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     base = base.withColumns({"at": F.coalesce("id", F.lit(2**63 - 1)), "key": F.xxhash64("text")})
+    names = ["text"] if own is None else ["text", "own"]
     rows = docs.count()
     ranges = max(1, min(MOST_RANGES, math.ceil(rows / DOCS_PER_RANGE)))
     marks = base.agg(F.percentile_approx("at", [i / ranges for i in range(1, ranges + 1)], 10 * ranges).alias("marks")).first()
     text = ",".join(str(mark) for mark in sorted(set(marks["marks"] or [0])))
-    dealt = base.withColumn("range", first_at_least(F.split(F.lit(text), ",").cast("array<bigint>"), F.col("at")))
+    made = base if own is None else base.withColumn("own", own)
+    dealt_to = first_at_least(F.split(F.lit(text), ",").cast("array<bigint>"), F.col("at"))
+    dealt = made.withColumn("range", dealt_to)
 
-    firsts = dealt.groupBy("range").agg(F.min(F.struct("at", "key")).alias("head"))
+    firsts = base.withColumn("range", dealt_to).groupBy("range").agg(F.min(F.struct("at", "key")).alias("head"))
     # One row per range, at most MOST_RANGES.
     around = Window.orderBy("range")
     beginning = F.first("head").over(around.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
     heads = firsts.select("range", F.coalesce(F.lead("head").over(around), beginning).alias("head"))
-    head_texts = (
-        dealt.alias("d")
-        .join(F.broadcast(heads.alias("h")), (F.col("d.at") == F.col("h.head.at")) & (F.col("d.key") == F.col("h.head.key")))
-        .groupBy(F.col("h.range").alias("of_range"))
-        .agg(F.first("d.text").alias("head_text"))
-    )
+    same = (F.col("d.at") == F.col("h.head.at")) & (F.col("d.key") == F.col("h.head.key"))
+    chosen = base.alias("d").join(F.broadcast(heads.alias("h")), same).select(F.col("h.range").alias("of_range"), F.col("d.text").alias("text"))
+    chosen = chosen if own is None else chosen.withColumn("own", own)
+    head_texts = chosen.groupBy("of_range").agg(*[F.first(c).alias(f"head_{c}") for c in names])
     order = Window.partitionBy("range").orderBy("at", "key")
-    ordered = dealt.withColumn("following", F.lead("text").over(order))
+    ordered = dealt.withColumns({f"following_{c}": F.lead(c).over(order) for c in names})
     return ordered.join(head_texts, F.col("range") == F.col("of_range"), "left").select(
-        "id", "text", F.coalesce("following", "head_text").alias("next_text")
+        "id", *names, *[F.coalesce(f"following_{c}", f"head_{c}").alias(f"next_{c}") for c in names]
     )
 
 
-def compare_pairs(pairs: DataFrame) -> DataFrame:
-    """The digests that only one text of a pair has: ``(row, pair, only_left, only_right)``.
+def compare_pairs(pairs: DataFrame, keep_digests: bool = True) -> DataFrame:
+    """What only one text of a pair has: ``(row, pair, only_left, only_right)``, digests or without ``keep_digests`` their numbers.
 
     ``pairs`` has ``(row, pair, left, right)``, the last two arrays of distinct
-    digests; ``row`` and ``pair`` name it.  Starts with the smallest tables and
-    tries the pairs that stay stuck again with tables four times wider; after the
-    widest the arrays themselves are compared.
+    digests; ``row`` and ``pair`` name it.  A third of a pair's table has at
+    least as many cells as the pair has digests, up to the limit.  Pairs that
+    stay stuck are tried again with tables four times wider; after the widest
+    the arrays themselves are compared.
     """
-    by = ["row", "pair"]
-    todo, done = pairs, None
+    by, named = ["row", "pair", "width"], ["row", "pair"]
+    members = F.size("left") + F.size("right")
+    fitting = F.pow(F.lit(2), F.least(F.ceil(F.log2(F.greatest(members, F.lit(SLOTS)))), F.lit(PLACE_BITS))).cast("long")
+    todo, done = pairs.withColumn("first", fitting), None
     for level in range(LEVELS + 1):
-        width = SLOTS * 4**level
-        dealt = todo.repartition("row")
-        sides = dealt.select(
-            *by,
-            F.explode(
-                F.array(F.struct(F.lit(1).alias("sign"), F.col("left").alias("keys")), F.struct(F.lit(-1).alias("sign"), F.col("right").alias("keys")))
-            ).alias("side"),
-        )
+        width = F.least(F.col("first") * 4**level, F.lit(1 << PLACE_BITS).cast("long"))
+        total = todo.agg(F.sum(members)).first()[0] or 0
+        dealt = todo.withColumn("width", width).repartition(max(1, math.ceil(total / DIGESTS_PER_TASK)), "row")
+        signed = [F.struct(F.lit(sign).alias("sign"), F.col(side).alias("keys")) for sign, side in ((1, "left"), (-1, "right"))]
+        sides = dealt.select(*by, F.explode(F.array(*signed)).alias("side"))
         keys = sides.select(*by, F.col("side.sign").alias("sign"), F.explode("side.keys").alias("key"))
-        tables = sketches(keys, [*by, "sign"], width)
-        difference = (
-            tables.groupBy(*by, "cell")
-            .agg(F.sum(F.col("n") * F.col("sign")).alias("n"), F.expr("bit_xor(key)").alias("key"), F.expr("bit_xor(check)").alias("check"))
-            .where("n <> 0 or key <> 0 or check <> 0")
-        )
-        peeled = peel(difference, by, width)
+        difference = sketches(keys, by, F.col("width"), F.col("sign")).where("n <> 0 or key <> 0 or check <> 0")
+        peeled = peel(difference, by, F.col("width"), keep_digests)
+        left, right = [(F.col("cell") < 0) & (F.col("n") * sign > 0) for sign in (1, -1)]
+        if keep_digests:
+            only = [F.collect_list(F.when(side, F.col("digest"))) for side in (left, right)]
+        else:
+            only = [F.coalesce(F.sum(F.when(side, F.abs("n"))), F.lit(0)) for side in (left, right)]
         result = stored(
-            peeled.groupBy(*by).agg(
-                F.max(F.col("cell") >= 0).alias("stuck"),
-                F.collect_list(F.when((F.col("cell") < 0) & (F.col("n") > 0), F.col("digest"))).alias("only_left"),
-                F.collect_list(F.when((F.col("cell") < 0) & (F.col("n") < 0), F.col("digest"))).alias("only_right"),
-            )
+            peeled.groupBy(*by).agg(F.max(F.col("cell") >= 0).alias("stuck"), only[0].alias("only_left"), only[1].alias("only_right")).drop("width")
         )
         good = result.where("not stuck").drop("stuck")
         done = good if done is None else done.unionByName(good)
-        failed = result.where("stuck").select(*by)
+        failed = result.where("stuck").select(*named)
         if failed.isEmpty():
             return done
-        todo = todo.join(failed, by, "left_semi")
-    exact = todo.select(*by, F.array_except("left", "right").alias("only_left"), F.array_except("right", "left").alias("only_right"))
-    return done.unionByName(exact)
+        todo = todo.join(failed, named, "left_semi")
+    exact = [F.array_except("left", "right"), F.array_except("right", "left")]
+    exact = exact if keep_digests else [F.size(x).cast("long") for x in exact]
+    return done.unionByName(todo.select(*named, exact[0].alias("only_left"), exact[1].alias("only_right")))
 
 
 def compare_with_edits(
-    docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", separator: str = r"\n"
+    docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", separator: str = r"\n", keep_digests: bool = True
 ) -> DataFrame:
     """Fingerprint every text, an edited version of it and the next text, and compare them.
 
@@ -225,13 +232,15 @@ def compare_with_edits(
     edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next,
     edited_out, edited_in)``: likeness is that of the sets of paragraph digests (lines, and runs of words of long ones),
     from the digests the sketches give back; ``edited_out`` and ``edited_in`` are
-    the digests that the edit removed and added.  A fingerprint lists the cells in
+    the digests that the edit removed and added, left out without ``keep_digests``.  A fingerprint lists the cells in
     use of the smallest table, ``cell.n.key.check`` in hexadecimal.  A text without
     paragraphs has an empty table and is like another such text (1) and unlike any
     other (0).  Null texts are empty; a single document is its own next; an empty
-    table gives no rows; other columns are ignored.
+    table gives no rows; rows that repeat follow each other and are returned as
+    often; other columns are ignored; long texts are taken whole.
     """
-    pairs = with_next_text(docs, id_col, text_col).withColumn("n_chars", F.char_length("text").cast("long"))
+    digests = paragraph_digests(F.col("text"), separator)
+    pairs = with_next_text(docs, id_col, text_col, digests).withColumn("n_chars", F.char_length("text").cast("long"))
     half = F.floor(F.col("n_chars") / 2).cast("int")
     edited = F.concat(F.left("text", (F.col("n_chars") - half).cast("int")), F.left("next_text", half))
     base = stored(
@@ -240,9 +249,9 @@ def compare_with_edits(
             "id",
             "n_chars",
             F.sha2("edited", 256).alias("edited_sha256"),
-            paragraph_digests(F.col("text"), separator).alias("own"),
+            "own",
             paragraph_digests(F.col("edited"), separator).alias("changed"),
-            paragraph_digests(F.col("next_text"), separator).alias("other"),
+            F.col("next_own").alias("other"),
         )
     )
     both = [("edit", "changed"), ("next", "other")]
@@ -251,12 +260,13 @@ def compare_with_edits(
         F.col("own").alias("left"),
         F.explode(F.array(*[F.struct(F.lit(name).alias("pair"), F.col(c).alias("right")) for name, c in both])).alias("p"),
     ).select("row", "p.pair", "left", "p.right")
-    differing = compare_pairs(to_compare)
+    differing = compare_pairs(to_compare, keep_digests)
 
-    sides = base.repartition("row").select(
+    total = base.agg(F.sum(F.size("own") + F.size("changed"))).first()[0] or 0
+    sides = base.repartition(max(1, math.ceil(total / DIGESTS_PER_TASK)), "row").select(
         "row", F.explode(F.array(*[F.struct(F.lit(c).alias("side"), F.col(c).alias("keys")) for c in ("own", "changed")])).alias("s")
     )
-    tables = sketches(sides.select("row", "s.side", F.explode("s.keys").alias("key")), ["row", "side"])
+    tables = sketches(sides.select("row", "s.side", F.explode("s.keys").alias("key")), ["row", "side"], F.lit(SLOTS).cast("long"), F.lit(1))
     shown = F.concat_ws(".", F.lpad(F.hex("cell"), 2, "0"), F.hex("n"), F.hex("key"), F.hex("check"))
     texts = tables.groupBy("row").agg(
         *[
@@ -265,17 +275,20 @@ def compare_with_edits(
         ]
     )
 
+    nothing = F.array().cast("array<bigint>") if keep_digests else F.lit(0).cast("long")
+
     def of(pair: str, column: str) -> Column:
-        return F.coalesce(F.max(F.when(F.col("pair") == pair, F.col(column))), F.array().cast("array<bigint>")).alias(f"{pair}_{column}")
+        return F.coalesce(F.max(F.when(F.col("pair") == pair, F.col(column))), nothing).alias(f"{pair}_{column}")
 
     wide = differing.groupBy("row").agg(*[of(pair, c) for pair in ("edit", "next") for c in ("only_left", "only_right")])
     sizes = base.select("row", "id", "n_chars", "edited_sha256", *[F.size(c).alias(c) for c in ("own", "changed", "other")])
     found = sizes.join(texts, "row", "left").join(wide, "row", "left")
 
     def apart(pair: str) -> Column:
-        return F.coalesce(F.size(f"{pair}_only_left") + F.size(f"{pair}_only_right"), F.lit(0))
+        ends = [F.col(f"{pair}_only_{side}") for side in ("left", "right")]
+        return F.coalesce(F.size(ends[0]) + F.size(ends[1]) if keep_digests else ends[0] + ends[1], F.lit(0))
 
-    nothing = F.array().cast("array<bigint>")
+    recovered = [F.coalesce(f"edit_only_{side}", nothing).alias(name) for side, name in (("left", "edited_out"), ("right", "edited_in"))]
     return found.select(
         "id",
         "n_chars",
@@ -284,6 +297,5 @@ def compare_with_edits(
         F.coalesce("edited_fingerprint", F.lit("")).alias("edited_fingerprint"),
         likeness(F.col("own"), F.col("changed"), apart("edit")).alias("near_edited"),
         likeness(F.col("own"), F.col("other"), apart("next")).alias("near_next"),
-        F.coalesce("edit_only_left", nothing).alias("edited_out"),
-        F.coalesce("edit_only_right", nothing).alias("edited_in"),
+        *(recovered if keep_digests else []),
     )
