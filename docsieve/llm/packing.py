@@ -29,47 +29,63 @@ class WordTokenizer:
     """Token ids of whole texts by a tokenizer whose words never cross white space.
 
     Its normaliser and pre-tokenizer act inside runs without white space, so the
-    ids of a text are those of its runs one after another.  Ids of runs, and of
-    the parts that the pre-tokenizer cuts plain ones into, are remembered; new
-    ones go to the tokenizer in one call.  Runs with other characters go to it
-    whole.  The memory is emptied when it holds ``CACHE`` entries.
+    ids of a text are those of its runs one after another, and the ids of runs are
+    remembered.  The parts that the pre-tokenizer cuts plain runs into are merged
+    by the file's own ranks, with a byte that no text has as the end of a word;
+    runs with other characters go to the tokenizer whole, many in one call.  Above
+    ``CACHE`` remembered runs the older half is forgotten.
     """
 
+    END = b"\xff"
+
     def __init__(self, path: str):
+        import json
         import os
         import re
 
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
+        import tiktoken
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.plain, self.cut = re.compile(PLAIN), re.compile(PRE_TOKENS)
         self.runs: dict[str, bytes] = {}
-        self.parts: dict[str, bytes] = {}
-
-    def _encode(self, texts: list[str]) -> list[bytes]:
-        return [array("I", e.ids).tobytes() for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
+        with open(path, encoding="utf-8") as file:
+            content = json.load(file)
+        suffix = content["model"]["end_of_word_suffix"]
+        special = {token["content"] for token in content["added_tokens"]}
+        printable = [*range(33, 127), *range(161, 173), *range(174, 256)]
+        shown = {chr(b): b for b in printable} | {chr(256 + i): b for i, b in enumerate(sorted(set(range(256)) - set(printable)))}
+        ranks = {}
+        for token, number in content["model"]["vocab"].items():
+            if token not in special:
+                ends = token.endswith(suffix)
+                ranks[bytes(shown[c] for c in token.removesuffix(suffix)) + self.END * ends] = number
+        # Ids rise in the order of merging, letters with the end of a word first.
+        encoding = tiktoken.Encoding("words", pat_str="[^\n]+", mergeable_ranks=ranks, special_tokens={})
+        self.merge = encoding._core_bpe.encode_single_piece
 
     def _learn(self, runs: list[str]) -> None:
-        if len(self.parts) > CACHE:
-            self.parts.clear()
-        cuts = {run: self.cut.findall(run.lower()) for run in runs if self.plain.fullmatch(run) and "<|" not in run}
-        new = list(set().union(*cuts.values()).difference(self.parts))
-        for start in range(0, len(new), 10_000):
-            some = new[start : start + 10_000]
-            self.parts.update(zip(some, self._encode(some), strict=True))
-        others = [run for run in runs if run not in cuts]
-        self.runs.update(zip(others, self._encode(others), strict=True))
-        known = self.parts.__getitem__
-        for run, parts in cuts.items():
-            self.runs[run] = b"".join(map(known, parts))
+        others = []
+        for run in runs:
+            if self.plain.fullmatch(run) and "<|" not in run:
+                ids: list[int] = []
+                for part in self.cut.findall(run.lower()):
+                    ids += self.merge(part.encode() + self.END)
+                self.runs[run] = array("I", ids).tobytes()
+            else:
+                others.append(run)
+        for start in range(0, len(others), 10_000):
+            some = others[start : start + 10_000]
+            found = self.tokenizer.encode_batch(some, add_special_tokens=False)
+            self.runs.update(zip(some, (array("I", e.ids).tobytes() for e in found), strict=True))
 
     def ids(self, texts: list[str]) -> Iterator[bytes]:
         """The ids of each text as unsigned 32-bit numbers."""
         words = [text.replace("\n", " ").replace("\t", " ").split(" ") for text in texts]
         if len(self.runs) > CACHE:
-            self.runs.clear()
-        self._learn(list(set().union(*words).difference(self.runs)))
+            self.runs = dict(list(self.runs.items())[len(self.runs) // 2 :])
+        self._learn([run for run in set().union(*words) if run not in self.runs])
         known = self.runs.__getitem__
         for some in words:
             yield b"".join(map(known, some))
