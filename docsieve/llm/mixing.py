@@ -11,6 +11,10 @@ from docsieve.llm.common import bucket_bits, running_total, word_count
 from docsieve.session import stored
 
 
+#: Words of a block at most, and blocks of the smallest source at least: a source misses its target by a block or two.
+MOST_BLOCK_WORDS, LEAST_BLOCKS = 32, 50
+
+
 def source_targets(
     sizes: DataFrame, weights: Sequence[float] = (3.0, 1.0, 2.0), share: float = 1.5, most: float = 2.0
 ) -> DataFrame:
@@ -104,14 +108,15 @@ def mix_sources(
     weights: Sequence[float] = (3.0, 1.0, 2.0),
     share: float = 1.5,
     most: int = 2,
-    block_words: int = 32,
+    block_words: int | None = None,
     shards: int = 16,
     seed: int = 42,
 ) -> DataFrame:
     """Choose the words a mix takes of every document; one row per document.
 
     Each source's documents are put in a seeded order and their words form one
-    stream, cut into blocks of ``block_words`` words (the last may be shorter).
+    stream, cut into blocks of ``block_words`` words (the last may be shorter); if not
+    given, of ``MOST_BLOCK_WORDS`` or so many fewer that the smallest source has ``LEAST_BLOCKS``.
     ``apportion`` gives every shard an integer number of the source's blocks.
     The seats of a source, in shard order, take its blocks from a seeded first
     block on, around the stream and again, so that runs of blocks keep
@@ -133,6 +138,9 @@ def mix_sources(
         )
     )
     targets = stored(source_targets(base, weights, share, most))
+    if block_words is None:
+        smallest = targets.where("source_size > 0").agg(F.min("source_size")).first()[0] or 1
+        block_words = max(1, min(MOST_BLOCK_WORDS, smallest // LEAST_BLOCKS))
     quotas = apportion(targets, block_words, shards, most)
     per_source = quotas.groupBy("source").agg(
         F.array_sort(F.collect_list(F.struct("shard", F.col("quota_before").alias("low"), (F.col("quota_before") + F.col("quota")).alias("high")))).alias("seats")
@@ -221,22 +229,23 @@ def mixed_documents(
         .agg(F.max(F.struct("taken", "size", merged.alias("merged"))).alias("__plan"))
         .where(F.col("__plan")["taken"] > 0)
     )
-    matched = docs.join(
+    # The row is boxed, so that its columns may have any names.
+    boxed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("__row"))
+    row = F.col("__row")
+    matched = boxed.join(
         chosen,
-        F.col(f"`{id_col}`").eqNullSafe(F.col("__id"))
-        & (F.xxhash64(F.col(f"`{text_col}`")) == F.col("__key"))
-        & F.col(f"`{source_col}`").eqNullSafe(F.col("__source")),
+        row[id_col].eqNullSafe(F.col("__id")) & (F.xxhash64(row[text_col]) == F.col("__key")) & row[source_col].eqNullSafe(F.col("__source")),
     )
     each = matched.withColumn("__run", F.explode(F.col("__plan")["merged"]))
     whole = (F.col("__run")["start"] == 0) & (F.col("__run")["length"] == F.col("__plan")["size"])
-    text = F.when(whole, F.col(text_col)).otherwise(cut_words(F.col(text_col), F.col("__run")["start"], F.col("__run")["length"]))
+    text = F.when(whole, row[text_col]).otherwise(cut_words(row[text_col], F.col("__run")["start"], F.col("__run")["length"]))
     cut = each.withColumn("__text", text)
     out = []
     for c in docs.columns:
         if c == text_col:
             out.append(F.col("__text").alias(c))
         elif c == count_col:
-            out.append(F.when(whole, F.col(c)).otherwise(F.char_length("__text")).cast(docs.schema[c].dataType).alias(c))
+            out.append(F.when(whole, row[c]).otherwise(F.char_length("__text")).cast(docs.schema[c].dataType).alias(c))
         else:
-            out.append(F.col(f"`{c}`"))
+            out.append(row[c].alias(c))
     return cut.select(*out)
