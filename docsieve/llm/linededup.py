@@ -67,19 +67,34 @@ def drop_repeated_lines(
     Lines end at a line feed and are compared without the spaces around them;
     blank ones take no part, and go where they lie between removed lines.  Texts
     with fewer than three such lines, null and empty ones stay as they are.  Rows
-    equal in id and text are one document.  All columns are kept.
+    equal in id and text are one document and keep their lines or lose them
+    together; of windows at equal places the smaller text hash comes first.  All
+    columns are kept, whatever their names; an empty table gives no rows; long
+    texts are taken whole.
     """
     spans = repeated_spans(docs, id_col=id_col, text_col=text_col).select(
         F.col("id").alias("__span_id"), F.col("key").alias("__span_key"), F.col("spans").alias("__spans")
     )
-    text = F.col(f"`{text_col}`")
-    same = F.col(f"`{id_col}`").eqNullSafe(F.col("__span_id")) & (F.xxhash64(text) == F.col("__span_key"))
-    joined = docs.join(spans, same, "left")
+    # The row is boxed, so that its columns may have any names.
+    boxed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("__row"))
+    row = F.col("__row")
+    text = row[text_col]
+    same = row[id_col].eqNullSafe(F.col("__span_id")) & (F.xxhash64(text) == F.col("__span_key"))
+    joined = boxed.join(spans, same, "left")
     lines = F.split(text, "\n")
-    left = F.filter(lines, lambda _, i: ~F.exists("__spans", lambda s: (s["first"] <= i) & (i <= s["last"])))
+    # Spans are apart and in order, so the lines left are the slices between them.
+    after = F.concat(F.array(F.lit(0)), F.transform("__spans", lambda s: s["last"] + 1))
+    until = F.concat(F.transform("__spans", lambda s: s["first"]), F.array(F.size(lines)))
+    gaps = F.zip_with(after, until, lambda low, high: F.struct(low.alias("low"), high.alias("high")))
+
+    def kept(lines: Column) -> Column:
+        return F.flatten(F.transform(gaps, lambda gap: F.slice(lines, gap["low"] + 1, gap["high"] - gap["low"])))
+
+    # An array of one element is a name for the list of lines.
+    left = F.flatten(F.transform(F.array(lines), kept))
     gone = F.aggregate("__spans", F.lit(0), lambda total, s: total + s["last"] - s["first"] + 1)
     columns = [
-        F.when(F.col("__spans").isNull(), text).otherwise(F.array_join(left, "\n")).alias(c) if c == text_col else F.col(f"`{c}`")
+        F.when(F.col("__spans").isNull(), text).otherwise(F.array_join(left, "\n")).alias(c) if c == text_col else row[c].alias(c)
         for c in docs.columns
         if c != removed_col
     ]
