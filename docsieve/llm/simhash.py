@@ -159,6 +159,8 @@ def first_of_groups(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     order = F.struct(F.col("id").isNull().alias("missing"), F.col("id").alias("id"), F.col("key").alias("key"))
     chosen = groups.groupBy("group").agg(F.min(order).alias("first"))
     keep = chosen.select(F.col("first.id").alias("__keep_id"), F.col("first.key").alias("__keep_key"))
-    marked = docs.withColumns({"__id": F.col(f"`{id_col}`"), "__key": F.xxhash64(F.col(f"`{text_col}`"))})
+    # The row is boxed, so that its columns may have any names.
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("__row")
+    marked = docs.select(row, F.col(f"`{id_col}`").alias("__id"), F.xxhash64(F.col(f"`{text_col}`")).alias("__key"))
     kept = marked.join(keep, F.col("__id").eqNullSafe(F.col("__keep_id")) & (F.col("__key") == F.col("__keep_key")))
-    return kept.dropDuplicates(["__id", "__key"]).select(*[F.col(f"`{c}`") for c in docs.columns])
+    return kept.dropDuplicates(["__id", "__key"]).select(*[F.col("__row")[c].alias(c) for c in docs.columns])
