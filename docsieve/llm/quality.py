@@ -244,24 +244,30 @@ def nearest_languages(docs: DataFrame, references: DataFrame, *, text_col: str =
 
 
 def with_references(docs: DataFrame, settings: QualitySettings, *, text_col: str = "text", lang_col: str = "lang") -> DataFrame:
-    """The documents with ``__reference``, the row of ``language_references`` that each is held against.
+    """The documents and, as the last column, the row of ``language_references`` that each is held against.
 
     That of its language, however small, or where the language is null that of
-    the nearest language; if no document has a language, that of all.
+    the nearest language.  If no document has a language there is none, and the
+    distances are left out: those to a mix of languages would reject clean texts.
     """
-    references = language_references(docs, settings, text_col=text_col, lang_col=lang_col)
-    packed = references.select(F.col("lang").alias("__lang"), F.struct(*references.columns).alias("__reference"))
-    lang = F.col(f"`{lang_col}`").cast("string")
-    languages = references.where("lang is not null")
-    if languages.isEmpty():
-        return docs.join(packed, lang.eqNullSafe(F.col("__lang")), "left").drop("__lang")
-    named = docs.where(lang.isNotNull()).join(packed, lang == F.col("__lang"), "left").drop("__lang")
-    unnamed = docs.where(lang.isNull())
+    name = "__reference"
+    while name in docs.columns:
+        name += "_"
+    references = language_references(docs, settings, text_col=text_col, lang_col=lang_col).where("lang is not null")
+    packed = references.select(F.col("lang").alias("__lang"), F.struct(*references.columns).alias(name))
+    # The row is boxed, so that its columns may have any names.
+    boxed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("__row"))
+    lang = F.col("__row")[lang_col].cast("string")
+    shown = [*[F.col("__row")[c].alias(c) for c in docs.columns], F.col(name)]
+    if references.isEmpty():
+        return boxed.join(packed, lang == F.col("__lang"), "left").select(*shown)
+    unnamed = docs.where(F.col(f"`{lang_col}`").isNull())
     if unnamed.isEmpty():
-        return named
-    near = nearest_languages(unnamed, languages, text_col=text_col)
-    matched = unnamed.join(near, F.md5(F.col(f"`{text_col}`")) == F.col("key"), "left")
-    return named.unionByName(matched.join(packed, F.col("near_lang") == F.col("__lang"), "left").drop("key", "near_lang", "__lang"))
+        return boxed.join(packed, lang == F.col("__lang"), "left").select(*shown)
+    named = boxed.where(lang.isNotNull()).join(packed, lang == F.col("__lang"), "left").select(*shown)
+    near = nearest_languages(unnamed, references, text_col=text_col)
+    matched = boxed.where(lang.isNull()).join(near, F.md5(F.col("__row")[text_col]) == F.col("key"), "left")
+    return named.unionByName(matched.join(packed, F.col("near_lang") == F.col("__lang"), "left").select(*shown))
 
 
 def _references_of(batch: pa.RecordBatch, at: int, seen: dict[str | None, Reference]) -> Iterator[Reference | None]:
@@ -328,7 +334,8 @@ def judged(docs: DataFrame, settings: QualitySettings | None = None, *, id_col:
     that of all documents of the language, by Jensen-Shannon distance; a measure
     counts only for texts as long as its guard, and the allowance falls with the
     root of the length.  Null texts are empty and fail.  Every language has its own
-    reference; null ones are held against the nearest of all languages.  Rows that repeat
+    reference; null ones are held against the nearest of all languages, and where no
+    document has a language the base rules alone decide.  Rows that repeat
     are returned as often; an empty table gives no rows; other columns are ignored.
     """
     settings = settings or QualitySettings()
