@@ -42,7 +42,10 @@ BESIDE_NAMES = frozenset(
     "disqus respond reply replies discussion share sharing social related recommended recommendations pagination pager toolbar masthead "
     "topbar search form skip".split()
 )
-#: Names that are also what an article may be about; inside one, only sparse parts of such a name go.
+#: Names of readers' comments; they count wherever they stand in a token.
+COMMENT_NAMES = frozenset("comment comments commentlist disqus respond".split())
+#: Names that are also what an article may be about; inside one, headings and paragraphs of such a name stay.
+SINGLE_BLOCKS = frozenset("p h1 h2 h3 h4 h5 h6".split())
 AMBIGUOUS_NAMES = frozenset(
     "promotion notice notices cookie cookies consent gdpr privacy alert subscription discussion reply replies share sharing social related "
     "recommended recommendations search form foot rail comment comments overlay sponsor sponsored skip banner".split()
@@ -74,22 +77,26 @@ class Page:
         #: ``(element, text)``; a None text is a break that ends a block, a space one that does not.
         self.pieces: list[tuple[int, str | None]] = []
         stack = [0]
+        #: The depths at which the open elements of each tag lie, so that an end tag without a start costs nothing.
+        open_at: dict[str, list[int]] = {}
         at = 0
 
         def text(raw: str) -> None:
             if raw:
                 self.pieces.append((stack[-1], html.unescape(raw)))
 
+        def deepest(names: set[str] | frozenset[str]) -> int:
+            return max((open_at[name][-1] for name in names if open_at.get(name)), default=0)
+
         def pop_to(names: set[str] | frozenset[str], stops: set[str] | frozenset[str]) -> None:
-            for depth in range(len(stack) - 1, 0, -1):
-                tag = self.tags[stack[depth]]
-                if tag in names:
-                    if any(self.tags[node] in BLOCKS for node in stack[depth:]):
-                        self.pieces.append((stack[depth], None))
-                    del stack[depth:]
-                    return
-                if tag in stops:
-                    return
+            depth = deepest(names)
+            if not depth or deepest(stops) > depth:
+                return
+            if any(self.tags[node] in BLOCKS for node in stack[depth:]):
+                self.pieces.append((stack[depth], None))
+            for node in stack[depth:]:
+                open_at[self.tags[node]].pop()
+            del stack[depth:]
 
         while match := TOKEN.search(source, at):
             text(source[at : match.start()])
@@ -119,6 +126,7 @@ class Page:
                 end = re.compile(rf"</{name}(?=[\s/>]|\Z)[^>]*>?", re.I).search(source, at)
                 at = end.end() if end else len(source)
             elif name not in VOID:
+                open_at.setdefault(name, []).append(len(stack))
                 stack.append(node)
         text(source[at:])
 
@@ -140,7 +148,11 @@ def beside_names(attrs: str) -> set[str]:
     found = set()
     for key, a, b, c in ATTRIBUTE.findall(attrs):
         if key.lower() in ("class", "id"):
-            found.update(head_word(token) for token in html.unescape(a or b or c).split())
+            for token in html.unescape(a or b or c).split():
+                found.add(head_word(token))
+                parts = [part.lower() for part in NAME_PART.findall(token)]
+                if parts and parts[0] not in STATE_WORDS:
+                    found.update(COMMENT_NAMES.intersection(parts))
     return found & BESIDE_NAMES
 
 
@@ -165,22 +177,22 @@ def beside(tag: str, attrs: str, in_article: bool) -> bool:
 def drop_named(page: Page, kept: list[bool], in_article: list[bool]) -> None:
     """Take the parts that class or id names as beside the article out of ``kept``.
 
-    An element stays if it holds every article, main or h1 element of the page, or
-    most of the text outside links of the article around it, or of the page if that
-    has no such element: an advert may be longer than the article.  Inside an article those of ambiguous names
-    stay that have at least half as many such characters per tag as the article.
+    An element stays if it holds every article, main or h1 element of the page, or, but for comments, most of the
+    text outside links of the article around it, or of the page if that has no such element: an advert may be longer
+    than the article.  Inside an article headings and paragraphs of ambiguous names stay.  An article inside another
+    one is looked at for comments only.
     """
     count = len(page.tags)
     named = {
         node: names
         for node in range(1, count)
-        if kept[node] and page.attrs[node] and page.tags[node] not in ("html", "body", "article", "main")
-        and (names := beside_names(page.attrs[node]))
+        if kept[node] and page.attrs[node] and page.tags[node] not in ("html", "body", "main")
+        and (names := beside_names(page.attrs[node])) and (page.tags[node] != "article" or names & COMMENT_NAMES)
     }
     if not named:
         return
     kinds = ("article", "main", "h1")
-    free, tags, in_link = [0] * count, [1] * count, [False] * count
+    free, in_link = [0] * count, [False] * count
     holds = {kind: [0] * count for kind in kinds}
     for node in range(1, count):
         in_link[node] = page.tags[node] == "a" or in_link[page.parents[node]]
@@ -193,7 +205,6 @@ def drop_named(page: Page, kept: list[bool], in_article: list[bool]) -> None:
         if kept[node]:
             parent = page.parents[node]
             free[parent] += free[node]
-            tags[parent] += tags[node]
             for counts in holds.values():
                 counts[parent] += counts[node]
     article = [0] * count
@@ -203,12 +214,14 @@ def drop_named(page: Page, kept: list[bool], in_article: list[bool]) -> None:
         if not kept[parent]:
             kept[node] = False
         elif kept[node] and node in named:
-            around = article[node]
+            around, comments = article[parent], named[node] & COMMENT_NAMES
+            if page.tags[node] == "article" and not around:
+                continue
             whole = any(counts[0] and counts[node] == counts[0] for counts in holds.values())
-            if around or not any(counts[0] for counts in holds.values()):
+            if not comments and (around or not any(counts[0] for counts in holds.values())):
                 whole = whole or 2 * free[node] > free[around]
-            dense = in_article[parent] and 2 * free[node] * tags[around] >= free[around] * tags[node] > 0
-            kept[node] = whole or (dense and named[node] <= AMBIGUOUS_NAMES)
+            single = in_article[parent] and page.tags[node] in SINGLE_BLOCKS and not comments
+            kept[node] = whole or (single and named[node] <= AMBIGUOUS_NAMES)
 
 
 def densities(page: Page, kept: list[bool], body: int) -> tuple[list[float], list[float]]:
