@@ -49,8 +49,8 @@ def op2_mixing(spark: SparkSession, folder: str) -> DataFrame:
 
 def op3_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
     """Sketches of every text and its edited version, and how alike they are."""
-    found = compare_with_edits(table(spark, folder, "documents"))
-    return found.withColumnRenamed("id", "doc_id").drop("edited_out", "edited_in")
+    found = compare_with_edits(table(spark, folder, "documents"), keep_digests=False)
+    return found.withColumnRenamed("id", "doc_id")
 
 
 def op4_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
@@ -160,4 +160,37 @@ kept AS (SELECT doc_id, string_agg(l, chr(10) ORDER BY line_no) AS left_text FRO
 counts AS (SELECT doc_id, count(*) AS c FROM gone GROUP BY doc_id)
 SELECT doc_id, CASE WHEN c IS NULL THEN text ELSE coalesce(left_text, '') END AS text, coalesce(c, 0)::BIGINT AS removed_lines
 FROM d LEFT JOIN kept USING (doc_id) LEFT JOIN counts USING (doc_id)""",
+    "op12_spelling": r"""WITH RECURSIVE bits AS (SELECT list_transform(range(256), lambda i: list_reduce(list_prepend(i::BIGINT, range(8)),
+    lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS t),
+runs AS (SELECT doc_id, translate(unnest(regexp_extract_all(text, '[A-Za-z\x{C0}-\x{FF}]+')),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS run FROM documents),
+pairs AS (SELECT doc_id, run, count(*) AS c, hex(encode(doc_id || ':' || run)) AS x FROM runs GROUP BY doc_id, run),
+marked AS (SELECT run, c, xor(list_reduce(list_prepend(4294967295, list_transform(range(length(x) // 2),
+    lambda i: ('0x' || substr(x, 2 * i::INT + 1, 2))::BIGINT)), lambda s, b: xor(s >> 8, t[(xor(s, b) & 255) + 1])), 4294967295) AS h FROM pairs, bits),
+w AS (SELECT word, sum(c)::BIGINT AS n FROM (SELECT c, CASE WHEN h % 97 = 0
+    THEN substr(run, 1, (h % length(run))::INT) || substr(run, (h % length(run))::INT + 2) ELSE run END AS word FROM marked)
+  WHERE length(word) >= 5 GROUP BY word HAVING sum(c) >= 3),
+skipped AS (SELECT word, n, unnest(list_transform(range(length(word)), lambda i: substr(word, 1, i::INT) || chr(1) || substr(word, i::INT + 2))) AS k FROM w),
+cut AS (SELECT DISTINCT word, n, unnest(list_transform(range(length(word)), lambda i: substr(word, 1, i::INT) || substr(word, i::INT + 2))) AS short FROM w),
+one AS (SELECT a.word AS a, a.n AS na, b.word AS b, b.n AS nb FROM skipped a JOIN skipped b USING (k) WHERE a.word <> b.word
+  UNION ALL SELECT cut.word, cut.n, w.word, w.n FROM cut JOIN w ON w.word = short
+  UNION ALL SELECT w.word, w.n, cut.word, cut.n FROM cut JOIN w ON w.word = short),
+best AS (SELECT a, na, count(*) AS n_near, max(nb) AS top, min(CASE WHEN nb = m THEN b END) AS b
+  FROM (SELECT *, max(nb) OVER (PARTITION BY a) AS m FROM one) GROUP BY a, na),
+forms AS (SELECT word, n, coalesce(n_near, 0) AS n_near, CASE WHEN top >= 2 * n THEN b END AS form, CASE WHEN top >= 2 * n THEN top END AS form_n
+  FROM w LEFT JOIN best ON a = word),
+walk AS (SELECT word, word AS at FROM forms UNION ALL SELECT walk.word, f.form FROM walk JOIN forms f ON f.word = walk.at WHERE f.form IS NOT NULL),
+ends AS (SELECT walk.word, walk.at AS root FROM walk JOIN forms f ON f.word = walk.at WHERE f.form IS NULL)
+SELECT word, form, root, n, n_near::BIGINT AS n_near, form_n::BIGINT AS form_n FROM forms JOIN ends USING (word)""",
+    "op13_ngram_join": r"""WITH RECURSIVE d AS (SELECT doc_id, list_filter(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x20\x09-\x0D]+'), lambda x: x <> '') AS ws FROM documents),
+g AS (SELECT DISTINCT doc_id, unnest(CASE WHEN len(ws) = 0 THEN [] WHEN len(ws) < 3 THEN [array_to_string(ws, ' ')]
+    ELSE list_transform(range(len(ws) - 2), lambda i: ws[i + 1] || ' ' || ws[i + 2] || ' ' || ws[i + 3]) END) AS gram FROM d),
+sizes AS (SELECT doc_id, count(*) AS n FROM g GROUP BY doc_id),
+links AS (SELECT x.doc_id AS a, y.doc_id AS b FROM g x JOIN g y USING (gram) JOIN sizes sx ON sx.doc_id = x.doc_id JOIN sizes sy ON sy.doc_id = y.doc_id
+  WHERE x.doc_id <> y.doc_id AND 10 * sx.n >= 9 * sy.n AND 10 * sy.n >= 9 * sx.n
+  GROUP BY x.doc_id, y.doc_id, sx.n, sy.n HAVING 100 * count(*) >= 90 * (sx.n + sy.n - count(*))),
+reach AS (SELECT doc_id AS a, doc_id AS b FROM documents UNION SELECT reach.a, links.b FROM reach JOIN links ON links.a = reach.b)
+SELECT d.doc_id, coalesce(n, 0)::BIGINT AS n_shingles, (SELECT min(b) FROM reach WHERE reach.a = d.doc_id) AS component_id
+FROM d LEFT JOIN sizes USING (doc_id)""",
 }

@@ -195,3 +195,26 @@ def test_target_bytes_set_the_shards_and_few_rows_leave_some_empty(spark):
     assert len({r["shard"] for r in kd_shards(docs, target_bytes=2500).collect()}) == 4
     assert {r["slot"] for r in kd_shards(docs.limit(2), shards=40).collect()} == {0}
     assert kd_shards(docs.limit(0), shards=40).count() == 0
+
+
+def test_small_sources_come_near_their_targets(spark):
+    sizes = {"a": 5, "b": 10, "c": 20, "d": 50, "e": 20_000, "f": 333}
+    rows = [(i * 100 + k, " ".join(f"w{j}" for j in range(min(40, n - 40 * k))), s, "x", "x") for i, (s, n) in enumerate(sizes.items()) for k in range(-(-n // 40))]
+    found = mixing.mix_sources(spark.createDataFrame(rows, DOC_SCHEMA)).collect()
+    taken, target = Counter(), {}
+    for r in found:
+        taken[r["source"]] += r["taken"]
+        target[r["source"]] = r["target"]
+    assert all(abs(taken[s] - target[s]) <= 2 for s in sizes)
+
+
+def test_mixed_rows_keep_columns_of_any_name(spark):
+    names = ["__row", "__id", "__key", "__plan", "__run", "__text", "runs", "id", "size", "taken"]
+    docs = spark.createDataFrame(mixed_rows(), DOC_SCHEMA)
+    clashing = docs.withColumns({name: F.concat(F.lit(name), F.col("doc_id").cast("string")) for name in names})
+    out = mixing.mixed_documents(clashing, mixing.mix_sources(clashing))
+    plain = mixing.mixed_documents(docs, mixing.mix_sources(docs))
+    assert out.columns == clashing.columns
+    key = lambda r: (r["doc_id"], r["source"] or "", r["text"])
+    assert sorted(map(key, out.collect())) == sorted(map(key, plain.collect()))
+    assert out.where(F.col("__run") != F.concat(F.lit("__run"), F.col("doc_id").cast("string"))).count() == 0

@@ -203,3 +203,50 @@ def test_running_total_by_group(spark):
     for r in sorted(found, key=lambda r: r["h"] % 2**64):
         assert r["before"] == sums[r["g"]]
         sums[r["g"]] += r["v"]
+
+
+def test_rows_keep_columns_of_any_name(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    names = ["__spans", "__span_id", "__row", "__id", "__key", "id", "key", "spans", "fp", "group"]
+    clashing = docs.withColumns({name: F.concat(F.lit(name), F.col("doc_id").cast("string")) for name in names})
+    for stage in (linededup.drop_repeated_lines, simhash.first_of_groups):
+        found, plain = stage(clashing), stage(docs)
+        assert [c for c in found.columns if c != "removed_lines"] == clashing.columns
+        rows = {r["doc_id"]: r for r in found.collect()}
+        assert {i: r["text"] for i, r in rows.items()} == {r["doc_id"]: r["text"] for r in plain.collect()}
+        assert all(r[c] == f"{c}{i}" for i, r in rows.items() for c in names)
+
+
+def test_many_spans_in_one_long_document(spark):
+    draw = random.Random(4)
+    lines = [f"line {i} of the long one" for i in range(4000)]
+    repeated = [at for at in range(0, 4000, 8) if draw.random() < 0.5]
+    rows = [(1, "\n".join(f"{lines[at + k]}" if k < 4 else f"other {at} {k}" for at in repeated for k in range(6))), (2, "\n".join(lines))]
+    found = {r["doc_id"]: r for r in linededup.drop_repeated_lines(docs_of(spark, rows)).collect()}
+    gone = {line for at in repeated for line in lines[at : at + 4]}
+    assert found[2]["text"].split("\n") == [line for line in lines if line not in gone]
+    assert found[2]["removed_lines"] == len(gone) and found[1]["removed_lines"] == 0
+
+
+def test_sketches_without_digests_give_the_same_likeness(spark):
+    draw = random.Random(5)
+    rows = [(i, "\n".join(f"line {draw.randrange(90)}" for _ in range(draw.choice([0, 2, 30, 200])))) for i in range(40)]
+    names = ("id", "fingerprint", "edited_fingerprint", "near_edited", "near_next")
+    whole, counted = (iblt.compare_with_edits(docs_of(spark, rows), keep_digests=keep) for keep in (True, False))
+    assert "edited_out" in whole.columns and "edited_out" not in counted.columns
+    assert sorted(tuple(r[c] for c in names) for r in whole.collect()) == sorted(tuple(r[c] for c in names) for r in counted.collect())
+
+
+def test_pairs_that_stay_stuck_are_tried_again(spark, monkeypatch):
+    draw = random.Random(6)
+    rows = [(i, 0, [draw.getrandbits(62) for _ in range(n)], [draw.getrandbits(62) for _ in range(n)]) for i, n in enumerate([1, 5, 40, 300])]
+    common = [draw.getrandbits(62) for _ in range(50)]
+    rows = [(i, p, left + common, common + right) for i, p, left, right in rows]
+    pairs = spark.createDataFrame(rows, "row bigint, pair int, left array<bigint>, right array<bigint>")
+    monkeypatch.setattr(iblt, "SWEEPS", 1)
+    for levels in (iblt.LEVELS, 0):
+        monkeypatch.setattr(iblt, "LEVELS", levels)
+        found = {r["row"]: r for r in iblt.compare_pairs(pairs).collect()}
+        assert all(set(found[i]["only_left"]) == set(a) - set(b) and set(found[i]["only_right"]) == set(b) - set(a) for i, _, a, b in rows)
+        counts = {r["row"]: (r["only_left"], r["only_right"]) for r in iblt.compare_pairs(pairs, keep_digests=False).collect()}
+        assert counts == {i: (len(set(a) - set(b)), len(set(b) - set(a))) for i, _, a, b in rows}

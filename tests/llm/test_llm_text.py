@@ -1,5 +1,6 @@
 """Packing, quality rules, token counts, main text."""
 
+import math
 import random
 import re
 import zlib
@@ -7,6 +8,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from docsieve.llm import htmltext, packing, quality, tokencounts
 from docsieve.session import ship_package
@@ -267,3 +269,118 @@ def test_small_and_null_languages_keep_clean_texts(spark):
     assert {r["doc_id"] for r in quality.kept_documents(docs).collect()} == set(found) - {3000}
     near = quality.nearest_languages(docs.where("lang is null"), quality.language_references(docs, quality.QualitySettings()).where("lang is not null"))
     assert sorted(r["near_lang"] for r in near.collect())[-4:] == ["es"] * 4
+
+
+PARAGRAPHS = "".join(f"<p>Paragraph {i} of the article says something about its subject.</p>" for i in range(6))
+READERS = "".join(f"<p>Reader {i} writes a long and lively remark about what the article has said.</p>" for i in range(12))
+
+
+@pytest.mark.parametrize("tag", ["article", "main"])
+@pytest.mark.parametrize(
+    "part",
+    [
+        "<div id='comments'>{}</div>", "<section class=comments>{}</section>", "<ol class=comment-list>{}</ol>", "<div class='comment-thread'>{}</div>",
+        "<div class='post-commentsArea wide'>{}</div>", "<div id=comments><article class='comment depth-2'>{}</article></div>", "<article class=comment>{}</article>",
+    ],
+)
+def test_comments_inside_an_article_go_however_long(tag, part):
+    page = f"<body><nav>Menu</nav><{tag}><h1>Head</h1>{PARAGRAPHS}{part.format(READERS)}</{tag}><footer>Foot</footer></body>"
+    assert htmltext.main_text(page).split("\n") == ["Head", *[f"Paragraph {i} of the article says something about its subject." for i in range(6)]]
+    beside = f"<body><div class=post><h1>Head</h1>{PARAGRAPHS}</div>{part.format(READERS)}</body>"
+    assert "Reader" not in htmltext.main_text(beside) and "Paragraph 5" in htmltext.main_text(beside)
+
+
+@pytest.mark.parametrize("name", ["notice", "cookie-notice", "sponsored", "related", "related-links", "search", "recommended", "ad-slot", "newsletter", "privacy"])
+def test_named_parts_inside_an_article_go_but_single_blocks_stay(name):
+    part = f"<div class='{name}'><p>Quite ordinary words, as dense as any of the article, which say what nobody asked.</p></div>"
+    text = htmltext.main_text(f"<body><article>{PARAGRAPHS}{part}<p>The end.</p></article></body>")
+    assert "nobody" not in text and text.endswith("The end.") and text.count("Paragraph") == 6
+    if name in htmltext.AMBIGUOUS_NAMES:
+        assert "Its own" in htmltext.main_text(f"<body><article>{PARAGRAPHS}<p class='{name}'>Its own words.</p></article></body>")
+
+
+def test_end_tags_without_a_start_cost_nothing():
+    import time
+
+    seconds = []
+    for n in (4_000, 16_000):
+        page = "<div>" * n + "deep" + "</b>" * n + "</span></i>" * n
+        start = time.process_time()
+        assert htmltext.main_text(page) == "deep"
+        seconds.append(time.process_time() - start)
+    # Four times the tags take about four times as long, and nowhere near sixteen times.
+    assert seconds[1] < 9 * seconds[0] + 0.5
+
+
+def plain_densities(page, kept, body):
+    """Composite text density by its formula, every element's subtree looked through anew."""
+    count = len(page.tags)
+
+    def inside(node, top):
+        while node not in (top, -1):
+            node = page.parents[node]
+        return node == top
+
+    def in_link(node):
+        while node > 0:
+            if page.tags[node] == "a":
+                return True
+            node = page.parents[node]
+        return False
+
+    def measures(top):
+        below = [n for n in range(1, count) if n != top and kept[n] and inside(n, top)]
+        pieces = [("".join(p.split()), n) for n, p in page.pieces if p and kept[n] and (inside(n, top))]
+        return sum(len(p) for p, _ in pieces), sum(len(p) for p, n in pieces if in_link(n)), len(below), sum(page.tags[n] == "a" for n in below)
+
+    chars, link_chars, *_ = measures(body)
+    shared = link_chars / max(1, chars)
+    density = []
+    for node in range(count):
+        c, lc, t, lt = measures(node) if kept[node] else (0, 0, 0, 0)
+        if not c:
+            density.append(0.0)
+            continue
+        base = math.log(c / max(1, c - lc) * lc + shared * c + math.e)
+        density.append(c / max(1, t) * max(0.0, math.log(max(1.0, c / max(1, lc) * max(1, t) / max(1, lt))) / base))
+    return density, [sum(density[n] for n in range(1, count) if page.parents[n] == top) for top in range(count)]
+
+
+def test_densities_follow_the_formula():
+    draw = random.Random(8)
+    for _ in range(25):
+        parts = [draw.choice(["<div>", "</div>", "<p>words here", "</p>", "<a href=x>link", "</a>", "<ul><li>", "</ul>", "some text "]) for _ in range(60)]
+        page = htmltext.Page("<body>" + "".join(parts))
+        kept = [n == 0 or draw.random() > 0.1 for n in range(len(page.tags))]
+        for node in range(1, len(kept)):
+            kept[node] = kept[node] and kept[page.parents[node]]
+        found = htmltext.densities(page, kept, 1)
+        expected = plain_densities(page, kept, 1)
+        assert found[0] == pytest.approx(expected[0]) and found[1] == pytest.approx(expected[1])
+
+
+def test_pages_of_an_empty_table(spark):
+    empty = spark.createDataFrame([], "page_id bigint, url string, html string")
+    assert htmltext.extract_main_text(empty).count() == 0
+
+
+def test_without_any_language_the_base_rules_decide(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").withColumn("lang", F.lit(None).cast("string"))
+    rows = quality.judged(docs).collect()
+    assert all(r["kept"] == (not r["base_failed"]) for r in rows)
+    assert quality.kept_documents(docs).count() == sum(r["kept"] for r in rows)
+
+
+CLASHES = ["key", "near_lang", "__lang", "__reference", "__row", "id", "lines"]
+
+
+def test_quality_rules_keep_columns_of_any_name(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    docs = docs.withColumn("lang", F.when(F.col("doc_id") % 3 > 0, F.col("lang")))
+    plain = {r["doc_id"] for r in quality.kept_documents(docs).collect()}
+    clashing = docs.withColumns({name: F.concat(F.lit(name), F.col("doc_id").cast("string")) for name in CLASHES})
+    kept = quality.kept_documents(clashing)
+    assert kept.columns == clashing.columns
+    rows = kept.collect()
+    assert {r["doc_id"] for r in rows} == plain and all(r[c] == f"{c}{r['doc_id']}" for r in rows for c in CLASHES)
+    assert quality.judged(clashing).count() == docs.count()
