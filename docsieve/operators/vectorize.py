@@ -11,14 +11,13 @@ from pyspark.sql.window import Window
 
 from docsieve.functions import patterns as P
 from docsieve.functions.lists import char_wb_ngrams, count_items, word_ngrams
-from docsieve.session import settle, stored
+from docsieve.session import broadcast_if_small, settle, stored
 
 # Model names and their aliases.
 MODELS = ("tfidf", "bow", "tfidf_lsa_dense")
 MODEL_ALIASES = {"tfidf_svd_dense": "tfidf_lsa_dense"}
 
 # Tables up to this many vocabulary rows are sent to every task (a few MB).
-BROADCAST_TERMS = 100_000
 
 
 def model_name(name: str) -> str:
@@ -104,12 +103,11 @@ def vocabulary(counts: DataFrame, document_count: int, settings: VectorizerSetti
 def with_vocabulary(counts: DataFrame, vocab: DataFrame, settings: VectorizerSettings) -> DataFrame:
     """Keep the vocabulary's terms.
 
-    A capped vocabulary is broadcast, which leaves the large count table where
-    it is; an uncapped one is joined by shuffle and adaptive execution splits
+    A vocabulary of few bytes is broadcast, which leaves the large count table
+    where it is; a larger one is joined by shuffle and adaptive execution splits
     the frequent terms.
     """
-    small = settings.max_features is not None and settings.max_features <= BROADCAST_TERMS
-    return counts.join(F.broadcast(vocab) if small else vocab, "term")
+    return counts.join(broadcast_if_small(vocab, 96 + F.length("term")), "term")
 
 
 def bag_of_words(counts: DataFrame, vocab: DataFrame, settings: VectorizerSettings, id_col: str = "doc_id") -> DataFrame:

@@ -7,7 +7,8 @@ import tempfile
 import uuid
 import zipfile
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 PACKAGE = os.path.dirname(os.path.abspath(__file__))
@@ -90,6 +91,20 @@ def settle(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+#: Bytes of a table that every task may hold beside its own rows.
+BROADCAST_BYTES = 64 << 20
+
+
+def broadcast_if_small(df: DataFrame, row_bytes: Column | int = 64, most: int = BROADCAST_BYTES) -> DataFrame:
+    """``df``, stored, marked for broadcast if its rows, by their number and the bytes given for each, take at most ``most`` bytes.
+
+    A larger table joins by shuffle as ever; the rows are the same either way.
+    """
+    kept = stored(df)
+    size = kept.agg(F.sum(row_bytes if isinstance(row_bytes, Column) else F.lit(row_bytes)).alias("size")).first()["size"] or 0
+    return F.broadcast(kept) if size <= most else kept
+
+
 def shuffle_width(spark: SparkSession) -> int:
     """Number of partitions the session uses for a shuffle."""
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
