@@ -21,6 +21,7 @@ class CleaningSettings:
     remove_non_alphanumeric: bool = True
     preserve_structure_markers: bool = False
     use_lemmatization: bool = True
+    use_stemming_fallback: bool = False
     extra_stop_words: frozenset[str] = frozenset()
     stop_words: tuple[str, ...] = P.ENGLISH_STOP_WORDS
 
@@ -83,9 +84,11 @@ def strip_plural(token: Column) -> Column:
 def normalize(text: Column, settings: CleaningSettings) -> Column:
     """One normalised text value, with the built-in plural rule as morphology.
 
-    Lemma tables and stemmers need a join and live in
+    Lemma tables and stemmers, the fallback too, need a join and live in
     :func:`docsieve.operators.normalize.normalize_with_lexicon`.
     """
+    if settings.use_stemming_fallback:
+        raise ValueError("Stems need a join; use normalize_with_lexicon or text_views.")
     tokens = clean_tokens(text, settings)
     if settings.use_lemmatization:
         tokens = F.transform(tokens, strip_plural)

@@ -7,7 +7,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.ml.clustering import KMeans, PowerIterationClustering
+from pyspark.ml.clustering import KMeans
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame
@@ -15,9 +15,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from docsieve.operators.hierarchy import FINISH, MergeTree
-from docsieve.operators.neighbors import affinity_graph
-from docsieve.operators.ranking import global_rank
-from docsieve.operators.silhouette import silhouette
+from docsieve.operators.neighbors import Search, nearest_neighbors
+from docsieve.operators.silhouette import silhouette, silhouette_runs
+from docsieve.operators.spectral import spectral_embedding
 from docsieve.session import settle
 
 # Cluster counts tried when none is given.
@@ -102,15 +102,17 @@ def choose_clustering(
     usable = usable_counts(candidates, rows)
     if not usable:
         return cluster(2 if rows >= 2 else 1)
-    best, best_score = None, -1.0
+    fitted = {k: cluster(k) for k in usable}
+    if metric == "euclidean":
+        scores = silhouette_runs(points, {k: found.labels for k, found in fitted.items()}, id_col, vector_col)
+    else:
+        several = {k: found for k, found in fitted.items() if found.labels.select("label").distinct().count() > 1}
+        scores = {k: silhouette(points.join(found.labels, id_col), "label", id_col, vector_col, metric) for k, found in several.items()}
+    best, best_score = fitted[usable[0]], -1.0
     for k in usable:
-        fitted = cluster(k)
-        best = best or fitted
-        if fitted.labels.select("label").distinct().count() <= 1:
-            continue
-        score = silhouette(points.join(fitted.labels, id_col), "label", id_col, vector_col, metric)
-        if score > best_score:
-            best, best_score = fitted, score
+        score = scores.get(k)
+        if score is not None and score > best_score:
+            best, best_score = fitted[k], score
     return best
 
 
@@ -147,6 +149,11 @@ class Agglomerative:
     def cut(self, k: int) -> Clustering:
         return Clustering(self.tree.cut(k), k)
 
+    def cuts(self, counts: Sequence[int]) -> dict[int, Clustering]:
+        """All counts from one pass over the rows."""
+        rows = settle(self.tree.cuts(counts))
+        return {k: Clustering(rows.where(F.col("k") == k).drop("k"), k) for k in counts}
+
 
 def cluster_agglomerative(
     points: DataFrame,
@@ -168,32 +175,14 @@ def spectral(
     points: DataFrame,
     k: int,
     neighbors: int = 6,
-    max_iter: int = 20,
+    seed: int = 42,
     id_col: str = "doc_id",
     vector_col: str = "features",
+    search: Search = nearest_neighbors,
 ) -> Clustering:
-    """Power iteration clustering of the neighbour graph.
-
-    A one-dimensional relative of spectral clustering (Lin and Cohen 2010): its
-    groups approximate those of a full spectral embedding.
-    """
-    numbered = global_rank(points.select(id_col), [id_col], "node", start=0)
-    edges = affinity_graph(points, neighbors, id_col, vector_col)
-    ends = {
-        name: numbered.select(F.col(id_col).alias(name), F.col("node").alias(f"{name}_node")) for name in ("src", "dst")
-    }
-    graph = (
-        edges.where("src < dst")
-        .join(ends["src"], "src")
-        .join(ends["dst"], "dst")
-        .select(F.col("src_node").alias("src"), F.col("dst_node").alias("dst"), "weight")
-    )
-    assigned = (
-        PowerIterationClustering(k=k, maxIter=max_iter, initMode="degree", weightCol="weight")
-        .assignClusters(settle(graph))
-        .select(F.col("id").alias("node"), F.col("cluster").alias("label"))
-    )
-    return Clustering(settle(numbered.join(assigned, "node").select(id_col, "label")), k)
+    """K-means on the spectral embedding of the neighbour graph in ``k`` dimensions."""
+    embedded = settle(spectral_embedding(points, k, neighbors, seed, id_col, vector_col, search))
+    return Clustering(kmeans(embedded, k, seed, id_col, "features").labels, k)
 
 
 def cluster_output(points: DataFrame, labels: DataFrame, id_col: str = "doc_id") -> DataFrame:

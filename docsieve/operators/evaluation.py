@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
+from functools import reduce
 
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
@@ -13,7 +14,8 @@ from pyspark.sql.window import Window
 from docsieve.functions.cleaning import snippet
 from docsieve.operators.clustering import Clustering
 from docsieve.operators.lookup import attach_text
-from docsieve.operators.silhouette import silhouette
+from docsieve.operators.silhouette import silhouette, silhouette_runs
+from docsieve.session import broadcast_if_small
 
 # Sums differ in their last bits with the order of addition; ranks ignore those.
 TIE_DIGITS = 12
@@ -39,24 +41,43 @@ def method_sweep(
     id_col: str = "doc_id",
     vector_col: str = "features",
     metric: str = "euclidean",
+    tolerated: Sequence[str] = ("spectral",),
 ) -> tuple[DataFrame, dict[tuple[str, int], DataFrame]]:
     """One metric row per method and count, and the labels of each run.
 
-    A run that fails becomes a row without a score and with the error text.
+    All Euclidean scores come from one pass over the distances.  A run of a ``tolerated`` method that fails becomes a
+    row without a score and with the error text; other methods raise.  A run with one label has no score.
     """
     points = points.select(id_col, vector_col)
-    rows, labels = [], {}
+    labels, failed = {}, {}
     for k in counts:
         for name, run in methods.items():
             try:
-                found = run(k).labels
-                score = silhouette(points.join(found, id_col), "label", id_col, vector_col, metric)
-                largest = found.groupBy("label").count().agg(F.max("count")).first()[0]
-                fits = largest <= max_size if inclusive else largest < max_size
-                rows.append((name, k, score, largest, fits, None))
-                labels[(name, k)] = found
-            except Exception as problem:  # noqa: BLE001  (any failed run is reported, not raised)
-                rows.append((name, k, None, None, False, str(problem).splitlines()[0]))
+                labels[(name, k)] = run(k).labels
+            except Exception as problem:  # noqa: BLE001  (reported for the methods named, raised for others)
+                if name not in tolerated:
+                    raise
+                failed[(name, k)] = str(problem).splitlines()[0]
+    if metric == "euclidean":
+        scores = silhouette_runs(points, labels, id_col, vector_col) if labels else {}
+    else:
+        scores = {key: silhouette(points.join(found, id_col), "label", id_col, vector_col, metric) for key, found in labels.items()}
+    largest_of = {}
+    if labels:
+        tagged = [found.select(F.lit(name).alias("method"), F.lit(k).alias("k"), "label") for (name, k), found in labels.items()]
+        sizes = reduce(DataFrame.unionByName, tagged).groupBy("method", "k", "label").count()
+        # One row per run.
+        largest_of = {(r["method"], r["k"]): r["n"] for r in sizes.groupBy("method", "k").agg(F.max("count").alias("n")).collect()}
+    rows = []
+    for k in counts:
+        for name in methods:
+            key = (name, k)
+            if key in failed:
+                rows.append((name, k, None, None, False, failed[key]))
+                continue
+            largest = largest_of[key]
+            fits = largest <= max_size if inclusive else largest < max_size
+            rows.append((name, k, scores[key], largest, fits, None if scores[key] is not None else "one label only"))
     return points.sparkSession.createDataFrame(rows, METRIC_SCHEMA), labels
 
 
@@ -158,14 +179,14 @@ def representative_documents(
 ) -> DataFrame:
     """The documents nearest to each cluster mean by cosine distance, with snippets if ``docs`` is given.
 
-    The means are one row per cluster; adaptive execution sees their size and
-    broadcasts them when they are small.
+    The means are one row per cluster and go to every task if their bytes are few,
+    so the vectors are not shuffled by label.
     """
     labelled = points.select(id_col, F.col(vector_col).cast("array<double>").alias("_v")).join(
         labels.select(id_col, label_col), id_col
     )
     means = labelled.groupBy(label_col).agg(vector_to_array(Summarizer.mean(array_to_vector("_v"))).alias("_mean"))
-    scored = labelled.join(means, label_col).withColumn(
+    scored = labelled.join(broadcast_if_small(means, 8 * F.size("_mean") + 64), label_col).withColumn(
         "distance_to_centroid", cosine_distance(F.col("_v"), F.col("_mean"))
     )
     order = Window.partitionBy(label_col).orderBy(F.round("distance_to_centroid", TIE_DIGITS), id_col)
@@ -191,7 +212,11 @@ def sparse_representatives(
     label_col: str = "label",
     text_col: str = "text",
 ) -> DataFrame:
-    """The same over long-form weights of unit row length, without making them dense."""
+    """The same over long-form weights of unit row length, without making them dense.
+
+    The means have a row for each term of a cluster and go to every task if their bytes are few, so the weights are
+    shuffled by document once and not by label and term.
+    """
     labelled = weights.select(id_col, "term", "weight").join(labels.select(id_col, label_col), id_col)
     sizes = labels.groupBy(label_col).agg(F.count(F.lit(1)).alias("_size"))
     means = (
@@ -200,6 +225,7 @@ def sparse_representatives(
         .join(sizes, label_col)
         .select(label_col, "term", (F.col("_sum") / F.col("_size")).alias("_mean"))
     )
+    means = broadcast_if_small(means, 96 + F.length("term"))
     lengths = means.groupBy(label_col).agg(F.sqrt(F.sum(F.col("_mean") * F.col("_mean"))).alias("_length"))
     dots = labelled.join(means, [label_col, "term"]).groupBy(id_col).agg(F.sum(F.col("weight") * F.col("_mean")).alias("_dot"))
     scored = (

@@ -1,39 +1,43 @@
-"""Latent semantic projection: a distributed randomised SVD of the TF-IDF table."""
+"""Latent semantic projection: a distributed truncated SVD of the TF-IDF table."""
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark import TaskContext
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from docsieve.session import settle
+from docsieve.operators.tall import BLOCK, FAN_IN, Tall, leading_eigenvectors, random_tall, start_width
+from docsieve.session import settle, shuffle_width
 
-OVERSAMPLING = 10
-POWER_PASSES = 5
-# Terms per partial result and partial results added up by one task.
-TERM_BLOCK = 512
-FAN_IN = 16
-# Documents laid out at a time as a dense matrix over the terms they use.
-DENSE_ROWS = 64
+#: Relative residual at which the singular vectors count as settled; the error of the values goes with its square.
+TOLERANCE = 1e-3
+# Documents laid out at a time as a dense matrix over the terms they use, and documents of one part at most, about.
+DENSE_ROWS, PART_ROWS = 64, 50_000
 
 
 @dataclass(frozen=True)
 class Projection:
-    """Right singular vectors (terms by dimensions) and singular values."""
+    """Right singular vectors as a tall matrix of terms by dimensions, singular values and relative residuals."""
 
-    components: np.ndarray
+    vectors: Tall
     singular_values: np.ndarray
+    residuals: np.ndarray
 
     @property
     def dimension(self) -> int:
-        return self.components.shape[1]
+        return len(self.singular_values)
+
+    def matrix(self) -> np.ndarray:
+        """The vectors on the driver, for a look at small ones."""
+        rows = self.vectors.table.orderBy("block").collect()
+        return np.vstack([np.frombuffer(r["data"]).reshape(-1, self.dimension) for r in rows])
 
 
 def pack_rows(weights: DataFrame, id_col: str = "doc_id") -> DataFrame:
@@ -65,80 +69,97 @@ def _dense_blocks(batch: pa.RecordBatch) -> Iterator[tuple[np.ndarray, np.ndarra
         yield terms, dense
 
 
-def _gram_product(packed: DataFrame, basis: np.ndarray) -> np.ndarray:
-    """``A' A Q`` for the packed rows A and a basis Q.
+def _with_matrix(parted: DataFrame, parts: int, matrix: Tall, work: Callable[[pa.Table, np.ndarray], pa.Table], schema: str) -> DataFrame:
+    """``work`` on every part of the rows and the whole matrix, whose blocks are sent once to each part.
 
-    Q has a row per vocabulary term, which is capped, so broadcasting it is
-    bounded.  Each task adds its rows into one matrix and hands it on in blocks
-    of terms; the blocks are added up ``FAN_IN`` at a time by parallel tasks.
+    A matrix has a row per vocabulary term, which is capped, so a task's share is bounded.
     """
-    spark = packed.sparkSession
-    shared = spark.sparkContext.broadcast(basis)
-    width = basis.shape[1]
-
-    def multiply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        right = shared.value
-        total = np.zeros_like(right)
-        touched = False
-        for batch in batches:
-            for terms, dense in _dense_blocks(batch):
-                total[terms] += dense.T @ (dense @ right[terms])
-                touched = True
-        if touched:
-            part = TaskContext.get().partitionId()
-            for block, start in enumerate(range(0, len(total), TERM_BLOCK)):
-                piece = total[start : start + TERM_BLOCK]
-                if piece.any():
-                    columns = [pa.array([block], pa.int32()), pa.array([part], pa.int32()), pa.array([piece.tobytes()], pa.binary())]
-                    yield pa.RecordBatch.from_arrays(columns, ["block", "part", "data"])
-
-    def add(pieces: pd.DataFrame) -> pd.DataFrame:
-        total = sum(np.frombuffer(data) for data in pieces["data"])
-        return pd.DataFrame(
-            {"block": pieces["block"][:1], "part": pieces["part"][:1] // FAN_IN, "data": [total.tobytes()]}
-        )
+    every, width = F.explode(F.sequence(F.lit(0), F.lit(parts - 1))).alias("part"), matrix.width
+
+    def run(rows: pa.Table, blocks: pa.Table) -> pa.Table:
+        order = np.argsort(blocks.column("block").to_numpy())
+        data = blocks.column("data").to_pylist()
+        return work(rows, np.vstack([np.frombuffer(data[at]).reshape(-1, width) for at in order]))
+
+    sent = matrix.table.select(every, "block", "data").repartition(parts, "part")
+    return parted.groupBy("part").cogroup(sent.groupBy("part")).applyInArrow(run, schema)
+
+
+def gram_operator(parted: DataFrame, parts: int) -> Callable[[Tall], DataFrame]:
+    """``X -> A' A X`` for the packed rows A in parts; X is a tall matrix over the terms, the result its blocks."""
+    pieces = "block int, part int, data binary"
+
+    def apply(matrix: Tall) -> DataFrame:
+        def multiply(rows: pa.Table, right: np.ndarray) -> pa.Table:
+            total = np.zeros_like(right)
+            for batch in rows.to_batches():
+                for terms, dense in _dense_blocks(batch):
+                    total[terms] += dense.T @ (dense @ right[terms])
+            part = rows.column("part")[0].as_py() if rows.num_rows else -1
+            starts = range(0, len(total), BLOCK) if rows.num_rows else []
+            data = [total[at : at + BLOCK].tobytes() for at in starts]
+            columns = [pa.array(range(len(data)), pa.int32()), pa.array([part] * len(data), pa.int32()), pa.array(data, pa.binary())]
+            return pa.table(columns, ["block", "part", "data"])
 
-    schema = "block int, part int, data binary"
-    parts = packed.rdd.getNumPartitions()
-    pieces = packed.select("ids", "values").mapInArrow(multiply, schema)
-    while parts > 1:
-        pieces = pieces.groupBy("block", F.floor(F.col("part") / FAN_IN).alias("_group")).applyInPandas(add, schema)
-        parts = -(-parts // FAN_IN)
-    product = np.zeros_like(basis)
-    for row in pieces.collect():
-        start = row["block"] * TERM_BLOCK
-        product[start : start + TERM_BLOCK] += np.frombuffer(row["data"]).reshape(-1, width)
-    shared.unpersist()
-    return product
+        def add(group: pd.DataFrame) -> pd.DataFrame:
+            total = sum(np.frombuffer(data) for data in group["data"])
+            return pd.DataFrame({"block": group["block"][:1], "part": group["part"][:1] // FAN_IN, "data": [total.tobytes()]})
+
+        found, left = _with_matrix(parted, parts, matrix, multiply, pieces), parts
+        while True:
+            found = found.groupBy("block", F.floor(F.col("part") / FAN_IN).alias("_group")).applyInPandas(add, pieces)
+            if left <= FAN_IN:
+                return found.select("block", "data")
+            left = -(-left // FAN_IN)
+
+    return apply
+
+
+def _parted(packed: DataFrame, id_col: str, rows: int) -> tuple[DataFrame, int]:
+    """The packed rows dealt to parts by id, and the number of parts."""
+    parts = max(1, -(-rows // PART_ROWS), min(shuffle_width(packed.sparkSession), -(-rows // BLOCK)))
+    part = F.pmod(F.xxhash64(id_col), F.lit(parts)).cast("int")
+    return packed.withColumn("part", part).repartition(parts, "part"), parts
 
 
 def fit_projection(
-    weights: DataFrame, dimension: int, seed: int = 42, id_col: str = "doc_id", terms: int | None = None
+    weights: DataFrame, dimension: int, seed: int = 42, id_col: str = "doc_id", terms: int | None = None, tolerance: float = TOLERANCE
 ) -> Projection:
     """Leading right singular vectors of the (uncentred) weight table.
 
-    Randomised subspace iteration: a random basis is multiplied by ``A'A`` a few
-    times and made orthonormal in between; the small matrix ``Q'A'AQ`` then
-    gives singular values and vectors.  The largest loading of each component
-    is made positive.
+    Block Lanczos on ``A'A`` from a random block, until the residuals of all wanted vectors are under ``tolerance``
+    times the largest eigenvalue.  The basis stays in blocks of terms; the driver sees matrices of dimensions by
+    dimensions.  A table of lower rank has fewer dimensions.  The largest loading of each component is made positive.
     """
     packed = settle(pack_rows(weights, id_col))
-    top = packed.agg(F.max(F.array_max("ids")).alias("top")).first()["top"]
-    width = terms or (0 if top is None else int(top) + 1)
-    if width == 0:
+    about = packed.agg(F.max(F.array_max("ids")).alias("top"), F.count(F.lit(1)).alias("n")).first()
+    total = terms or (0 if about["top"] is None else int(about["top"]) + 1)
+    if total == 0:
         raise ValueError("No terms are left to project.")
-    kept = min(dimension, max(1, width - 1))
-    columns = min(width, kept + OVERSAMPLING)
-    basis, _ = np.linalg.qr(np.random.default_rng(seed).standard_normal((width, columns)))
-    for _ in range(POWER_PASSES):
-        basis, _ = np.linalg.qr(_gram_product(packed, basis))
-    small = basis.T @ _gram_product(packed, basis)
-    values, rotation = np.linalg.eigh((small + small.T) / 2.0)
-    order = np.argsort(values)[::-1][:kept]
-    components = basis @ rotation[:, order]
-    signs = np.sign(components[np.abs(components).argmax(0), np.arange(components.shape[1])])
-    components *= np.where(signs == 0, 1.0, signs)
-    return Projection(components, np.sqrt(np.maximum(values[order], 0.0)))
+    kept = min(dimension, max(1, total - 1))
+    columns = min(total, start_width(kept))
+    parted, parts = _parted(packed, id_col, about["n"])
+    # The rows stay dealt out through all passes; a lost part is dealt again from the settled table.
+    parted = parted.select("part", "ids", "values").persist(StorageLevel.DISK_ONLY)
+    try:
+        start = random_tall(packed.sparkSession, total, columns, seed)
+        found = leading_eigenvectors(gram_operator(parted, parts), start, kept, tolerance)
+    finally:
+        parted.unpersist()
+    width = found.vectors.width
+
+    def largest(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for data in batch["data"]:
+                rows = np.frombuffer(data).reshape(-1, width)
+                at = np.abs(rows).argmax(0)
+                yield pd.DataFrame({"column": np.arange(width), "value": rows[at, np.arange(width)]})
+
+    loadings = found.vectors.table.mapInPandas(largest, "column int, value double")
+    top = loadings.groupBy("column").agg(F.max_by("value", F.struct(F.abs("value"), "value")).alias("value")).orderBy("column").collect()
+    signs = np.array([-1.0 if r["value"] < 0 else 1.0 for r in top])
+    vectors = found.vectors.mapped(lambda rows: rows * signs, width).stored()
+    return Projection(vectors, np.sqrt(np.maximum(found.values, 0.0)), found.residuals)
 
 
 def project(
@@ -148,19 +169,22 @@ def project(
     packed = pack_rows(weights, id_col)
     if docs is not None:
         packed = docs.select(id_col).join(packed, id_col, "left")
-    shared = packed.sparkSession.sparkContext.broadcast(projection.components)
+    packed = settle(packed)
     width = projection.dimension
     id_type = packed.schema[id_col].dataType.simpleString()
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        components = shared.value
-        for batch in batches:
-            vectors = np.zeros((batch.num_rows, width))
-            for number, (terms, dense) in enumerate(_dense_blocks(batch)):
-                at = number * DENSE_ROWS
-                vectors[at : at + len(dense)] = dense @ components[terms]
-            ends = np.arange(batch.num_rows + 1, dtype=np.int32) * width
-            lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(vectors.ravel()))
-            yield pa.RecordBatch.from_arrays([batch.column(id_col), lists], [id_col, "features"])
-
-    return packed.select(id_col, "ids", "values").mapInArrow(run, f"`{id_col}` {id_type}, features array<double>")
+    def work(rows: pa.Table, components: np.ndarray) -> pa.Table:
+        vectors, at = np.zeros((rows.num_rows, width)), 0
+        for batch in rows.to_batches():
+            for terms, dense in _dense_blocks(batch):
+                # Terms beyond the fitted ones have no loadings.
+                known = terms < len(components)
+                vectors[at : at + len(dense)] = dense[:, known] @ components[terms[known]]
+                at += len(dense)
+        ends = np.arange(rows.num_rows + 1, dtype=np.int32) * width
+        lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(vectors.ravel()))
+        ids = rows.column(id_col).combine_chunks()
+        return pa.table([ids, lists], [id_col, "features"])
+
+    parted, parts = _parted(packed, id_col, packed.count())
+    return _with_matrix(parted, parts, projection.vectors, work, f"`{id_col}` {id_type}, features array<double>")

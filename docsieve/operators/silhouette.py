@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Hashable, Iterator, Mapping
+from functools import reduce
 
 import numpy as np
 import pandas as pd
 from pyspark.ml.evaluation import ClusteringEvaluator
-from pyspark.ml.functions import array_to_vector
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -194,3 +195,99 @@ def silhouette_rows(
     )
     scored = means_by_row.join(F.broadcast(lookup.select(F.col("cell").alias("own"), "label")), "own")
     return scored.select("label", "rep", value.alias("silhouette"), "weight")
+
+
+def _dense(rows: pd.DataFrame, terms: np.ndarray | None) -> np.ndarray:
+    """The vectors of some rows as a matrix, sparse ones over the given terms."""
+    if terms is None:
+        return matrix(rows["v"])
+    table = np.zeros((len(rows), len(terms)))
+    lengths = rows["ids"].map(len).to_numpy()
+    places = np.searchsorted(terms, np.concatenate(rows["ids"].to_numpy()))
+    table[np.repeat(np.arange(len(rows)), lengths), places] = np.concatenate(rows["v"].to_numpy())
+    return table
+
+
+def _label_sums(width: int):
+    """For each query row the sums of its distances to the data rows of every label of every run."""
+
+    def run(queries: pd.DataFrame, data: pd.DataFrame) -> pd.DataFrame:
+        if queries.empty or data.empty:
+            return pd.DataFrame({"id": [], "sums": []})
+        member = np.zeros((len(data), width))
+        member[np.arange(len(data))[:, None], matrix(data["labels"])] = 1.0
+        if "ids" in data:
+            terms = np.unique(np.concatenate([*queries["ids"], *data["ids"]]))
+            left, right = _dense(queries, terms), _dense(data, terms)
+            squared = (left**2).sum(1)[:, None] + (right**2).sum(1)[None] - 2.0 * left @ right.T
+            distances = np.sqrt(np.maximum(squared, 0.0))
+            distances[queries["id"].to_numpy()[:, None] == data["id"].to_numpy()[None]] = 0.0
+            sums = distances @ member
+        else:
+            sums = np.concatenate([d @ member for _, d in distance_tiles(matrix(queries["v"]), matrix(data["v"]))])
+        return pd.DataFrame({"id": queries["id"], "sums": list(sums)})
+
+    return run
+
+
+def silhouette_runs(
+    points: DataFrame,
+    runs: Mapping[Hashable, DataFrame],
+    id_col: str = "doc_id",
+    vector_col: str = "features",
+    block_rows: int | None = None,
+) -> dict[Hashable, float | None]:
+    """The exact Euclidean silhouettes of many labelings ``(id, label)`` of the same rows, by one pass over the distances.
+
+    Every distance is worked out once, and its sums per label of all runs come from one product, so dozens of runs
+    cost about as much as one.  A run with fewer than two labels, or as many as rows, has None.  The driver holds
+    one number per label of every run.
+    """
+    sparse = not isinstance(points.schema[vector_col].dataType, T.ArrayType)
+    vector = F.unwrap_udt(F.col(vector_col))
+    parts = [vector["values"].alias("v"), F.coalesce(vector["indices"], F.sequence(F.lit(0), F.size(vector["values"]) - 1)).alias("ids")]
+    fields = parts if sparse else [F.col(vector_col).cast("array<double>").alias("v")]
+    names = list(runs)
+    long = reduce(
+        DataFrame.unionByName,
+        [runs[name].select(F.col(id_col).alias("id"), F.lit(at).alias("run"), F.col("label").cast("bigint").alias("label")) for at, name in enumerate(names)],
+    )
+    long = settle(long)
+    found = long.groupBy("run", "label").agg(F.count(F.lit(1)).alias("n")).orderBy("run", "label").collect()
+    number = points.sparkSession.createDataFrame(
+        [(row["run"], row["label"], at) for at, row in enumerate(found)], "run int, label bigint, number int"
+    )
+    of_run, sizes = np.array([row["run"] for row in found]), np.array([row["n"] for row in found], dtype="float64")
+    numbered = long.join(F.broadcast(number), ["run", "label"]).groupBy("id")
+    labels = numbered.agg(F.transform(F.array_sort(F.collect_list(F.struct("run", "number"))), lambda x: x["number"]).alias("labels"))
+    rows = settle(points.select(F.col(id_col).alias("id"), *fields).join(labels, "id").withColumn("cell", F.lit(0)))
+    id_type = rows.schema["id"].dataType.simpleString()
+    pieces = block_join(
+        rows, rows, "id", "id", _label_sums(len(found)), f"id {id_type}, sums array<double>", block_rows or (SPARSE_BLOCK_ROWS if sparse else BLOCK_ROWS)
+    )
+    sums = pieces.groupBy("id").agg(vector_to_array(Summarizer.sum(array_to_vector("sums"))).alias("sums"))
+
+    def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            if batch.empty:
+                continue
+            totals, own = matrix(batch["sums"]), matrix(batch["labels"])
+            for run in range(len(names)):
+                columns = np.nonzero(of_run == run)[0]
+                mine = own[:, run]
+                inside = totals[np.arange(len(batch)), mine] / np.maximum(sizes[mine] - 1, 1)
+                means = totals[:, columns] / sizes[columns]
+                means[np.arange(len(batch)), mine - columns[0]] = np.inf
+                outside = means.min(1)
+                largest = np.maximum(inside, outside)
+                with np.errstate(divide="ignore", invalid="ignore"):
+                    values = np.where((sizes[mine] <= 1) | (largest == 0) | ~np.isfinite(outside), 0.0, (outside - inside) / largest)
+                yield pd.DataFrame({"run": [run], "total": [values.sum()], "n": [len(batch)]})
+
+    scored = sums.join(rows.select("id", "labels"), "id").mapInPandas(score, "run int, total double, n bigint")
+    means = {r["run"]: r["s"] for r in scored.groupBy("run").agg((F.sum("total") / F.sum("n")).alias("s")).collect()}
+    result: dict[Hashable, float | None] = {}
+    for at, name in enumerate(names):
+        clusters, count = int((of_run == at).sum()), sizes[of_run == at].sum()
+        result[name] = means.get(at) if 2 <= clusters < count else None
+    return result

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
+from dataclasses import replace
 from functools import partial
 
 import numpy as np
@@ -37,8 +38,6 @@ CHARACTER_TERMS = V.VectorizerSettings(model="bow", max_features=30000, max_df=1
 # Latent dimensions before Ward and average linkage, cluster counts of the method sweeps.
 WARD_DIMENSION, AVERAGE_DIMENSION = 100, 128
 SWEEP_COUNTS = tuple(range(2, 11))
-# Cluster counts on both sides of the size bound, for the filters that only read the finished rows.
-SIZED_COUNTS = (2, 5)
 # Rows of a cell or piece in the queries that show that the cut changes no result.
 SMALL_PIECE = 16
 
@@ -151,6 +150,12 @@ def lemma_view(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", "normalized_text")
 
 
+def stemmed_view(spark: SparkSession, folder: str) -> DataFrame:
+    """The clustering view with Porter stems."""
+    found = normalize_with_lexicon(documents(spark, folder), replace(CLUSTERING_SETTINGS, use_stemming_fallback=True))
+    return found.select("doc_id", "normalized_text")
+
+
 def corpus_summary(spark: SparkSession, folder: str) -> DataFrame:
     return rounded(stats.corpus_summary(documents(spark, folder)), "average_character_count", "average_word_count")
 
@@ -511,7 +516,7 @@ def cluster_sizes(spark: SparkSession, folder: str) -> DataFrame:
     return evaluation.cluster_sizes(embeddings(spark, folder))
 
 
-def label_metrics(spark: SparkSession, folder: str, counts: tuple[int, ...] = SWEEP_COUNTS) -> DataFrame:
+def label_metrics(spark: SparkSession, folder: str) -> DataFrame:
     """Metric rows of clusterings derived from the stored label and from the id."""
     stored = settle(embeddings(spark, folder))
 
@@ -522,7 +527,7 @@ def label_metrics(spark: SparkSession, folder: str, counts: tuple[int, ...] = SW
         return clustering.Clustering(stored.select("vec_id", (F.col("vec_id") % k).cast("int").alias("label")), k)
 
     methods = {"by_id": by_id, "by_label": by_label}
-    rows = evaluation.method_sweep(stored, methods, counts, 260, id_col="vec_id")[0]
+    rows = evaluation.method_sweep(stored, methods, SWEEP_COUNTS, 260, id_col="vec_id")[0]
     return settle(rounded(rows, "silhouette_score"))
 
 
@@ -531,11 +536,11 @@ def metric_rows(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def size_filter(spark: SparkSession, folder: str) -> DataFrame:
-    return evaluation.size_filter(label_metrics(spark, folder, SIZED_COUNTS), 240).select("method", "cluster_count", "max_cluster_size")
+    return evaluation.size_filter(label_metrics(spark, folder), 240).select("method", "cluster_count", "max_cluster_size")
 
 
 def violating_runs(spark: SparkSession, folder: str) -> DataFrame:
-    return evaluation.violating_runs(label_metrics(spark, folder, SIZED_COUNTS), 240).select("method", "cluster_count", "max_cluster_size")
+    return evaluation.violating_runs(label_metrics(spark, folder), 240).select("method", "cluster_count", "max_cluster_size")
 
 
 def best_per_group(spark: SparkSession, folder: str) -> DataFrame:
@@ -689,29 +694,34 @@ def spectral(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def embedding_sweep(spark: SparkSession, folder: str) -> DataFrame:
+    """K-means and Ward on the embeddings."""
     base = settle(embeddings(spark, folder).select("vec_id", "features"))
-    tree = clustering.Agglomerative(base, "average", id_col="vec_id")
-    methods = {
-        "kmeans": lambda k: clustering.kmeans(base, k, id_col="vec_id"),
-        "agglomerative": tree.cut,
-        "spectral": lambda k: clustering.spectral(base, k, id_col="vec_id"),
-    }
+    merged = clustering.Agglomerative(base, "ward", id_col="vec_id").cuts(SWEEP_COUNTS)
+    methods = {"kmeans": lambda k: clustering.kmeans(base, k, id_col="vec_id"), "agglomerative": merged.__getitem__}
     return evaluation.method_sweep(base, methods, SWEEP_COUNTS, id_col="vec_id")[0]
 
 
 def topic_sweep(spark: SparkSession, folder: str) -> DataFrame:
-    """K-means on the sparse TF-IDF vectors, Ward on their latent space; both scored where they were fitted."""
+    """K-means on the sparse TF-IDF vectors, average linkage on their latent space; both scored where they were fitted."""
     weights, docs = topic_weights(spark, folder)
     weights = settle(weights)
-    sparse = V.sparse_vectors(weights, TOPIC_SETTINGS.max_features, docs=docs)
-    latent = settle(project(weights, fit_projection(weights, WARD_DIMENSION), docs=docs))
-    tree = clustering.Agglomerative(latent)
+    sparse = settle(V.sparse_vectors(weights, TOPIC_SETTINGS.max_features, docs=docs))
+    latent = settle(project(weights, fit_projection(weights, AVERAGE_DIMENSION), docs=docs))
+    merged = clustering.Agglomerative(latent, "average").cuts(SWEEP_COUNTS)
     by_means = evaluation.method_sweep(sparse, {"kmeans": lambda k: clustering.kmeans(sparse, k)}, SWEEP_COUNTS)[0]
-    return by_means.unionByName(evaluation.method_sweep(latent, {"agglomerative": tree.cut}, SWEEP_COUNTS)[0])
+    return by_means.unionByName(evaluation.method_sweep(latent, {"agglomerative": merged.__getitem__}, SWEEP_COUNTS)[0])
 
 
 def method_sweep(spark: SparkSession, folder: str) -> DataFrame:
-    return embedding_sweep(spark, folder)
+    """K-means, average linkage and spectral clustering of the embeddings."""
+    base = settle(embeddings(spark, folder).select("vec_id", "features"))
+    merged = clustering.Agglomerative(base, "average", id_col="vec_id").cuts(SWEEP_COUNTS)
+    methods = {
+        "kmeans": lambda k: clustering.kmeans(base, k, id_col="vec_id"),
+        "agglomerative": merged.__getitem__,
+        "spectral": lambda k: clustering.spectral(base, k, id_col="vec_id"),
+    }
+    return evaluation.method_sweep(base, methods, SWEEP_COUNTS, id_col="vec_id")[0]
 
 
 def approach_comparison(spark: SparkSession, folder: str) -> DataFrame:
@@ -799,7 +809,7 @@ UNCHECKED = (
     sparse_hybrid_detection, kmeans, kmeans_embeddings, center_top_terms, choose_k, ward, average_linkage, spectral,
     method_sweep, approach_comparison, encode_with_model, encode_word_vectors, job_topics, job_topics_agglomerative,
     job_anomalies, choose_k_tfidf, job_topics_embeddings, job_anomalies_ensemble, neighbor_graph,
-    neighbor_graph_recall, lof_score_graph,
+    neighbor_graph_recall, lof_score_graph, stemmed_view,
 )
 
 

@@ -227,7 +227,7 @@ def _snippet(text: str, length: int) -> str:
 def sql() -> dict[str, str]:
     f3 = f"""{FEAT}, {score('bigram_type_token_ratio', 's1')}, {score('lexical_entropy', 's2')},
 {score('average_token_length', 's3')}, {ranked('s1', 'r1')}, {ranked('s2', 'r2')}, {ranked('s3', 'r3')}"""
-    metrics, sized = metric_table(tuple(range(2, 11))), metric_table((2, 5))
+    metrics = metric_table(tuple(range(2, 11)))
     describe = ", ".join(
         f"round(quantile_cont(value, {p}), 6) AS {name}"
         for p, name in ((0.05, "p5"), (0.25, "p25"), (0.5, "median"), (0.75, "p75"), (0.95, "p95"))
@@ -390,8 +390,8 @@ SELECT round(avg(c), 4) AS mean_internal_cosine_distance FROM pair JOIN r a ON a
         "silhouette_by_cluster": f"WITH {EMB},{silhouette_rows('li', 'lj', 'd')} SELECT l AS label, round(avg(s), 6) AS silhouette FROM sil GROUP BY l",
         "cluster_sizes": "SELECT label, count(*) AS size, max(count(*)) OVER () AS max_size FROM embeddings GROUP BY label",
         "metric_rows": f"WITH {metrics} SELECT *, max_cluster_size < 260 AS size_constraint_ok, NULL::VARCHAR AS error FROM metrics",
-        "size_filter": f"WITH {sized} SELECT method, cluster_count, max_cluster_size FROM metrics WHERE max_cluster_size < 240 AND silhouette_score IS NOT NULL",
-        "violating_runs": f"WITH {sized} SELECT method, cluster_count, max_cluster_size FROM metrics WHERE max_cluster_size >= 240",
+        "size_filter": f"WITH {metrics} SELECT method, cluster_count, max_cluster_size FROM metrics WHERE max_cluster_size < 240 AND silhouette_score IS NOT NULL",
+        "violating_runs": f"WITH {metrics} SELECT method, cluster_count, max_cluster_size FROM metrics WHERE max_cluster_size >= 240",
         "best_per_group": f"""WITH {metrics} SELECT method, cluster_count, silhouette_score FROM metrics
 QUALIFY row_number() OVER (PARTITION BY method ORDER BY silhouette_score DESC, cluster_count) = 1""",
         "global_best": f"""WITH {metrics} SELECT method, cluster_count, silhouette_score FROM metrics WHERE max_cluster_size < 1300

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame
@@ -30,6 +31,7 @@ from docsieve.operators.vectorize import (
     with_vocabulary,
 )
 from docsieve.session import settle
+from docsieve.sources.buckets import BucketCache
 from docsieve.sources.cache import load_cache, save_cache
 from docsieve.sources.tables import write_anomalies, write_clusters
 from docsieve.sources.termmatrix import write_term_matrix
@@ -92,9 +94,16 @@ class CorpusJobs:
             self._features[name] = getattr(self, f"_build_{name}")()
         return self._features[name]
 
+    def _by_bucket(self, name: str, compute: Callable[[DataFrame], DataFrame]) -> DataFrame:
+        """A table of one row per document; with a cache folder only changed buckets of ids are computed."""
+        return BucketCache(f"{self.cache_folder}/buckets").rows(name, self.docs, compute, self._fingerprint_text())
+
     def _build_views(self) -> DataFrame:
-        # Not written: a job reads one of the views, once.
-        return text_views(self.docs, "text", self.clustering_view, self.anomaly_view)
+        def views(docs: DataFrame) -> DataFrame:
+            return text_views(docs, "text", self.clustering_view, self.anomaly_view)
+
+        # Without a cache not written: a job reads one of the views, once.
+        return self._by_bucket("views", views) if self.cache_folder else views(self.docs)
 
     def _build_vocabulary(self) -> DataFrame:
         model, weights = fit_transform(self.features("views"), self.settings, text_col="clustering_text")
@@ -106,7 +115,7 @@ class CorpusJobs:
         return self._features["weights"]
 
     def _build_structural(self) -> DataFrame:
-        return settle(structural_features(self.docs))
+        return self._by_bucket("structural", structural_features) if self.cache_folder else settle(structural_features(self.docs))
 
     def cluster(
         self, method: str = "kmeans", embeddings: DataFrame | None = None, path: str | None = None

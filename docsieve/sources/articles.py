@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from docsieve.sources.csvranges import read_csv_ranges
+
 # Column names looked for, in this order.
 ID_NAMES = ("doc_id", "document_id")
 TEXT_NAMES = ("text", "content", "article", "document", "body")
@@ -58,15 +60,20 @@ def load_articles(
 
     ``with_row_seq`` adds a number that grows in source order, so results can be
     written back in that order.  Ids are always read as text, so ``001`` stays
-    ``001``.
+    ``001``.  CSV files are read in byte ranges by many tasks, line breaks inside
+    quotes included; one that is compressed, or has quotes in unquoted fields, is
+    read by one task.
     """
     if not path_exists(spark, path):
         raise FileNotFoundError(f"Input was not found: {path}")
+    table = None
     if path.lower().endswith((".csv", ".csv.gz")):
-        table = spark.read.csv(path, header=True, multiLine=True, escape='"', quote='"')
+        table = read_csv_ranges(spark, path, with_row_seq) if path.lower().endswith(".csv") else None
+        if table is None:
+            table = spark.read.csv(path, header=True, multiLine=True, escape='"', quote='"')
     else:
         table = spark.read.parquet(path)
-    if with_row_seq:
+    if with_row_seq and "row_seq" not in table.columns:
         table = table.withColumn("row_seq", F.monotonically_increasing_id())
     return as_articles(table, id_col, text_col)
 

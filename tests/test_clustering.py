@@ -6,7 +6,7 @@ from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
 
 from docsieve.operators import blocks, clustering, evaluation, hierarchy
-from docsieve.operators.silhouette import silhouette, silhouette_rows
+from docsieve.operators.silhouette import silhouette, silhouette_rows, silhouette_runs
 
 
 def frame(spark, vectors, parts=3):
@@ -73,6 +73,25 @@ def test_silhouette_in_small_pieces(spark, monkeypatch):
     assert blocks.BLOCK_ROWS == 4096
 
 
+@pytest.mark.parametrize("sparse", [False, True])
+@pytest.mark.parametrize("block_rows", [None, 16])
+def test_silhouettes_of_many_runs_in_one_pass(spark, sparse, block_rows):
+    vectors, labels = groups(3)
+    vectors[5] = vectors[7]
+    points = frame(spark, vectors)
+    if sparse:
+        rows = [(i, Vectors.sparse(3, [(j, float(x)) for j, x in enumerate(v) if x])) for i, v in enumerate(vectors)]
+        points = spark.createDataFrame(rows, ["doc_id", "features"]).repartition(3)
+    draw = np.random.default_rng(4)
+    runs = {"true": labels, ("drawn", 4): draw.integers(0, 4, 60), "alone": np.where(np.arange(60) == 9, 7, 3)}
+    flat = {"one": np.zeros(60, int), "each": np.arange(60)}
+    tables = {k: spark.createDataFrame([(i, int(c)) for i, c in enumerate(v)], "doc_id long, label int") for k, v in {**runs, **flat}.items()}
+    found = silhouette_runs(points, tables, block_rows=block_rows)
+    assert list(found) == [*runs, *flat] and found["one"] is None and found["each"] is None
+    for name, given in runs.items():
+        assert found[name] == pytest.approx(plain_silhouette(vectors, given), abs=1e-7)
+
+
 def test_kmeans_finds_groups_whatever_the_partitioning(spark):
     vectors, labels = groups()
     found = [labels_of(clustering.kmeans(frame(spark, vectors, p), 3)) for p in (1, 4, 16)]
@@ -126,12 +145,13 @@ def test_agglomerative_in_distributed_rounds_is_the_same_tree(spark, monkeypatch
     grid = np.array([(x, y, 1.0) for x in range(5) for y in range(5)]) * 3 + 20
     vectors = np.concatenate([draw.normal(size=(60, 3)), draw.normal(size=(60, 3)) * 0.2 + 4, np.repeat(draw.normal(size=(2, 3)), 15, axis=0)])
     monkeypatch.setattr(hierarchy, "CELL_ROWS", 6)
-    tree = clustering.Agglomerative(frame(spark, vectors), linkage, finish=8)
-    assert len(tree.tree.top) < 8 and tree.tree.merges.count() == len(np.unique(vectors, axis=0)) - 1
-    for k in (1, 2, 3, 9, 40):
-        found = labels_of(tree.cut(k))
+    tree = clustering.Agglomerative(frame(spark, vectors), linkage, finish=25)
+    assert len(tree.tree.top) < 25 and tree.tree.merges.count() == len(np.unique(vectors, axis=0)) - 1
+    several = tree.cuts((1, 2, 3, 9, 40))
+    for k, cut in several.items():
+        found = labels_of(cut)
         assert same_split(found, plain_agglomerative(vectors, k, linkage)) and len(set(found)) == k
-    tied = clustering.Agglomerative(frame(spark, grid), linkage, finish=2)
+    tied = clustering.Agglomerative(frame(spark, grid), linkage, finish=8)
     assert tied.tree.merges.count() == 24
     assert sorted(Counter(labels_of(tied.cut(25))).values()) == [1] * 25
 
@@ -141,7 +161,7 @@ def test_agglomerative_equals_the_plain_tree_on_embeddings(spark):
     points = table.select(F.col("vec_id").alias("doc_id"), F.col("embedding").cast("array<double>").alias("features"))
     vectors = np.array([r["features"] for r in points.collect()])
     assert len(vectors) == 2000
-    tree = clustering.Agglomerative(points, "ward", finish=300)
+    tree = clustering.Agglomerative(points, "ward", finish=900)
     sizes, sums, owner = np.ones(len(vectors)), vectors.copy(), np.arange(len(vectors))
     gaps = ((vectors**2).sum(1)[:, None] + (vectors**2).sum(1)[None] - 2 * vectors @ vectors.T) / 2
     np.fill_diagonal(gaps, np.inf)
@@ -182,12 +202,14 @@ def test_sweep_reports_failures_and_filters(spark):
         raise RuntimeError("graph fell apart")
 
     methods = {"kmeans": lambda k: clustering.kmeans(points, k), "broken": broken}
-    rows, labels = evaluation.method_sweep(points, methods, (2, 3), max_size=40)
+    rows, labels = evaluation.method_sweep(points, methods, (2, 3), max_size=40, tolerated=("broken",))
     table = {(r["method"], r["cluster_count"]): r for r in rows.collect()}
     assert table[("broken", 2)]["error"] == "graph fell apart" and table[("broken", 2)]["silhouette_score"] is None
     assert table[("kmeans", 3)]["max_cluster_size"] == 20 and table[("kmeans", 3)]["size_constraint_ok"]
     assert not table[("kmeans", 2)]["size_constraint_ok"]
     assert set(labels) == {("kmeans", 2), ("kmeans", 3)}
+    with pytest.raises(RuntimeError):
+        evaluation.method_sweep(points, methods, (2, 3), max_size=40)
     assert [r["cluster_count"] for r in evaluation.size_filter(rows, 40).collect()] == [3]
     assert evaluation.size_filter(rows, 40, inclusive=True).count() == 2
     assert [r["cluster_count"] for r in evaluation.violating_runs(rows, 40).collect()] == [2]

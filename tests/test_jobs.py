@@ -11,16 +11,17 @@ from docsieve.plans.jobs import CorpusJobs
 from docsieve.plans.report import export_tables
 from docsieve.sources import tables
 from docsieve.sources.articles import as_articles, load_articles, pick_columns
-from docsieve.sources.cache import fingerprint, load_cache
+from docsieve.sources.buckets import BucketCache
+from docsieve.sources.cache import fingerprint, load_cache, save_cache
 from docsieve.streaming.scoring import stream_scores, stream_views, stream_weights
 
 SIX = [
-    ("DOC_001", "Football match and team tactics."),
-    ("DOC_002", "Basketball league and player stats."),
-    ("DOC_003", "Deep learning models for image tasks."),
-    ("DOC_004", "Neural network training and optimization."),
-    ("DOC_005", "Healthy recipe with vegetables and spices."),
-    ("DOC_006", "Cooking tips and kitchen planning."),
+    ("DOC_001", "Two goalkeepers saved every shot of the cup final."),
+    ("DOC_002", "Our league table lists the scorers of each team."),
+    ("DOC_003", "Convolution layers learn edges before they learn faces."),
+    ("DOC_004", "Gradient steps of a network shrink as training settles."),
+    ("DOC_005", "Fry the leeks slowly, then add cumin and lentils."),
+    ("DOC_006", "Soak the beans overnight and salt the soup last."),
 ]
 
 
@@ -111,6 +112,56 @@ def test_cache_follows_text_and_settings(spark, tmp_path):
     assert fingerprint(docs) == fingerprint(docs.repartition(5)) != fingerprint(docs.limit(5))
 
 
+def test_one_edited_document_computes_one_bucket(spark, tmp_path):
+    docs = spark.createDataFrame([(f"D{i}", f"text number {i}") for i in range(200)], "doc_id string, text string")
+    seen = []
+
+    def upper(part):
+        seen.append(part.count())
+        return part.select("doc_id", F.upper("text").alias("loud"))
+
+    def rows(table, settings=""):
+        return {r["doc_id"]: r["loud"] for r in cache.rows("loud", table, upper, settings).collect()}
+
+    cache = BucketCache(str(tmp_path), buckets=16)
+    everything = {f"D{i}": f"TEXT NUMBER {i}" for i in range(200)}
+    assert rows(docs) == everything and len(cache.computed["loud"]) == 16
+    assert rows(docs.repartition(3)) == everything and cache.computed["loud"] == [] and seen == [200]
+    edited = docs.withColumn("text", F.when(F.col("doc_id") == "D7", "other").otherwise(F.col("text")))
+    assert rows(edited) == everything | {"D7": "OTHER"} and len(cache.computed["loud"]) == 1 and seen[-1] < 40
+    without = edited.where("doc_id <> 'D9'")
+    assert rows(without) == {k: v for k, v in (everything | {"D7": "OTHER"}).items() if k != "D9"}
+    assert len(cache.computed["loud"]) == 1
+    assert rows(docs, "other settings") == everything and len(cache.computed["loud"]) == 16
+    # Another number of buckets takes nothing from the manifest; an empty table has no rows.
+    cache = BucketCache(str(tmp_path), buckets=4)
+    assert rows(docs) == everything and cache.computed["loud"] == [0, 1, 2, 3]
+    assert rows(docs.limit(0)) == {}
+
+
+def test_a_killed_save_leaves_the_one_before(spark, tmp_path):
+    docs = spark.createDataFrame([(f"D{i}", f"text {i}") for i in range(30)], "doc_id string, text string")
+    cache = BucketCache(str(tmp_path), buckets=4)
+    same = lambda part: part.select("doc_id", "text")
+    cache.rows("same", docs, same)
+
+    def killed(part):
+        return part.select("doc_id", F.raise_error("killed").cast("string").alias("text"))
+
+    edited = docs.withColumn("text", F.concat("text", F.lit("!")))
+    with pytest.raises(Exception, match="killed"):
+        cache.rows("same", edited, killed)
+    # A manifest without its mark of success does not count.
+    (tmp_path / "same" / "manifest" / "2").mkdir()
+    assert {r["text"] for r in cache.rows("same", docs, killed).collect()} == {f"text {i}" for i in range(30)}
+    folder = str(tmp_path / "tables")
+    save_cache(folder, {"a": docs, "b": docs}, docs)
+    assert load_cache(spark, folder, ("a", "b"), docs) is not None
+    with pytest.raises(Exception, match="killed"):
+        save_cache(folder, {"a": edited, "b": killed(docs)}, edited)
+    assert load_cache(spark, folder, ("a", "b"), docs) is None and load_cache(spark, folder, ("a", "b"), edited) is None
+
+
 def test_feature_tables_round_trip(spark, tmp_path):
     docs = spark.createDataFrame([("a", "Cats!"), ("b", "")], "doc_id string, text string")
     jobs = CorpusJobs(docs)

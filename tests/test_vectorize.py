@@ -116,10 +116,10 @@ def test_projection_matches_numpy(spark):
         fitted = fit_projection(weights.repartition(parts, "doc_id"), 4)
         results.append(fitted)
         assert fitted.singular_values == pytest.approx(np.linalg.svd(dense, compute_uv=False)[:4], rel=1e-6)
-        assert fitted.components.T @ fitted.components == pytest.approx(np.eye(4), abs=1e-9)
-    assert results[0].components == pytest.approx(results[2].components, abs=1e-4)
+        assert fitted.matrix().T @ fitted.matrix() == pytest.approx(np.eye(4), abs=1e-9)
+    assert results[0].matrix() == pytest.approx(results[2].matrix(), abs=1e-4)
     got = {r["doc_id"]: r["features"] for r in project(weights, results[0]).collect()}
-    assert np.array([got[i] for i in range(60)]) == pytest.approx(dense @ results[0].components, abs=1e-9)
+    assert np.array([got[i] for i in range(60)]) == pytest.approx(dense @ results[0].matrix(), abs=1e-9)
 
 
 def test_sparse_vectors_and_blocks(spark):
