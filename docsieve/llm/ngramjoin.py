@@ -64,22 +64,33 @@ def _needed(a: Column, b: Column, percent: int) -> Column:
     return F.floor(((a + b) * percent + (99 + percent)) / F.lit(100 + percent)).cast("long")
 
 
-#: Sizes from which one, two and three leading hash bits are 0 in the n-grams first looked at: a half to an eighth of them.
-CUTS = (64, 128, 1024)
+#: Sizes from which one and two leading hash bits are 0 in the n-grams first looked at: a half or a quarter of them.
+CUTS = (64, 128)
+#: Steps of the size ratio that linked sets may have in one cell of sizes.
+CELL_STEPS = 6
 
 
 def _cut(n: Column) -> Column:
-    return F.when(n < CUTS[0], 0).when(n < CUTS[1], 1).when(n < CUTS[2], 2).otherwise(3)
+    return F.when(n < CUTS[0], 0).when(n < CUTS[1], 1).otherwise(2)
 
 
 def _within(gram: Column, bits: Column) -> Column:
-    """Whether the leading ``bits`` bits of a hash, up to three, are 0."""
-    mask = F.when(bits == 0, 0).when(bits == 1, 4).when(bits == 2, 6).otherwise(7)
-    return F.shiftrightunsigned(gram, 61).bitwiseAND(mask) == 0
+    """Whether the leading ``bits`` bits of a hash, up to two, are 0."""
+    mask = F.when(bits == 0, 0).when(bits == 1, 2).otherwise(3)
+    return F.shiftrightunsigned(gram, 62).bitwiseAND(mask) == 0
+
+
+def _cells(n: Column, percent: int) -> Column:
+    """The cells of sizes that a set of ``n`` is looked for in: its own, and the next where a linked set may lie there."""
+    # A little wider than the ratio, so that rounding never parts sizes at the limit.
+    place = F.log(n) / F.lit(CELL_STEPS * (math.log(100 / percent) + 1e-3))
+    own = F.floor(place).cast("int")
+    low, high = place - own < 1 / CELL_STEPS, place - own > 1 - 1 / CELL_STEPS
+    return F.when(low, F.array(own, own - 1)).when(high, F.array(own, own + 1)).otherwise(F.array(own))
 
 
 def sketches(docs: DataFrame, *, id_col: str, text_col: str, words: int) -> DataFrame:
-    """``(id, key, n, digest, few)`` of every row: text hash, set size, digest of the set, and the n-grams first looked at."""
+    """``(id, key, n, digest, few)`` of every row: text hash, set size, digest of the set, and the n-grams first sent on."""
     chosen = docs.select(
         F.col(f"`{id_col}`").alias("id"), F.xxhash64(F.col(f"`{text_col}`")).alias("key"), F.col(f"`{text_col}`").cast("binary").alias("text")
     )
@@ -132,16 +143,22 @@ def whole_sets(docs: DataFrame, wanted: DataFrame, *, id_col: str, text_col: str
     return stored(sets.dropDuplicates(["set"])) if repeated else sets
 
 
-def _without_lonely(sets: DataFrame, entries: DataFrame, percent: int) -> DataFrame:
-    """The rows of ``(mark, n, ...)`` of which few enough n-grams are in no other set: of a linked one, another holds ``percent`` of them.
+def _without_lonely(sets: DataFrame, rows: DataFrame, percent: int) -> DataFrame:
+    """The ``(mark, n, looked, ...)`` of which few enough n-grams are in no other set of about their size.
 
-    ``entries`` is ``(gram, mark, inside)``, a row for each row that holds the n-gram, and equal sets have equal marks; only
-    n-grams ``inside`` count against their set.
+    A linked set has nearly the size and ``percent`` of the n-grams.  ``rows`` is ``(mark, n, grams, bits)`` of every row;
+    equal sets have equal marks, and ``looked`` n-grams of a set, those whose leading ``bits`` are 0, count against it.  Of a
+    set looked for in two cells an n-gram must be alone in both; with a and b alone in either, at least a + b - looked are.
     """
-    marks = entries.groupBy("gram").agg(F.min("mark").alias("mark"), F.max("mark").alias("other"), F.max("inside").alias("inside"))
-    lonely = marks.where("mark = other AND inside").groupBy("mark").agg(F.count("*").alias("lonely"))
-    counted = sets.join(lonely, "mark", "left")
-    return counted.where(F.coalesce("lonely", F.lit(0)) <= F.col("n") - _least_partner(F.col("n"), percent)).drop("lonely")
+    inside = _within(F.col("gram"), F.col("bits")).alias("inside")
+    placed = rows.select("mark", "bits", "grams", F.explode(_cells(F.col("n"), percent)).alias("cell"))
+    entries = placed.select("mark", "bits", "cell", F.explode("grams").alias("gram"))
+    entries = entries.select(F.xxhash64("gram", "cell").alias("key"), "mark", inside)
+    marks = entries.groupBy("key").agg(F.min("mark").alias("mark"), F.max("mark").alias("other"), F.max("inside").alias("inside"))
+    alone = marks.where("mark = other AND inside").groupBy("mark").agg(F.count("*").alias("alone"))
+    counted = sets.join(alone, "mark", "left")
+    lonely = F.coalesce("alone", F.lit(0)) - (F.size(_cells(F.col("n"), percent)) - 1) * F.col("looked")
+    return counted.where(lonely <= F.col("n") - _least_partner(F.col("n"), percent)).drop("alone")
 
 
 def rare_columns(sets: DataFrame, percent: int) -> DataFrame:
@@ -324,7 +341,7 @@ def ngram_groups(
     table gives no rows; other columns are ignored.  N-grams are compared by 64-bit hashes.
 
     Equal sets are one row of the matrix.  A set goes on only if few enough of its n-grams are in no other set, first by
-    those with small hashes, then by all; the rest is ``linked_sets``.
+    those with small hashes, then by all, and among sets of about its size; the rest is ``linked_sets``.
     """
     if not 0 < percent <= 100:
         raise ValueError("percent must be over 0 and at most 100")
@@ -334,13 +351,15 @@ def ngram_groups(
     mark = F.xxhash64("digest").alias("mark")
     classes = stored(distinct.select(F.monotonically_increasing_id().alias("set"), "digest", mark, "n", "first.id", "first.key"))
 
-    widest = F.floor(F.col("n") * 100 / F.lit(percent))
-    inside = _within(F.col("gram"), F.col("bits"))
-    entries = found.select(mark, _cut(widest).alias("bits"), F.explode("few").alias("gram")).select("gram", "mark", inside.alias("inside"))
-    likely = _without_lonely(classes.select("set", "mark", "id", "key", "n"), entries, percent)
+    # What a set sends on must hold what any linked one looks at, so only the share of the largest such size counts.
+    bits = _cut(F.floor(F.col("n") * 100 / F.lit(percent)))
+    rows = found.where("n > 0").select(mark, "n", F.col("few").alias("grams"), bits.alias("bits"))
+    looked = F.size(F.filter("grams", lambda gram: _within(gram, F.col("bits")))).alias("looked")
+    sized = rows.select("mark", looked).dropDuplicates(["mark"])
+    likely = _without_lonely(classes.select("set", "mark", "id", "key", "n").join(sized, "mark"), rows, percent)
     sets = whole_sets(docs, likely, id_col=id_col, text_col=text_col, words=words)
-    whole = sets.select(F.explode("grams").alias("gram"), F.col("set").alias("mark"), F.lit(True).alias("inside"))
-    again = _without_lonely(sets.select(F.col("set").alias("mark"), "n"), whole, percent).select(F.col("mark").alias("set"))
+    whole = sets.select(F.col("set").alias("mark"), "n", "grams", F.lit(0).alias("bits"))
+    again = _without_lonely(whole.select("mark", "n", F.col("n").alias("looked")), whole, percent).select(F.col("mark").alias("set"))
     left = stored(sets.join(broadcast_if_small(again), "set", "left_semi"))
     labels = linked_sets(left, percent)
 

@@ -316,6 +316,16 @@ def test_every_cut_of_hashes_is_a_range(spark):
 
     grams = np.sort(np.random.default_rng(1).integers(0, 1 << 64, 4000, dtype=np.uint64))
     table = spark.createDataFrame([(int(g),) for g in grams.view(np.int64)], "gram bigint")
-    for bits in (0, 1, 2, 3):
+    for bits in (0, 1, 2):
         kept = table.where(ngramjoin._within(F.col("gram"), F.lit(bits))).count()
         assert kept == (np.searchsorted(grams, np.uint64(1 << (64 - bits))) if bits else len(grams))
+
+
+@pytest.mark.parametrize("percent", [50, 90, 100])
+def test_linked_sizes_share_a_cell(spark, percent):
+    sizes = list(range(1, 1500))
+    cells = {n: set(c) for n, c in spark.createDataFrame([(n,) for n in sizes], "n bigint").select("n", ngramjoin._cells(F.col("n"), percent)).collect()}
+    assert all(1 <= len(c) <= 2 for c in cells.values())
+    for n in sizes:
+        for other in range(n, min(1499, 100 * n // percent) + 1):
+            assert cells[n] & cells[other], (n, other)
