@@ -17,7 +17,7 @@ from docsieve.operators.tall import BLOCK, FAN_IN, Tall, leading_eigenvectors, r
 from docsieve.session import settle, shuffle_width
 
 #: Relative residual at which the singular vectors count as settled; the error of the values goes with its square.
-TOLERANCE = 1e-3
+TOLERANCE = 5e-3
 # Documents laid out at a time as a dense matrix over the terms they use, and documents of one part at most, about.
 DENSE_ROWS, PART_ROWS = 64, 50_000
 
