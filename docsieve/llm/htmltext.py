@@ -196,7 +196,8 @@ def drop_named(page: Page, kept: list[bool], in_article: list[bool]) -> None:
     holds = {kind: [0] * count for kind in kinds}
     for node in range(1, count):
         in_link[node] = page.tags[node] == "a" or in_link[page.parents[node]]
-        if kept[node] and page.tags[node] in kinds:
+        # A comment is not an article of the page.
+        if kept[node] and page.tags[node] in kinds and not named.get(node, set()) & COMMENT_NAMES:
             holds[page.tags[node]][node] = 1
     for node, piece in page.pieces:
         if piece and kept[node] and not in_link[node]:
