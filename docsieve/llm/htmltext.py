@@ -179,8 +179,8 @@ def drop_named(page: Page, kept: list[bool], in_article: list[bool]) -> None:
 
     An element stays if it holds every article, main or h1 element of the page, or, but for comments, most of the
     text outside links of the article around it, or of the page if that has no such element: an advert may be longer
-    than the article.  Inside an article headings and paragraphs of ambiguous names stay.  An article inside another
-    one is looked at for comments only.
+    than the article.  Inside an article headings and paragraphs of ambiguous names stay.  An article element is
+    looked at for comments only, and stays if the page has no other article, main or h1 element.
     """
     count = len(page.tags)
     named = {
@@ -216,7 +216,7 @@ def drop_named(page: Page, kept: list[bool], in_article: list[bool]) -> None:
             kept[node] = False
         elif kept[node] and node in named:
             around, comments = article[parent], named[node] & COMMENT_NAMES
-            if page.tags[node] == "article" and not around:
+            if page.tags[node] == "article" and not around and not any(counts[0] for counts in holds.values()):
                 continue
             whole = any(counts[0] and counts[node] == counts[0] for counts in holds.values())
             if not comments and (around or not any(counts[0] for counts in holds.values())):
