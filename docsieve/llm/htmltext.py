@@ -55,6 +55,7 @@ PLACE_WORDS = frozenset(
     "wrapper wrap container area list box left right top bottom slot unit bar block section inner outer panel primary secondary main "
     "mobile desktop sticky fixed links link item items group row column col".split()
 )
+STATE_ENDS = frozenset("open opened closed on off enabled disabled allowed count counter".split())
 STATE_WORDS = frozenset("has have no not non with without is are hide hidden show enable enabled disable disabled".split())
 TOKEN = re.compile(
     r"<!--.*?(?:--!?>|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>?"
@@ -151,7 +152,7 @@ def beside_names(attrs: str) -> set[str]:
             for token in html.unescape(a or b or c).split():
                 found.add(head_word(token))
                 parts = [part.lower() for part in NAME_PART.findall(token)]
-                if parts and parts[0] not in STATE_WORDS:
+                if parts and parts[0] not in STATE_WORDS and parts[-1] not in STATE_ENDS:
                     found.update(COMMENT_NAMES.intersection(parts))
     return found & BESIDE_NAMES
 

@@ -299,6 +299,11 @@ def test_named_parts_inside_an_article_go_but_single_blocks_stay(name):
         assert "Its own" in htmltext.main_text(f"<body><article>{PARAGRAPHS}<p class='{name}'>Its own words.</p></article></body>")
 
 
+@pytest.mark.parametrize("name", ["post comments-open", "has-comments", "entry comments-closed", "no-comments"])
+def test_marks_of_state_name_no_comments(name):
+    assert htmltext.main_text(f"<body><main><article class='{name}'>{PARAGRAPHS}</article></main></body>").count("Paragraph") == 6
+
+
 def test_end_tags_without_a_start_cost_nothing():
     import time
 
