@@ -17,8 +17,6 @@ from docsieve.session import broadcast_if_small, settle, stored
 MODELS = ("tfidf", "bow", "tfidf_lsa_dense")
 MODEL_ALIASES = {"tfidf_svd_dense": "tfidf_lsa_dense"}
 
-# Tables up to this many vocabulary rows are sent to every task (a few MB).
-
 
 def model_name(name: str) -> str:
     """Resolve an alias; unknown names raise ``ValueError``."""
