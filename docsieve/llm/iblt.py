@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from docsieve.llm.common import first_at_least
-from docsieve.session import stored
+from docsieve.session import broadcast_if_small, stored
 
 #: Cells in a third of a fingerprint's table, and of the smallest compared one; a retry is four times wider, LEVELS times at most.
 SLOTS = 8
@@ -213,9 +213,10 @@ def compare_pairs(pairs: DataFrame, keep_digests: bool = True) -> DataFrame:
         )
         good = result.where("not stuck").drop("stuck")
         done = good if done is None else done.unionByName(good)
-        failed = result.where("stuck").select(*named)
+        failed = broadcast_if_small(result.where("stuck").select(*named))
         if failed.isEmpty():
             return done
+        # The arrays stay where they are while the pairs to try again are few.
         todo = todo.join(failed, named, "left_semi")
     exact = [F.array_except("left", "right"), F.array_except("right", "left")]
     exact = exact if keep_digests else [F.size(x).cast("long") for x in exact]
