@@ -7,6 +7,7 @@ from array import array
 from collections.abc import Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -18,7 +19,7 @@ PIECES_PER_GROUP = 50_000
 #: Words and pieces of words whose ids a worker remembers.
 CACHE = 600_000
 #: Texts that are looked up together.
-TEXTS = 200
+TEXTS = 1000
 
 #: Fixed values of the tokenizer's own rules: which chunks can be split here, and where its pre-tokenizer splits them.
 PLAIN = r"[!-~À-ÖØ-öø-ÿ]+"
@@ -68,7 +69,10 @@ class WordTokenizer:
     def _learn(self, runs: list[str]) -> None:
         others = []
         for run in runs:
-            if self.plain.fullmatch(run) and "<|" not in run:
+            if run.isascii() and run.isalpha():
+                # Letters alone are one part.
+                self.runs[run] = array("I", self.merge(run.lower().encode() + self.END)).tobytes()
+            elif self.plain.fullmatch(run) and "<|" not in run:
                 ids: list[int] = []
                 for part in self.cut.findall(run.lower()):
                     ids += self.merge(part.encode() + self.END)
@@ -80,15 +84,34 @@ class WordTokenizer:
             found = self.tokenizer.encode_batch(some, add_special_tokens=False)
             self.runs.update(zip(some, (array("I", e.ids).tobytes() for e in found), strict=True))
 
-    def ids(self, texts: list[str]) -> Iterator[bytes]:
-        """The ids of each text as unsigned 32-bit numbers."""
-        words = [text.replace("\n", " ").replace("\t", " ").split(" ") for text in texts]
+    def flat_ids(self, texts: pa.Array) -> tuple:
+        """``(ids, starts, ends)``: the ids of all texts one after another, and where those of each lie.
+
+        The runs are told apart in Arrow, only distinct ones are looked up, and their ids are put in place by index.
+        """
+        import numpy as np
+
+        spaced = pc.replace_substring(pc.replace_substring(pc.fill_null(texts, ""), "\n", " "), "\t", " ")
+        parts = pc.split_pattern(spaced, " ")
+        coded = parts.flatten().dictionary_encode()
+        distinct, which = coded.dictionary.to_pylist(), coded.indices.to_numpy(zero_copy_only=False)
         if len(self.runs) > CACHE:
             self.runs = dict(list(self.runs.items())[len(self.runs) // 2 :])
-        self._learn([run for run in set().union(*words) if run not in self.runs])
-        known = self.runs.__getitem__
-        for some in words:
-            yield b"".join(map(known, some))
+        self._learn([run for run in distinct if run not in self.runs])
+        found = list(map(self.runs.__getitem__, distinct))
+        lengths = np.fromiter(map(len, found), np.int64, len(found)) // 4
+        starts, per_run = np.cumsum(lengths) - lengths, lengths[which]
+        ends = np.cumsum(per_run)
+        flat = np.frombuffer(b"".join(found), np.uint32)
+        ids = flat[np.repeat(starts[which] - ends + per_run, per_run) + np.arange(int(ends[-1]) if len(ends) else 0)]
+        edges = np.concatenate(([0], ends))[parts.offsets.to_numpy() - parts.offsets[0].as_py()]
+        return ids, edges[:-1].tolist(), edges[1:].tolist()
+
+    def ids(self, texts: list[str]) -> Iterator[bytes]:
+        """The ids of each text as unsigned 32-bit numbers."""
+        ids, starts, ends = self.flat_ids(pa.array(texts, pa.string()))
+        for start, end in zip(starts, ends, strict=True):
+            yield ids[start:end].tobytes()
 
 
 _tokenizers: dict[str, WordTokenizer] = {}
@@ -168,9 +191,9 @@ def token_pieces(
         for batch in batches:
             rows, starts, lengths, crcs, totals = [], [], [], [], []
             for first in range(0, batch.num_rows, TEXTS):
-                texts = [text or "" for text in batch.column(1).slice(first, TEXTS).to_pylist()]
-                for row, ids in enumerate(encoder.ids(texts), first):
-                    ids += end
+                flat, begins, ends = encoder.flat_ids(batch.column(1).slice(first, TEXTS))
+                for row, (low, high) in enumerate(zip(begins, ends, strict=True), first):
+                    ids = flat[low:high].tobytes() + end
                     total = len(ids) // 4
                     for start in range(0, total, window):
                         part = ids[4 * start : 4 * (start + window)]
