@@ -3,14 +3,15 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from docsieve.operators.blocks import block_join, distance_tiles, matrix, slices
+from docsieve.operators.blocks import PRODUCT_COLUMNS, PRODUCT_DOUBLES, Products, block_join, gap_lengths, matrix, slices, travel_rows
 from docsieve.session import settle
 
 # Upper bound on the pivots every task holds.
@@ -59,10 +60,73 @@ def _assign(reps: DataFrame, pivots: np.ndarray, k: int, id_type: str) -> DataFr
     )
 
 
+def _split(cells: np.ndarray, pivots: np.ndarray, sizes: np.ndarray, rows: int) -> list[np.ndarray]:
+    """Cells put together up to about ``rows`` rows, those around near pivots first."""
+    if len(cells) <= 1 or sizes[cells].sum() <= rows:
+        return [cells]
+    here = pivots[cells]
+    cells = cells[np.argsort(here[:, np.ptp(here, axis=0).argmax()], kind="stable")]
+    reached = np.cumsum(sizes[cells])
+    middle = int(np.clip(np.searchsorted(reached, reached[-1] / 2), 1, len(cells) - 1))
+    return [*_split(cells[:middle], pivots, sizes, rows), *_split(cells[middle:], pivots, sizes, rows)]
+
+
+@dataclass(frozen=True)
+class Loads:
+    """Cells in the order of their loads and of the chunks inside these, and where chunks and loads begin.
+
+    A load travels to a task as a whole and a chunk is searched as a whole, so a query goes once to each load,
+    with one bit for every chunk in it that holds a cell it must look into.
+    """
+
+    order: np.ndarray
+    chunks: np.ndarray
+    loads: np.ndarray
+
+    @classmethod
+    def of(cls, pivots: np.ndarray, sizes: np.ndarray, rows: int) -> Loads:
+        parts = [_split(load, pivots, sizes, min(rows, CELL_ROWS)) for load in _split(np.arange(len(pivots)), pivots, sizes, rows)]
+        lengths = [len(chunk) for load in parts for chunk in load]
+        return cls(
+            np.concatenate([chunk for load in parts for chunk in load]),
+            np.concatenate([[0], np.cumsum(lengths)[:-1]]).astype(int),
+            np.concatenate([[0], np.cumsum([len(load) for load in parts])]).astype(int),
+        )
+
+    def places(self, spark: SparkSession) -> DataFrame:
+        """``(cell, load, chunk, wanted)``: the chunk counts from its load's first, and ``wanted`` has its bit alone."""
+        chunk = np.searchsorted(self.chunks, np.arange(len(self.order)), side="right") - 1
+        load = np.searchsorted(self.loads, chunk, side="right") - 1
+        rows = []
+        for cell, c, at in zip(self.order.tolist(), (chunk - self.loads[load]).tolist(), load.tolist(), strict=True):
+            bits = np.arange(self.loads[at + 1] - self.loads[at]) == c
+            rows.append((cell, at, c, bytearray(np.packbits(bits).tobytes())))
+        return spark.createDataFrame(rows, "cell int, load int, chunk int, wanted binary")
+
+    def sent(self, wanted: np.ndarray) -> tuple[list, list]:
+        """For each row of cells wanted its loads and, for each of them, the bits of the chunks."""
+        bits = np.logical_or.reduceat(wanted[:, self.order], self.chunks, axis=1)
+        loads: list = [[] for _ in range(len(bits))]
+        chunks: list = [[] for _ in range(len(bits))]
+        for at in range(len(self.loads) - 1):
+            mine = bits[:, self.loads[at] : self.loads[at + 1]]
+            packed = np.packbits(mine, axis=1)
+            for row in np.nonzero(mine.any(1))[0]:
+                loads[row].append(at)
+                chunks[row].append(packed[row].tobytes())
+        return loads, chunks
+
+    def own(self, wanted: np.ndarray, cell: np.ndarray) -> None:
+        """Leave out the whole chunk of each row's own cell, which is searched first."""
+        place = np.empty(len(self.order), int)
+        place[self.order] = np.searchsorted(self.chunks, np.arange(len(self.order)), side="right") - 1
+        wanted &= place[None, :] != place[cell][:, None]
+
+
 def _visits(
-    queries: DataFrame, pivots: np.ndarray, radius: np.ndarray, scale: float, id_type: str
+    queries: DataFrame, pivots: np.ndarray, radius: np.ndarray, loads: Loads, scale: float, id_type: str
 ) -> DataFrame:
-    """The other cells that can still hold a neighbour of each query, one row per query.
+    """The loads that can still hold a neighbour of each query, one row per query, with the chunks to look into.
 
     A cell is skipped only if every vector in it must be farther than the bound
     already reached: by the triangle inequality around its pivot, and by the
@@ -81,66 +145,97 @@ def _visits(
             lower = np.fmax(ball, np.nan_to_num(plane, nan=0.0, posinf=0.0, neginf=0.0))
             wanted = lower <= batch["bound"].to_numpy()[:, None] + SLACK * scale
             wanted &= radius[None, :] >= 0
-            wanted[np.arange(len(batch)), own] = False
-            counts = wanted.sum(1)
-            chosen = batch[counts > 0]
+            loads.own(wanted, own)
+            some = wanted.any(1)
+            chosen = batch[some]
             if chosen.empty:
                 continue
-            cells = np.split(np.nonzero(wanted)[1].astype("int32"), np.cumsum(counts[counts > 0])[:-1])
+            where, chunks = loads.sent(wanted[some])
             yield pd.DataFrame(
                 {
                     "rep": chosen["rep"].to_numpy(),
                     "v": chosen["v"].to_numpy(),
                     "bound": chosen["bound"].to_numpy(),
-                    "cells": cells,
+                    "load": where,
+                    "wanted": chunks,
                 }
             )
 
     return queries.select("rep", "v", "cell", "bound").mapInPandas(
-        run, f"rep {id_type}, v array<double>, bound double, cells array<int>"
+        run, f"rep {id_type}, v array<double>, bound double, load array<int>, wanted array<binary>"
     )
 
 
+def _near_pairs(queries: pd.DataFrame, data: pd.DataFrame, k: int, scale: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """``(query, row, distance)`` of all that can be among the k nearest; ``data`` is in order of chunks.
+
+    Products say which pairs can be near enough, and these alone are measured by differences.
+    """
+    left, right = matrix(queries["v"]), matrix(data["v"])
+    products = Products(left, right)
+    farthest = queries["bound"].to_numpy() + SLACK * scale
+    limit = farthest**2 * (1 + 1e-12) + products.error
+    # Rows of the same id are no neighbours; ids can repeat.
+    named = [side[["rep"]].assign(at=np.arange(len(side))) for side in (queries, data)]
+    same = named[0].merge(named[1], on="rep").sort_values("at_y")
+    if same["rep"].dtype == float:
+        same = same.dropna()
+    asked, itself = same["at_x"].to_numpy(), same["at_y"].to_numpy()
+    chunk = data["chunk"].to_numpy()
+    bits = [np.unpackbits(np.frombuffer(w, np.uint8)) for w in queries["wanted"]]
+    bits = np.vstack(bits).astype(bool)
+    found = []
+    starts = np.unique(chunk, return_index=True)
+    for number, low, high in zip(*starts, [*starts[1][1:], len(chunk)], strict=True):
+        asking = np.nonzero(bits[:, number])[0]
+        for first in range(low, high, PRODUCT_COLUMNS * 2):
+            last = min(high, first + PRODUCT_COLUMNS * 2)
+            step = max(1, PRODUCT_DOUBLES // (last - first))
+            here = slice(*np.searchsorted(itself, [first, last]))
+            for start in range(0, len(asking), step):
+                rows = asking[start : start + step]
+                squared = products.tile(rows, slice(first, last))
+                at = np.minimum(np.searchsorted(rows, asked[here]), len(rows) - 1)
+                mine = rows[at] == asked[here]
+                squared[at[mine], itself[here][mine] - first] = np.inf
+                hit = squared <= limit[rows, None]
+                if last - first > k and hit.sum() > 2 * k * len(rows):
+                    kth = np.partition(squared, k - 1, axis=1)[:, k - 1]
+                    limit[rows] = np.minimum(limit[rows], np.maximum(kth, 0.0) + 2.0 * products.error[rows])
+                    hit = squared <= limit[rows, None]
+                i, j = np.nonzero(hit & np.isfinite(squared) if mine.any() else hit)
+                if len(i):
+                    far = np.sqrt(gap_lengths(left[rows[i]], right[first + j]))
+                    use = far <= farthest[rows[i]]
+                    found.append((rows[i][use], first + j[use], far[use]))
+    if not found:
+        return np.empty(0, int), np.empty(0, int), np.empty(0)
+    return tuple(np.concatenate(part) for part in zip(*found, strict=True))
+
+
 def _nearest_kernel(k: int, scale: float):
-    """The k nearest ids of each query inside one piece, nothing beyond its bound."""
+    """The k nearest ids of each query inside one load, nothing beyond its bound."""
 
     def run(queries: pd.DataFrame, data: pd.DataFrame) -> pd.DataFrame:
-        found = []
-        if len(queries) and len(data):
-            owner = np.repeat(np.arange(len(data)), data["ids"].map(len).to_numpy())
-            members = np.concatenate(data["ids"].to_numpy())
-            right = matrix(data["v"])
-            left = matrix(queries["v"])
-            bounds = queries["bound"].to_numpy() + SLACK * scale
-            query_reps, data_reps = queries["rep"].to_numpy(), data["rep"].to_numpy()
-            first = np.searchsorted(owner, np.arange(len(data)))
-            sizes = np.bincount(owner, minlength=len(data))
-            for start, distances in distance_tiles(left, right):
-                stop = start + distances.shape[0]
-                distances[query_reps[start:stop, None] == data_reps[None, :]] = np.inf
-                cut = bounds[start:stop]
-                if distances.shape[1] > k:
-                    cut = np.minimum(cut, np.partition(distances, k - 1, axis=1)[:, k - 1])
-                rows, cols = np.nonzero((distances <= cut[:, None]) & np.isfinite(distances))
-                if not len(rows):
-                    continue
-                counts = sizes[cols]
-                places = np.repeat(first[cols] - np.cumsum(counts) + counts, counts) + np.arange(counts.sum())
-                who = np.repeat(rows, counts)
-                ids = members[places]
-                far = np.repeat(distances[rows, cols], counts)
-                if ids.dtype == object:
-                    ids = ids.astype(str)
-                order = np.lexsort((ids, far, who))
-                who, ids, far = who[order], ids[order], far[order]
-                rank = np.arange(len(who)) - np.searchsorted(who, who)
-                keep = rank < k
-                found.append(
-                    pd.DataFrame({"rep": query_reps[start + who[keep]], "neighbor": ids[keep], "distance": far[keep]})
-                )
-        if not found:
-            return pd.DataFrame({"rep": [], "neighbor": [], "distance": []})
-        return pd.concat(found, ignore_index=True)
+        none = pd.DataFrame({"rep": [], "neighbor": [], "distance": []})
+        if not len(queries) or not len(data):
+            return none
+        data = data.sort_values("chunk", kind="stable", ignore_index=True)
+        who, place, far = _near_pairs(queries, data, k, scale)
+        if not len(who):
+            return none
+        sizes = data["ids"].map(len).to_numpy()
+        first = np.cumsum(sizes) - sizes
+        members = np.concatenate(data["ids"].to_numpy())
+        counts = sizes[place]
+        places = np.repeat(first[place] - np.cumsum(counts) + counts, counts) + np.arange(counts.sum())
+        who, far, ids = np.repeat(who, counts), np.repeat(far, counts), members[places]
+        if ids.dtype == object:
+            ids = ids.astype(str)
+        order = np.lexsort((ids, far, who))
+        who, ids, far = who[order], ids[order], far[order]
+        keep = np.arange(len(who)) - np.searchsorted(who, who) < k
+        return pd.DataFrame({"rep": queries["rep"].to_numpy()[who[keep]], "neighbor": ids[keep], "distance": far[keep]})
 
     return run
 
@@ -152,26 +247,32 @@ def _euclidean_lists(reps: DataFrame, total: int, k: int, id_type: str, cell_row
     picked = reps.orderBy(F.xxhash64("rep"), "rep").limit(wanted).select("v").collect()
     pivots = np.array([row["v"] for row in picked], dtype="float64")
     assigned = settle(_assign(reps, pivots, k, id_type))
-    radius = np.full(len(pivots), -1.0)
-    for row in assigned.groupBy("cell").agg(F.max("reach").alias("r")).collect():
-        radius[row["cell"]] = row["r"]
+    radius, sizes = np.full(len(pivots), -1.0), np.zeros(len(pivots))
+    for row in assigned.groupBy("cell").agg(F.max("reach").alias("r"), F.count(F.lit(1)).alias("n")).collect():
+        radius[row["cell"]], sizes[row["cell"]] = row["r"], row["n"]
     scale = float(np.abs(pivots).max(initial=0.0) * np.sqrt(pivots.shape[1]) + radius.max(initial=0.0))
     kernel = _nearest_kernel(k, scale)
-    data = assigned.select("rep", "v", "ids", "cell")
+    rows = travel_rows(total, pivots.shape[1])
+    loads = Loads.of(pivots, sizes, rows)
+    # One row per pivot.
+    placed = assigned.join(F.broadcast(loads.places(reps.sparkSession)), "cell").drop("cell").withColumnRenamed("load", "cell")
+    data = placed.select("rep", "v", "ids", "cell", "chunk")
     closest = Window.partitionBy("rep").orderBy("distance", "neighbor")
 
     def cut(found: DataFrame) -> DataFrame:
         return found.withColumn("_n", F.row_number().over(closest)).where(F.col("_n") <= k).drop("_n")
 
-    near = cut(block_join(assigned.select("rep", "v", "bound", "cell"), data, "rep", "rep", kernel, schema))
-    if len(pivots) > 1:
+    near = cut(block_join(placed.select("rep", "v", "bound", "wanted", "cell"), data, "rep", "rep", kernel, schema, rows))
+    if len(loads.chunks) > 1:
         near = settle(near)
         tighter = near.groupBy("rep").agg(F.max("distance").alias("_far"), F.count(F.lit(1)).alias("_n"))
         narrowed = assigned.join(tighter, "rep", "left").withColumn(
             "bound", F.when(F.col("_n") >= k, F.least("bound", "_far")).otherwise(F.col("bound"))
         )
-        visits = settle(_visits(narrowed, pivots, radius, scale, id_type)).withColumn("cell", F.explode("cells")).drop("cells")
-        near = cut(near.unionByName(block_join(visits, data, "rep", "rep", kernel, schema)))
+        visits = settle(_visits(narrowed, pivots, radius, loads, scale, id_type))
+        visits = visits.select("rep", "v", "bound", F.explode(F.arrays_zip("load", "wanted")).alias("_at"))
+        visits = visits.select("rep", "v", "bound", F.col("_at.load").alias("cell"), F.col("_at.wanted").alias("wanted"))
+        near = cut(near.unionByName(block_join(visits, data, "rep", "rep", kernel, schema, rows)))
     return near.groupBy("rep").agg(
         F.sort_array(F.collect_list(F.struct("distance", F.col("neighbor").alias("id")))).alias("near")
     )
@@ -192,7 +293,8 @@ def nearest_neighbors(
     once; the distinct vectors are split into cells around pivots taken from
     the data, so dense regions get more cells; each vector first searches its
     own cell and then only the cells that its distance bound cannot rule out.
-    A zero vector has cosine distance 1 to everything.  ``cell_rows`` sets the
+    Cells travel in large loads, so a vector is sent once to each load and not
+    to each cell.  A zero vector has cosine distance 1 to everything.  ``cell_rows`` sets the
     aimed cell size, ``CELL_ROWS`` if not given.  ``lists`` replaces the search
     among the distinct vectors, given these, their number, k and the id's type.
     """

@@ -108,3 +108,29 @@ def test_affinity_graph(spark):
     for row in rows:
         got[row["src"], row["dst"]] = row["weight"]
     assert (got == (connected + connected.T) / 2).all()
+
+
+def test_a_query_goes_once_to_each_load(spark, monkeypatch):
+    """Without structure no cell can be left out; the rows sent must follow the loads, not the cells."""
+    sent, join = [], neighbors.block_join
+
+    def counted(queries, *rest):
+        sent.append(queries.count())
+        return join(queries, *rest)
+
+    monkeypatch.setattr(neighbors, "block_join", counted)
+    vectors = np.random.default_rng(11).normal(size=(300, 12))
+    check(spark, vectors, 5, "euclidean", cell_rows=4)
+    assert max(sent) <= 300
+
+
+def test_products_keep_the_digits_of_near_rows():
+    rng = np.random.default_rng(12)
+    left = 1e3 + rng.normal(size=(40, 6))
+    right = np.vstack([left[:15], left[:15] + 1e-7, 1e3 + rng.normal(size=(30, 6))])
+    exact = np.sqrt(((left[:, None] - right[None]) ** 2).sum(-1))
+    member = rng.integers(0, 2, (60, 3)).astype(float)
+    for columns in (7, 512):
+        assert blocks.distance_sums(left, right, member, columns) == pytest.approx(exact @ member, rel=1e-9)
+    alone = blocks.distance_sums(left, right, np.eye(60))
+    assert alone == pytest.approx(exact, rel=1e-6, abs=1e-12)
