@@ -1,6 +1,7 @@
 from collections import Counter
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
@@ -254,3 +255,30 @@ def test_labels_do_not_depend_on_the_session_width(spark):
         found.append(sorted(tuple(r) for r in clustering.kmeans(points, 5, max_iter=20).labels.collect()))
     spark.conf.set("spark.sql.shuffle.partitions", "4")
     assert found[0] == found[1] == found[2]
+
+
+def test_small_pieces_travel_in_large_loads(spark, monkeypatch):
+    import docsieve.operators.silhouette as module
+
+    rows, join = [], module.block_join
+
+    def noted(*given):
+        rows.append(given[-1])
+        return join(*given)
+
+    monkeypatch.setattr(module, "block_join", noted)
+    vectors, labels = groups(5)
+    given = spark.createDataFrame([(i, int(c)) for i, c in enumerate(labels)], "doc_id long, label int")
+    df = frame(spark, vectors).join(given, "doc_id")
+    assert silhouette(df, block_rows=4) == pytest.approx(plain_silhouette(vectors, labels))
+    assert silhouette_runs(frame(spark, vectors), {1: given}, block_rows=4)[1] == pytest.approx(plain_silhouette(vectors, labels))
+    assert min(rows) >= 512
+
+
+def test_sparse_products_of_frequent_and_rare_terms():
+    rng = np.random.default_rng(6)
+    table = rng.random((70, 200)) * (rng.random((70, 200)) < np.linspace(0.01, 0.5, 200))
+    rows = pd.DataFrame({"ids": [np.nonzero(r)[0] for r in table], "v": [r[r != 0] for r in table]})
+    exact = np.sqrt(((table[:30, None] - table[None, 30:]) ** 2).sum(-1))
+    found = blocks.sparse_distance_sums(rows[:30].reset_index(drop=True), rows[30:].reset_index(drop=True), np.eye(40), 16)
+    assert found == pytest.approx(exact)
