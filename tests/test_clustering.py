@@ -282,3 +282,20 @@ def test_sparse_products_of_frequent_and_rare_terms():
     exact = np.sqrt(((table[:30, None] - table[None, 30:]) ** 2).sum(-1))
     found = blocks.sparse_distance_sums(rows[:30].reset_index(drop=True), rows[30:].reset_index(drop=True), np.eye(40), 16)
     assert found == pytest.approx(exact)
+
+
+@pytest.mark.parametrize("linkage", ["ward", "average"])
+def test_cheapest_clusters_by_products(linkage):
+    """Over rows far from the origin, with equal costs, the first leaf among the exactly cheapest is found."""
+    rng = np.random.default_rng(8)
+    means = rng.integers(0, 4, (60, 3)).astype(float) + (1e4 if linkage == "ward" else 1.0)
+    if linkage == "average":
+        means /= np.linalg.norm(means, axis=1)[:, None]
+    data = pd.DataFrame({"node": np.arange(60), "n": rng.integers(1, 4, 60).astype(float), "mean": list(means), "chunk": np.arange(60) // 7})
+    place, cost = hierarchy._least_costs(data, data, np.ones((60, 16), bool), linkage)
+    i, j = np.divmod(np.arange(3600), 60)
+    n = data["n"].to_numpy()
+    exact = hierarchy._pair_costs(n[i], means[i], n[j], means[j], linkage).reshape(60, 60)
+    assert (exact == exact.T).all()
+    np.fill_diagonal(exact, np.inf)
+    assert place.tolist() == exact.argmin(1).tolist() and cost.tolist() == exact.min(1).tolist()

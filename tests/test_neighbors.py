@@ -134,3 +134,12 @@ def test_products_keep_the_digits_of_near_rows():
         assert blocks.distance_sums(left, right, member, columns) == pytest.approx(exact @ member, rel=1e-9)
     alone = blocks.distance_sums(left, right, np.eye(60))
     assert alone == pytest.approx(exact, rel=1e-6, abs=1e-12)
+
+
+@pytest.mark.parametrize("metric", ["euclidean", "cosine"])
+def test_many_loads_of_many_chunks(spark, monkeypatch, metric):
+    monkeypatch.setattr(blocks, "BLOCK_ROWS", 160)
+    monkeypatch.setattr(neighbors, "CELL_ROWS", 9)
+    rng = np.random.default_rng(13)
+    vectors = rng.integers(-2, 3, (200, 4)).astype(float) if metric == "euclidean" else rng.normal(size=(200, 4))
+    check(spark, vectors, 6, metric, [f"D{i:03d}" for i in range(200)], cell_rows=3)
