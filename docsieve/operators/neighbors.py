@@ -18,6 +18,8 @@ from docsieve.session import settle
 MAX_PIVOTS = 4096
 # Distinct vectors per cell while the number of pivots is below its bound.
 CELL_ROWS = 512
+# Pairs of a query and a near row that a task holds before it drops those that nearer ones overtook.
+KEPT_PAIRS = 2_000_000
 # Rounding allowance of the pruning bounds, relative to the size of the vectors.
 SLACK = 1e-6
 
@@ -166,6 +168,21 @@ def _visits(
     )
 
 
+def _closest(who: np.ndarray, place: np.ndarray, far: np.ndarray, sizes: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of each query's pairs, in order, those needed for k ids: row i stands for ``sizes[i]`` ids, and equally far rows stay."""
+    order = np.lexsort((far, who))
+    who, place, far = who[order], place[order], far[order]
+    count = sizes[place]
+    before = np.cumsum(count) - count
+    first = np.searchsorted(who, who)
+    inside = before - before[first] < k
+    # The last row inside sets how far the others may be.
+    ends = np.flatnonzero(inside & np.append(~inside[1:] | (who[1:] != who[:-1]), True))
+    cutoff = far[ends][np.searchsorted(who[ends], who)]
+    keep = inside | (far <= cutoff)
+    return who[keep], place[keep], far[keep]
+
+
 def _near_pairs(queries: pd.DataFrame, data: pd.DataFrame, k: int, scale: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """``(query, row, distance)`` of all that can be among the k nearest; ``data`` is in order of chunks.
 
@@ -184,7 +201,8 @@ def _near_pairs(queries: pd.DataFrame, data: pd.DataFrame, k: int, scale: float)
     chunk = data["chunk"].to_numpy()
     bits = [np.unpackbits(np.frombuffer(w, np.uint8)) for w in queries["wanted"]]
     bits = np.vstack(bits).astype(bool)
-    found = []
+    sizes = data["ids"].map(len).to_numpy()
+    found, held, most = [], 0, KEPT_PAIRS
     starts = np.unique(chunk, return_index=True)
     for number, low, high in zip(*starts, [*starts[1][1:], len(chunk)], strict=True):
         asking = np.nonzero(bits[:, number])[0]
@@ -208,9 +226,15 @@ def _near_pairs(queries: pd.DataFrame, data: pd.DataFrame, k: int, scale: float)
                     far = np.sqrt(gap_lengths(left[rows[i]], right[first + j]))
                     use = far <= farthest[rows[i]]
                     found.append((rows[i][use], first + j[use], far[use]))
+                    held += int(use.sum())
+                if held > most:
+                    # What k nearer ids have overtaken goes, so the pairs held follow the queries and not the pairs met.
+                    found = [_closest(*(np.concatenate(part) for part in zip(*found, strict=True)), sizes, k)]
+                    held = len(found[0][0])
+                    most = max(KEPT_PAIRS, 2 * held)
     if not found:
         return np.empty(0, int), np.empty(0, int), np.empty(0)
-    return tuple(np.concatenate(part) for part in zip(*found, strict=True))
+    return _closest(*(np.concatenate(part) for part in zip(*found, strict=True)), sizes, k)
 
 
 def _nearest_kernel(k: int, scale: float):
