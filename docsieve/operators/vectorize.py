@@ -294,7 +294,10 @@ VECTOR_BYTES, VECTOR_ROWS = 16 << 20, 1024
 
 
 def packed_vectors(counts: PackedCounts, width: int, id_col: str = "doc_id") -> DataFrame:
-    """``sparse_vectors`` of packed counts, a row for each of theirs; rows of one id have one vector, those without an id a zero one."""
+    """``sparse_vectors`` of packed counts, a row for each of theirs; rows of one id have one vector, those without an id a zero one.
+
+    Of a term that several rows of one id have the largest weight counts, as a vector has a place once.
+    """
     table, idf = counts.table, counts.idf
     id_type = table.schema[id_col].dataType.simpleString()
 
@@ -302,6 +305,9 @@ def packed_vectors(counts: PackedCounts, width: int, id_col: str = "doc_id") ->
         named = [rows.filter(rows.column(id_col).is_valid()).column(name).combine_chunks() for name in (id_col, "n", "data")]
         ids, values, firsts = [], [], []
         for places, lengths, terms, weights in unit_rows(*named, idf, VECTOR_ROWS):
+            owner = np.repeat(np.arange(len(lengths)), lengths)
+            last = np.append((terms[1:] != terms[:-1]) | (owner[1:] != owner[:-1]), True)[: len(terms)]
+            terms, weights, lengths = terms[last], weights[last], np.bincount(owner[last], minlength=len(lengths))
             ends = pa.array(np.concatenate([[0], np.cumsum(lengths)]), pa.int32())
             ids.append(pa.ListArray.from_arrays(ends, pa.array(terms, pa.int32())))
             values.append(pa.ListArray.from_arrays(ends, pa.array(weights, pa.float64())))

@@ -58,6 +58,15 @@ def test_vectors_and_projection_follow_the_long_weights(docs):
         assert name == other and np.allclose(left, right, atol=1e-6)
 
 
+def test_rows_of_one_id_have_one_vector(docs):
+    _, packed = V.fit_packed(docs, CHARACTERS)
+    rows = {}
+    for row in V.packed_vectors(packed, 60).collect():
+        rows.setdefault(row["doc_id"], []).append(row["features"])
+    assert len(rows["a"]) == 2 and rows["a"][0] == rows["a"][1] and rows["a"][0].numNonzeros() > 0
+    assert len(rows[None]) == 2 and all(vector.numNonzeros() == 0 for vector in rows[None])
+
+
 def test_sparse_forest_scores_packed_counts_as_weights(docs):
     known = docs.where("doc_id IS NOT NULL").dropDuplicates(["doc_id"])
     _, weights = V.fit_transform(known, CHARACTERS)
