@@ -9,6 +9,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from docsieve.operators.skipgram import word_vector_means
+
 Encoder = Callable[[Sequence[str]], np.ndarray]
 
 
@@ -43,15 +45,6 @@ def word_vector_mean(
 ) -> DataFrame:
     """``(id, features)``: mean of word vectors trained on the table itself, when no model is at hand.
 
-    Training runs in as many partitions as the table has; texts without words have a zero vector.
+    Training runs in pieces of the table; texts without words have a zero vector.
     """
-    from pyspark.ml.feature import Word2Vec
-    from pyspark.ml.functions import vector_to_array
-
-    found = F.filter(F.split(F.col(text_col), " "), lambda word: word != "")
-    words = docs.select(id_col, found.alias("_words"))
-    partitions = max(1, words.rdd.getNumPartitions())
-    model = Word2Vec(
-        vectorSize=dimension, minCount=2, seed=seed, numPartitions=partitions, inputCol="_words", outputCol="_v"
-    ).fit(words.where(F.size("_words") > 0))
-    return model.transform(words).select(id_col, vector_to_array("_v").alias("features"))
+    return word_vector_means(docs, dimension, seed, id_col, text_col)
