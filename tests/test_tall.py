@@ -102,3 +102,18 @@ def test_two_rings_are_separated(spark):
     assert same_split(found, [0] * 60 + [1] * 60)
     assert not same_split(labels_of(clustering.kmeans(points, 2)), [0] * 60 + [1] * 60)
     assert points.count() == spectral.spectral_embedding(points, 3).where(F.size("features") == 3).count()
+
+
+def test_a_step_writes_the_basis_once(spark, monkeypatch):
+    written, write = [], tall.stored
+    monkeypatch.setattr(tall, "stored", lambda table: written.append(table) or write(table))
+    dense = np.diag(np.linspace(1, 2, 60))
+
+    def operator(matrix):
+        return tall_of(spark, dense @ whole(matrix)).table
+
+    found = tall.leading_eigenvectors(operator, tall.random_tall(spark, 60, 4, 3), 3, 1e-12, depth=3, restarts=1)
+    vectors = whole(found.vectors)
+    assert vectors.T @ vectors == pytest.approx(np.eye(3), abs=1e-9)
+    # Two for the start, one for each step, one for the result.
+    assert len(written) == 2 + 3 + 1
