@@ -79,10 +79,11 @@ def detect_ensemble(
     id_col: str = "doc_id",
 ) -> DataFrame:
     """Rank average of forest, outlier factor and neighbour distance."""
+    # Settled, because ranking reads its scores three times: for their number, a sample of them and their order.
     tables = [
-        isolation_forest(points, id_col, seed=seed),
-        lof_scores(points, lof_neighbors, id_col),
-        knn_scores(points, knn_neighbors, id_col),
+        settle(isolation_forest(points, id_col, seed=seed)),
+        settle(lof_scores(points, lof_neighbors, id_col)),
+        settle(knn_scores(points, knn_neighbors, id_col)),
     ]
     return ensemble_mask(settle(rank_average(tables, id_col)), share)
 

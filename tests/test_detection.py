@@ -76,6 +76,24 @@ def test_detectors_flag_planted_rows(spark):
     assert 50 in {r["doc_id"] for r in flagged.collect()}
 
 
+def test_ensemble_works_out_each_score_once(spark, monkeypatch):
+    scored = spark.sparkContext.accumulator(0)
+
+    def counted(points, *_, **__):
+        def run(batches):
+            for batch in batches:
+                scored.add(len(batch))
+                yield batch[["doc_id"]].assign(score=batch["doc_id"] * -1.0)
+
+        return points.mapInPandas(run, "doc_id long, score double")
+
+    for name in ("isolation_forest", "lof_scores", "knn_scores"):
+        monkeypatch.setattr(anomaly, name, counted)
+    found = anomaly.detect_ensemble(frame(spark, planted(100)), 0.02)
+    assert scores_of(found) == pytest.approx({i: (99 - i) / 99 for i in range(100)})
+    assert scored.value == 3 * 100
+
+
 def test_standardized(spark):
     got = anomaly.standardized(frame(spark, [[1, 5], [3, 5], [5, 5]]))
     rows = [r["features"] for r in got.orderBy("doc_id").collect()]
