@@ -15,6 +15,11 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 PLAIN_AFFIX = 40
 
 
+def _by_shuffle(table: DataFrame) -> DataFrame:
+    """``table`` as a side of a join that never goes to the driver: Spark takes an exploded table for as small as the words it comes from."""
+    return table.hint("merge")
+
+
 def ascii_lower(word: Column) -> Column:
     """A-Z in lower case, all else as it is; the cheaper function where both agree."""
     return F.when(word.rlike("[^\\x00-\\x7F]"), F.translate(word, UPPER, LOWER)).otherwise(F.lower(word))
@@ -57,7 +62,7 @@ def _affix_nodes(words: DataFrame, affix: Column, name: str) -> DataFrame:
     short = F.when(F.col("i") <= PLAIN_AFFIX, F.col("affix")).otherwise(F.concat(F.md5(F.col("affix").cast("binary")), F.lit(":"), F.col("i")))
     rows = rows.select("k", "i", short.alias("affix"))
     nodes = stored(rows.select("affix").distinct().select("affix", (F.monotonically_increasing_id() + 1).alias("node")))
-    listed = rows.join(nodes, "affix").groupBy("k").agg(F.array_sort(F.collect_list(F.struct("i", "node"))).alias("nodes"))
+    listed = rows.join(_by_shuffle(nodes), "affix").groupBy("k").agg(F.array_sort(F.collect_list(F.struct("i", "node"))).alias("nodes"))
     return listed.select("k", F.concat(F.array(F.lit(0).cast("long")), F.col("nodes.node")).alias(name))
 
 
@@ -74,7 +79,7 @@ def near_words(words: DataFrame) -> DataFrame:
     heads = _affix_nodes(words, word.substr(F.lit(1), F.col("i")), "heads")
     tails = _affix_nodes(words, word.substr(length - F.col("i") + 1, F.col("i")), "tails")
     root = F.array(F.lit(0).cast("bigint"))
-    placed = words.join(heads, "k", "left").join(tails, "k", "left")
+    placed = words.join(_by_shuffle(heads), "k", "left").join(_by_shuffle(tails), "k", "left")
     # The empty word has the roots only.
     nodes = stored(placed.withColumns({side: F.coalesce(side, root) for side in ("heads", "tails")}))
 
@@ -90,9 +95,9 @@ def near_words(words: DataFrame) -> DataFrame:
     whole = entries(length, length - i, F.lit(True))
     pair = ["head", "tail"]
     other = skipped.select(*pair, F.col("k").alias("near"), F.col("n").alias("near_n"))
-    replaced = skipped.join(other, pair).where("k <> near").select("k", "n", "near", "near_n")
+    replaced = skipped.join(_by_shuffle(other), pair).where("k <> near").select("k", "n", "near", "near_n")
     shorter = whole.select(*pair, F.col("k").alias("near"), F.col("n").alias("near_n"))
-    inserted = skipped.where("first").join(shorter, pair).select("k", "n", "near", "near_n")
+    inserted = skipped.where("first").join(_by_shuffle(shorter), pair).select("k", "n", "near", "near_n")
     both = F.explode(
         F.array(
             F.struct("k", "n", "near", "near_n"),
@@ -110,7 +115,7 @@ def last_forms(forms: DataFrame) -> DataFrame:
     steps = stored(forms.select("k", F.coalesce("form", "k").alias("root")))
     while True:
         ahead = steps.select(F.col("k").alias("root"), F.col("root").alias("next"))
-        further = stored(steps.join(ahead, "root").select("k", F.col("next").alias("root"), (F.col("next") != F.col("root")).alias("moved")))
+        further = stored(steps.join(_by_shuffle(ahead), "root").select("k", F.col("next").alias("root"), (F.col("next") != F.col("root")).alias("moved")))
         if not further.where("moved").limit(1).count():
             return further.select("k", "root")
         steps = further.select("k", "root")
@@ -137,11 +142,11 @@ def spelling_variants(words: DataFrame, *, word_col: str = "word", count_col: st
     forms = stored(
         linked.select("k", "n_near", F.when(strong, -F.col("best.last")).alias("form"), F.when(strong, F.col("best.n")).alias("form_n"))
     )
-    roots = last_forms(numbered.select("k").join(forms.select("k", "form"), "k", "left"))
+    roots = last_forms(numbered.select("k").join(_by_shuffle(forms.select("k", "form")), "k", "left"))
     spelled = numbered.select(F.col("k").alias("named"), F.col("word").alias("spelling"))
-    found = numbered.join(forms, "k", "left").join(roots, "k")
-    found = found.join(spelled.select(F.col("named").alias("form"), F.col("spelling").alias("form_word")), "form", "left")
-    found = found.join(spelled.select(F.col("named").alias("root"), F.col("spelling").alias("root_word")), "root")
+    found = numbered.join(_by_shuffle(forms), "k", "left").join(_by_shuffle(roots), "k")
+    found = found.join(_by_shuffle(spelled.select(F.col("named").alias("form"), F.col("spelling").alias("form_word"))), "form", "left")
+    found = found.join(_by_shuffle(spelled.select(F.col("named").alias("root"), F.col("spelling").alias("root_word"))), "root")
     return found.select(
         "word",
         "n",

@@ -234,6 +234,14 @@ def test_no_words_give_no_variants(spark):
         spelling.spelling_variants(empty, times=1)
 
 
+def test_words_and_their_affixes_are_not_broadcast(spark):
+    words = [("house", 9), ("mouse", 3), ("houses", 2)]
+    numbered = spark.createDataFrame([(k, *row) for k, row in enumerate(words)], "k bigint, word string, n bigint")
+    for found in (spelling.near_words(numbered), spelling.spelling_variants(spark.createDataFrame(words, "word string, n bigint"))):
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and "Broadcast" not in plan
+
+
 # --- op13 ---------------------------------------------------------------------------------------------------------
 
 
