@@ -4,10 +4,11 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from docsieve.operators import forest, lsa, neighbors
+from docsieve.operators import forest, grams, lsa, neighbors
 from docsieve.operators import vectorize as V
 from docsieve.operators.grams import unpacked
 from docsieve.plans.jobs import CorpusJobs
@@ -38,6 +39,22 @@ def test_batches_count_as_long_tables(docs, settings):
     assert sorted(got) == sorted((str(r["doc_id"]), r["term"], r["tf"]) for r in V.bag_of_words(counts, fitted, settings).collect())
 
 
+def test_long_batches_are_counted_in_pieces(spark, monkeypatch):
+    texts = [" ".join(f"w{(i * j) % 991}" for j in range(9_000 + i)) for i in range(1, 41)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string").coalesce(1)
+    fitted, packed = V.fit_packed(docs, V.VectorizerSettings(max_df=1.0, ngram_range=(1, 1)))
+    total = {row["term"]: row["total_tf"] for row in fitted.collect()}
+    every = [word for text in texts for word in text.split()]
+    assert len(every) > grams.PIECE_WORDS and total == dict(pd.Series(every).value_counts())
+    assert packed.table.count() == len(texts) == packed.table.where("n > 0").select("doc_id").distinct().count()
+    monkeypatch.setattr(grams, "PIECE_WORDS", 4)
+    lists = [["a"] * n if n is not None else None for n in (3, 1, 2, 9, 0, None, 4, 0)]
+    batch = pa.RecordBatch.from_arrays([pa.array(lists, pa.list_(pa.string()))], ["words"])
+    pieces = [piece.column(0).to_pylist() for piece in grams._pieces(batch, 0)]
+    assert [[len(words or []) for words in piece] for piece in pieces] == [[3, 1], [2], [9], [0, 0, 4, 0]]
+    assert [words for piece in pieces for words in piece] == lists
+
+
 def test_vectors_and_projection_follow_the_long_weights(docs):
     _, weights = V.fit_transform(docs, CHARACTERS)
     _, packed = V.fit_packed(docs, CHARACTERS)
