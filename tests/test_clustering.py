@@ -157,6 +157,25 @@ def test_agglomerative_in_distributed_rounds_is_the_same_tree(spark, monkeypatch
     assert sorted(Counter(labels_of(tied.cut(25))).values()) == [1] * 25
 
 
+@pytest.mark.parametrize("linkage", ["ward", "average"])
+def test_rounds_in_a_task_give_the_tree_of_the_table_and_of_spark(spark, monkeypatch, linkage):
+    draw = np.random.default_rng(9)
+    vectors = np.concatenate([draw.normal(size=(400, 4)), draw.normal(size=(200, 4)) * 0.1 + 3, np.repeat(draw.normal(size=(2, 4)), 9, axis=0)])
+    rounds, round_ = [], hierarchy.MergeTree._round
+    monkeypatch.setattr(hierarchy.MergeTree, "_round", lambda tree, *rest: rounds.append(rest) or round_(tree, *rest))
+    # More clusters than the table of costs may have are no reason for rounds over Spark.
+    assert hierarchy.LAST > hierarchy.FINISH and clustering.Agglomerative(frame(spark, draw.normal(size=(hierarchy.FINISH + 60, 2)))).tree.merges.count() == hierarchy.FINISH + 59
+    assert not rounds
+    points = np.unique(vectors / (np.sqrt((vectors**2).sum(1))[:, None] if linkage == "average" else 1.0), axis=0)
+    start = np.arange(len(points)), np.ones(len(points)), points, np.zeros(len(points))
+    merges, (nodes, sizes, means, heights), after = hierarchy.near_merges(*start, linkage, 1, 100)
+    assert len(nodes) <= 100 and sizes.sum() == len(points) and len(merges) == len(points) - len(nodes) and len(points) == 602
+    merges += hierarchy.finish_merges(nodes, sizes, means * sizes[:, None], heights, linkage, after)
+    whole = hierarchy.finish_merges(start[0], start[1], points.copy(), start[3], linkage, 1)
+    for found, expected in zip(sorted(merges), sorted(whole), strict=True):
+        assert found[:3] == expected[:3] and found[3] == pytest.approx(expected[3], rel=1e-9, abs=1e-12)
+
+
 def test_agglomerative_equals_the_plain_tree_on_embeddings(spark):
     table = spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet").orderBy("vec_id")
     points = table.select(F.col("vec_id").alias("doc_id"), F.col("embedding").cast("array<double>").alias("features"))
