@@ -117,3 +117,40 @@ def test_a_step_writes_the_basis_once(spark, monkeypatch):
     assert vectors.T @ vectors == pytest.approx(np.eye(3), abs=1e-9)
     # Two for the start, one for each step, one for the result.
     assert len(written) == 2 + 3 + 1
+
+
+def test_small_graphs_are_solved_in_one_task_and_large_ones_over_spark(spark, monkeypatch):
+    draw = np.random.default_rng(11)
+    pairs = {(int(a), int(b)) for a, b in draw.integers(0, 50, (160, 2)) if a != b}
+    edges = [(a, b, 1.0 + (a + b) % 3) for a, b in sorted(pairs | {(b, a) for a, b in pairs})]
+    table = spark.createDataFrame(edges, "src bigint, dst bigint, weight double")
+    over_spark = spectral.random_tall
+    monkeypatch.setattr(spectral, "random_tall", lambda *_: pytest.fail("a small graph over Spark"))
+    # Two nodes without edges, and a graph without any.
+    one, _ = spectral.graph_eigenvectors(table, 52, 4, tolerance=1e-9)
+    none, _ = spectral.graph_eigenvectors(table.where("src < 0"), 5, 2)
+    monkeypatch.setattr(spectral, "random_tall", over_spark)
+    monkeypatch.setattr(spectral, "HELD_BYTES", 0)
+    other, _ = spectral.graph_eigenvectors(table, 52, 4, tolerance=1e-9)
+
+    def vectors(found):
+        return np.vstack([np.frombuffer(r["data"]).reshape(-1, found.vectors.width) for r in found.vectors.table.orderBy("block").collect()])
+
+    assert np.allclose(one.values, other.values, atol=1e-9) and vectors(one).shape == (52, 4)
+    assert np.allclose(vectors(one), vectors(other), atol=1e-5)
+    assert len(none.values) == 2 and np.allclose(none.values, 0.0) and vectors(none).shape == (5, 2)
+
+
+def test_a_sweep_makes_its_neighbour_graph_once(spark, monkeypatch):
+    from docsieve.plans import catalog
+
+    calls, plain = [], spectral.affinity_graph
+    monkeypatch.setattr(spectral, "affinity_graph", lambda *rest: calls.append(rest) or plain(*rest))
+    monkeypatch.setattr(catalog, "SWEEP_COUNTS", (2, 3))
+    draw = np.random.default_rng(12)
+    rows = [(i, [float(x) for x in draw.normal(size=3) + 6 * (i % 2)]) for i in range(40)]
+    points = spark.createDataFrame(rows, "vec_id bigint, features array<double>")
+    monkeypatch.setattr(catalog, "embeddings", lambda *_: points)
+    swept = catalog.method_sweep(spark, "").collect()
+    assert len(swept) == 6 and all(r["error"] is None for r in swept)
+    assert len(calls) == 1
