@@ -21,8 +21,8 @@ from docsieve.session import settle, shuffle_width
 TOLERANCE = 5e-3
 # Documents laid out at a time as a dense matrix over the terms they use, and documents of one part at most, about.
 DENSE_ROWS, PART_ROWS = 64, 50_000
-#: Bytes of the packed counts of one part, about; the matrix goes once to each part, so parts are large.
-PART_BYTES = 192 << 20
+#: Bytes of the packed counts of one part, about; the matrix goes once to each part, so parts are several times as large as it.
+PART_BYTES, LEAST_PART_BYTES, MATRIX_TIMES = 192 << 20, 32 << 20, 3
 
 
 @dataclass(frozen=True)
@@ -138,11 +138,16 @@ def gram_operator(parted: DataFrame, parts: int, id_col: str = "doc_id", idf: np
     return apply
 
 
-def _parted(packed: DataFrame, id_col: str, rows: int) -> tuple[DataFrame, int]:
+def part_bytes(matrix_bytes: int) -> int:
+    """Bytes of a part: a task holds it twice beside copies of the matrix, so a small matrix has small parts."""
+    return min(PART_BYTES, max(LEAST_PART_BYTES, MATRIX_TIMES * matrix_bytes))
+
+
+def _parted(packed: DataFrame, id_col: str, rows: int, matrix_bytes: int = PART_BYTES) -> tuple[DataFrame, int]:
     """The packed rows dealt to parts by id, and the number of parts."""
     if "data" in packed.columns:
         size = packed.agg(F.sum(F.length("data") + 16)).first()[0] or 0
-        parts = max(1, -(-size // PART_BYTES), min(2 * packed.sparkSession.sparkContext.defaultParallelism, -(-rows // BLOCK)))
+        parts = max(1, -(-size // part_bytes(matrix_bytes)), min(2 * packed.sparkSession.sparkContext.defaultParallelism, -(-rows // BLOCK)))
     else:
         parts = max(1, -(-rows // PART_ROWS), min(shuffle_width(packed.sparkSession), -(-rows // BLOCK)))
     part = F.pmod(F.xxhash64(id_col), F.lit(parts)).cast("int")
@@ -169,7 +174,7 @@ def fit_projection(
         raise ValueError("No terms are left to project.")
     kept = min(dimension, max(1, total - 1))
     columns = min(total, start_width(kept))
-    parted, parts = _parted(packed, id_col, rows)
+    parted, parts = _parted(packed, id_col, rows, 8 * total * columns)
     # The rows stay dealt out through all passes; a lost part is dealt again from the settled table.
     parted = parted.select("part", *(c for c in packed.columns if c != "part" and (idf is not None or c != id_col))).persist(StorageLevel.DISK_ONLY)
     try:
@@ -228,5 +233,5 @@ def project(
         ids = rows.column(id_col).combine_chunks()
         return pa.table([ids, lists], [id_col, "features"])
 
-    parted, parts = _parted(packed, id_col, packed.count())
+    parted, parts = _parted(packed, id_col, packed.count(), 8 * projection.vectors.rows * width)
     return _with_matrix(parted, parts, projection.vectors, work, f"`{id_col}` {id_type}, features array<double>")

@@ -119,6 +119,13 @@ def test_a_step_writes_the_basis_once(spark, monkeypatch):
     assert len(written) == 2 + 3 + 1
 
 
+def test_parts_of_packed_counts_follow_the_matrix(spark):
+    # 20,000 terms by 110 columns, and 30,000 by 266: parts of large tables stay near the size of what a task multiplies.
+    assert lsa.part_bytes(8 * 20_000 * 110) < 64 << 20 < lsa.part_bytes(8 * 30_000 * 266) <= 192 << 20
+    rows = spark.range(40).select(F.col("id").alias("doc_id"), F.lit(1).alias("n"), F.expr("cast(repeat('x', 4 << 20) as binary)").alias("data"))
+    assert lsa._parted(rows, "doc_id", 40, 8 * 20_000 * 110)[1] == 4 and lsa._parted(rows, "doc_id", 40, 8 * 30_000 * 266)[1] == 3
+
+
 def test_small_graphs_are_solved_in_one_task_and_large_ones_over_spark(spark, monkeypatch):
     draw = np.random.default_rng(11)
     pairs = {(int(a), int(b)) for a, b in draw.integers(0, 50, (160, 2)) if a != b}
